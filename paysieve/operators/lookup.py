@@ -1,0 +1,73 @@
+"""Left lookup join that stays even when one key holds much of the facts."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key is hot when it holds more than HOT_ROWS rows and more than 1/MAX_HOT_KEYS
+# of all rows.  At most MAX_HOT_KEYS keys can do the latter, whatever the data,
+# which is what bounds the broadcast below.
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000
+
+
+def hot_only(
+    weighted: DataFrame, weight: str, *, hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS
+) -> DataFrame:
+    """Rows of a one-row-per-key table whose key is hot.  At most ``max_hot_keys``."""
+    total = weighted.agg(F.coalesce(F.sum(weight), F.lit(0))).scalar()
+    share = F.col(weight) * F.lit(max_hot_keys).cast("long")
+    return weighted.where((F.col(weight) > hot_rows) & (share > total))
+
+
+def lookup_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    hot: DataFrame,
+    on: Mapping[str, str],
+    payload: Sequence[str],
+) -> DataFrame:
+    """``facts`` left join ``lookup``; NULL keys match NULL keys.
+
+    ``on`` maps columns of ``facts`` to key columns of ``lookup``, which has at
+    most one row per key, so no fact row is lost or doubled.  ``hot`` holds the
+    hot keys with their payload (NULL where the lookup has none).  Hot rows get
+    their payload from a broadcast of ``hot``; in the shuffle join that follows
+    they stay where they are spread, by replacing their last key with the
+    number of the partition they come from.  That number does not change when a
+    task is run again, and it spreads exact copies of a row as well.  What such
+    a row happens to meet in the shuffle join is ignored.
+    """
+    fact_keys, lookup_keys = list(on.keys()), list(on.values())
+    last = fact_keys[-1]
+
+    hot_side = F.broadcast(
+        hot.select(
+            *[F.col(k).alias(f"__hot_key_{i}") for i, k in enumerate(lookup_keys)],
+            *[F.col(p).alias(f"__hot_{p}") for p in payload],
+            F.lit(True).alias("__hot"),
+        )
+    )
+    cold_side = lookup.select(
+        *[F.col(k).alias(f"__key_{i}") for i, k in enumerate(lookup_keys)],
+        *[F.col(p).alias(f"__cold_{p}") for p in payload],
+    )
+
+    def matches(left: Sequence[str], prefix: str):
+        return reduce(and_, (F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(left)))
+
+    is_hot = F.col("__hot").isNotNull()
+    marked = facts.join(hot_side, matches(fact_keys, "__hot_key_"), "left").withColumn(
+        "__spread",
+        F.when(is_hot, F.spark_partition_id().cast(facts.schema[last].dataType)).otherwise(F.col(last)),
+    )
+    joined = marked.join(cold_side, matches([*fact_keys[:-1], "__spread"], "__key_"), "left")
+    return joined.select(
+        *[F.col(c) for c in facts.columns if c not in payload],
+        *[F.when(is_hot, F.col(f"__hot_{p}")).otherwise(F.col(f"__cold_{p}")).alias(p) for p in payload],
+    )
