@@ -20,11 +20,10 @@ def to_gold(
     *,
     rules: Sequence[Rule] | None = None,
     batch_ts: datetime | None = None,
-    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Every silver row with its window count, first matching rule and flag."""
     rules = default_rules(settings) if rules is None else rules
-    counted = with_velocity(silver, settings.velocity_seconds, counts=counts)
+    counted = with_velocity(silver, settings.velocity_seconds)
     return (
         counted.withColumn("fraud_reason", fraud_reason(rules))
         .withColumn("is_fraud", is_fraud())

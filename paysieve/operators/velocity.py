@@ -5,11 +5,16 @@ lies in [second - W, second].  Both ends count, all rows of one second see each
 other, rows without a timestamp see exactly the other rows without one, and
 rows without a user are counted as one user.
 
-A window over the raw rows would put a user's whole history into one task.  The
-count depends only on how many rows fall into each second, so the rows are
-first reduced to one row per user and second (combined before the shuffle); the
-window then runs over time buckets of that table, at most bucket + W rows each
-however many payments a user makes; and the result is looked up per row.
+A window over the raw rows puts a user's whole history into one task, which is
+the cheapest plan for users of ordinary size and impossible for a busy one.
+So "auto" first counts the rows per hash cell of the user (one column, a few
+numbers per task) and sends only users of bounded size through the window.
+
+For the others the count depends only on how many rows fall into each second:
+the rows are reduced to one per user and second, the window runs over time
+buckets of that table, at most bucket + W rows each however busy the user, and
+the result is looked up per row.  "bucketed" and "linear" do this for all
+users, with a sliding frame and with a running sum.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paysieve.functions.times import epoch_seconds
-from paysieve.operators.lookup import HOT_ROWS, MAX_HOT_KEYS, hot_only, lookup_join
+from paysieve.operators.lookup import CELLS, HOT_ROWS, MAX_HOT_KEYS, hot_only, lookup_join, split_busy
 
 COUNT_COLUMN = "tx_count_window"
 MIN_BUCKET_SECONDS = 3600
@@ -94,20 +99,9 @@ def _running(seconds: DataFrame, width: int, bucket: int) -> DataFrame:
 
 
 def velocity_counts(
-    payments: DataFrame,
-    seconds: int = 60,
-    *,
-    method: str = "auto",
-    user: str = "user_id",
-    ts: str = "event_ts",
+    payments: DataFrame, seconds: int = 60, *, method: str = "bucketed", user: str = "user_id", ts: str = "event_ts"
 ) -> DataFrame:
     """(user, second, n, tx_count_window), one row per user and second."""
-    if seconds < 0:
-        raise ValueError("the window cannot be negative")
-    if method not in METHODS:
-        raise ValueError(f"method: {method!r}, expected one of {METHODS}")
-    if method == "auto":
-        method = "linear" if seconds >= LINEAR_FROM_SECONDS else "bucketed"
     bucket = max(MIN_BUCKET_SECONDS, 2 * seconds)
     table = per_second(payments, user=user, ts=ts)
     return _sliding(table, seconds, bucket) if method == "bucketed" else _running(table, seconds, bucket)
@@ -120,18 +114,36 @@ def with_velocity(
     method: str = "auto",
     user: str = "user_id",
     ts: str = "event_ts",
-    counts: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    cells: int = CELLS,
 ) -> DataFrame:
     """Add ``tx_count_window``.
 
-    ``counts`` may be the stored result of ``velocity_counts`` over the same
-    rows, which keeps the lineage of a large job short.
+    The input is read up to four times, mostly two columns of it, so pass a
+    stored layer rather than a long computation.  ``hot_rows``,
+    ``max_hot_keys`` and ``cells`` say which users and seconds are too big for
+    one task; they change the plan, never the result.
     """
-    if counts is None:
-        counts = velocity_counts(payments, seconds, method=method, user=user, ts=ts)
-    keyed = payments.withColumn("__second", epoch_seconds(ts))
-    hot = hot_only(counts, "n", hot_rows=hot_rows, max_hot_keys=max_hot_keys)
-    joined = lookup_join(keyed, counts, hot, {user: "user", "__second": "second"}, [COUNT_COLUMN])
-    return joined.drop("__second")
+    if seconds < 0:
+        raise ValueError("the window cannot be negative")
+    if method not in METHODS:
+        raise ValueError(f"method: {method!r}, expected one of {METHODS}")
+    payments = payments.drop(COUNT_COLUMN)
+    limits = {"hot_rows": hot_rows, "max_hot_keys": max_hot_keys}
+
+    def looked_up(rows: DataFrame, how: str) -> DataFrame:
+        counts = velocity_counts(rows, seconds, method=how, user=user, ts=ts)
+        keyed = rows.withColumn("__second", epoch_seconds(ts))
+        on = {user: "user", "__second": "second"}
+        return lookup_join(keyed, counts, hot_only(counts, "n", **limits), on, [COUNT_COLUMN]).drop("__second")
+
+    if method != "auto":
+        return looked_up(payments, method)
+    if seconds >= LINEAR_FROM_SECONDS:
+        return looked_up(payments, "linear")
+
+    ordinary, busy = split_busy(payments, user, hot_rows=hot_rows, cells=cells)
+    trailing = Window.partitionBy(user).orderBy(epoch_seconds(ts)).rangeBetween(-seconds, 0)
+    windowed = ordinary.withColumn(COUNT_COLUMN, F.count(F.lit(1)).over(trailing))
+    return windowed.unionByName(looked_up(busy, "bucketed"))

@@ -13,8 +13,7 @@ from paysieve.operators import gold as gold_ops
 from paysieve.operators import model as model_ops
 from paysieve.operators.cleaning import accepted, rejected, to_silver
 from paysieve.operators.registry import load_model, save_model
-from paysieve.operators.velocity import velocity_counts
-from paysieve.sources import read_landing, read_layer, scratch_path, write_jdbc, write_layer
+from paysieve.sources import read_landing, read_layer, write_jdbc, write_layer
 
 log = logging.getLogger(__name__)
 
@@ -44,15 +43,11 @@ def run_ingest(spark: SparkSession, cfg: PipelineConfig, *, batch_ts: datetime |
 def run_gold(spark: SparkSession, cfg: PipelineConfig, *, batch_ts: datetime | None = None) -> None:
     """Silver -> gold and its serving table.
 
-    The window counts are stored first, so that the wide job which follows has
-    a short lineage; gold is read back for the serving table, so that both
-    hold the same rows.
+    Gold is read back for the serving table: computed once, the same rows in
+    both, and a short lineage for the database write.
     """
     silver = read_layer(spark, cfg.silver)
-    counts_path = scratch_path(spark, "velocity-counts")
-    write_layer(velocity_counts(silver, cfg.rules.velocity_seconds), counts_path)
-    counts = read_layer(spark, counts_path)
-    write_layer(gold_ops.to_gold(silver, cfg.rules, batch_ts=batch_ts or new_batch_ts(), counts=counts), cfg.gold)
+    write_layer(gold_ops.to_gold(silver, cfg.rules, batch_ts=batch_ts or new_batch_ts()), cfg.gold)
     if cfg.gold_jdbc:
         write_jdbc(gold_ops.serving_view(read_layer(spark, cfg.gold)), cfg.gold_jdbc)
 

@@ -8,12 +8,17 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from paysieve.fixtures import with_busy_user
-from paysieve.operators.velocity import per_second, velocity_counts, with_velocity
+from paysieve.operators.velocity import per_second, with_velocity
 
 SCHEMA = "id string, user_id string, event_ts timestamp"
-METHODS = ("bucketed", "linear")
+METHODS = ("auto", "bucketed", "linear")
 # Nothing hot, some keys hot, every key hot.
-SPREADS = ({}, {"hot_rows": 3, "max_hot_keys": 1000}, {"hot_rows": 0, "max_hot_keys": 10**9})
+SPREADS = (
+    {},
+    {"hot_rows": 3, "max_hot_keys": 1000},
+    {"hot_rows": 3, "max_hot_keys": 1000, "cells": 8},
+    {"hot_rows": 0, "max_hot_keys": 10**9},
+)
 
 
 def frame(spark, rows):
@@ -123,12 +128,6 @@ def test_hot_rows_are_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
-def test_stored_counts_give_the_same(spark, payments, tmp_path):
-    path = str(tmp_path / "counts")
-    velocity_counts(payments).write.parquet(path)
-    assert same_rows(with_velocity(payments, counts=spark.read.parquet(path)), with_velocity(payments))
-
-
 def test_columns_and_rows_are_kept(spark, payments):
     result = with_velocity(payments)
     assert result.columns == [*payments.columns, "tx_count_window"]
