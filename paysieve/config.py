@@ -116,8 +116,7 @@ class PipelineConfig:
             raise ValueError("bad_records='quarantine' needs a quarantine path")
 
 
-# Runtime settings the operators rely on at scale.  Partition counts are left
-# to AQE: it coalesces from initialPartitionNum down by actual size.
+# Runtime settings the operators rely on at scale.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -128,10 +127,34 @@ ENGINE_CONF = {
     "spark.sql.broadcastTimeout": "36000",
 }
 
+MIB, GIB = 1 << 20, 1 << 30
+MIN_SHUFFLE_PARTITIONS = 200
+MAX_SHUFFLE_PARTITIONS = 50_000
 
-def spark_conf(store: StoreSettings | None = None) -> dict[str, str]:
+
+def sizing_conf(input_bytes: int) -> dict[str, str]:
+    """Partition sizes for an input of that many bytes.
+
+    AQE merges small shuffle partitions but does not split large ones, so the
+    number must fit the input from the start: about 512 MiB each, and at most
+    50,000, as every one of them is fetched from every map task.  For the same
+    reason scan tasks grow with the input, from 128 MiB to 1 GiB.
+    """
+    shuffles = -(-input_bytes // (512 * MIB))
+    shuffles = min(max(shuffles, MIN_SHUFFLE_PARTITIONS), MAX_SHUFFLE_PARTITIONS)
+    scan = min(max(input_bytes // 100_000, 128 * MIB), GIB)
+    return {
+        "spark.sql.shuffle.partitions": str(shuffles),
+        "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MIB),
+    }
+
+
+def spark_conf(store: StoreSettings | None = None, *, input_bytes: int | None = None) -> dict[str, str]:
     """Session settings, to be passed to ``SparkSession.builder.config(map=…)``."""
     conf = dict(ENGINE_CONF)
+    if input_bytes is not None:
+        conf.update(sizing_conf(input_bytes))
     if store is not None:
         prefix = "spark.hadoop.fs.s3a."
         conf[prefix + "endpoint"] = store.endpoint

@@ -20,10 +20,11 @@ def to_gold(
     *,
     rules: Sequence[Rule] | None = None,
     batch_ts: datetime | None = None,
+    total_rows: int | None = None,
 ) -> DataFrame:
     """Every silver row with its window count, first matching rule and flag."""
     rules = default_rules(settings) if rules is None else rules
-    counted = with_velocity(silver, settings.velocity_seconds)
+    counted = with_velocity(silver, settings.velocity_seconds, total_rows=total_rows)
     return (
         counted.withColumn("fraud_reason", fraud_reason(rules))
         .withColumn("is_fraud", is_fraud())

@@ -68,7 +68,9 @@ def train(labelled: DataFrame, *, max_iter: int = 10) -> PipelineModel:
     return build_pipeline(max_iter=max_iter).fit(usable)
 
 
-def score(model: PipelineModel, gold: DataFrame, *, velocity_seconds: int = 60) -> DataFrame:
+def score(
+    model: PipelineModel, gold: DataFrame, *, velocity_seconds: int = 60, total_rows: int | None = None
+) -> DataFrame:
     """Apply the model to every row; adds Spark's five columns and
     ``fraud_probability`` (ours).
 
@@ -77,7 +79,7 @@ def score(model: PipelineModel, gold: DataFrame, *, velocity_seconds: int = 60)
     counts are computed first.
     """
     if COUNT_COLUMN not in gold.columns:
-        gold = with_velocity(gold, velocity_seconds)
+        gold = with_velocity(gold, velocity_seconds, total_rows=total_rows)
     # A saved pipeline carries the setting it was trained with.
     lenient = PipelineModel(
         [s.copy().setHandleInvalid("keep") if hasattr(s, "setHandleInvalid") else s for s in model.stages]

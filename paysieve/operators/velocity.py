@@ -98,6 +98,33 @@ def _running(seconds: DataFrame, width: int, bucket: int) -> DataFrame:
     )
 
 
+def _sliding_rows(rows: DataFrame, width: int, user: str, ts: str) -> DataFrame:
+    """Sliding frame over the raw rows, for users one task can hold."""
+    trailing = Window.partitionBy(user).orderBy(epoch_seconds(ts)).rangeBetween(-width, 0)
+    return rows.withColumn(COUNT_COLUMN, F.count(F.lit(1)).over(trailing))
+
+
+def _running_rows(rows: DataFrame, width: int, user: str, ts: str) -> DataFrame:
+    """Running sum over the raw rows: each adds one, and a row of two columns
+    takes it back W + 1 seconds later."""
+    columns = rows.columns
+    arrive = rows.withColumn("__at", epoch_seconds(ts)).withColumn("__delta", F.lit(1))
+    leave = rows.where(F.col(ts).isNotNull()).select(
+        user, (epoch_seconds(ts) + F.lit(width + 1)).alias("__at"), F.lit(-1).alias("__delta")
+    )
+    history = (
+        Window.partitionBy(user, F.col("__at").isNull())
+        .orderBy("__at")
+        .rangeBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        arrive.unionByName(leave, allowMissingColumns=True)
+        .withColumn(COUNT_COLUMN, F.sum("__delta").over(history))
+        .where(F.col("__delta") == 1)
+        .select(*columns, COUNT_COLUMN)
+    )
+
+
 def velocity_counts(
     payments: DataFrame, seconds: int = 60, *, method: str = "bucketed", user: str = "user_id", ts: str = "event_ts"
 ) -> DataFrame:
@@ -117,13 +144,15 @@ def with_velocity(
     hot_rows: int = HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
     cells: int = CELLS,
+    total_rows: int | None = None,
 ) -> DataFrame:
     """Add ``tx_count_window``.
 
     The input is read up to four times, mostly two columns of it, so pass a
     stored layer rather than a long computation.  ``hot_rows``,
     ``max_hot_keys`` and ``cells`` say which users and seconds are too big for
-    one task; they change the plan, never the result.
+    one task, and ``total_rows``, where the caller knows it, that no user can
+    be; they change the plan, never the result.
     """
     if seconds < 0:
         raise ValueError("the window cannot be negative")
@@ -132,18 +161,23 @@ def with_velocity(
     payments = payments.drop(COUNT_COLUMN)
     limits = {"hot_rows": hot_rows, "max_hot_keys": max_hot_keys}
 
-    def looked_up(rows: DataFrame, how: str) -> DataFrame:
+    how = method
+    if method == "auto":
+        how = "linear" if seconds >= LINEAR_FROM_SECONDS else "bucketed"
+
+    def looked_up(rows: DataFrame) -> DataFrame:
         counts = velocity_counts(rows, seconds, method=how, user=user, ts=ts)
         keyed = rows.withColumn("__second", epoch_seconds(ts))
         on = {user: "user", "__second": "second"}
         return lookup_join(keyed, counts, hot_only(counts, "n", **limits), on, [COUNT_COLUMN]).drop("__second")
 
-    if method != "auto":
-        return looked_up(payments, method)
-    if seconds >= LINEAR_FROM_SECONDS:
-        return looked_up(payments, "linear")
+    def windowed(rows: DataFrame) -> DataFrame:
+        over_rows = _running_rows if how == "linear" else _sliding_rows
+        return over_rows(rows, seconds, user, ts)
 
+    if method != "auto":
+        return looked_up(payments)
+    if total_rows is not None and total_rows <= hot_rows:
+        return windowed(payments)
     ordinary, busy = split_busy(payments, user, hot_rows=hot_rows, cells=cells)
-    trailing = Window.partitionBy(user).orderBy(epoch_seconds(ts)).rangeBetween(-seconds, 0)
-    windowed = ordinary.withColumn(COUNT_COLUMN, F.count(F.lit(1)).over(trailing))
-    return windowed.unionByName(looked_up(busy, "bucketed"))
+    return windowed(ordinary).unionByName(looked_up(busy))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from paysieve.config import JdbcTarget, PipelineConfig, StoreSettings, mariadb_target, spark_conf
+from paysieve.config import GIB, JdbcTarget, PipelineConfig, StoreSettings, mariadb_target, spark_conf
 from paysieve.plans.jobs import run_all, run_gold, run_ingest, run_score, run_train
 
 SECRET_VARIABLES = {
@@ -74,6 +74,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     for job in jobs.choices.values():
         _store_options(job)
+        job.add_argument("--input-gb", type=float, help="size of the input, to size partitions by")
     return parser
 
 
@@ -121,7 +122,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     args, _ = build_parser().parse_known_args(argv)
     args = _with_secrets(args)
     cfg = config_from(args)
-    spark = SparkSession.builder.appName(f"paysieve-{args.job}").config(map=spark_conf(_store(args))).getOrCreate()
+    input_bytes = None if args.input_gb is None else int(args.input_gb * GIB)
+    conf = spark_conf(_store(args), input_bytes=input_bytes)
+    spark = SparkSession.builder.appName(f"paysieve-{args.job}").config(map=conf).getOrCreate()
     if args.job == "ingest":
         run_ingest(spark, cfg)
     elif args.job == "gold":

@@ -43,11 +43,12 @@ def run_ingest(spark: SparkSession, cfg: PipelineConfig, *, batch_ts: datetime |
 def run_gold(spark: SparkSession, cfg: PipelineConfig, *, batch_ts: datetime | None = None) -> None:
     """Silver -> gold and its serving table.
 
-    Gold is read back for the serving table: computed once, the same rows in
+    Counting silver reads the Parquet footers only.  Gold is read back for the serving table: computed once, the same rows in
     both, and a short lineage for the database write.
     """
     silver = read_layer(spark, cfg.silver)
-    write_layer(gold_ops.to_gold(silver, cfg.rules, batch_ts=batch_ts or new_batch_ts()), cfg.gold)
+    gold = gold_ops.to_gold(silver, cfg.rules, batch_ts=batch_ts or new_batch_ts(), total_rows=silver.count())
+    write_layer(gold, cfg.gold)
     if cfg.gold_jdbc:
         write_jdbc(gold_ops.serving_view(read_layer(spark, cfg.gold)), cfg.gold_jdbc)
 
@@ -62,7 +63,10 @@ def run_score(spark: SparkSession, cfg: PipelineConfig, *, version: int | str |
     """Gold (or silver) + model -> predictions and their serving table."""
     model = load_model(spark, cfg.model, version=version)
     source = read_layer(spark, cfg.gold or cfg.silver)
-    write_layer(model_ops.score(model, source, velocity_seconds=cfg.rules.velocity_seconds), cfg.predictions)
+    scored = model_ops.score(
+        model, source, velocity_seconds=cfg.rules.velocity_seconds, total_rows=source.count()
+    )
+    write_layer(scored, cfg.predictions)
     if cfg.predictions_jdbc:
         write_jdbc(model_ops.serving_view(read_layer(spark, cfg.predictions)), cfg.predictions_jdbc)
 

@@ -103,13 +103,20 @@ def _counts(method: str, seconds: int = 60, busy: bool = False, **options):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = payments(spark, sf_dir)
         rows = with_busy_user(rows) if busy else rows
-        return with_velocity(rows, seconds, method=method, **options).select("event_id", "tx_count_window")
+        counted = with_velocity(rows, seconds, method=method, total_rows=rows.count(), **options)
+        return counted.select("event_id", "tx_count_window")
 
     return query
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_gold(payments(spark, sf_dir))
+    rows = payments(spark, sf_dir)
+    return to_gold(rows, total_rows=rows.count())
+
+
+def _counted_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = payments(spark, sf_dir)
+    return with_velocity(rows, total_rows=rows.count())
 
 
 def rule_high_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,16 +124,16 @@ def rule_high_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_velocity(payments(spark, sf_dir)).select("event_id", velocity().alias("velocity"))
+    return _counted_payments(spark, sf_dir).select("event_id", velocity().alias("velocity"))
 
 
 def fraud_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = with_velocity(payments(spark, sf_dir))
+    counted = _counted_payments(spark, sf_dir)
     return counted.select("event_id", "amount", "tx_count_window", fraud_reason().alias("fraud_reason"))
 
 
 def fraud_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = with_velocity(payments(spark, sf_dir)).withColumn("fraud_reason", fraud_reason())
+    counted = _counted_payments(spark, sf_dir).withColumn("fraud_reason", fraud_reason())
     return counted.select("event_id", is_fraud().alias("is_fraud"))
 
 

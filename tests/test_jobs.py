@@ -5,7 +5,7 @@ from conftest import same_rows
 from pyspark.sql import functions as F
 
 from paysieve import schemas
-from paysieve.config import PipelineConfig, StoreSettings, mariadb_target, spark_conf
+from paysieve.config import PipelineConfig, StoreSettings, mariadb_target, sizing_conf, spark_conf
 from paysieve.fixtures import as_landing, embedded_target
 from paysieve.plans import cli, run_all
 from paysieve.plans.jobs import run_score
@@ -114,6 +114,15 @@ def test_session_settings():
     assert conf["spark.sql.session.timeZone"] == "UTC"
 
 
+def test_partitions_follow_the_input():
+    small, large = sizing_conf(10**9), sizing_conf(100 * 10**12)
+    key = "spark.sql.shuffle.partitions"
+    assert (small[key], large[key]) == ("200", "50000")
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 10**9
+    assert spark_conf(input_bytes=10**13)[key] == str(-(-(10**13) // 2**29))
+    assert key not in spark_conf()
+
+
 def test_scratch_follows_the_session(spark):
     path = scratch_path(spark, "x")
     assert path.startswith(spark.conf.get("spark.checkpoint.dir")) and path != scratch_path(spark, "x")
@@ -142,6 +151,7 @@ def test_command_lines(monkeypatch):
     assert (cfg.gold, cfg.model, cfg.predictions, cfg.predictions_jdbc.mode) == ("g", "m", "o", "staged")
     assert cfg.gold_jdbc is None
 
+    assert parse("train", "--gold", "g", "--model-out", "m", "--input-gb", "1.5").input_gb == 1.5
     cfg = cli.config_from(parse("train", "--gold", "g", "--model-out", "m"))
     assert (cfg.gold, cfg.model) == ("g", "m")
 

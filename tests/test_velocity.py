@@ -18,6 +18,7 @@ SPREADS = (
     {"hot_rows": 3, "max_hot_keys": 1000},
     {"hot_rows": 3, "max_hot_keys": 1000, "cells": 8},
     {"hot_rows": 0, "max_hot_keys": 10**9},
+    {"total_rows": 1000},
 )
 
 
