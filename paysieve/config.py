@@ -28,10 +28,10 @@ class JdbcTarget:
     """One serving table.
 
     ``mode``: "append", "skip_existing" or "staged" (see ``sources.jdbc``).
-    ``num_partitions`` caps the parallel connections of a write.
-    ``key_predicates`` are disjoint WHERE clauses that together cover the
-    table; "skip_existing" reads the stored keys with one task per clause, so
-    give some for a large table, e.g. ``MOD(CRC32(event_id), 64) = 0`` and so on.
+    ``num_partitions`` caps the parallel connections of a write or key read.
+    ``key_predicates`` are WHERE clauses that together cover the table, e.g.
+    ``MOD(CRC32(event_id), 64) = 0`` and so on: reads use one task per clause.
+    Without them "skip_existing" derives key ranges from the batch.
     """
 
     url: str
@@ -42,7 +42,7 @@ class JdbcTarget:
     mode: str = "append"
     key: str = "event_id"
     batch_size: int = 10_000
-    num_partitions: int | None = None
+    num_partitions: int | None = 32
     column_types: str | None = None
     key_predicates: tuple[str, ...] = ()
 

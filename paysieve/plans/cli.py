@@ -36,7 +36,7 @@ def _jdbc_options(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--jdbc-pass")
     parser.add_argument("--jdbc-table")
     parser.add_argument("--jdbc-mode", default="append", choices=["append", "skip_existing", "staged"])
-    parser.add_argument("--jdbc-connections", type=int, help="most parallel connections of a write")
+    parser.add_argument("--jdbc-connections", type=int, default=32, help="most parallel connections of a write")
 
 
 def build_parser() -> argparse.ArgumentParser:

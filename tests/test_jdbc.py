@@ -8,7 +8,7 @@ from paysieve.config import JdbcTarget
 from paysieve.fixtures import embedded_target
 from paysieve.operators.gold import serving_view, to_gold
 from paysieve.sources import read_jdbc, write_jdbc
-from paysieve.sources.jdbc import table_exists
+from paysieve.sources.jdbc import key_ranges, missing_rows, table_exists
 
 TYPES = "event_id VARCHAR(64), user_id VARCHAR(64), fraud_reason VARCHAR(32)"
 
@@ -44,13 +44,28 @@ def test_a_second_run_adds_only_what_is_missing(spark, serving, target, mode):
     assert same_rows(read_jdbc(spark, target), serving)
 
 
-def test_a_row_without_key_is_added_once(spark, serving, target):
-    # Derby takes no NULL for a VARCHAR from Spark, only for its default CLOB.
-    plain = replace(target, mode="skip_existing", column_types=None)
-    nameless = serving.limit(1).withColumn("event_id", F.lit(None).cast("string"))
-    for _ in range(2):
-        write_jdbc(serving.unionByName(nameless), plain)
-    assert same_rows(read_jdbc(spark, target), serving.unionByName(nameless))
+def test_missing_rows_by_key(spark):
+    batch = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "k string, v int")
+    stored = spark.createDataFrame([("a",), (None,), ("z",)], "k string")
+    assert [r["v"] for r in missing_rows(batch, stored, "k").collect()] == [3]
+    assert missing_rows(batch, stored.where("k = 'z'"), "k").count() == 3
+
+
+def test_key_ranges_cover_the_table(spark, serving, target):
+    write_jdbc(serving, target)
+    quoted = '"event_id"'
+    for batch, parts in ((serving, 4), (serving.where("event_id = '5'"), 4), (serving.limit(0), 4)):
+        clauses = key_ranges(batch, "event_id", parts, quoted)
+        assert len(clauses) in (0, 4)
+        stored = read_jdbc(spark, replace(target, key_predicates=clauses))
+        assert same_rows(stored, serving)
+    odd = spark.createDataFrame([("it's",), ("a",), ("k\\",), ("z",)], "event_id string")
+    clauses = key_ranges(odd, "event_id", 4, quoted)
+    assert clauses == (f"{quoted} < 'z' OR {quoted} IS NULL", f"{quoted} >= 'z'")
+    numbers = spark.range(100)
+    clauses = key_ranges(numbers, "id", 3, "id")
+    assert len(clauses) == 3 and "'" not in "".join(clauses)
+    assert sum(numbers.where(c).count() for c in clauses) == 100
 
 
 def test_staged_folds_rows_written_twice(spark, serving, target):
