@@ -32,14 +32,14 @@ def with_label(gold: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     return gold.drop("label").join(known, "event_id")
 
 
-def build_pipeline(*, max_iter: int = 10, handle_invalid: str = "skip") -> Pipeline:
+def build_pipeline(*, max_iter: int = 10, tol: float = 1e-6, handle_invalid: str = "skip") -> Pipeline:
     """Assemble, scale to unit standard deviation, regress.  All parameters not
-    named here keep Spark's defaults."""
+    named here keep Spark's defaults, as does ``tol``."""
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features", handleInvalid=handle_invalid),
             StandardScaler(inputCol="features", outputCol="scaledFeatures"),
-            LogisticRegression(featuresCol="scaledFeatures", labelCol="label", maxIter=max_iter),
+            LogisticRegression(featuresCol="scaledFeatures", labelCol="label", maxIter=max_iter, tol=tol),
         ]
     )
 
@@ -49,7 +49,7 @@ def feature_table(labelled: DataFrame) -> DataFrame:
     return labelled.select("event_id", "user_id", *FEATURE_COLUMNS, "label")
 
 
-def train(labelled: DataFrame, *, max_iter: int = 10) -> PipelineModel:
+def train(labelled: DataFrame, *, max_iter: int = 10, tol: float = 1e-6) -> PipelineModel:
     """Fit on all rows with both features; the others cannot be learnt from.
 
     With one class only, Spark would return zero coefficients and an infinite
@@ -65,7 +65,7 @@ def train(labelled: DataFrame, *, max_iter: int = 10) -> PipelineModel:
     low, high = usable.agg(F.min("label"), F.max("label")).first()
     if low is None or low == high:
         raise SingleClassError(f"training needs both classes, found only {low!r}")
-    return build_pipeline(max_iter=max_iter).fit(usable)
+    return build_pipeline(max_iter=max_iter, tol=tol).fit(usable)
 
 
 def score(

@@ -191,9 +191,9 @@ def _stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, path)
 
 
-def _trained(spark: SparkSession, sf_dir: str):
+def _trained(spark: SparkSession, sf_dir: str, **options):
     gold = _stored_gold(spark, sf_dir)
-    return gold, model_ops.train(model_ops.with_label(gold))
+    return gold, model_ops.train(model_ops.with_label(gold), **options)
 
 
 def _features(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
@@ -217,11 +217,23 @@ def features_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(spark, sf_dir, "scaledFeatures")
 
 
-def model_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, model = _trained(spark, sf_dir)
-    return spark.createDataFrame(
-        [(name, round(value, 6)) for name, value in model_ops.coefficients(model)], "term string, value double"
-    )
+# Run until it stops by itself, the fit has one answer that SQL can find too.
+CONVERGED = {"max_iter": 200, "tol": 1e-12}
+
+
+def _coefficients(digits: int, **options):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _, model = _trained(spark, sf_dir, **options)
+        rows = [(name, round(value, digits)) for name, value in model_ops.coefficients(model)]
+        return spark.createDataFrame(rows, "term string, value double")
+
+    return query
+
+
+def predictions_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold, model = _trained(spark, sf_dir, **CONVERGED)
+    scored = model_ops.score(model, gold)
+    return scored.select("event_id", "prediction", F.round("fraud_probability", 2).alias("fraud_probability"))
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,8 +322,10 @@ QUERIES = {
     "train_label": train_label,
     "features_assembled": features_assembled,
     "features_scaled": features_scaled,
-    "model_coefficients": model_coefficients,
+    "model_coefficients": _coefficients(6),
+    "model_coefficients_converged": _coefficients(4, **CONVERGED),
     "predictions": predictions,
+    "predictions_converged": predictions_converged,
     "prediction_serving_view": prediction_serving_view,
     "model_evaluation": model_evaluation,
     "blacklist_enriched": blacklist_enriched,
@@ -360,6 +374,32 @@ def _from_rules(select: str) -> str:
     return f"WITH {_P}, {_counted()}, {_RULED} {select}"
 
 
+def _from_fit(select: str) -> str:
+    """Newton steps for the logistic regression on the scaled features."""
+    return f"""WITH RECURSIVE {_P}, {_counted()}, {_RULED},
+x AS (SELECT event_id, CAST(is_fraud AS INTEGER) AS y,
+    amount / (SELECT stddev_samp(amount) FROM f) AS u,
+    tx_count_window / (SELECT stddev_samp(tx_count_window) FROM f) AS v FROM f),
+fit(step, a, b, c) AS (
+    SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+    UNION ALL
+    SELECT step + 1,
+        a + (gu * (vv * n - v1 * v1) - uv * (gv * n - v1 * g1) + u1 * (gv * v1 - vv * g1)) / det,
+        b + (uu * (gv * n - v1 * g1) - gu * (uv * n - v1 * u1) + u1 * (uv * g1 - gv * u1)) / det,
+        c + (uu * (vv * g1 - gv * v1) - uv * (uv * g1 - gv * u1) + gu * (uv * v1 - vv * u1)) / det
+    FROM (SELECT *, uu * (vv * n - v1 * v1) - uv * (uv * n - v1 * u1) + u1 * (uv * v1 - vv * u1) AS det
+        FROM (SELECT step, a, b, c,
+            sum(w * u * u) AS uu, sum(w * u * v) AS uv, sum(w * v * v) AS vv,
+            sum(w * u) AS u1, sum(w * v) AS v1, sum(w) AS n,
+            sum((y - q) * u) AS gu, sum((y - q) * v) AS gv, sum(y - q) AS g1
+            FROM (SELECT *, q * (1 - q) AS w
+                FROM (SELECT fit.*, x.*, 1 / (1 + exp(-(a * u + b * v + c))) AS q FROM fit, x))
+            GROUP BY step, a, b, c))
+    WHERE step < 20),
+done AS (SELECT a, b, c FROM fit ORDER BY step DESC LIMIT 1)
+{select}"""
+
+
 _ROWS = _from_payments(f"SELECT {_COLUMNS}, epoch_us(event_ts) AS event_us FROM p")
 _COUNTS = "SELECT event_id, tx_count_window FROM g"
 
@@ -399,6 +439,12 @@ SELECT {_COLUMNS}, epoch_us(event_ts) AS event_us FROM ranked WHERE place = 1"""
     "features_scaled": _from_counts("""SELECT event_id,
     round(amount / stddev_samp(amount) OVER (), 6) AS amount_feature,
     round(tx_count_window / stddev_samp(tx_count_window) OVER (), 6) AS count_feature FROM g"""),
+    "model_coefficients_converged": _from_fit("""SELECT 'amount' AS term, round(a, 4) AS value FROM done
+    UNION ALL SELECT 'tx_count_window', round(b, 4) FROM done
+    UNION ALL SELECT 'intercept', round(c, 4) FROM done"""),
+    "predictions_converged": _from_fit("""SELECT event_id, CAST(q > 0.5 AS DOUBLE) AS prediction,
+    round(q, 2) AS fraud_probability
+FROM (SELECT event_id, 1 / (1 + exp(-(a * u + b * v + c))) AS q FROM x, done)"""),
     "blacklist_enriched": f"""WITH {_P}, listed(user_id, reason, severity) AS (VALUES
     ('user_5', 'High chargeback rate', 'HIGH'), ('user_12', 'Suspicious login pattern', 'MEDIUM'))
 SELECT p.event_id, p.user_id, reason AS blacklist_reason, severity AS blacklist_severity,

@@ -55,7 +55,7 @@ def test_converged_fit_matches_newton(labelled):
     for _ in range(60):
         p = 1 / (1 + np.exp(-design @ beta))
         beta += np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design, design.T @ (y - p))
-    assert np.allclose(terms(m.train(labelled, max_iter=300)), beta, rtol=1e-3)
+    assert np.allclose(terms(m.train(labelled, max_iter=300, tol=1e-12)), beta, rtol=1e-6)
 
 
 def test_ten_iterations_and_repeatable(labelled, model):
