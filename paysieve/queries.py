@@ -21,6 +21,7 @@ from paysieve.operators.quality import silver_report
 from paysieve.operators.velocity import with_velocity
 from paysieve.plans import run_gold, run_ingest, run_score, run_train
 from paysieve.sources import read_jdbc, read_landing, read_layer, scratch_path, write_jdbc, write_layer
+from paysieve.sources.jdbc import with_ranges
 
 JDBC_CONF = "spark.paysieve.jdbc."
 
@@ -165,8 +166,9 @@ def serving_jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     only this process sees, which works on a local master alone.
     """
     target = _serving_target(spark, "payments_gold")
-    write_jdbc(gold_ops.serving_view(_gold(spark, sf_dir)), target)
-    return _with_micros(read_jdbc(spark, target))
+    view = gold_ops.serving_view(_stored_gold(spark, sf_dir))
+    write_jdbc(view, target)
+    return _with_micros(read_jdbc(spark, with_ranges(view, target, "amount")))
 
 
 def blacklist_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,13 +233,12 @@ def _coefficients(digits: int, **options):
 
 
 def predictions_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold, model = _trained(spark, sf_dir, **CONVERGED)
-    scored = model_ops.score(model, gold)
+    scored = _scored(spark, sf_dir, **CONVERGED)
     return scored.select("event_id", "prediction", F.round("fraud_probability", 2).alias("fraud_probability"))
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold, model = _trained(spark, sf_dir)
+def _scored(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    gold, model = _trained(spark, sf_dir, **options)
     return model_ops.score(model, gold)
 
 
@@ -252,7 +253,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prediction_serving_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model_ops.serving_view(_scored(spark, sf_dir))
+    return model_ops.serving_view(_scored(spark, sf_dir, **CONVERGED))
 
 
 def model_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -445,6 +446,9 @@ SELECT {_COLUMNS}, epoch_us(event_ts) AS event_us FROM ranked WHERE place = 1"""
     "predictions_converged": _from_fit("""SELECT event_id, CAST(q > 0.5 AS DOUBLE) AS prediction,
     round(q, 2) AS fraud_probability
 FROM (SELECT event_id, 1 / (1 + exp(-(a * u + b * v + c))) AS q FROM x, done)"""),
+    "prediction_serving_view": _from_fit("""SELECT event_id, user_id,
+    CAST(1 / (1 + exp(-(a * u + b * v + c))) > 0.5 AS DOUBLE) AS prediction
+FROM x JOIN f USING (event_id), done"""),
     "blacklist_enriched": f"""WITH {_P}, listed(user_id, reason, severity) AS (VALUES
     ('user_5', 'High chargeback rate', 'HIGH'), ('user_12', 'Suspicious login pattern', 'MEDIUM'))
 SELECT p.event_id, p.user_id, reason AS blacklist_reason, severity AS blacklist_severity,

@@ -8,7 +8,7 @@ from paysieve.config import JdbcTarget
 from paysieve.fixtures import embedded_target
 from paysieve.operators.gold import serving_view, to_gold
 from paysieve.sources import read_jdbc, write_jdbc
-from paysieve.sources.jdbc import key_ranges, missing_rows, table_exists
+from paysieve.sources.jdbc import key_ranges, missing_rows, table_exists, with_ranges
 
 TYPES = "event_id VARCHAR(64), user_id VARCHAR(64), fraud_reason VARCHAR(32)"
 
@@ -68,6 +68,13 @@ def test_key_ranges_cover_the_table(spark, serving, target):
     assert sum(numbers.where(c).count() for c in clauses) == 100
 
 
+def test_reading_by_ranges_of_a_number(spark, serving, target):
+    write_jdbc(serving, target)
+    ranged = with_ranges(serving, replace(target, num_partitions=5), "amount")
+    stored = read_jdbc(spark, ranged)
+    assert stored.rdd.getNumPartitions() == 5 and same_rows(stored, serving)
+
+
 def test_staged_folds_rows_written_twice(spark, serving, target):
     write_jdbc(serving.unionByName(serving), replace(target, mode="staged"))
     assert same_rows(read_jdbc(spark, target), serving)

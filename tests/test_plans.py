@@ -1,0 +1,86 @@
+"""The plans: what is scanned, what is joined how."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from paysieve.fixtures import blacklist_seed
+from paysieve.operators import model as m
+from paysieve.operators.blacklist import with_blacklist
+from paysieve.operators.cleaning import to_silver
+from paysieve.operators.gold import serving_view, to_gold
+from paysieve.operators.quality import silver_report
+from paysieve.operators.velocity import METHODS, with_velocity
+from paysieve.sources import read_layer, scratch_path, write_layer
+
+
+@pytest.fixture(scope="module")
+def silver(spark, payments):
+    path = scratch_path(spark, "silver")
+    write_layer(payments.withColumn("ingest_ts", F.current_timestamp()), path)
+    return read_layer(spark, path)
+
+
+@pytest.fixture(scope="module")
+def gold(spark, silver):
+    path = scratch_path(spark, "gold")
+    write_layer(to_gold(silver), path)
+    return read_layer(spark, path)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(df):
+    return [line.split("[", 1)[1].split("]")[0] for line in plan(df).splitlines() if "FileScan" in line]
+
+
+def columns_read(df):
+    return {tuple(sorted(c.split("#")[0] for c in scan.split(","))) for scan in scans(df)}
+
+
+@pytest.mark.parametrize("method", METHODS)
+@pytest.mark.parametrize("seconds", [60, 3600])
+def test_no_nested_loops_in_velocity(silver, method, seconds):
+    text = plan(with_velocity(silver, seconds, method=method))
+    assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_no_nested_loops_in_blacklist(spark, silver):
+    seed = blacklist_seed(spark)
+    for limits in ({}, {"max_broadcast_users": 1}):
+        text = plan(with_blacklist(silver, seed, **limits))
+        assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_counting_reads_the_keys_alone(silver):
+    read = columns_read(with_velocity(silver))
+    assert ("user_id",) in read
+    assert ("event_ts", "user_id") in read
+
+
+def test_known_small_input_is_one_window(silver):
+    text = plan(to_gold(silver, total_rows=silver.count()))
+    assert text.count("Exchange ") == 1 and "Join" not in text
+
+
+def test_serving_and_training_read_their_columns(gold):
+    assert columns_read(serving_view(gold)) == {
+        ("amount", "event_id", "event_ts", "fraud_reason", "gold_ts", "is_fraud", "user_id")
+    }
+    usable = m.with_label(gold).select("amount", "tx_count_window", "label")
+    assert columns_read(usable) == {("amount", "is_fraud", "tx_count_window")}
+
+
+def test_scoring_does_not_shuffle(gold):
+    assert "Exchange" not in plan(m.score(m.train(m.with_label(gold)), gold))
+
+
+def test_silver_is_one_shuffle(silver):
+    text = plan(to_silver(silver.drop("ingest_ts").withColumn("event_ts", F.col("event_ts").cast("string"))))
+    assert text.count("Exchange ") == 1
+
+
+def test_quality_counts_shuffle_no_rows(silver):
+    assert "event_id" in str(columns_read(silver_report(silver)))
+    assert plan(silver_report(silver)).count("FileScan") == 2
