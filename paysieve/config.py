@@ -96,6 +96,7 @@ class PipelineConfig:
     dedup: str = "latest"
     rules: RuleSettings = RuleSettings()
     max_iter: int = 10
+    tol: float = 1e-6
     gold_jdbc: JdbcTarget | None = None
     predictions_jdbc: JdbcTarget | None = None
 

@@ -107,10 +107,11 @@ def split(labelled: DataFrame, *, holdout: float = 0.2, key: str = "event_id") -
     return labelled.where(part >= edge), labelled.where(part < edge)
 
 
-def evaluate(model: PipelineModel, labelled: DataFrame) -> dict[str, float]:
-    """AUC and confusion counts on rows that can be scored."""
+def evaluate(model: PipelineModel, labelled: DataFrame, *, bins: int = 1000) -> dict[str, float]:
+    """AUC and confusion counts on rows that can be scored.  The curve is drawn
+    from that many groups of scores, or from every one with ``bins=0``."""
     scored = score(model, labelled).where(F.col("prediction").isNotNull())
-    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction")
+    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", numBins=bins)
 
     def cell(label, prediction):
         return F.count_if((F.col("label") == label) & (F.col("prediction") == prediction))

@@ -56,7 +56,8 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig, *, batch_ts: datetime | N
 def run_train(spark: SparkSession, cfg: PipelineConfig, *, version: int | None = None) -> str:
     """Fit on all of gold and save; returns the model's path."""
     labelled = model_ops.with_label(read_layer(spark, cfg.gold))
-    return save_model(model_ops.train(labelled, max_iter=cfg.max_iter), cfg.model, version=version)
+    model = model_ops.train(labelled, max_iter=cfg.max_iter, tol=cfg.tol)
+    return save_model(model, cfg.model, version=version)
 
 
 def run_score(spark: SparkSession, cfg: PipelineConfig, *, version: int | str | None = None) -> None:

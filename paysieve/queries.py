@@ -3,6 +3,7 @@ that DuckDB checks them with."""
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +19,12 @@ from paysieve.operators.blacklist import with_blacklist
 from paysieve.operators.cleaning import dedup, to_silver
 from paysieve.operators.gold import to_gold
 from paysieve.operators.quality import silver_report
+from paysieve.operators.registry import load_model, registry, save_model
 from paysieve.operators.velocity import with_velocity
-from paysieve.plans import run_gold, run_ingest, run_score, run_train
+from paysieve.plans import run_all, run_gold, run_ingest, run_score, run_train
 from paysieve.sources import read_jdbc, read_landing, read_layer, scratch_path, write_jdbc, write_layer
 from paysieve.sources.jdbc import with_ranges
+from paysieve.streaming import stream_to_bronze, stream_to_silver
 
 JDBC_CONF = "spark.paysieve.jdbc."
 
@@ -223,15 +226,29 @@ def features_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 CONVERGED = {"max_iter": 200, "tol": 1e-12}
 
 
+def _terms(spark: SparkSession, model: PipelineModel, digits: int) -> DataFrame:
+    rows = [(name, round(value, digits)) for name, value in model_ops.coefficients(model)]
+    return spark.createDataFrame(rows, "term string, value double")
+
+
 def _coefficients(digits: int, **options):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        _, model = _trained(spark, sf_dir, **options)
-        rows = [(name, round(value, digits)) for name, value in model_ops.coefficients(model)]
-        return spark.createDataFrame(rows, "term string, value double")
+        return _terms(spark, _trained(spark, sf_dir, **options)[1], digits)
 
     return query
 
 
+def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions saved; what the registry says of the later one."""
+    gold = model_ops.with_label(_stored_gold(spark, sf_dir))
+    path = scratch_path(spark, "models")
+    save_model(model_ops.train(gold), path, version=1)
+    save_model(model_ops.train(gold, **CONVERGED), path, version=2)
+    newest = registry(spark, path).where(F.col("version") == 2)
+    values = F.concat("coefficients", F.array("intercept"))
+    return newest.select("version", *[F.round(values[i], 4).alias(n) for i, n in enumerate("abc")])
+
+
 def predictions_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _scored(spark, sf_dir, **CONVERGED)
     return scored.select("event_id", "prediction", F.round("fraud_probability", 2).alias("fraud_probability"))
@@ -256,13 +273,28 @@ def prediction_serving_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model_ops.serving_view(_scored(spark, sf_dir, **CONVERGED))
 
 
+def _measures(spark: SparkSession, measures: dict[str, float]) -> DataFrame:
+    rows = [(name, round(float(value), 6)) for name, value in measures.items()]
+    return spark.createDataFrame(rows, "measure string, value double")
+
+
 def model_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = _stored_gold(spark, sf_dir)
-    train, test = model_ops.split(model_ops.with_label(gold))
-    measures = model_ops.evaluate(model_ops.train(train), test)
-    return spark.createDataFrame(
-        [(name, round(float(value), 6)) for name, value in measures.items()], "measure string, value double"
-    )
+    """Trained on four fifths, measured on the rest."""
+    train, test = model_ops.split(model_ops.with_label(_stored_gold(spark, sf_dir)))
+    return _measures(spark, model_ops.evaluate(model_ops.train(train), test))
+
+
+def _captured_after_all(payments: DataFrame) -> DataFrame:
+    """Stand-in for labels from elsewhere: a payment that did not go through
+    counts as fraud."""
+    return payments.select("event_id", (F.col("status") != "captured").cast("int").alias("label"))
+
+
+def model_evaluation_outside_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule-trained model measured against labels from another table."""
+    gold, model = _trained(spark, sf_dir, **CONVERGED)
+    labelled = model_ops.with_label(gold, _captured_after_all(payments(spark, sf_dir)))
+    return _measures(spark, model_ops.evaluate(model, labelled, bins=0))
 
 
 # Jobs
@@ -270,11 +302,15 @@ def model_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _layers(spark: SparkSession, landing: str = "") -> PipelineConfig:
     names = ("bronze", "silver", "gold", "model", "predictions")
-    return PipelineConfig(landing=landing, **{n: scratch_path(spark, n) for n in names})
+    return PipelineConfig(landing=landing, **{n: scratch_path(spark, n) for n in names}, **CONVERGED)
+
+
+def _redelivered_landing(spark: SparkSession, sf_dir: str) -> str:
+    return _landing_dir(spark, _redelivered(payments(spark, sf_dir)))
 
 
 def job_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = _layers(spark, _landing_dir(spark, _redelivered(payments(spark, sf_dir))))
+    cfg = _layers(spark, _redelivered_landing(spark, sf_dir))
     run_ingest(spark, cfg)
     return _with_micros(read_layer(spark, cfg.silver))
 
@@ -290,14 +326,39 @@ def job_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_micros(read_layer(spark, _gold_layer(spark, sf_dir).gold))
 
 
+def job_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The coefficients of the model as saved and loaded again."""
+    path = run_train(spark, _gold_layer(spark, sf_dir))
+    return _terms(spark, load_model(spark, path), 4)
+
+
+def _scored_layer(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    columns = ("event_id", "user_id", "tx_count_window", "fraud_reason", "prediction")
+    return read_layer(spark, cfg.predictions).select(*columns)
+
+
 def job_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold, training and scoring through their stored layers and model."""
     cfg = _gold_layer(spark, sf_dir)
     run_train(spark, cfg)
     run_score(spark, cfg)
-    scored = read_layer(spark, cfg.predictions)
-    return scored.select("event_id", "user_id", "fraud_reason", "prediction", F.size(
-        vector_to_array("scaledFeatures")).alias("n_features"))
+    return _scored_layer(spark, cfg)
+
+
+def job_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From landing, with repeated events, to predictions."""
+    cfg = _layers(spark, _redelivered_landing(spark, sf_dir))
+    run_all(spark, cfg)
+    return _scored_layer(spark, cfg)
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing, with repeated events, through both streams."""
+    landing = _redelivered_landing(spark, sf_dir)
+    bronze, silver, rejects, state = (scratch_path(spark, n) for n in ("bronze", "silver", "rejects", "state"))
+    stream_to_bronze(spark, landing, bronze, f"{state}/bronze").awaitTermination()
+    for query in stream_to_silver(spark, bronze, silver, rejects, state, delay="1 day"):
+        query.awaitTermination()
+    return _with_micros(read_layer(spark, silver))
 
 
 QUERIES = {
@@ -329,11 +390,16 @@ QUERIES = {
     "predictions_converged": predictions_converged,
     "prediction_serving_view": prediction_serving_view,
     "model_evaluation": model_evaluation,
+    "model_evaluation_outside_labels": model_evaluation_outside_labels,
+    "model_versions": model_versions,
     "blacklist_enriched": blacklist_enriched,
     "silver_quality_report": silver_quality_report,
     "job_ingest": job_ingest,
     "job_gold": job_gold,
+    "job_train": job_train,
     "job_score": job_score,
+    "job_all": job_all,
+    "stream_ingest": stream_ingest,
 }
 
 
@@ -401,6 +467,12 @@ done AS (SELECT a, b, c FROM fit ORDER BY step DESC LIMIT 1)
 {select}"""
 
 
+_TERMS = _from_fit("""SELECT 'amount' AS term, round(a, 4) AS value FROM done
+    UNION ALL SELECT 'tx_count_window', round(b, 4) FROM done
+    UNION ALL SELECT 'intercept', round(c, 4) FROM done""")
+_SCORED = _from_fit("""SELECT event_id, user_id, tx_count_window, fraud_reason,
+    CAST(1 / (1 + exp(-(a * u + b * v + c))) > 0.5 AS DOUBLE) AS prediction
+FROM x JOIN f USING (event_id), done""")
 _ROWS = _from_payments(f"SELECT {_COLUMNS}, epoch_us(event_ts) AS event_us FROM p")
 _COUNTS = "SELECT event_id, tx_count_window FROM g"
 
@@ -440,9 +512,18 @@ SELECT {_COLUMNS}, epoch_us(event_ts) AS event_us FROM ranked WHERE place = 1"""
     "features_scaled": _from_counts("""SELECT event_id,
     round(amount / stddev_samp(amount) OVER (), 6) AS amount_feature,
     round(tx_count_window / stddev_samp(tx_count_window) OVER (), 6) AS count_feature FROM g"""),
-    "model_coefficients_converged": _from_fit("""SELECT 'amount' AS term, round(a, 4) AS value FROM done
-    UNION ALL SELECT 'tx_count_window', round(b, 4) FROM done
-    UNION ALL SELECT 'intercept', round(c, 4) FROM done"""),
+    "model_coefficients_converged": _TERMS,
+    "model_versions": _from_fit("""SELECT 2 AS version, round(a, 4) AS a, round(b, 4) AS b, round(c, 4) AS c
+FROM done"""),
+    "model_evaluation_outside_labels": _from_fit("""SELECT measure, value FROM (
+    SELECT count(*) FILTER (z AND s > 0) AS tp, count(*) FILTER (NOT z AND s > 0) AS fp,
+        count(*) FILTER (NOT z AND s <= 0) AS tn, count(*) FILTER (z AND s <= 0) AS fn,
+        round((sum(place) FILTER (z) - count(*) FILTER (z) * (count(*) FILTER (z) + 1) / 2)
+            / (count(*) FILTER (z) * count(*) FILTER (NOT z)), 6) AS auc
+    FROM (SELECT *, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2 AS place
+        FROM (SELECT a * u + b * v + c AS s, status <> 'captured' AS z FROM x JOIN p USING (event_id), done)))
+UNPIVOT (value FOR measure IN (CAST(tp AS DOUBLE) AS tp, CAST(fp AS DOUBLE) AS fp, CAST(tn AS DOUBLE) AS tn,
+    CAST(fn AS DOUBLE) AS fn, auc))"""),
     "predictions_converged": _from_fit("""SELECT event_id, CAST(q > 0.5 AS DOUBLE) AS prediction,
     round(q, 2) AS fraud_probability
 FROM (SELECT event_id, 1 / (1 + exp(-(a * u + b * v + c))) AS q FROM x, done)"""),
@@ -466,6 +547,10 @@ SELECT count(*) AS n_rows, count(*) FILTER (event_id IS NULL) AS null_event_id,
     count(*) FILTER (status IS NULL OR status NOT IN ('captured', 'failed', 'refunded')) AS unknown_status
 FROM twice""",
     "job_ingest": _ROWS,
+    "stream_ingest": _ROWS,
+    "job_train": _TERMS,
+    "job_score": _SCORED,
+    "job_all": _SCORED,
     "job_gold": _from_rules(f"""SELECT {_COLUMNS}, epoch_us(event_ts) AS event_us, tx_count_window,
     fraud_reason, is_fraud FROM f"""),
 }

@@ -4,7 +4,6 @@ import pytest
 from conftest import at, same_rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from paysieve.fixtures import with_busy_user
@@ -44,8 +43,8 @@ def brute_force(rows, seconds):
 
 def over_raw_rows(df, seconds):
     """The window over the raw rows, one task per user."""
-    w = Window.partitionBy("user_id").orderBy(F.col("event_ts").cast("long")).rangeBetween(-seconds, 0)
-    return df.withColumn("tx_count_window", F.count(F.lit(1)).over(w))
+    frame = f"PARTITION BY user_id ORDER BY unix_seconds(event_ts) RANGE BETWEEN {seconds} PRECEDING AND CURRENT ROW"
+    return df.selectExpr("*", f"count(1) OVER ({frame}) AS tx_count_window")
 
 
 @pytest.mark.parametrize("method", METHODS)
