@@ -83,6 +83,7 @@ class PipelineConfig:
     ``bad_records``: "keep" lets malformed lines through as all-NULL rows;
     "quarantine" moves them, with the raw line, to ``quarantine``.
     ``dedup``: "latest" (reproducible) or "any" (an arbitrary survivor).
+    ``features``, if given, is where training stores the rows it learns from.
     """
 
     landing: str = ""
@@ -92,6 +93,7 @@ class PipelineConfig:
     model: str = ""
     predictions: str = ""
     quarantine: str = ""
+    features: str = ""
     bad_records: str = "keep"
     dedup: str = "latest"
     rules: RuleSettings = RuleSettings()
@@ -105,7 +107,7 @@ class PipelineConfig:
             p.rstrip("/")
             for p in (
                 self.landing, self.bronze, self.silver, self.gold,
-                self.model, self.predictions, self.quarantine,
+                self.model, self.predictions, self.quarantine, self.features,
             )
             if p
         ]

@@ -58,6 +58,7 @@ def build_parser() -> argparse.ArgumentParser:
     train.add_argument("--gold", required=True)
     train.add_argument("--model-out", required=True, dest="model")
     train.add_argument("--version", type=int)
+    train.add_argument("--features", help="store the training rows here")
 
     score = jobs.add_parser("score")
     score.add_argument("--gold", "--silver", dest="gold", required=True)
@@ -108,7 +109,7 @@ def _target(args: argparse.Namespace) -> JdbcTarget | None:
 
 
 def config_from(args: argparse.Namespace) -> PipelineConfig:
-    names = ("landing", "bronze", "silver", "gold", "model", "predictions", "quarantine", "dedup")
+    names = ("landing", "bronze", "silver", "gold", "model", "predictions", "quarantine", "features", "dedup")
     given = {n: getattr(args, n) for n in names if getattr(args, n, None)}
     if "quarantine" in given:
         given["bad_records"] = "quarantine"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from paysieve.config import PipelineConfig
 from paysieve.functions.times import new_batch_ts
@@ -53,9 +53,14 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig, *, batch_ts: datetime | N
         write_jdbc(gold_ops.serving_view(read_layer(spark, cfg.gold)), cfg.gold_jdbc)
 
 
-def run_train(spark: SparkSession, cfg: PipelineConfig, *, version: int | None = None) -> str:
+def run_train(
+    spark: SparkSession, cfg: PipelineConfig, *, version: int | None = None, labels: DataFrame | None = None
+) -> str:
     """Fit on all of gold and save; returns the model's path."""
-    labelled = model_ops.with_label(read_layer(spark, cfg.gold))
+    labelled = model_ops.with_label(read_layer(spark, cfg.gold), labels)
+    if cfg.features:
+        write_layer(model_ops.feature_table(labelled), cfg.features)
+        labelled = read_layer(spark, cfg.features)
     model = model_ops.train(labelled, max_iter=cfg.max_iter, tol=cfg.tol)
     return save_model(model, cfg.model, version=version)
 

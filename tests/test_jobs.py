@@ -1,4 +1,9 @@
+import os
+import subprocess
+import sys
+from dataclasses import replace
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from conftest import same_rows
@@ -7,8 +12,9 @@ from pyspark.sql import functions as F
 from paysieve import schemas
 from paysieve.config import PipelineConfig, StoreSettings, mariadb_target, sizing_conf, spark_conf
 from paysieve.fixtures import as_landing, embedded_target
-from paysieve.plans import cli, run_all
-from paysieve.plans.jobs import run_score
+from paysieve.operators.model import coefficients
+from paysieve.operators.registry import load_model
+from paysieve.plans import cli, run_all, run_score, run_train
 from paysieve.sources import read_jdbc, read_layer, scratch_path
 
 BATCH = datetime(2024, 6, 1, tzinfo=timezone.utc)
@@ -77,6 +83,38 @@ def test_scoring_from_silver(spark, finished, tmp_path):
     )
 
 
+def test_training_through_a_feature_layer_and_with_labels(spark, finished, tmp_path):
+    cfg = replace(finished, model=str(tmp_path / "m"), features=str(tmp_path / "f"), gold_jdbc=None)
+    run_train(spark, cfg)
+    stored = read_layer(spark, cfg.features)
+    assert stored.columns == ["event_id", "user_id", "amount", "tx_count_window", "label"]
+    assert stored.count() == read_layer(spark, finished.gold).count()
+
+    def terms(path):
+        return [value for _, value in coefficients(load_model(spark, path))]
+
+    assert terms(cfg.model) == pytest.approx(terms(finished.model), rel=1e-8)
+    labels = stored.select("event_id", (F.col("amount") < 100).cast("int").alias("label"))
+    assert run_train(spark, cfg, version=1, labels=labels).endswith("/v1")
+    assert terms(cfg.model + "/v1") != pytest.approx(terms(finished.model), rel=0.1)
+
+
+def test_command_line_runs_the_jobs(landing, tmp_path):
+    names = ("bronze", "silver", "gold", "model", "predictions")
+    options = [f"--{n}={tmp_path / n}" for n in names]
+    settings = "--master local[4] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=4 pyspark-shell"
+    done = subprocess.run(
+        [sys.executable, "-m", "paysieve.plans.cli", "all", f"--landing={landing}", *options, "--input-gb=0.001"],
+        cwd=Path(__file__).resolve().parents[1],
+        env={**os.environ, "PYSPARK_SUBMIT_ARGS": settings},
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert all((tmp_path / n).exists() for n in names)
+
+
 def test_no_input(spark, tmp_path):
     (tmp_path / "landing").mkdir()
     assert run_all(spark, config(tmp_path, str(tmp_path / "landing"))) is False
