@@ -1,13 +1,14 @@
 import json
 
 import pytest
-from conftest import same_rows
+from conftest import at, same_rows
 
 from paysieve.fixtures import as_landing
 from paysieve.operators.cleaning import to_silver
 from paysieve.schemas import LANDING
 from paysieve.sources import read_layer
 from paysieve.streaming import stream_to_bronze, stream_to_silver
+from paysieve.streaming.ingest import combine_repeats
 
 
 def lines(folder, name, events):
@@ -83,6 +84,20 @@ def test_late_rows_are_counted_and_stay_in_bronze(stream):
     assert sum(dropped) == 1
 
 
+def test_repeats_are_combined_before_the_shuffle(spark):
+    rows = [("a", at(1), "old"), ("b", at(5), "only"), ("a", at(9), "new"), ("a", at(4), "mid")] + [
+        ("hot", at(i % 50), str(i % 50)) for i in range(5000)
+    ]
+    events = spark.createDataFrame(rows, "event_id string, event_ts timestamp, v string").coalesce(1)
+    kept = combine_repeats(events)
+    assert kept.schema == events.schema
+    batches = -(-len(rows) // int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+    got = sorted((r["event_id"], r["v"]) for r in kept.collect())
+    assert batches == 1 and got == [("a", "new"), ("b", "only"), ("hot", "49")]
+    distinct = events.where("event_id <> 'hot' AND v <> 'old' AND v <> 'mid'")
+    assert combine_repeats(distinct).count() == 2 and combine_repeats(events.limit(0)).count() == 0
+
+
 def test_agrees_with_the_batch_job(spark, stream, payments):
     rows = as_landing(payments)
     rows.unionByName(rows.where("status = 'failed'")).repartition(4).write.json(stream.path("landing"))
