@@ -7,8 +7,6 @@ left to the batch job, Spark has no trailing range frame on streams.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -42,18 +40,6 @@ def stream_to_bronze(
     return _append(_source(spark, max_files_per_trigger).json(landing), bronze, checkpoint)
 
 
-def _latest_in_batch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = batch.num_rows
-        if rows < 2 or pc.count_distinct(batch.column("event_id")).as_py() == rows:
-            yield batch
-            continue
-        order = pc.sort_indices(batch, sort_keys=[("event_id", "ascending"), ("event_ts", "ascending")])
-        ids = batch.column("event_id").take(order)
-        ends = pc.not_equal(ids.slice(0, rows - 1), ids.slice(1))
-        yield batch.take(order.filter(pa.concat_arrays([ends, pa.array([True])])))
-
-
 def combine_repeats(events: DataFrame) -> DataFrame:
     """Drop repeats of an id within each Arrow batch, keeping the latest.
 
@@ -61,7 +47,20 @@ def combine_repeats(events: DataFrame) -> DataFrame:
     id that makes up much of the input would go through one task row by row.
     The latest copy is in time whenever any of them is.
     """
-    return events.mapInArrow(_latest_in_batch, events.schema)
+
+    # Defined here so that it travels by value: executors need not have the package.
+    def latest(batches):
+        for batch in batches:
+            rows = batch.num_rows
+            if rows < 2 or pc.count_distinct(batch.column("event_id")).as_py() == rows:
+                yield batch
+                continue
+            order = pc.sort_indices(batch, sort_keys=[("event_id", "ascending"), ("event_ts", "ascending")])
+            ids = batch.column("event_id").take(order)
+            ends = pc.not_equal(ids.slice(0, rows - 1), ids.slice(1))
+            yield batch.take(order.filter(pa.concat_arrays([ends, pa.array([True])])))
+
+    return events.mapInArrow(latest, events.schema)
 
 
 def unique_events(bronze: DataFrame, *, delay: str = "30 minutes") -> DataFrame:
