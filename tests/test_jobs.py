@@ -166,6 +166,26 @@ def test_scratch_follows_the_session(spark):
     assert path.startswith(spark.conf.get("spark.checkpoint.dir")) and path != scratch_path(spark, "x")
 
 
+class Cluster:
+    """As much of a session as the two functions look at."""
+
+    def __init__(self, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = self
+        self.master = "yarn"
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_a_cluster_needs_shared_folders_and_databases():
+    with pytest.raises(RuntimeError):
+        scratch_path(Cluster(), "x")
+    assert scratch_path(Cluster("hdfs:///shared/"), "x").startswith("hdfs:///shared/paysieve/x-")
+    with pytest.raises(RuntimeError):
+        embedded_target(Cluster(), "payments_gold")
+
+
 def parse(*argv):
     args, _ = cli.build_parser().parse_known_args(argv)
     return cli._with_secrets(args)
