@@ -1,26 +1,65 @@
-"""From raw documents to packed sequences."""
+"""From raw documents to packed sequences, in five stages.
+
+Each stage takes (spark, docs, sf_dir) and gives a table that is written and
+read again as the next one's ``docs``.  All but the last keep the columns of
+``docs``; they accept NULLs in any column, repeated rows, empty tables and
+further columns as the operators do.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysieve.llm import langid, packing, simhash
+from paysieve.llm import langid, mixing, packing, secrets, simhash
 from paysieve.llm.common import stored
 
-DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language; those without one (no text, no letter) go."""
-    references = langid.learn(docs)
-    found = langid.identify(docs, references, lang_column="__lang", score_column="__score")
-    return found.where(F.col("__lang") != langid.UNDETERMINED).select(DOCUMENT)
+    """Documents in some language; those without one (NULL, no letter) go."""
+    found = langid.identify(docs, langid.learn(docs), lang_column="__lang", score_column="__score")
+    return found.where(F.col("__lang") != langid.UNDETERMINED).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first row of each group of close fingerprints.
+
+    Rows are numbered by their place in the stored table, so that ids may be
+    NULL or repeated; a scan of the same files numbers them alike each time.
+    """
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    groups = simhash.near_duplicates(numbered, id_column="__row")
+    first = groups.where(F.col("__row") == F.col("component_id")).select("__row")
+    return numbered.join(first, "__row", "left_semi").select(docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by a mark; ``n_chars`` follows the text."""
+    clean = secrets.redacted(secrets.with_spans(docs, output="__spans"), spans_column="__spans")
+    return clean.withColumn(
+        "n_chars", F.when(F.size("__spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    ).select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it, zero to three times."""
+    return mixing.repeated(mixing.mix(docs)).select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a sequence."""
+    return packing.pack(docs)
 
 
-STAGES = [("language", language)]
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("secrets", without_secrets),
+    ("mixing", mix),
+    ("packing", pack),
+]
 
-# Parsing, fingerprints and packing are beyond SQL; the stages are tested against brute force.
+# Cross-parsing, fingerprints and packing are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
