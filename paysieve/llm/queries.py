@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysieve.llm import langid, mixing, packing, secrets, simhash
+from paysieve.llm import langid, mixing, packing, secrets, simhash, topk
 from paysieve.llm.common import id_remainder
 
 
@@ -35,6 +35,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
@@ -44,7 +48,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
+    "op7_topk": op7_topk,
     "op8_secrets": op8_secrets,
 }
 
-ORACLES: dict[str, str] = {"op5_mixing": mixing.MIX_SQL}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op7_topk": topk.TOP_K_SQL}
