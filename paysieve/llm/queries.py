@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysieve.llm import langid, mixing, packing, secrets, simhash, topk
+from paysieve.llm import langid, mixing, packing, repeats, secrets, simhash, topk
 from paysieve.llm.common import id_remainder
 
 
@@ -15,6 +15,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removals(documents(spark, sf_dir))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -44,6 +48,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeats": op1_repeats,
     "op2_packing": op2_packing,
     "op3_language": op3_language,
     "op4_simhash": op4_simhash,
@@ -52,4 +57,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
 }
 
-ORACLES: dict[str, str] = {"op5_mixing": mixing.MIX_SQL, "op7_topk": topk.TOP_K_SQL}
+ORACLES: dict[str, str] = {
+    "op1_repeats": repeats.REMOVALS_SQL,
+    "op5_mixing": mixing.MIX_SQL,
+    "op7_topk": topk.TOP_K_SQL,
+}
