@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysieve.llm import langid, mixing, packing, repeats, secrets, simhash, topk
+from paysieve.llm import langid, lm, mixing, packing, repeats, secrets, simhash, topk
 from paysieve.llm.common import id_remainder
 
 
@@ -47,6 +47,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir), training=id_remainder("doc_id", 10) != 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": op1_repeats,
     "op2_packing": op2_packing,
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op7_topk": op7_topk,
     "op8_secrets": op8_secrets,
+    "op10_lm": op10_lm,
 }
 
 ORACLES: dict[str, str] = {
