@@ -21,9 +21,11 @@ def connected_components(links: DataFrame, *, left: str = "a", right: str = "b")
     ``links`` has two columns of one orderable type; direction, repeats and
     self-links do not matter, and links with a NULL end are ignored.  Only nodes with a link appear.
     """
-    there = links.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
-    both = there.where("a <> b").unionByName(there.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = stored(both, "links")
+    there = stored(
+        links.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a IS NOT NULL AND b IS NOT NULL"), "links"
+    )
+    flipped = there.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    edges = there.unionByName(flipped).where("a <> b")
     nodes = there.select(F.col("a").alias("node")).unionByName(there.select(F.col("b").alias("node"))).distinct()
     first = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
     labels = stored(
