@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysieve.llm import langid, lm, mixing, packing, repeats, secrets, simhash, topk
+from paysieve.llm import langid, lm, mixing, packing, repeats, secrets, simhash, topk, toxicity
 from paysieve.llm.common import id_remainder
 
 
@@ -47,6 +47,13 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = id_remainder("doc_id", 5) == 0
+    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), where=~held_out)
+    return toxicity.score(docs.select("text", "doc_id", held_out.alias("held_out")), model)
+
+
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir), training=id_remainder("doc_id", 10) != 0)
 
@@ -59,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op7_topk": op7_topk,
     "op8_secrets": op8_secrets,
+    "op9_toxicity": op9_toxicity,
     "op10_lm": op10_lm,
 }
 
