@@ -276,5 +276,5 @@ def score(
                 names=[*kept, score_column, predicted_column],
             )
 
-    schema = docs.select(kept).schema.add(score_column, "double").add(predicted_column, "int")
+    schema = docs.select(kept).schema.add(score_column, "double").add(predicted_column, "integer")
     return docs.select(F.col(text_column).cast("string"), *kept).mapInArrow(run, schema)
