@@ -213,13 +213,13 @@ def scan(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
     """Per document: id, number of spans by pattern, digest of the patterns' spans, all spans as text."""
     found = with_spans(docs.select(F.col(id_column), F.col(text_column)), text_column=text_column, output="__spans")
     patterns = F.filter("__spans", lambda s: s["kind"] < BASE_KINDS)
-    counts = [
-        F.size(F.filter("__spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
-        for k in range(BASE_KINDS)
-    ]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("__spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
     return found.select(
         F.col(id_column),
-        *counts,
+        *[count(kind) for kind in range(BASE_KINDS)],
         F.sha2(listed(patterns), 256).alias("base_sha256"),
         listed(F.col("__spans")).alias("spans"),
     )
