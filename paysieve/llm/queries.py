@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysieve.llm import langid, lm, mixing, packing, repeats, secrets, simhash, topk, toxicity
+from paysieve.llm import imatch, langid, lm, mixing, packing, repeats, secrets, simhash, topk, toxicity
 from paysieve.llm.common import id_remainder
 
 
@@ -39,6 +39,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(documents(spark, sf_dir))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
+    "op6_imatch": op6_imatch,
     "op7_topk": op7_topk,
     "op8_secrets": op8_secrets,
     "op9_toxicity": op9_toxicity,
@@ -73,5 +78,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_repeats": repeats.REMOVALS_SQL,
     "op5_mixing": mixing.MIX_SQL,
+    "op6_imatch": imatch.IMATCH_SQL,
     "op7_topk": topk.TOP_K_SQL,
 }
