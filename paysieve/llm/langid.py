@@ -95,16 +95,16 @@ class Parser:
         return points[keep]
 
     def _table(self, automaton: SuffixAutomaton, base: int) -> np.ndarray:
-        """Entry of (state, code): twice the row of the next state, plus one if
-        the phrase ended and the next one begins with this code."""
-        root = automaton.next[0]
-        fresh = np.full(self.width, 2 * base + 1, np.int64)
-        for code, state in root.items():
-            fresh[code] += 2 * state * self.width
+        """Entry of (state, code): four times the row of the next state, plus how many
+        phrases end: the one so far, if it cannot go on, and a letter that the reference lacks."""
+        fresh = np.full(self.width, 4 * base + 1, np.int64)
+        for code, state in automaton.next[0].items():
+            fresh[code] = 4 * (base + state * self.width)
         table = np.tile(fresh, (len(automaton.next), 1))
+        table[1:] += 1
         for state, arcs in enumerate(automaton.next):
             for code, target in arcs.items():
-                table[state, code] = 2 * (base + target * self.width)
+                table[state, code] = 4 * (base + target * self.width)
         return table.ravel()
 
     def codes(self, text: str) -> np.ndarray:
@@ -132,8 +132,8 @@ class Parser:
                 state, held = np.ascontiguousarray(state[:, :alive]), state[:, alive:]
                 count[:, alive : alive + held.shape[1]] += held != roots
             entry = self.table[state + flat[starts[:alive] + t]]
-            count[:, :alive] += entry & 1
-            state = entry >> 1
+            count[:, :alive] += entry & 3
+            state = entry >> 2
         count[:, :alive] += state != roots
         found = np.empty_like(count)
         found[:, order] = count
