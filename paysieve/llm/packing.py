@@ -8,7 +8,7 @@ all combinations of at most ``depth`` lengths that fill a window exactly are the
 columns of a matrix; non-negative least squares says how often to repeat each;
 the counts are rounded and as many windows are made as there are tails for.
 The tails that remain are packed greedily: the shortest close the small gaps
-that rounding up has left, the others are laid end to end and cut at the window.
+that rounding up has left (or a window is taken apart for it), the others are laid end to end and cut at the window.
 What does not fill a last window goes on to the next block, and at the end of
 the partition it is cut into sequences whose lengths are powers of two.
 """
@@ -174,7 +174,7 @@ def pack_block(tails: list[Tail], window: int, depth: int, grid: int) -> tuple[l
     if usable.size:
         repeats[usable] = np.rint(nnls(matrix[:, usable][present], histogram[present])).astype(int)
 
-    sequences: list[list[Tail]] = []
+    planned: list[list[Tail]] = []
     for index in np.argsort(-repeats, kind="stable"):
         if repeats[index] <= 0:
             break
@@ -182,18 +182,23 @@ def pack_block(tails: list[Tail], window: int, depth: int, grid: int) -> tuple[l
         need = {part: strategy.count(part) for part in strategy}
         times = min(repeats[index], *(len(bins[part]) // n for part, n in need.items()))
         for _ in range(times):
-            sequences.append([bins[part].pop() for part in strategy])
+            planned.append([bins[part].pop() for part in strategy])
 
     rest = [tail for b in reversed(bins) for tail in reversed(b)]  # longest first
-    for sequence in sequences:
+    sequences: list[list[Tail]] = []
+    for sequence in sorted(planned, key=lambda s: -sum(map(len, s))):
         gap = window - sum(map(len, sequence))
-        while gap and rest:
+        if gap > sum(map(len, rest[-gap:])):
+            rest += sequence  # nothing is left to close its gap with: it closes others'
+            continue
+        while gap:
             tail = rest.pop()
             if len(tail) > gap:
                 tail, after = tail.cut(gap)
                 rest.append(after)
             sequence.append(tail)
             gap -= len(tail)
+        sequences.append(sequence)
 
     filling: list[Tail] = []
     room = window
