@@ -1,0 +1,82 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tests.llm.helpers import awkward_rows, table
+from tokenizers import Tokenizer
+
+from paysieve.llm import packing
+
+
+@pytest.fixture(scope="module")
+def encode():
+    whole = Tokenizer.from_file(packing.default_tokenizer())
+    return lambda text: whole.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", ["", "a<|endoftext|>b", "  été\n\n x", "x" * 3000, "a b  c\x00"])
+def test_ids_are_the_library_s(encode, text):
+    assert packing.load_encoder(packing.default_tokenizer())(text) == encode(text)
+
+
+def test_least_squares_meets_its_conditions():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        matrix, target = rng.random((8, 12)), rng.normal(size=8)
+        x = packing.nnls(matrix, target)
+        gradient = matrix.T @ (target - matrix @ x)
+        assert (x >= 0).all() and (gradient <= 1e-6).all() and abs(gradient @ x) < 1e-6
+
+
+def test_combinations_fill_a_window():
+    found = packing.combinations(10, 3)
+    assert all(sum(c) == 10 and len(c) <= 3 for c in found)
+    assert len(found) == len(set(found)) == sum(a + b + c == 10 for a in range(11) for b in range(a + 1) for c in range(b + 1))
+
+
+def test_exact_lengths_come_out_as_planned():
+    tails = [packing.Tail(i, 0, 0, np.zeros(n, np.uint32)) for i, n in enumerate([48, 16, 32, 32, 48, 16])]
+    sequences, left = packing.pack_block(tails, 64, 3, 16)
+    assert not left and sorted(sorted(map(len, s)) for s in sequences) == [[16, 48], [16, 48], [32, 32]]
+
+
+def test_every_id_once_and_little_padding(spark, encode):
+    rows = awkward_rows()
+    found = packing.pack(table(spark, rows, extra=True).coalesce(1), window=256, with_ids=True).collect()
+    by_sequence, by_doc = {}, {}
+    for r in found:
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and len(r.ids) == r.length
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        by_doc.setdefault(r.doc_id, []).append(r)
+    fills = []
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 256
+        fills.append(at)
+    assert all(f == 256 or f & (f - 1) == 0 for f in fills)
+    for doc in {r[0] for r in rows}:
+        want = sorted(tuple([*encode(r[1]), 1]) for r in rows if r[0] == doc)
+        have = {}
+        for r in by_doc[doc]:
+            have.setdefault(r.doc_tokens, []).append(r)
+        ids = sum((r.length for r in by_doc[doc]), 0)
+        assert ids == sum(map(len, want))
+        if len(want) == 1:
+            whole = sorted(by_doc[doc], key=lambda r: r.start)
+            assert tuple(i for r in whole for i in r.ids) == want[0] and whole[0].doc_tokens == len(want[0])
+
+
+def test_blocks_carry_over_what_is_left():
+    rng = random.Random(5)
+    docs = [(i, np.arange(rng.randint(1, 900), dtype=np.uint32)) for i in range(300)]
+    sequences = list(packing.pack_stream(iter(docs), 256, 3, 16, 4000))
+    assert sum(len(t) for s in sequences for t in s) == sum(len(ids) for _, ids in docs)
+    assert sum(sum(map(len, s)) == 256 for s in sequences) > 0.98 * len(sequences) - 12
+
+
+def test_empty_table(spark):
+    assert packing.pack(table(spark, [])).count() == 0
