@@ -80,4 +80,5 @@ ORACLES: dict[str, str] = {
     "op5_mixing": mixing.MIX_SQL,
     "op6_imatch": imatch.IMATCH_SQL,
     "op7_topk": topk.TOP_K_SQL,
+    "op8_secrets": secrets.SECRETS_SQL,
 }

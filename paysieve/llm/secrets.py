@@ -223,3 +223,56 @@ def scan(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text
         F.sha2(listed(patterns), 256).alias("base_sha256"),
         listed(F.col("__spans")).alias("spans"),
     )
+
+
+def _secrets_sql() -> str:
+    """The same in DuckDB: windows one by one instead of by increments."""
+    text = lambda pattern: "'" + pattern.replace("'", "''") + "'"
+
+    def found(kind: int, pattern: str, group: int = 0) -> str:
+        return (
+            f"SELECT id, {kind} AS kind, regexp_split_to_array(text, {text(pattern)}) AS gaps, "
+            f"regexp_extract_all(text, {text(pattern)}, 0) AS found, regexp_extract_all(text, {text(pattern)}, {group}) AS part FROM docs"
+        )
+
+    allowed = " OR ".join(f"regexp_matches(part, {text(p)})" for p in ALLOW)
+    weights = [_weight(c) for c in range(WINDOW + 1)]
+    limits = {kind: entropy_limit(bits) for kind, bits in THRESHOLDS.items()}
+    last = WINDOW - 1
+    names = list(KINDS)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({found(0, ASSIGN, 2)} UNION ALL {found(1, ACCESS)} UNION ALL {found(2, HEX)} UNION ALL {found(4, CANDIDATE)}),
+placed AS (
+  SELECT id, kind, part[i] AS part, length(found[i]) AS size,
+         list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+           + coalesce(list_sum(list_transform(found[1:i - 1], lambda g: length(g))), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM found)),
+base AS (
+  SELECT id, kind, start::BIGINT AS start, (start + size)::BIGINT AS stop FROM placed
+  WHERE kind < 4 AND (kind > 0 OR length(part) >= {ASSIGN_LENGTH})),
+windows AS (
+  SELECT id, start, CASE WHEN regexp_full_match(part, '[0-9a-fA-F]+') THEN 3 ELSE 4 END AS kind, part,
+         list_filter(range(1, length(part) - {last - 1}), lambda i: list_sum(list_transform(
+           list_distinct(string_split(part[i:i + {last}], '')),
+           lambda c: {weights}[{WINDOW + 1} - length(replace(part[i:i + {last}], c, ''))]))
+           <= CASE WHEN regexp_full_match(part, '[0-9a-fA-F]+') THEN {limits["entropy_hex"]} ELSE {limits["entropy_mixed"]} END) AS high
+  FROM placed WHERE kind = 4 AND NOT ({allowed})),
+entropy AS (
+  SELECT id, kind, (start + high[1] - 1)::BIGINT AS start, (start + high[-1] + {last})::BIGINT AS stop FROM windows WHERE len(high) > 0),
+spans AS (
+  SELECT * FROM base UNION ALL
+  SELECT * FROM entropy e WHERE NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.id = e.id AND b.start <= e.start AND e.stop <= b.stop)),
+listed AS (
+  SELECT id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+         coalesce(string_agg({names}[kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < 3), '') AS base,
+         string_agg({names}[kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind) AS spans
+  FROM spans GROUP BY id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (id)
+"""
+
+
+SECRETS_SQL = _secrets_sql()

@@ -1,0 +1,91 @@
+"""Each stage against what it must do, on one small table with every awkward case."""
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from paysieve.llm import packing, simhash
+from tests.llm.helpers import awkward_rows, table
+from tests.llm.test_secrets import TEXTS, expected
+from tests.llm.test_simhash import components
+
+BASE = "one two three four five six seven eight nine ten " * 20
+
+
+@pytest.fixture(scope="module", params=["plain", "further columns", "empty"])
+def stages(request, spark, tmp_path_factory):
+    rows = awkward_rows() + [(600 + i, BASE + f"z{i}", "xx", "s0", 1) for i in range(10)]
+    rows += [(700 + i, t, "yy", "s1", 1) for i, t in enumerate(TEXTS)]
+    docs = table(spark, [] if request.param == "empty" else rows, extra=request.param == "further columns")
+    folder, found = tmp_path_factory.mktemp("stages"), []
+    docs.write.parquet(f"{folder}/0")
+    docs = spark.read.parquet(f"{folder}/0")
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES, 1):
+        stage(spark, docs, "").write.parquet(f"{folder}/{i}")
+        out = spark.read.parquet(f"{folder}/{i}")
+        if i < len(corpus_pipeline.STAGES):
+            assert out.columns == docs.columns
+        found.append((docs.collect(), out.collect()))
+        docs = out
+    return dict(zip([n for n, _ in corpus_pipeline.STAGES], found))
+
+
+def texts(rows):
+    return sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in rows)
+
+
+def test_language_keeps_what_has_letters(stages):
+    before, after = stages["language"]
+    assert texts(after) == texts(r for r in before if any(c.isalpha() for c in r.text or ""))
+
+
+def test_one_document_of_each_group_stays(stages):
+    before, after = stages["near_duplicates"]
+    prints = [simhash.fingerprint(r.text) for r in before]
+    groups = components(sorted(set(prints)))
+    kept = [simhash.fingerprint(r.text) for r in after]
+    assert len(after) == len(groups)
+    assert all(sum(k in set(g) for k in kept) == 1 for g in groups)
+    assert set(texts(after)) <= set(texts(before))
+
+
+def test_secrets_are_marked_and_nothing_else_changes(stages):
+    before, after = stages["secrets"]
+    want = []
+    for r in before:
+        text, out, at = r.text or "", "", 0
+        for start, _, end in expected(text)[1]:
+            if start >= at:
+                out += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        out += text[at:]
+        want.append((r.doc_id is None, r.doc_id or 0, out))
+        if out == text:
+            assert any(a.n_chars == r.n_chars for a in after if a.text == text)
+    assert texts(after) == sorted(want)
+
+
+def test_the_mix_repeats_documents_at_most_three_times(stages):
+    before, after = stages["mixing"]
+    for row in set(map(tuple, after)):
+        assert sum(tuple(r) == row for r in after) <= 3 * sum(tuple(r) == row for r in before)
+    size = lambda rows: sum(len((r.text or "").split()) for r in rows)
+    longest = max((len((r.text or "").split()) for r in before), default=0)
+    assert abs(size(after) - size(before)) <= 2 * longest + 0.1 * size(before)
+
+
+def test_packing_holds_every_id(stages):
+    before, after = stages["packing"]
+    encode = Tokenizer.from_file(packing.default_tokenizer())
+    want = sum(len(encode.encode(r.text, add_special_tokens=False).ids) + 1 for r in before)
+    assert sum(r.length for r in after) == want
+    fills = {}
+    for r in after:
+        fills[r.sequence_id] = fills.get(r.sequence_id, 0) + r.length
+    assert all(f <= 2048 for f in fills.values()) and np.sum([2048 - f for f in fills.values()]) <= 2048 * 11 * 8
+
+
+def test_run_is_the_stages_in_turn(spark):
+    found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert found.columns[:4] == ["doc_id", "start", "length", "ids_crc32"] and found.count() > 100

@@ -1,0 +1,95 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from paysieve.llm import toxicity
+from tests.llm.helpers import awkward_rows, table, words
+
+BAD = ("zworp", "grundle", "flixnab")
+
+
+def corpus(n, seed=3):
+    rng = random.Random(seed)
+    texts, toxic = [], []
+    for i in range(n):
+        own = words(rng, rng.randint(5, 200)).split()
+        if i % 3 == 0:
+            own.insert(rng.randrange(len(own)), rng.choice(BAD))
+        texts.append(" ".join(own))
+        toxic.append(i % 3 == 0)
+    return texts, np.array(toxic)
+
+
+@pytest.fixture(scope="module")
+def model():
+    return toxicity.train(*corpus(600))
+
+
+def test_bags_hold_every_ngram_once():
+    texts = ["Ab, cd-ef gh ij kl", None, "", "x", "été  naïve"]
+    found = toxicity.bags(texts)
+    stretches = []
+    for at, text in enumerate(texts):
+        kept = bytes(toxicity._KEPT[b] for b in (text or "").lower().encode())
+        own = kept.split()
+        stretches += [(at, own[i : i + toxicity.WORDS]) for i in range(0, len(own), toxicity.WORDS)]
+    assert found.document.tolist() == [at for at, _ in stretches]
+    for n, (_, own) in enumerate(stretches):
+        grams = sum(max(0, len(w) + 2 - order + 1) for w in own for order in toxicity.ORDERS)
+        assert (found.stretch == n).sum() == grams
+
+
+def test_held_out_texts_and_misspellings(model):
+    texts, toxic = corpus(300, seed=8)
+    assert np.mean((model.probabilities(texts) >= 0.5) == toxic) > 0.97
+    rng = random.Random(1)
+    odd = [words(rng, 20) + " " + w + " " + words(rng, 20) for w in ("zworpp", "grundlle", "flixnabs")]
+    assert (model.probabilities(odd) >= 0.5).mean() > 0.5
+    assert (model.probabilities(["", None, "!!!"]) < 0.5).all()
+
+
+def test_one_word_in_a_very_long_text(model):
+    rng = random.Random(2)
+    clean = words(rng, 3000)
+    assert model.probabilities([clean, clean + " grundle " + clean]).round().tolist() == [0, 1]
+
+
+def test_rows_pass(spark, model):
+    rows = awkward_rows()
+    found = toxicity.score(table(spark, rows, extra=True), model).collect()
+    assert len(found) == len(rows)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) and r["size"] == "other" for r in found)
+    assert toxicity.score(table(spark, []), model).count() == 0
+
+
+def test_labels_that_teach_nothing(spark):
+    docs = table(spark, awkward_rows())
+    for labels in ([], [(1, 0), (2, 0)], [(1, None), (None, 1)], [(999, 1)]):
+        known = spark.createDataFrame(labels, "doc_id long, toxic int")
+        found = toxicity.score(docs, toxicity.learn(docs, known)).collect()
+        assert all(r.predicted == 0 for r in found)
+
+
+def test_held_out_labels_are_not_seen(spark):
+    texts, toxic = corpus(200)
+    docs = table(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(toxic)], "doc_id long, toxic int")
+    turned = labels.withColumn("toxic", F.when(F.col("doc_id") % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    where = F.col("doc_id") % 5 != 0
+    one, other = toxicity.learn(docs, labels, where=where), toxicity.learn(docs, turned, where=where)
+    assert (one.weight == other.weight).all() and one.level == other.level
+
+
+def test_held_out_accuracy_of_the_query(spark):
+    from paysieve.llm.queries import op9_toxicity
+
+    found = op9_toxicity(spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = found.join(labels, "doc_id").where("held_out").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 5 == 0 for r in held[:50])
+    assert np.mean([r.predicted == r.toxic for r in held]) > 0.95
+    bad, good = [r.score for r in held if r.toxic], [r.score for r in held if not r.toxic]
+    assert np.mean([b > g for b in bad for g in good]) > 0.9
