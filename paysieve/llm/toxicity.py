@@ -136,11 +136,12 @@ def train(
     toxic: np.ndarray,
     *,
     size: int = 4,
-    rounds: int = 4,
+    rounds: int = 6,
     epochs: int = 2,
     batch: int = 512,
     rate: float = 1.0,
     clean_per_toxic: int = 20,
+    dropout: float = 0.5,
     seed: int = 7,
 ) -> Model:
     """Vectors and softmax from labelled texts, then the curve."""
@@ -183,8 +184,11 @@ def train(
                 own = lot[at : at + batch]
                 sizes = counts[own]
                 inside = np.repeat(starts[own] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-                used = bucket[inside]
                 row = np.repeat(np.arange(len(own)), sizes)
+                # some n-grams are left out, so that a word is known by any part of it
+                kept = rng.random(len(row)) >= dropout
+                row, used = row[kept], bucket[inside[kept]]
+                sizes = np.maximum(np.bincount(row, minlength=len(own)), 1)
                 mean = np.stack([np.bincount(row, vectors[used, d], len(own)) for d in range(size)], 1) / sizes[:, None]
                 logits = mean @ softmax + bias
                 p = np.exp(logits - logits.max(1, keepdims=True))
