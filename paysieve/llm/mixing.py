@@ -37,7 +37,7 @@ def hash32(*parts: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = 3) -> DataFrame:
-    """(source, source_size, target, total) of rows (source, size).
+    """(source, turn, source_size, target, total) of rows (source, size).
 
     Sources in code point order, NULL last, have the weights in turn.  Targets
     add up to the total of all sizes; one above ``max_repeats`` times its
@@ -65,44 +65,41 @@ def source_targets(sizes: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_
         .withColumn("__level", F.max(F.when(F.col("__free"), F.col("__share"))).over(everything))
     )
     target = F.when(F.col("__free"), F.col("__weight") * F.col("__level")).otherwise(ceiling.cast("double"))
-    return shared.select("source", "source_size", target.alias("target"), "total")
+    return shared.select("source", F.col("__turn").alias("turn"), "source_size", target.alias("target"), "total")
 
 
 def _quotas(cells: DataFrame, block_words: int, max_repeats: int) -> DataFrame:
-    """Blocks of each (shard, source) by highest quotients; ``share``: words it should give."""
-    shard = Window.partitionBy("shard")
-    n = F.col("__blocks")
-    exact = F.when(F.col("__shares") > 0, F.col("share") / F.col("__shares")).otherwise(F.lit(0.0))
+    """(shard, turn, blocks, quota) of cells (shard, turn, words, share), ``share``
+    being the words a cell should give: the shard's blocks by highest quotients."""
+    shard = Window.partitionBy("__shard")
+    n = F.col("__seats")
+    exact = F.when(F.col("__shares") > 0, F.col("__share") / F.col("__shares")).otherwise(F.lit(0.0))
     half = F.col("__sources") / 2
     bounded = (
-        cells.withColumn("__shares", F.sum("share").over(shard))
+        cells.withColumn("__shares", F.sum("__share").over(shard))
         .withColumn("__sources", F.count(F.lit(1)).over(shard))
-        .withColumn("__blocks", F.round(F.col("__shares") / block_words).cast("long"))
+        .withColumn("__seats", F.round(F.col("__shares") / block_words).cast("long"))
         .withColumn("__sure", F.greatest(F.floor(exact * (n - half) + 0.5) - 1, F.lit(0)).cast("long"))
         .withColumn("__most", (F.floor(exact * (n + half) + 0.5) + 1).cast("long"))
-        .withColumn("__open", F.col("__blocks") - F.sum("__sure").over(shard))
+        .withColumn("__open", F.col("__seats") - F.sum("__sure").over(shard))
     )
+    cell = [F.col("__shard"), F.col("__turn"), F.col("__words"), F.col("__sure"), F.col("__share")]
     seats = bounded.select(
-        "shard", "source", "__open", "share", F.explode(F.sequence(F.col("__sure") + 1, F.col("__most"))).alias("__seat")
-    ).withColumn("__quotient", F.col("share") / (2 * F.col("__seat") - 1))
-    order = shard.orderBy(F.col("__quotient").desc(), F.col("source").asc_nulls_last(), "__seat")
-    won = (
-        seats.withColumn("__rank", F.row_number().over(order))
-        .where((F.col("__rank") <= F.col("__open")) & (F.col("share") > 0))
-        .groupBy(F.col("shard").alias("__shard"), F.col("source").alias("__source"))
-        .agg(F.count(F.lit(1)).alias("__won"))
-    )
-    there = F.ceil(F.col("words") / block_words).cast("long")
+        *cell, "__open", F.explode(F.sequence(F.col("__sure") + 1, F.col("__most"))).alias("__seat")
+    ).withColumn("__quotient", F.col("__share") / (2 * F.col("__seat") - 1))
+    order = shard.orderBy(F.col("__quotient").desc(), "__turn", "__seat")
+    won = (F.col("__rank") <= F.col("__open")) & (F.col("__share") > 0)
+    blocks = F.ceil(F.col("__words") / block_words).cast("long")
     return (
-        bounded.join(
-            won, (F.col("shard") == F.col("__shard")) & F.col("source").eqNullSafe(F.col("__source")), "left"
-        )
-        .withColumn("n_blocks", there)
-        .withColumn(
-            "quota",
-            F.least(F.col("__sure") + F.coalesce("__won", F.lit(0)), F.lit(max_repeats) * F.col("n_blocks")),
+        seats.withColumn("__rank", F.row_number().over(order))
+        .groupBy("__shard", "__turn", "__words", "__sure")
+        .agg(F.count_if(won).alias("__won"))
+        .select(
+            "__shard",
+            "__turn",
+            F.greatest(blocks, F.lit(1)).alias("__blocks"),
+            F.least(F.col("__sure") + F.col("__won"), max_repeats * blocks).alias("__quota"),
         )
-        .select(F.col("shard").alias("__q_shard"), F.col("source").alias("__q_source"), "n_blocks", "quota")
     )
 
 
@@ -128,51 +125,56 @@ def mix(
     """
     results = ("size", "source_size", "target", "taken")
     own = [c for c in docs.columns if c not in results]
-    packed = docs.select(
-        F.struct(*own).alias("__row"),
-        F.col(id_column).alias("__id"),
-        F.col(source_column).alias("source"),
-        word_count(text_column).alias("size"),
+    sized = docs.select(*own, word_count(text_column).alias("__size"), F.col(source_column).alias("__source"))
+    sizes = sized.select(F.col("__source").alias("source"), F.col("__size").alias("size"))
+    targets = stored(source_targets(sizes, weights=weights, max_repeats=max_repeats), "targets")
+    goals = targets.select(
+        F.col("source").alias("__of"),
+        F.col("turn").alias("__turn"),
+        F.col("source_size").alias("__source_size"),
+        F.col("target").alias("__target"),
+        F.col("total").alias("__total"),
     )
-    targets = stored(source_targets(packed.select("source", "size"), weights=weights, max_repeats=max_repeats), "targets")
-    goals = targets.withColumnsRenamed({"source": "__source"})
-    place = hash32(F.lit(seed), F.col("__id"))
+    shards = F.greatest(F.ceil(F.col("__total") / shard_words), F.lit(1))
+    # from here on a source is its number, which is never NULL
     dealt = (
-        packed.join(goals, F.col("source").eqNullSafe(F.col("__source")))
-        .drop("__source")
-        .withColumn("__hash", place)
-        .withColumn("shard", F.pmod("__hash", F.greatest(F.ceil(F.col("total") / shard_words), F.lit(1))))
+        sized.join(goals, F.col("__source").eqNullSafe(F.col("__of")))
+        .withColumn("__hash", hash32(F.lit(seed), F.col(id_column)))
+        .withColumn("__shard", F.pmod("__hash", shards))
     )
-    # the rows' cells, from two narrow columns of them
-    cells = dealt.groupBy("shard", "source").agg(
-        F.sum("size").alias("words"), F.first("target").alias("target"), F.first("source_size").alias("source_size")
+    cells = dealt.groupBy("__shard", "__turn").agg(
+        F.sum("__size").alias("__words"), F.first(F.col("__target") / F.greatest("__source_size", F.lit(1))).alias("__rate")
     )
-    share = F.when(F.col("source_size") > 0, F.col("target") * F.col("words") / F.col("source_size")).otherwise(0.0)
-    quotas = _quotas(cells.withColumn("share", share), block_words, max_repeats)
+    quotas = _quotas(cells.withColumn("__share", F.col("__rate") * F.col("__words")), block_words, max_repeats)
 
     # hash first; the id again, as two ids may share a hash
-    order = Window.partitionBy("shard", "source").orderBy("__hash", "__id", "size")
+    order = Window.partitionBy("__shard", "__turn").orderBy("__hash", id_column, "__size")
     placed = dealt.withColumn(
-        "__end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ).join(quotas, (F.col("shard") == F.col("__q_shard")) & F.col("source").eqNullSafe(F.col("__q_source")), "left")
-    n, extra = F.greatest("n_blocks", F.lit(1)), F.expr("quota % greatest(n_blocks, 1)")
-    start = F.pmod(hash32(F.lit(seed), F.lit("start"), F.col("shard"), F.col("source")), n)
+        "__end", F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ).join(quotas, ["__shard", "__turn"])
+    n, extra = F.col("__blocks"), F.col("__quota") % F.col("__blocks")
+    start = F.pmod(hash32(F.lit(seed), F.lit("start"), F.col("__shard"), F.col("__turn")), n)
 
     def selected(blocks: Column) -> Column:
         """How many of the first blocks the seeded selection holds."""
-        return F.floor((blocks * F.col("__extra") + F.col("__start")).cast("decimal(38,0)") / F.col("__n")).cast("long")
+        return F.floor((blocks * F.col("__extra") + F.col("__start")).cast("decimal(38,0)") / n).cast("long")
 
     def words(upto: Column) -> Column:
         whole = F.floor(upto / block_words).cast("long")
         return selected(whole) * block_words + (upto - whole * block_words) * (selected(whole + 1) - selected(whole))
 
-    rest = words(F.col("__end")) - words(F.col("__end") - F.col("size"))
+    size = F.col("__size")
+    rest = words(F.col("__end")) - words(F.col("__end") - size)
     return (
-        placed.withColumn("__n", n)
-        .withColumn("__extra", extra)
+        placed.withColumn("__extra", extra)
         .withColumn("__start", start)
-        .withColumn("taken", (F.floor(F.col("quota") / F.col("__n")) * F.col("size") + rest).cast("long"))
-        .select("__row.*", "size", "source_size", "target", "taken")
+        .select(
+            *own,
+            size.alias("size"),
+            F.col("__source_size").alias("source_size"),
+            F.col("__target").alias("target"),
+            (F.floor(F.col("__quota") / n) * size + rest).cast("long").alias("taken"),
+        )
     )
 
 
@@ -201,37 +203,37 @@ shared AS (
   SELECT *, (total - coalesce(sum(3 * source_size) OVER w, 0))::DOUBLE / (weights - coalesce(sum(weight) OVER w, 0))::DOUBLE AS share
   FROM ratios WINDOW w AS (ORDER BY ratio, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 targets AS (
-  SELECT source, source_size, total,
+  SELECT source, turn, source_size, total,
          CASE WHEN ratio > share THEN weight * max(CASE WHEN ratio > share THEN share END) OVER ()
               ELSE (3 * source_size)::DOUBLE END AS target FROM shared),
 dealt AS (
-  SELECT s.*, t.source_size, t.target, ('0x' || md5('7|' || s.doc_id)[1:8])::BIGINT AS h, t.total
+  SELECT s.*, t.turn, t.source_size, t.target, ('0x' || md5('7|' || s.doc_id)[1:8])::BIGINT AS h, t.total
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 placed AS (SELECT *, h % greatest(ceil(total / 262144.0)::BIGINT, 1) AS shard FROM dealt),
 cells AS (
-  SELECT shard, source, sum(size)::BIGINT AS words,
-         CASE WHEN any_value(source_size) > 0 THEN any_value(target) * sum(size)::DOUBLE / any_value(source_size) ELSE 0 END AS share
-  FROM placed GROUP BY shard, source),
+  SELECT shard, turn, sum(size)::BIGINT AS words,
+         any_value(target / greatest(source_size, 1)) * sum(size)::DOUBLE AS share
+  FROM placed GROUP BY shard, turn),
 totals AS (SELECT shard, round(sum(share) / 64)::BIGINT AS blocks FROM cells GROUP BY shard),
 seats AS (
-  SELECT c.shard, c.source, row_number() OVER (PARTITION BY c.shard ORDER BY c.share / (2 * k - 1) DESC, c.source NULLS LAST, k) AS place, t.blocks
+  SELECT c.shard, c.turn, row_number() OVER (PARTITION BY c.shard ORDER BY c.share / (2 * k - 1) DESC, c.turn, k) AS place, t.blocks
   FROM cells c JOIN totals t USING (shard), range(1, 100000) r(k)
   WHERE c.share > 0 AND k <= c.share / 64 * 1.5 + 3),
-won AS (SELECT shard, source, count(*) AS seats FROM seats WHERE place <= blocks GROUP BY shard, source),
+won AS (SELECT shard, turn, count(*) AS seats FROM seats WHERE place <= blocks GROUP BY shard, turn),
 quotas AS (
-  SELECT c.shard, c.source, greatest(ceil(c.words / 64.0)::BIGINT, 1) AS n,
+  SELECT c.shard, c.turn, greatest(ceil(c.words / 64.0)::BIGINT, 1) AS n,
          least(coalesce(w.seats, 0), 3 * ceil(c.words / 64.0)::BIGINT) AS quota
-  FROM cells c LEFT JOIN won w ON c.shard = w.shard AND c.source IS NOT DISTINCT FROM w.source),
+  FROM cells c LEFT JOIN won w USING (shard, turn)),
 chosen AS (
   SELECT p.*, q.n, q.quota // q.n AS full_times, q.quota % q.n AS extra,
-         ('0x' || md5('7|start|' || p.shard || '|' || coalesce(p.source, ''))[1:8])::BIGINT % q.n AS start,
-         sum(p.size) OVER (PARTITION BY p.shard, p.source ORDER BY p.h, p.doc_id, p.size
+         ('0x' || md5('7|start|' || p.shard || '|' || p.turn)[1:8])::BIGINT % q.n AS start,
+         sum(p.size) OVER (PARTITION BY p.shard, p.turn ORDER BY p.h, p.doc_id, p.size
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS stop
-  FROM placed p JOIN quotas q ON p.shard = q.shard AND p.source IS NOT DISTINCT FROM q.source),
+  FROM placed p JOIN quotas q USING (shard, turn)),
 ends AS (SELECT *, unnest([stop - size, stop]) AS x, unnest([-1, 1]) AS sign FROM chosen),
 upto AS (
   SELECT *, ((x // 64) * extra + start) // n * 64
           + (x % 64) * (((x // 64 + 1) * extra + start) // n - ((x // 64) * extra + start) // n) AS w FROM ends)
 SELECT doc_id, size, source_size, target, (full_times * size + sum(sign * w))::BIGINT AS taken
-FROM upto GROUP BY doc_id, size, source_size, target, full_times, stop, shard, source
+FROM upto GROUP BY doc_id, size, source_size, target, full_times, stop, shard, turn
 """
