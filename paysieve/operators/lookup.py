@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 # which is what bounds the broadcast below.
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
-CELLS = 1 << 18
 
 
 def hot_only(
@@ -26,26 +25,6 @@ def hot_only(
     return weighted.where((F.col(weight) > hot_rows) & (share > total))
 
 
-def split_busy(
-    facts: DataFrame, key: str, *, hot_rows: int = HOT_ROWS, cells: int = CELLS
-) -> tuple[DataFrame, DataFrame]:
-    """(ordinary, busy) rows, by how much the hash cell of their key holds.
-
-    No key of the ordinary rows holds more than ``hot_rows`` rows, or four times
-    the mean of a cell if that is more.  A key may be called busy for the
-    company it keeps, so both parts must be treated to the same result.
-    Counting cells rather than keys shuffles a few numbers per task and bounds
-    the broadcast: at most a quarter of the cells can exceed four times the mean.
-    """
-    placed = facts.withColumn("__cell", F.pmod(F.xxhash64(key), F.lit(cells)))
-    sizes = placed.groupBy("__cell").agg(F.count(F.lit(1)).alias("n"))
-    full = F.broadcast(hot_only(sizes, "n", hot_rows=hot_rows, max_hot_keys=max(cells // 4, 1)).select("__cell"))
-    return (
-        placed.join(full, "__cell", "left_anti").drop("__cell"),
-        placed.join(full, "__cell", "left_semi").drop("__cell"),
-    )
-
-
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,

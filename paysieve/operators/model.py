@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paysieve.operators.velocity import COUNT_COLUMN, with_velocity
@@ -69,7 +68,7 @@ def train(labelled: DataFrame, *, max_iter: int = 10, tol: float = 1e-6) -> Pipe
 
 
 def score(
-    model: PipelineModel, gold: DataFrame, *, velocity_seconds: int = 60, total_rows: int | None = None
+    model: PipelineModel, gold: DataFrame, *, velocity_seconds: int = 60
 ) -> DataFrame:
     """Apply the model to every row; adds Spark's five columns and
     ``fraud_probability`` (ours).
@@ -79,7 +78,7 @@ def score(
     counts are computed first.
     """
     if COUNT_COLUMN not in gold.columns:
-        gold = with_velocity(gold, velocity_seconds, total_rows=total_rows)
+        gold = with_velocity(gold, velocity_seconds)
     # A saved pipeline carries the setting it was trained with.
     lenient = PipelineModel(
         [s.copy().setHandleInvalid("keep") if hasattr(s, "setHandleInvalid") else s for s in model.stages]
@@ -91,8 +90,9 @@ def score(
     )
 
 
-def serving_view(predictions: DataFrame) -> DataFrame:
-    return predictions.select(*PREDICTION_SERVING_COLUMNS)
+def serving_view(predictions: DataFrame, *, probability: bool = False) -> DataFrame:
+    """The columns of the serving table; with ``fraud_probability`` if asked for."""
+    return predictions.select(*PREDICTION_SERVING_COLUMNS, *["fraud_probability"] * probability)
 
 
 def coefficients(model: PipelineModel) -> list[tuple[str, float]]:
@@ -101,22 +101,52 @@ def coefficients(model: PipelineModel) -> list[tuple[str, float]]:
 
 
 def split(labelled: DataFrame, *, holdout: float = 0.2, key: str = "event_id") -> tuple[DataFrame, DataFrame]:
-    """(train, test) by a hash of the key: the same on every run, any layout."""
-    part = F.pmod(F.xxhash64(key), F.lit(10_000))
+    """(train, test) by the key's MD5: the same on every run, any layout, any engine."""
+    part = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long") % 10_000
     edge = round(holdout * 10_000)
     return labelled.where(part >= edge), labelled.where(part < edge)
 
 
-def evaluate(model: PipelineModel, labelled: DataFrame, *, bins: int = 1000) -> dict[str, float]:
-    """AUC and confusion counts on rows that can be scored.  The curve is drawn
-    from that many groups of scores, or from every one with ``bins=0``."""
-    scored = score(model, labelled).where(F.col("prediction").isNotNull())
-    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", numBins=bins)
+SCORE_RANGES = 1 << 16
+
+
+def area_under_curve(scored: DataFrame, *, score: str = "fraud_probability", label: str = "label") -> float | None:
+    """The share of (fraud, clean) pairs that the score orders rightly, ties
+    counting half; None without one of the classes.
+
+    Exact at any size: equal scores are one row, and ranges of scores, of which there are
+    ``SCORE_RANGES`` at most, are added up on their own and then put in order.
+    """
+    grouped = scored.groupBy(F.col(score).alias("score")).agg(
+        F.count_if(F.col(label) == 1).alias("fraud"), F.count_if(F.col(label) == 0).alias("clean")
+    )
+    ranged = grouped.withColumn("range", F.floor(F.col("score") * SCORE_RANGES).cast("int"))
+    before = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    own = ranged.withColumn("below", F.coalesce(F.sum("clean").over(before), F.lit(0)))
+    # twice the pairs, to stay with whole numbers
+    pairs = (F.col("fraud") * (2 * F.col("below") + F.col("clean"))).cast("decimal(38,0)")
+    sums = own.groupBy("range").agg(F.sum("fraud").alias("fraud"), F.sum("clean").alias("clean"), F.sum(pairs).alias("pairs"))
+    lower = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    across = F.col("fraud").cast("decimal(38,0)") * 2 * F.coalesce(F.sum("clean").over(lower), F.lit(0))
+    twice, fraud, clean = sums.withColumn("across", across).agg(
+        F.sum(F.col("pairs") + F.col("across")), F.sum("fraud"), F.sum("clean")
+    ).first()
+    return int(twice) / (2 * fraud * clean) if fraud and clean else None
+
+
+def evaluate(model: PipelineModel, labelled: DataFrame) -> dict[str, float]:
+    """AUC, confusion counts, and how many rows were left out as they cannot be scored."""
+    scored = score(model, labelled)
+    known = F.col("prediction").isNotNull()
 
     def cell(label, prediction):
         return F.count_if((F.col("label") == label) & (F.col("prediction") == prediction))
 
-    confusion = scored.agg(
-        cell(1, 1).alias("tp"), cell(0, 1).alias("fp"), cell(0, 0).alias("tn"), cell(1, 0).alias("fn")
+    counts = scored.agg(
+        cell(1, 1).alias("tp"),
+        cell(0, 1).alias("fp"),
+        cell(0, 0).alias("tn"),
+        cell(1, 0).alias("fn"),
+        F.count_if(~known).alias("unscored"),
     ).first()
-    return {"auc": evaluator.evaluate(scored), **confusion.asDict()}
+    return {"auc": area_under_curve(scored.where(known)), **counts.asDict()}

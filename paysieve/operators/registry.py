@@ -20,16 +20,17 @@ def _registry_path(path: str) -> str:
 def save_model(
     model: PipelineModel, path: str, *, version: int | None = None, saved_ts: datetime | None = None
 ) -> str:
-    """Save, replacing an earlier model at the same place; returns where.
+    """Save; returns where.  Without a version an earlier model is replaced.
 
     With ``version`` the model goes to a folder of its own and a line about it
-    is added to a Parquet table next to it.
+    is added to a Parquet table next to it.  A version never changes: saving
+    one that exists is refused.
     """
     if version is None:
         model.write().overwrite().save(path)
         return path
     target = f"{path.rstrip('/')}/v{version}"
-    model.write().overwrite().save(target)
+    model.save(target)
     lr = model.stages[-1]
     line = (
         version,

@@ -5,31 +5,34 @@ lies in [second - W, second].  Both ends count, all rows of one second see each
 other, rows without a timestamp see exactly the other rows without one, and
 rows without a user are counted as one user.
 
-A window over the raw rows puts a user's whole history into one task, which is
-the cheapest plan for users of ordinary size and impossible for a busy one.
-So "auto" first counts the rows per hash cell of the user (one column, a few
-numbers per task) and sends only users of bounded size through the window.
-
-For the others the count depends only on how many rows fall into each second:
-the rows are reduced to one per user and second, the window runs over time
-buckets of that table, at most bucket + W rows each however busy the user, and
-the result is looked up per row.  "bucketed" and "linear" do this for all
-users, with a sliding frame and with a running sum.
+One window over the raw rows does it, partitioned by user and time bucket, so
+that no task holds a user's whole history.  Seconds near the end of a bucket are shown
+to the next one as narrow rows that carry their number and are dropped after.
+
+A bucket of a very busy user may still be too much for one task.  Buckets are
+counted by hash cell first (a few numbers per task); those of a full cell are
+salted: their rows, spread over the salts, count for nothing themselves, and each
+salt gets the bucket's seconds as narrow rows with the number of rows in each.
+Even copies of a single row are spread that way.  A row is scanned in full once, whatever its user.
+
+"bucketed" slides a frame, which is summed anew whenever it moves; "linear"
+keeps a running sum, to which a row is added at its second and subtracted W + 1
+seconds later, at the same cost for any width.  "auto" slides over narrow
+windows and runs over wide ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paysieve.functions.times import epoch_seconds
-from paysieve.operators.lookup import CELLS, HOT_ROWS, MAX_HOT_KEYS, hot_only, lookup_join, split_busy
+from paysieve.operators.lookup import HOT_ROWS, hot_only
 
 COUNT_COLUMN = "tx_count_window"
 MIN_BUCKET_SECONDS = 3600
-# A sliding frame is summed anew whenever it moves, so its cost grows with the
-# width; the running sum costs the same for any width but carries two rows.
 LINEAR_FROM_SECONDS = 600
+CELLS = 1 << 16
 METHODS = ("auto", "bucketed", "linear")
 
 
@@ -40,98 +43,17 @@ def per_second(payments: DataFrame, *, user: str = "user_id", ts: str = "event_t
     )
 
 
-def _buckets(width: int, bucket: int):
-    """Bucket of a second (named by its first second), the one after it, and
-    whether the second lies within reach of that one."""
-    offset = F.pmod(F.col("second"), F.lit(bucket).cast("long"))
-    own = F.col("second") - offset
-    return own, own + F.lit(bucket), offset >= bucket - width
-
-
-def _sliding(seconds: DataFrame, width: int, bucket: int) -> DataFrame:
-    """Sliding frame per (user, bucket); a second near the end of its bucket is
-    also shown to the next one."""
-    own, following, shown_twice = _buckets(width, bucket)
-    placed = seconds.select(
-        "user",
-        "second",
-        "n",
-        own.alias("own"),
-        F.explode(F.when(shown_twice, F.array(own, following)).otherwise(F.array(own))).alias("bucket"),
-    )
-    frame = Window.partitionBy("user", "bucket").orderBy("second").rangeBetween(-width, 0)
-    return (
-        placed.withColumn(COUNT_COLUMN, F.sum("n").over(frame))
-        .where(F.col("bucket").eqNullSafe(F.col("own")))
-        .select("user", "second", "n", COUNT_COLUMN)
-    )
-
-
-def _running(seconds: DataFrame, width: int, bucket: int) -> DataFrame:
-    """Running sum per (user, bucket): n enters at its second and leaves W + 1
-    seconds later."""
-    own, following, shown_twice = _buckets(width, bucket)
-
-    def step(place, at, delta, kept):
-        return F.struct(
-            place.alias("bucket"), at.alias("second"), delta.alias("delta"), F.lit(kept).alias("kept")
-        )
-
-    second, n = F.col("second"), F.col("n")
-    leave = second + F.lit(width + 1)
-    in_own = [step(own, second, n, True), step(own, leave, -n, False)]
-    in_next = [step(following, second, n, False), step(following, leave, -n, False)]
-    steps = (
-        F.when(second.isNull(), F.array(in_own[0]))
-        .when(shown_twice, F.array(*in_own, *in_next))
-        .otherwise(F.array(*in_own))
-    )
-    history = (
-        Window.partitionBy("user", "bucket").orderBy("second").rangeBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        seconds.select("user", F.explode(steps).alias("step"))
-        .select("user", "step.*")
-        .withColumn(COUNT_COLUMN, F.sum("delta").over(history))
-        .where("kept")
-        .select("user", "second", F.col("delta").alias("n"), COUNT_COLUMN)
-    )
-
-
-def _sliding_rows(rows: DataFrame, width: int, user: str, ts: str) -> DataFrame:
-    """Sliding frame over the raw rows, for users one task can hold."""
-    trailing = Window.partitionBy(user).orderBy(epoch_seconds(ts)).rangeBetween(-width, 0)
-    return rows.withColumn(COUNT_COLUMN, F.count(F.lit(1)).over(trailing))
-
-
-def _running_rows(rows: DataFrame, width: int, user: str, ts: str) -> DataFrame:
-    """Running sum over the raw rows: each adds one, and a row of two columns
-    takes it back W + 1 seconds later."""
-    columns = rows.columns
-    arrive = rows.withColumn("__at", epoch_seconds(ts)).withColumn("__delta", F.lit(1))
-    leave = rows.where(F.col(ts).isNotNull()).select(
-        user, (epoch_seconds(ts) + F.lit(width + 1)).alias("__at"), F.lit(-1).alias("__delta")
-    )
-    history = (
-        Window.partitionBy(user, F.col("__at").isNull())
-        .orderBy("__at")
-        .rangeBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        arrive.unionByName(leave, allowMissingColumns=True)
-        .withColumn(COUNT_COLUMN, F.sum("__delta").over(history))
-        .where(F.col("__delta") == 1)
-        .select(*columns, COUNT_COLUMN)
-    )
-
+def full_cells(buckets: DataFrame, *, hot_rows: int = HOT_ROWS, cells: int = CELLS) -> DataFrame:
+    """(cell, salts) of the hash cells that one task cannot hold, for a broadcast.
 
-def velocity_counts(
-    payments: DataFrame, seconds: int = 60, *, method: str = "bucketed", user: str = "user_id", ts: str = "event_ts"
-) -> DataFrame:
-    """(user, second, n, tx_count_window), one row per user and second."""
-    bucket = max(MIN_BUCKET_SECONDS, 2 * seconds)
-    table = per_second(payments, user=user, ts=ts)
-    return _sliding(table, seconds, bucket) if method == "bucketed" else _running(table, seconds, bucket)
+    A cell is full when it holds more than ``hot_rows`` rows and more than four
+    times the mean; a quarter of the cells can, at most.  A bucket outside of
+    them holds no more than the greater of the two.
+    """
+    sizes = buckets.groupBy("__cell").agg(F.count(F.lit(1)).alias("n"))
+    full = hot_only(sizes, "n", hot_rows=hot_rows, max_hot_keys=max(cells // 4, 1))
+    salts = F.ceil(F.col("n") / max(hot_rows, 1)).cast("int")
+    return F.broadcast(full.select(F.col("__cell").alias("__full"), salts.alias("__salts")))
 
 
 def with_velocity(
@@ -142,42 +64,82 @@ def with_velocity(
     user: str = "user_id",
     ts: str = "event_ts",
     hot_rows: int = HOT_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
     cells: int = CELLS,
-    total_rows: int | None = None,
 ) -> DataFrame:
     """Add ``tx_count_window``.
 
-    The input is read up to four times, mostly two columns of it, so pass a
-    stored layer rather than a long computation.  ``hot_rows``,
-    ``max_hot_keys`` and ``cells`` say which users and seconds are too big for
-    one task, and ``total_rows``, where the caller knows it, that no user can
-    be; they change the plan, never the result.
+    The rows are read in full once and two of their columns two or three times,
+    so pass a stored layer rather than a long computation.  ``hot_rows`` and
+    ``cells`` say which buckets are salted; they never change the result.
     """
     if seconds < 0:
         raise ValueError("the window cannot be negative")
     if method not in METHODS:
         raise ValueError(f"method: {method!r}, expected one of {METHODS}")
     payments = payments.drop(COUNT_COLUMN)
-    limits = {"hot_rows": hot_rows, "max_hot_keys": max_hot_keys}
-
-    how = method
-    if method == "auto":
-        how = "linear" if seconds >= LINEAR_FROM_SECONDS else "bucketed"
-
-    def looked_up(rows: DataFrame) -> DataFrame:
-        counts = velocity_counts(rows, seconds, method=how, user=user, ts=ts)
-        keyed = rows.withColumn("__second", epoch_seconds(ts))
-        on = {user: "user", "__second": "second"}
-        return lookup_join(keyed, counts, hot_only(counts, "n", **limits), on, [COUNT_COLUMN]).drop("__second")
-
-    def windowed(rows: DataFrame) -> DataFrame:
-        over_rows = _running_rows if how == "linear" else _sliding_rows
-        return over_rows(rows, seconds, user, ts)
-
-    if method != "auto":
-        return looked_up(payments)
-    if total_rows is not None and total_rows <= hot_rows:
-        return windowed(payments)
-    ordinary, busy = split_busy(payments, user, hot_rows=hot_rows, cells=cells)
-    return windowed(ordinary).unionByName(looked_up(busy))
+    linear = method == "linear" or (method == "auto" and seconds >= LINEAR_FROM_SECONDS)
+    width = max(MIN_BUCKET_SECONDS, 2 * seconds)
+    key = [user, "__bucket", "__salt"]
+
+    def placed(rows: DataFrame) -> DataFrame:
+        offset = F.pmod(F.col("__second"), F.lit(width).cast("long"))
+        return rows.withColumn("__bucket", F.col("__second") - offset).withColumn("__cell", cell())
+
+    def cell() -> Column:
+        return F.pmod(F.xxhash64(user, "__bucket"), F.lit(cells))
+
+    narrow = placed(payments.select(user, epoch_seconds(ts).alias("__second")))
+    full = full_cells(narrow, hot_rows=hot_rows, cells=cells)
+
+    def salted(rows: DataFrame) -> DataFrame:
+        return rows.join(full, F.col("__cell") == F.col("__full"), "left").drop("__cell", "__full")
+
+    is_hot = F.col("__salts").isNotNull()
+    rows = salted(placed(payments.withColumn("__second", epoch_seconds(ts)))).select(
+        *payments.columns,
+        "__second",
+        "__bucket",
+        # the partition's number: the same when a task is run again, and different for copies of a row
+        F.when(is_hot, F.pmod(F.spark_partition_id(), "__salts")).otherwise(0).alias("__salt"),
+        F.when(is_hot, 0).otherwise(1).cast("long").alias("__n"),
+        F.lit(True).alias("__kept"),
+    )
+
+    # Seconds of salted buckets, and those near the end of any, as numbers.
+    end = F.col("__bucket") + F.lit(width)
+    near_end = F.coalesce(F.col("__second") >= end - F.lit(seconds), F.lit(False))
+    marked = salted(narrow)
+    shown = (
+        marked.where(is_hot | near_end)
+        .groupBy(user, "__second", "__bucket", is_hot.alias("__hot"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    own, following = F.struct(F.col("__bucket").alias("to")), F.struct(end.alias("to"))
+    places = F.concat(
+        F.when(F.col("__hot"), F.array(own)).otherwise(F.array().cast("array<struct<to:bigint>>")),
+        F.when(near_end, F.array(following)).otherwise(F.array().cast("array<struct<to:bigint>>")),
+    )
+    sent = shown.select(user, "__second", "__n", F.explode(places).alias("__at")).select(
+        user, "__second", "__n", F.col("__at.to").alias("__bucket")
+    )
+    salts = F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)
+    numbers = salted(sent.withColumn("__cell", cell())).select(
+        user, "__second", "__bucket", F.explode(salts).alias("__salt"), "__n"
+    )
+    own_rows = marked.where(~is_hot).select(user, "__second", "__bucket", F.lit(0).alias("__salt"), F.lit(1).alias("__n"))
+
+    both = rows.unionByName(numbers, allowMissingColumns=True)
+    order = Window.partitionBy(*key).orderBy("__second")
+    if linear:
+        for part in (numbers, own_rows):
+            gone = part.withColumn("__second", F.col("__second") + F.lit(seconds + 1)).withColumn("__n", -F.col("__n"))
+            # what leaves after the bucket's end changes no count in it
+            both = both.unionByName(gone.where(F.col("__second") < end), allowMissingColumns=True)
+        frame = order.rangeBetween(Window.unboundedPreceding, 0)
+    else:
+        frame = order.rangeBetween(-seconds, 0)
+    return (
+        both.withColumn(COUNT_COLUMN, F.sum("__n").over(frame))
+        .where("__kept")
+        .select(*payments.columns, COUNT_COLUMN)
+    )

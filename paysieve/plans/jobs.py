@@ -47,7 +47,7 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig, *, batch_ts: datetime | N
     both, and a short lineage for the database write.
     """
     silver = read_layer(spark, cfg.silver)
-    gold = gold_ops.to_gold(silver, cfg.rules, batch_ts=batch_ts or new_batch_ts(), total_rows=silver.count())
+    gold = gold_ops.to_gold(silver, cfg.rules, batch_ts=batch_ts or new_batch_ts())
     write_layer(gold, cfg.gold)
     if cfg.gold_jdbc:
         write_jdbc(gold_ops.serving_view(read_layer(spark, cfg.gold)), cfg.gold_jdbc)
@@ -69,9 +69,7 @@ def run_score(spark: SparkSession, cfg: PipelineConfig, *, version: int | str |
     """Gold (or silver) + model -> predictions and their serving table."""
     model = load_model(spark, cfg.model, version=version)
     source = read_layer(spark, cfg.gold or cfg.silver)
-    scored = model_ops.score(
-        model, source, velocity_seconds=cfg.rules.velocity_seconds, total_rows=source.count()
-    )
+    scored = model_ops.score(model, source, velocity_seconds=cfg.rules.velocity_seconds)
     write_layer(scored, cfg.predictions)
     if cfg.predictions_jdbc:
         write_jdbc(model_ops.serving_view(read_layer(spark, cfg.predictions)), cfg.predictions_jdbc)

@@ -107,20 +107,18 @@ def _counts(method: str, seconds: int = 60, busy: bool = False, **options):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = payments(spark, sf_dir)
         rows = with_busy_user(rows) if busy else rows
-        counted = with_velocity(rows, seconds, method=method, total_rows=rows.count(), **options)
+        counted = with_velocity(rows, seconds, method=method, **options)
         return counted.select("event_id", "tx_count_window")
 
     return query
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = payments(spark, sf_dir)
-    return to_gold(rows, total_rows=rows.count())
+    return to_gold(payments(spark, sf_dir))
 
 
 def _counted_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = payments(spark, sf_dir)
-    return with_velocity(rows, total_rows=rows.count())
+    return with_velocity(payments(spark, sf_dir))
 
 
 def rule_high_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,8 +371,8 @@ QUERIES = {
     "velocity_count_bucketed": _counts("bucketed"),
     "velocity_count_linear": _counts("linear"),
     "velocity_count_wide": _counts("auto", seconds=3600),
-    "velocity_count_busy_user": _counts("auto", busy=True, hot_rows=100, max_hot_keys=1000),
-    "velocity_count_busy_user_wide": _counts("auto", seconds=3600, busy=True, hot_rows=100, max_hot_keys=1000),
+    "velocity_count_busy_user": _counts("auto", busy=True, hot_rows=100),
+    "velocity_count_busy_user_wide": _counts("auto", seconds=3600, busy=True, hot_rows=100),
     "rule_high_amount": rule_high_amount,
     "rule_velocity": rule_velocity,
     "fraud_reason": fraud_reasons,

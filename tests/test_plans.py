@@ -53,15 +53,12 @@ def test_no_nested_loops_in_blacklist(spark, silver):
         assert "Cartesian" not in text and "NestedLoop" not in text
 
 
-def test_counting_reads_the_keys_alone(silver):
-    read = columns_read(with_velocity(silver))
-    assert ("user_id",) in read
-    assert ("event_ts", "user_id") in read
-
-
-def test_known_small_input_is_one_window(silver):
-    text = plan(to_gold(silver, total_rows=silver.count()))
-    assert text.count("Exchange ") == 1 and "Join" not in text
+@pytest.mark.parametrize("seconds", [60, 3600])
+def test_rows_are_scanned_in_full_once(silver, seconds):
+    read = scans(with_velocity(silver, seconds))
+    wide = [s for s in read if len(s.split(",")) > 2]
+    assert len(wide) == 1
+    assert columns_read(with_velocity(silver, seconds)) <= {("event_ts", "user_id"), tuple(sorted(silver.columns))}
 
 
 def test_serving_and_training_read_their_columns(gold):

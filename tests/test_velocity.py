@@ -14,10 +14,10 @@ METHODS = ("auto", "bucketed", "linear")
 # Nothing hot, some keys hot, every key hot.
 SPREADS = (
     {},
-    {"hot_rows": 3, "max_hot_keys": 1000},
-    {"hot_rows": 3, "max_hot_keys": 1000, "cells": 8},
-    {"hot_rows": 0, "max_hot_keys": 10**9},
-    {"total_rows": 1000},
+    {"hot_rows": 3},
+    {"hot_rows": 3, "cells": 8},
+    {"hot_rows": 0},
+    {"hot_rows": 1, "cells": 1},
 )
 
 
@@ -97,20 +97,20 @@ def test_random_rows(spark, pairs, seconds):
     rows = [(str(i), u, s) for i, (u, s) in enumerate(pairs)]
     df = frame(spark, rows)
     for method in METHODS:
-        assert counts(df, seconds, method=method, hot_rows=1, max_hot_keys=100) == brute_force(rows, seconds)
+        assert counts(df, seconds, method=method, hot_rows=1) == brute_force(rows, seconds)
 
 
 @pytest.mark.parametrize("method", METHODS)
 def test_exact_copies_are_all_kept(spark, method):
     row = ("same", "u", 10)
     df = frame(spark, [row] * 500 + [("other", "u", 11)]).repartition(8)
-    result = with_velocity(df, method=method, hot_rows=100, max_hot_keys=1000)
+    result = with_velocity(df, method=method, hot_rows=100)
     got = result.groupBy("id", "tx_count_window").count().collect()
     assert {tuple(r) for r in got} == {("same", 500, 500), ("other", 501, 1)}
 
 
 def test_hot_rows_are_spread_over_tasks(spark):
-    """Copies of one row must not meet in one partition of the lookup join."""
+    """Copies of one row must not meet in one partition of the window."""
     rows = spark.range(0, 8000, 1, 8).select(
         F.lit("x").alias("id"), F.lit("u").alias("user_id"), F.timestamp_seconds(F.lit(7)).alias("event_ts")
     )
@@ -119,7 +119,7 @@ def test_hot_rows_are_spread_over_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        result = with_velocity(rows, hot_rows=1000, max_hot_keys=1000)
+        result = with_velocity(rows, hot_rows=1000)
         sizes = [r["count"] for r in result.groupBy(F.spark_partition_id()).count().collect()]
         assert sum(sizes) == 8000 and len(sizes) >= 3 and max(sizes) < 8000 / 2
         assert result.select("tx_count_window").distinct().collect()[0][0] == 8000
