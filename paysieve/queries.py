@@ -201,7 +201,7 @@ def _trained(spark: SparkSession, sf_dir: str, **options):
 
 def _features(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
     gold = _stored_gold(spark, sf_dir)
-    assembler, scaler, _ = model_ops.build_pipeline().getStages()
+    assembler, scaler, _ = model_ops.build_pipeline(handle_invalid="error").getStages()
     assembled = assembler.transform(gold)
     scaled = scaler.fit(assembled).transform(assembled)
     values = vector_to_array(column)
@@ -229,11 +229,45 @@ def _terms(spark: SparkSession, model: PipelineModel, digits: int) -> DataFrame:
     return spark.createDataFrame(rows, "term string, value double")
 
 
-def _coefficients(digits: int, **options):
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _terms(spark, _trained(spark, sf_dir, **options)[1], digits)
+def model_coefficients_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _terms(spark, _trained(spark, sf_dir, **CONVERGED)[1], 4)
 
-    return query
+
+# Ten iterations end this close to the converged fit: coefficients and probabilities.
+NEAR_TERM, NEAR_PROBABILITY = 0.02, 0.001
+
+
+def _near_terms(spark: SparkSession, gold: DataFrame, model: PipelineModel) -> DataFrame:
+    """The converged fit, and whether the model's coefficients are near."""
+    converged = dict(model_ops.coefficients(model_ops.train(model_ops.with_label(gold), **CONVERGED)))
+    rows = [(n, round(converged[n], 4), abs(v - converged[n]) < NEAR_TERM) for n, v in model_ops.coefficients(model)]
+    return spark.createDataFrame(rows, "term string, value double, near boolean")
+
+
+def _checked(gold: DataFrame, scored: DataFrame) -> DataFrame:
+    """``scored`` with whether its probability is near the converged fit's, and
+    no prediction where that is as near to one half."""
+    model = model_ops.train(model_ops.with_label(gold), **CONVERGED)
+    plain = scored.select(
+        "event_id",
+        "user_id",
+        "amount",
+        "tx_count_window",
+        "fraud_reason",
+        F.col("prediction").alias("given"),
+        F.col("fraud_probability").alias("own"),
+    )
+    p = F.col("fraud_probability")
+    return (
+        model_ops.score(model, plain)
+        .withColumn("near", F.abs(F.col("own") - p) < NEAR_PROBABILITY)
+        .withColumn("prediction", F.when(F.abs(p - 0.5) >= NEAR_PROBABILITY, F.col("given")))
+    )
+
+
+def model_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold, model = _trained(spark, sf_dir)
+    return _near_terms(spark, gold, model)
 
 
 def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,7 +283,7 @@ def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = _scored(spark, sf_dir, **CONVERGED)
-    return scored.select("event_id", "prediction", F.round("fraud_probability", 2).alias("fraud_probability"))
+    return scored.select("event_id", "prediction", F.round("fraud_probability", 3).alias("fraud_probability"))
 
 
 def _scored(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -258,13 +292,9 @@ def _scored(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir).select(
-        "event_id",
-        "amount",
-        "tx_count_window",
-        "prediction",
-        F.round("fraud_probability", 6).alias("fraud_probability"),
-    )
+    gold, model = _trained(spark, sf_dir)
+    checked = _checked(gold, model_ops.score(model, gold))
+    return checked.select("event_id", "amount", "tx_count_window", "prediction", "near")
 
 
 def prediction_serving_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +309,7 @@ def _measures(spark: SparkSession, measures: dict[str, float]) -> DataFrame:
 def model_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained on four fifths, measured on the rest."""
     train, test = model_ops.split(model_ops.with_label(_stored_gold(spark, sf_dir)))
-    return _measures(spark, model_ops.evaluate(model_ops.train(train), test))
+    return _measures(spark, model_ops.evaluate(model_ops.train(train, **CONVERGED), test))
 
 
 def _captured_after_all(payments: DataFrame) -> DataFrame:
@@ -292,7 +322,7 @@ def model_evaluation_outside_labels(spark: SparkSession, sf_dir: str) -> DataFra
     """The rule-trained model measured against labels from another table."""
     gold, model = _trained(spark, sf_dir, **CONVERGED)
     labelled = model_ops.with_label(gold, _captured_after_all(payments(spark, sf_dir)))
-    return _measures(spark, model_ops.evaluate(model, labelled, bins=0))
+    return _measures(spark, model_ops.evaluate(model, labelled))
 
 
 # Jobs
@@ -300,7 +330,7 @@ def model_evaluation_outside_labels(spark: SparkSession, sf_dir: str) -> DataFra
 
 def _layers(spark: SparkSession, landing: str = "") -> PipelineConfig:
     names = ("bronze", "silver", "gold", "model", "predictions")
-    return PipelineConfig(landing=landing, **{n: scratch_path(spark, n) for n in names}, **CONVERGED)
+    return PipelineConfig(landing=landing, **{n: scratch_path(spark, n) for n in names})
 
 
 def _redelivered_landing(spark: SparkSession, sf_dir: str) -> str:
@@ -326,13 +356,14 @@ def job_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The coefficients of the model as saved and loaded again."""
-    path = run_train(spark, _gold_layer(spark, sf_dir))
-    return _terms(spark, load_model(spark, path), 4)
+    cfg = _gold_layer(spark, sf_dir)
+    path = run_train(spark, cfg)
+    return _near_terms(spark, read_layer(spark, cfg.gold), load_model(spark, path))
 
 
 def _scored_layer(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    columns = ("event_id", "user_id", "tx_count_window", "fraud_reason", "prediction")
-    return read_layer(spark, cfg.predictions).select(*columns)
+    checked = _checked(read_layer(spark, cfg.gold), read_layer(spark, cfg.predictions))
+    return checked.select("event_id", "user_id", "tx_count_window", "fraud_reason", "prediction", "near")
 
 
 def job_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,8 +413,8 @@ QUERIES = {
     "train_label": train_label,
     "features_assembled": features_assembled,
     "features_scaled": features_scaled,
-    "model_coefficients": _coefficients(6),
-    "model_coefficients_converged": _coefficients(4, **CONVERGED),
+    "model_coefficients": model_coefficients,
+    "model_coefficients_converged": model_coefficients_converged,
     "predictions": predictions,
     "predictions_converged": predictions_converged,
     "prediction_serving_view": prediction_serving_view,
@@ -439,12 +470,12 @@ def _from_rules(select: str) -> str:
     return f"WITH {_P}, {_counted()}, {_RULED} {select}"
 
 
-def _from_fit(select: str) -> str:
-    """Newton steps for the logistic regression on the scaled features."""
+def _from_fit(select: str, training: str = "TRUE") -> str:
+    """Newton steps for the logistic regression on the scaled features, over the rows that meet ``training``."""
     return f"""WITH RECURSIVE {_P}, {_counted()}, {_RULED},
-x AS (SELECT event_id, CAST(is_fraud AS INTEGER) AS y,
-    amount / (SELECT stddev_samp(amount) FROM f) AS u,
-    tx_count_window / (SELECT stddev_samp(tx_count_window) FROM f) AS v FROM f),
+x AS (SELECT event_id, CAST(is_fraud AS INTEGER) AS y, {training} AS taught,
+    amount / (SELECT stddev_samp(amount) FROM f WHERE {training}) AS u,
+    tx_count_window / (SELECT stddev_samp(tx_count_window) FROM f WHERE {training}) AS v FROM f),
 fit(step, a, b, c) AS (
     SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
     UNION ALL
@@ -458,7 +489,7 @@ fit(step, a, b, c) AS (
             sum(w * u) AS u1, sum(w * v) AS v1, sum(w) AS n,
             sum((y - q) * u) AS gu, sum((y - q) * v) AS gv, sum(y - q) AS g1
             FROM (SELECT *, q * (1 - q) AS w
-                FROM (SELECT fit.*, x.*, 1 / (1 + exp(-(a * u + b * v + c))) AS q FROM fit, x))
+                FROM (SELECT fit.*, x.*, 1 / (1 + exp(-(a * u + b * v + c))) AS q FROM fit, x WHERE taught))
             GROUP BY step, a, b, c))
     WHERE step < 20),
 done AS (SELECT a, b, c FROM fit ORDER BY step DESC LIMIT 1)
@@ -468,9 +499,30 @@ done AS (SELECT a, b, c FROM fit ORDER BY step DESC LIMIT 1)
 _TERMS = _from_fit("""SELECT 'amount' AS term, round(a, 4) AS value FROM done
     UNION ALL SELECT 'tx_count_window', round(b, 4) FROM done
     UNION ALL SELECT 'intercept', round(c, 4) FROM done""")
-_SCORED = _from_fit("""SELECT event_id, user_id, tx_count_window, fraud_reason,
-    CAST(1 / (1 + exp(-(a * u + b * v + c))) > 0.5 AS DOUBLE) AS prediction
-FROM x JOIN f USING (event_id), done""")
+_NEAR_TERMS = f"SELECT *, TRUE AS near FROM ({_TERMS})"
+_CHECKED = f"CASE WHEN abs(q - 0.5) >= {NEAR_PROBABILITY} THEN CAST(q > 0.5 AS DOUBLE) END AS prediction, TRUE AS near"
+_FITTED = "(SELECT event_id, 1 / (1 + exp(-(a * u + b * v + c))) AS q FROM x, done)"
+_SCORED = _from_fit(f"""SELECT event_id, user_id, tx_count_window, fraud_reason, {_CHECKED}
+FROM {_FITTED} JOIN f USING (event_id)""")
+
+
+def _measured(fraud: str, rows: str, training: str = "TRUE") -> str:
+    """Confusion counts and the area under the curve by ranks."""
+    return _from_fit(
+        f"""SELECT measure, value FROM (
+    SELECT count(*) FILTER (z AND s > 0) AS tp, count(*) FILTER (NOT z AND s > 0) AS fp,
+        count(*) FILTER (NOT z AND s <= 0) AS tn, count(*) FILTER (z AND s <= 0) AS fn, 0 AS unscored,
+        round((sum(place) FILTER (z) - count(*) FILTER (z) * (count(*) FILTER (z) + 1) / 2)
+            / (count(*) FILTER (z) * count(*) FILTER (NOT z)), 6) AS auc
+    FROM (SELECT *, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2 AS place
+        FROM (SELECT a * u + b * v + c AS s, {fraud} AS z FROM x JOIN p USING (event_id), done WHERE {rows})))
+UNPIVOT (value FOR measure IN (CAST(tp AS DOUBLE) AS tp, CAST(fp AS DOUBLE) AS fp, CAST(tn AS DOUBLE) AS tn,
+    CAST(fn AS DOUBLE) AS fn, CAST(unscored AS DOUBLE) AS unscored, auc))""",
+        training,
+    )
+
+
+_HELD_OUT = "('0x' || md5(event_id)[1:8])::BIGINT % 10000 < 2000"
 _ROWS = _from_payments(f"SELECT {_COLUMNS}, epoch_us(event_ts) AS event_us FROM p")
 _COUNTS = "SELECT event_id, tx_count_window FROM g"
 
@@ -513,17 +565,13 @@ SELECT {_COLUMNS}, epoch_us(event_ts) AS event_us FROM ranked WHERE place = 1"""
     "model_coefficients_converged": _TERMS,
     "model_versions": _from_fit("""SELECT 2 AS version, round(a, 4) AS a, round(b, 4) AS b, round(c, 4) AS c
 FROM done"""),
-    "model_evaluation_outside_labels": _from_fit("""SELECT measure, value FROM (
-    SELECT count(*) FILTER (z AND s > 0) AS tp, count(*) FILTER (NOT z AND s > 0) AS fp,
-        count(*) FILTER (NOT z AND s <= 0) AS tn, count(*) FILTER (z AND s <= 0) AS fn,
-        round((sum(place) FILTER (z) - count(*) FILTER (z) * (count(*) FILTER (z) + 1) / 2)
-            / (count(*) FILTER (z) * count(*) FILTER (NOT z)), 6) AS auc
-    FROM (SELECT *, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2 AS place
-        FROM (SELECT a * u + b * v + c AS s, status <> 'captured' AS z FROM x JOIN p USING (event_id), done)))
-UNPIVOT (value FOR measure IN (CAST(tp AS DOUBLE) AS tp, CAST(fp AS DOUBLE) AS fp, CAST(tn AS DOUBLE) AS tn,
-    CAST(fn AS DOUBLE) AS fn, auc))"""),
+    "model_coefficients": _NEAR_TERMS,
+    "model_evaluation": _measured("y = 1", "NOT taught", f"NOT ({_HELD_OUT})"),
+    "model_evaluation_outside_labels": _measured("status <> 'captured'", "TRUE"),
+    "predictions": _from_fit(f"""SELECT event_id, amount, tx_count_window, {_CHECKED}
+FROM {_FITTED} JOIN f USING (event_id)"""),
     "predictions_converged": _from_fit("""SELECT event_id, CAST(q > 0.5 AS DOUBLE) AS prediction,
-    round(q, 2) AS fraud_probability
+    round(q, 3) AS fraud_probability
 FROM (SELECT event_id, 1 / (1 + exp(-(a * u + b * v + c))) AS q FROM x, done)"""),
     "prediction_serving_view": _from_fit("""SELECT event_id, user_id,
     CAST(1 / (1 + exp(-(a * u + b * v + c))) > 0.5 AS DOUBLE) AS prediction
@@ -546,7 +594,7 @@ SELECT count(*) AS n_rows, count(*) FILTER (event_id IS NULL) AS null_event_id,
 FROM twice""",
     "job_ingest": _ROWS,
     "stream_ingest": _ROWS,
-    "job_train": _TERMS,
+    "job_train": _NEAR_TERMS,
     "job_score": _SCORED,
     "job_all": _SCORED,
     "job_gold": _from_rules(f"""SELECT {_COLUMNS}, epoch_us(event_ts) AS event_us, tx_count_window,
