@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import SparkSession
+
 
 @dataclass(frozen=True)
 class RuleSettings:
@@ -27,11 +29,13 @@ class StoreSettings:
 class JdbcTarget:
     """One serving table.
 
-    ``mode``: "append", "skip_existing" or "staged" (see ``sources.jdbc``).
-    ``num_partitions`` caps the parallel connections of a write or key read.
-    ``key_predicates`` are WHERE clauses that together cover the table, e.g.
-    ``MOD(CRC32(event_id), 64) = 0`` and so on: reads use one task per clause.
-    Without them "skip_existing" derives key ranges from the batch.
+    ``mode``: "append", "skip_existing", "staged" or "upsert" (see ``sources.jdbc``).
+    ``num_partitions`` is the number of parallel connections of a write or key read.
+    ``key_predicates`` are WHERE clauses that together cover the table: reads
+    use one task per clause.  Without them "skip_existing" makes its own, with
+    the database's hash of the key if ``key_hash`` gives one (``{key}`` stands
+    for the column), else from ranges of the batch's keys.  ``fetch_size``: rows
+    that a read holds at a time; some drivers hold the whole result without.
     """
 
     url: str
@@ -45,6 +49,9 @@ class JdbcTarget:
     num_partitions: int | None = 32
     column_types: str | None = None
     key_predicates: tuple[str, ...] = ()
+    key_hash: str = ""
+    index_key: bool = False
+    fetch_size: int = 10_000
 
     def options(self) -> dict[str, str]:
         opts = {"url": self.url, "dbtable": self.table, "driver": self.driver}
@@ -54,6 +61,9 @@ class JdbcTarget:
             opts["password"] = self.password
         return opts
 
+    def read_options(self) -> dict[str, str]:
+        return {**self.options(), "fetchsize": str(self.fetch_size)}
+
     def write_options(self) -> dict[str, str]:
         opts = {**self.options(), "batchsize": str(self.batch_size)}
         if self.num_partitions:
@@ -66,6 +76,7 @@ class JdbcTarget:
 def mariadb_target(host: str, database: str, table: str, user: str, password: str, **extra) -> JdbcTarget:
     # Address format, port and driver class for MariaDB.  The
     # mysql prefix makes Spark use its MySQL dialect with the MariaDB driver.
+    extra = {"key_hash": "CRC32({key})", **extra}
     return JdbcTarget(
         url=f"jdbc:mysql://{host}:3306/{database}?permitMysqlScheme=true",
         driver="org.mariadb.jdbc.Driver",
@@ -83,7 +94,10 @@ class PipelineConfig:
     ``bad_records``: "keep" lets malformed lines through as all-NULL rows;
     "quarantine" moves them, with the raw line, to ``quarantine``.
     ``dedup``: "latest" (reproducible) or "any" (an arbitrary survivor).
-    ``features``, if given, is where training stores the rows it learns from.
+    ``features``, if given, is where training stores the rows it learns from,
+    ``quality`` where ingestion stores its counts on silver, and ``blacklist``
+    a layer of listed users that gold rows are marked by.
+    ``serve_probability`` adds ``fraud_probability`` to the predictions' serving table.
     """
 
     landing: str = ""
@@ -94,6 +108,9 @@ class PipelineConfig:
     predictions: str = ""
     quarantine: str = ""
     features: str = ""
+    quality: str = ""
+    blacklist: str = ""
+    serve_probability: bool = False
     bad_records: str = "keep"
     dedup: str = "latest"
     rules: RuleSettings = RuleSettings()
@@ -107,7 +124,7 @@ class PipelineConfig:
             p.rstrip("/")
             for p in (
                 self.landing, self.bronze, self.silver, self.gold,
-                self.model, self.predictions, self.quarantine, self.features,
+                self.model, self.predictions, self.quarantine, self.features, self.quality, self.blacklist,
             )
             if p
         ]
@@ -132,16 +149,16 @@ ENGINE_CONF = {
 
 MIB, GIB = 1 << 20, 1 << 30
 MIN_SHUFFLE_PARTITIONS = 200
-MAX_SHUFFLE_PARTITIONS = 50_000
+# 512 MiB each up to 100 TB, beyond that more: every partition is fetched from every map task.
+MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def sizing_conf(input_bytes: int) -> dict[str, str]:
     """Partition sizes for an input of that many bytes.
 
     AQE merges small shuffle partitions but does not split large ones, so the
-    number must fit the input from the start: about 512 MiB each, and at most
-    50,000, as every one of them is fetched from every map task.  For the same
-    reason scan tasks grow with the input, from 128 MiB to 1 GiB.
+    number must fit the input from the start: about 512 MiB each.  Scan tasks
+    grow with the input, from 128 MiB to 1 GiB: at 100 TB these are 100,000.
     """
     shuffles = -(-input_bytes // (512 * MIB))
     shuffles = min(max(shuffles, MIN_SHUFFLE_PARTITIONS), MAX_SHUFFLE_PARTITIONS)
@@ -153,6 +170,23 @@ def sizing_conf(input_bytes: int) -> dict[str, str]:
     }
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """What lies under a path, by its file system's own summary."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getContentSummary(place).getLength() if system.exists(place) else 0
+
+
+# Parquet is several times smaller than the rows that are shuffled.
+EXPANSION = 4
+
+
+def size_session(spark: SparkSession, path: str, *, expansion: int = EXPANSION) -> None:
+    """Fit the session's partitions to the input, before anything is shuffled."""
+    for key, value in sizing_conf(expansion * stored_bytes(spark, path)).items():
+        spark.conf.set(key, value)
+
+
 def spark_conf(store: StoreSettings | None = None, *, input_bytes: int | None = None) -> dict[str, str]:
     """Session settings, to be passed to ``SparkSession.builder.config(map=…)``."""
     conf = dict(ENGINE_CONF)

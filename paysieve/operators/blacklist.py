@@ -7,21 +7,23 @@ from pyspark.sql import functions as F
 
 from paysieve.operators.lookup import HOT_ROWS, MAX_HOT_KEYS, hot_only, lookup_join
 
-MAX_BROADCAST_USERS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 64  # of a row besides its text
 
 
 def with_blacklist(
     payments: DataFrame,
     blacklist: DataFrame,
     *,
-    max_broadcast_users: int = MAX_BROADCAST_USERS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Add ``blacklist_reason``, ``blacklist_severity`` and ``is_blacklisted``.
 
-    The list is broadcast when counting shows it to be small, which costs one
-    short job; a longer one is joined by shuffle, with busy users spread out.
+    The list is broadcast when it measures no more than ``max_broadcast_bytes``,
+    which costs one short job; a longer one is joined by shuffle, with busy
+    users spread out.  The result is the same.
     A user listed twice counts by the latest entry.
     """
     latest = F.max_by(F.struct("reason", "severity"), F.struct("added_at", "reason", "severity"))
@@ -37,7 +39,8 @@ def with_blacklist(
         )
     )
     payload = ["blacklist_reason", "blacklist_severity", "is_blacklisted"]
-    if blacklist.limit(max_broadcast_users + 1).count() <= max_broadcast_users:
+    text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in ("user_id", "reason", "severity")), F.lit(ROW_BYTES))
+    if (blacklist.agg(F.sum(text)).first()[0] or 0) <= max_broadcast_bytes:
         joined = payments.join(F.broadcast(listed), F.col("user_id") == F.col("__user"), "left").drop("__user")
     else:
         per_user = payments.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))

@@ -1,4 +1,4 @@
-"""Command lines for ``spark-submit``; options not known are ignored.
+"""Command lines for ``spark-submit``; options not known are ignored, but not those of a database.
 
     spark-submit … paysieve/plans/cli.py gold --silver … --gold … --jdbc-host …
 """
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from paysieve.config import GIB, JdbcTarget, PipelineConfig, StoreSettings, mariadb_target, spark_conf
+from paysieve.config import GIB, JdbcTarget, PipelineConfig, StoreSettings, mariadb_target, size_session, spark_conf
 from paysieve.plans.jobs import run_all, run_gold, run_ingest, run_score, run_train
 
 SECRET_VARIABLES = {
@@ -27,16 +27,20 @@ def _store_options(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--store-secret-key", "--minio-secret-key", dest="store_secret_key")
 
 
-def _jdbc_options(parser: argparse.ArgumentParser) -> None:
+def _jdbc_options(parser: argparse.ArgumentParser, *tables: str) -> None:
     parser.add_argument("--jdbc-host")
     parser.add_argument("--jdbc-db")
     parser.add_argument("--jdbc-url", help="full address, instead of host and database")
     parser.add_argument("--jdbc-driver")
     parser.add_argument("--jdbc-user", default="")
     parser.add_argument("--jdbc-pass")
-    parser.add_argument("--jdbc-table")
-    parser.add_argument("--jdbc-mode", default="append", choices=["append", "skip_existing", "staged"])
-    parser.add_argument("--jdbc-connections", type=int, default=32, help="most parallel connections of a write")
+    for table in tables:
+        parser.add_argument(f"--jdbc-{table}")
+    parser.add_argument("--jdbc-mode", default="append", choices=["append", "skip_existing", "staged", "upsert"])
+    parser.add_argument("--jdbc-key", default="event_id")
+    parser.add_argument("--jdbc-column-types", help="as in CREATE TABLE, where the default for text will not do")
+    parser.add_argument("--jdbc-index-key", action="store_true", help="index tables that are created by their key")
+    parser.add_argument("--jdbc-connections", type=int, default=32, help="parallel connections of a write")
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -48,11 +52,13 @@ def build_parser() -> argparse.ArgumentParser:
         ingest.add_argument(f"--{name}", required=True)
     ingest.add_argument("--quarantine", help="move malformed records here instead of keeping them")
     ingest.add_argument("--dedup", default="latest", choices=["latest", "any"])
+    ingest.add_argument("--quality", help="store counts on silver here")
 
     gold = jobs.add_parser("gold")
     for name in ("silver", "gold"):
         gold.add_argument(f"--{name}", required=True)
-    _jdbc_options(gold)
+    gold.add_argument("--blacklist", help="layer of listed users")
+    _jdbc_options(gold, "table")
 
     train = jobs.add_parser("train")
     train.add_argument("--gold", required=True)
@@ -65,17 +71,22 @@ def build_parser() -> argparse.ArgumentParser:
     score.add_argument("--model", required=True)
     score.add_argument("--output", required=True, dest="predictions")
     score.add_argument("--version")
-    _jdbc_options(score)
+    score.add_argument("--serve-probability", action="store_true")
+    _jdbc_options(score, "table")
 
     everything = jobs.add_parser("all")
     for name in ("landing", "bronze", "silver", "gold", "model", "predictions"):
         everything.add_argument(f"--{name}", required=True)
     everything.add_argument("--quarantine")
     everything.add_argument("--dedup", default="latest", choices=["latest", "any"])
+    everything.add_argument("--quality")
+    everything.add_argument("--blacklist")
+    everything.add_argument("--serve-probability", action="store_true")
+    _jdbc_options(everything, "gold-table", "predictions-table")
 
     for job in jobs.choices.values():
         _store_options(job)
-        job.add_argument("--input-gb", type=float, help="size of the input, to size partitions by")
+        job.add_argument("--input-gb", type=float, help="size of the input, if not to be looked up")
     return parser
 
 
@@ -94,38 +105,61 @@ def _store(args: argparse.Namespace) -> StoreSettings | None:
     return StoreSettings(args.store_endpoint, args.store_access_key, args.store_secret_key)
 
 
-def _target(args: argparse.Namespace) -> JdbcTarget | None:
-    if not getattr(args, "jdbc_table", None):
-        return None
-    extra = {"mode": args.jdbc_mode, "num_partitions": args.jdbc_connections}
+def _target(args: argparse.Namespace, table: str) -> JdbcTarget:
+    extra = {
+        "mode": args.jdbc_mode,
+        "num_partitions": args.jdbc_connections,
+        "key": args.jdbc_key,
+        "column_types": args.jdbc_column_types,
+        "index_key": args.jdbc_index_key,
+    }
     password = args.jdbc_pass or ""
     if args.jdbc_url:
         if not args.jdbc_driver:
             raise SystemExit("--jdbc-url needs --jdbc-driver")
-        return JdbcTarget(args.jdbc_url, args.jdbc_table, args.jdbc_driver, args.jdbc_user, password, **extra)
+        return JdbcTarget(args.jdbc_url, table, args.jdbc_driver, args.jdbc_user, password, **extra)
     if not (args.jdbc_host and args.jdbc_db):
-        raise SystemExit("--jdbc-table needs --jdbc-host and --jdbc-db, or --jdbc-url")
-    return mariadb_target(args.jdbc_host, args.jdbc_db, args.jdbc_table, args.jdbc_user, password, **extra)
+        raise SystemExit("a serving table needs --jdbc-host and --jdbc-db, or --jdbc-url")
+    return mariadb_target(args.jdbc_host, args.jdbc_db, table, args.jdbc_user, password, **extra)
+
+
+def _targets(args: argparse.Namespace) -> dict[str, JdbcTarget]:
+    """The serving tables by the setting they belong to; an address without a table is refused."""
+    fields = {
+        "gold": {"gold_jdbc": "jdbc_table"},
+        "score": {"predictions_jdbc": "jdbc_table"},
+        "all": {"gold_jdbc": "jdbc_gold_table", "predictions_jdbc": "jdbc_predictions_table"},
+    }.get(args.job, {})
+    found = {field: _target(args, getattr(args, option)) for field, option in fields.items() if getattr(args, option)}
+    if fields and not found and (args.jdbc_host or args.jdbc_db or args.jdbc_url):
+        raise SystemExit("a database is given but no table: " + ", ".join("--" + o.replace("_", "-") for o in fields.values()))
+    return found
 
 
 def config_from(args: argparse.Namespace) -> PipelineConfig:
-    names = ("landing", "bronze", "silver", "gold", "model", "predictions", "quarantine", "features", "dedup")
+    names = (
+        "landing", "bronze", "silver", "gold", "model", "predictions", "quarantine", "features", "quality", "blacklist",
+        "serve_probability", "dedup",
+    )
     given = {n: getattr(args, n) for n in names if getattr(args, n, None)}
     if "quarantine" in given:
         given["bad_records"] = "quarantine"
-    target = _target(args)
-    if target:
-        given["gold_jdbc" if args.job == "gold" else "predictions_jdbc"] = target
-    return PipelineConfig(**given)
+    return PipelineConfig(**given, **_targets(args))
 
 
-def main(argv: Sequence[str] | None = None) -> None:
-    args, _ = build_parser().parse_known_args(argv)
-    args = _with_secrets(args)
+def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
+    parser = build_parser()
+    args, unknown = parser.parse_known_args(argv)
+    lost = [o for o in unknown if o.startswith("--jdbc")]
+    if lost:
+        parser.error(f"{args.job} has no use for {', '.join(lost)}")
+    return _with_secrets(args)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     cfg = config_from(args)
-    input_bytes = None if args.input_gb is None else int(args.input_gb * GIB)
-    conf = spark_conf(_store(args), input_bytes=input_bytes)
-    spark = SparkSession.builder.appName(f"paysieve-{args.job}").config(map=conf).getOrCreate()
+    if args.input_gb is None:
+        size_session(spark, {"ingest": cfg.landing, "all": cfg.landing, "gold": cfg.silver}.get(args.job, cfg.gold))
     if args.job == "ingest":
         run_ingest(spark, cfg)
     elif args.job == "gold":
@@ -137,7 +171,17 @@ def main(argv: Sequence[str] | None = None) -> None:
         run_score(spark, cfg, version=version)
     else:
         run_all(spark, cfg)
-    spark.stop()
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    args = parse(argv)
+    input_bytes = None if args.input_gb is None else int(args.input_gb * GIB)
+    conf = spark_conf(_store(args), input_bytes=input_bytes)
+    spark = SparkSession.builder.appName(f"paysieve-{args.job}").config(map=conf).getOrCreate()
+    try:
+        run(spark, args)
+    finally:
+        spark.stop()
 
 
 if __name__ == "__main__":

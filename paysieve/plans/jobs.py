@@ -11,7 +11,9 @@ from paysieve.config import PipelineConfig
 from paysieve.functions.times import new_batch_ts
 from paysieve.operators import gold as gold_ops
 from paysieve.operators import model as model_ops
+from paysieve.operators.blacklist import with_blacklist
 from paysieve.operators.cleaning import accepted, rejected, to_silver
+from paysieve.operators.quality import silver_report
 from paysieve.operators.registry import load_model, save_model
 from paysieve.sources import read_landing, read_layer, write_jdbc, write_layer
 
@@ -37,17 +39,21 @@ def run_ingest(spark: SparkSession, cfg: PipelineConfig, *, batch_ts: datetime |
         write_layer(rejected(bronze), cfg.quarantine)
         bronze = accepted(bronze)
     write_layer(to_silver(bronze, batch_ts=batch_ts or new_batch_ts(), keep=cfg.dedup), cfg.silver)
+    if cfg.quality:
+        write_layer(silver_report(read_layer(spark, cfg.silver)), cfg.quality)
     return True
 
 
 def run_gold(spark: SparkSession, cfg: PipelineConfig, *, batch_ts: datetime | None = None) -> None:
     """Silver -> gold and its serving table.
 
-    Counting silver reads the Parquet footers only.  Gold is read back for the serving table: computed once, the same rows in
+    Gold is read back for the serving table: computed once, the same rows in
     both, and a short lineage for the database write.
     """
     silver = read_layer(spark, cfg.silver)
     gold = gold_ops.to_gold(silver, cfg.rules, batch_ts=batch_ts or new_batch_ts())
+    if cfg.blacklist:
+        gold = with_blacklist(gold, read_layer(spark, cfg.blacklist))
     write_layer(gold, cfg.gold)
     if cfg.gold_jdbc:
         write_jdbc(gold_ops.serving_view(read_layer(spark, cfg.gold)), cfg.gold_jdbc)
@@ -72,7 +78,8 @@ def run_score(spark: SparkSession, cfg: PipelineConfig, *, version: int | str |
     scored = model_ops.score(model, source, velocity_seconds=cfg.rules.velocity_seconds)
     write_layer(scored, cfg.predictions)
     if cfg.predictions_jdbc:
-        write_jdbc(model_ops.serving_view(read_layer(spark, cfg.predictions)), cfg.predictions_jdbc)
+        view = model_ops.serving_view(read_layer(spark, cfg.predictions), probability=cfg.serve_probability)
+        write_jdbc(view, cfg.predictions_jdbc)
 
 
 def run_all(spark: SparkSession, cfg: PipelineConfig, *, batch_ts: datetime | None = None) -> bool:

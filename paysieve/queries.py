@@ -3,13 +3,15 @@ that DuckDB checks them with."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paysieve import fixtures
-from paysieve.config import JdbcTarget, PipelineConfig
+from paysieve.config import JdbcTarget, PipelineConfig, stored_bytes
 from paysieve.fixtures import as_landing, payments_from_events, payments_sql, with_busy_user
 from paysieve.functions.rules import fraud_reason, high_amount, is_fraud, velocity
 from paysieve.functions.times import epoch_seconds
@@ -24,7 +26,7 @@ from paysieve.operators.velocity import with_velocity
 from paysieve.plans import run_all, run_gold, run_ingest, run_score, run_train
 from paysieve.sources import read_jdbc, read_landing, read_layer, scratch_path, write_jdbc, write_layer
 from paysieve.sources.jdbc import with_ranges
-from paysieve.streaming import stream_to_bronze, stream_to_silver
+from paysieve.streaming import merge_silver, stream_to_bronze, stream_to_updates
 
 JDBC_CONF = "spark.paysieve.jdbc."
 
@@ -88,8 +90,11 @@ def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failed payments are retried two seconds later as captured, refunded
     ones arrive again with an earlier time."""
-    rows = payments(spark, sf_dir)
-    retried = (
+    return _with_micros(dedup(_retried(payments(spark, sf_dir))))
+
+
+def _retried(rows: DataFrame) -> DataFrame:
+    again = (
         rows.where(F.col("status") == "failed")
         .withColumn("event_ts", F.expr("event_ts + INTERVAL 2 SECONDS"))
         .withColumn("status", F.lit("captured"))
@@ -97,7 +102,7 @@ def silver_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     earlier = rows.where(F.col("status") == "refunded").withColumn(
         "event_ts", F.expr("event_ts - INTERVAL 3 SECONDS")
     )
-    return _with_micros(dedup(rows.unionByName(retried).unionByName(earlier)))
+    return rows.unionByName(again).unionByName(earlier)
 
 
 # Velocity and rules
@@ -172,9 +177,62 @@ def serving_jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_micros(read_jdbc(spark, with_ranges(view, target, "amount")))
 
 
-def blacklist_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = with_blacklist(payments(spark, sf_dir), fixtures.blacklist_seed(spark))
-    return marked.select("event_id", "user_id", "blacklist_reason", "blacklist_severity", "is_blacklisted")
+def serving_jdbc_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write, correct some rows (each twice in the batch), write again, read back."""
+    target = replace(_serving_target(spark, "payments_rerun"), mode="upsert", index_key=True)
+    view = gold_ops.serving_view(_stored_gold(spark, sf_dir))
+    write_jdbc(view, target)
+    corrected = view.where(F.col("fraud_reason") == "VELOCITY").withColumn("fraud_reason", F.lit("REVIEWED"))
+    write_jdbc(corrected.unionByName(corrected), target)
+    return _with_micros(read_jdbc(spark, with_ranges(view, target, "amount")))
+
+
+def _marked(**limits):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        marked = with_blacklist(payments(spark, sf_dir), fixtures.blacklist_seed(spark), **limits)
+        return marked.select("event_id", "user_id", "blacklist_reason", "blacklist_severity", "is_blacklisted")
+
+    return query
+
+
+def empty_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ingestion says, and leaves, of a landing folder without a row
+    (events filtered to none, which is the feature here), and of one with rows."""
+    rows, found = payments(spark, sf_dir), []
+    for name, some in (("none", rows.where("event_id IS NULL")), ("all", rows)):
+        cfg = _layers(spark, _landing_dir(spark, some))
+        ingested = run_ingest(spark, cfg)
+        found.append((name, ingested, stored_bytes(spark, cfg.bronze) > 0, stored_bytes(spark, cfg.silver) > 0))
+    return spark.createDataFrame(found, "landing string, ingested boolean, bronze boolean, silver boolean")
+
+
+def stamps_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load times of one run: how many, how many rows have none, whether gold's
+    serving view carries the same, and no earlier than ingestion's."""
+    cfg = _layers(spark, _landing_dir(spark, payments(spark, sf_dir)))
+    run_ingest(spark, cfg)
+    run_gold(spark, cfg)
+    gold = read_layer(spark, cfg.gold)
+    served = gold_ops.serving_view(gold).agg(F.max("gold_ts").alias("served"))
+    return (
+        gold.agg(
+            F.count_distinct("ingest_ts").alias("ingest_stamps"),
+            F.count_distinct("gold_ts").alias("gold_stamps"),
+            F.count_if(F.col("ingest_ts").isNull() | F.col("gold_ts").isNull()).alias("unstamped"),
+            F.max("gold_ts").alias("gold"),
+            F.max("ingest_ts").alias("ingest"),
+            F.count(F.lit(1)).alias("n_rows"),
+        )
+        .join(F.broadcast(served))
+        .select(
+            "ingest_stamps",
+            "gold_stamps",
+            "unstamped",
+            "n_rows",
+            (F.col("served") == F.col("gold")).alias("served_alike"),
+            (F.col("gold") >= F.col("ingest")).alias("in_order"),
+        )
+    )
 
 
 def silver_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -381,13 +439,18 @@ def job_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing, with repeated events, through both streams."""
-    landing = _redelivered_landing(spark, sf_dir)
-    bronze, silver, rejects, state = (scratch_path(spark, n) for n in ("bronze", "silver", "rejects", "state"))
-    stream_to_bronze(spark, landing, bronze, f"{state}/bronze").awaitTermination()
-    for query in stream_to_silver(spark, bronze, silver, rejects, state, delay="1 day"):
-        query.awaitTermination()
-    return _with_micros(read_layer(spark, silver))
+    """Landing, with retried and back-dated events and some without a time, in
+    several files and micro-batches, through the streams."""
+    rows = payments(spark, sf_dir)
+    untimed = F.col("payment_method") == "wallet"
+    rows = rows.withColumn("event_ts", F.when(~untimed | (F.col("status") != "captured"), F.col("event_ts")))
+    landing = scratch_path(spark, "landing")
+    as_landing(_retried(rows)).repartition(3).write.json(landing)
+    bronze, updates, silver, state = (scratch_path(spark, n) for n in ("bronze", "updates", "silver", "state"))
+    stream_to_bronze(spark, landing, bronze, f"{state}/bronze", max_files_per_trigger=1).awaitTermination()
+    stream_to_updates(spark, bronze, updates, f"{state}/updates", max_files_per_trigger=1).awaitTermination()
+    merge_silver(spark, updates, silver)
+    return _with_micros(read_layer(spark, silver)).fillna(-1, ["event_us"])
 
 
 QUERIES = {
@@ -421,7 +484,11 @@ QUERIES = {
     "model_evaluation": model_evaluation,
     "model_evaluation_outside_labels": model_evaluation_outside_labels,
     "model_versions": model_versions,
-    "blacklist_enriched": blacklist_enriched,
+    "blacklist_enriched": _marked(),
+    "blacklist_enriched_long_list": _marked(max_broadcast_bytes=1),
+    "serving_jdbc_rerun": serving_jdbc_rerun,
+    "empty_landing": empty_landing,
+    "stamps_constant": stamps_constant,
     "silver_quality_report": silver_quality_report,
     "job_ingest": job_ingest,
     "job_gold": job_gold,
@@ -526,6 +593,19 @@ _HELD_OUT = "('0x' || md5(event_id)[1:8])::BIGINT % 10000 < 2000"
 _ROWS = _from_payments(f"SELECT {_COLUMNS}, epoch_us(event_ts) AS event_us FROM p")
 _COUNTS = "SELECT event_id, tx_count_window FROM g"
 
+_LATEST = f"""arrivals AS (
+    SELECT * FROM {{source}}
+    UNION ALL SELECT * REPLACE (event_ts + INTERVAL 2 SECOND AS event_ts, 'captured' AS status)
+        FROM {{source}} WHERE status = 'failed'
+    UNION ALL SELECT * REPLACE (event_ts - INTERVAL 3 SECOND AS event_ts) FROM {{source}} WHERE status = 'refunded'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_ts DESC) AS place FROM arrivals)
+SELECT {_COLUMNS}, coalesce(epoch_us(event_ts), -1) AS event_us FROM ranked WHERE place = 1"""
+_LISTED = f"""WITH {_P}, listed(user_id, reason, severity) AS (VALUES
+    ('user_5', 'High chargeback rate', 'HIGH'), ('user_12', 'Suspicious login pattern', 'MEDIUM'))
+SELECT p.event_id, p.user_id, reason AS blacklist_reason, severity AS blacklist_severity,
+    listed.user_id IS NOT NULL AS is_blacklisted
+FROM p LEFT JOIN listed ON p.user_id = listed.user_id"""
+
 ORACLES = {
     "landing_json_scan": _from_payments(
         f"SELECT {_COLUMNS}, strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') AS event_ts FROM p"
@@ -537,13 +617,7 @@ ORACLES = {
         "SELECT event_id, CAST(floor(epoch(event_ts)) AS BIGINT) AS event_second FROM p"
     ),
     "silver_dedup": _ROWS,
-    "silver_dedup_latest": f"""WITH {_P}, arrivals AS (
-    SELECT * FROM p
-    UNION ALL SELECT * REPLACE (event_ts + INTERVAL 2 SECOND AS event_ts, 'captured' AS status)
-        FROM p WHERE status = 'failed'
-    UNION ALL SELECT * REPLACE (event_ts - INTERVAL 3 SECOND AS event_ts) FROM p WHERE status = 'refunded'),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_ts DESC) AS place FROM arrivals)
-SELECT {_COLUMNS}, epoch_us(event_ts) AS event_us FROM ranked WHERE place = 1""",
+    "silver_dedup_latest": f"WITH {_P}, {_LATEST.format(source='p')}",
     "velocity_count": _from_counts(_COUNTS),
     "velocity_count_bucketed": _from_counts(_COUNTS),
     "velocity_count_linear": _from_counts(_COUNTS),
@@ -576,11 +650,14 @@ FROM (SELECT event_id, 1 / (1 + exp(-(a * u + b * v + c))) AS q FROM x, done)"""
     "prediction_serving_view": _from_fit("""SELECT event_id, user_id,
     CAST(1 / (1 + exp(-(a * u + b * v + c))) > 0.5 AS DOUBLE) AS prediction
 FROM x JOIN f USING (event_id), done"""),
-    "blacklist_enriched": f"""WITH {_P}, listed(user_id, reason, severity) AS (VALUES
-    ('user_5', 'High chargeback rate', 'HIGH'), ('user_12', 'Suspicious login pattern', 'MEDIUM'))
-SELECT p.event_id, p.user_id, reason AS blacklist_reason, severity AS blacklist_severity,
-    listed.user_id IS NOT NULL AS is_blacklisted
-FROM p LEFT JOIN listed ON p.user_id = listed.user_id""",
+    "blacklist_enriched": _LISTED,
+    "blacklist_enriched_long_list": _LISTED,
+    "serving_jdbc_rerun": _from_rules(f"""SELECT {_SERVING} FROM (SELECT * REPLACE (
+    CASE fraud_reason WHEN 'VELOCITY' THEN 'REVIEWED' ELSE fraud_reason END AS fraud_reason) FROM f)"""),
+    "empty_landing": _from_payments("""SELECT 'none' AS landing, FALSE AS ingested, FALSE AS bronze, FALSE AS silver
+    UNION ALL SELECT 'all', count(*) > 0, count(*) > 0, count(*) > 0 FROM p"""),
+    "stamps_constant": _from_payments("""SELECT 1::BIGINT AS ingest_stamps, 1::BIGINT AS gold_stamps,
+    0::BIGINT AS unstamped, count(*) AS n_rows, TRUE AS served_alike, TRUE AS in_order FROM p"""),
     "silver_quality_report": f"""WITH {_P}, {_BUSY}, twice AS (
     SELECT * FROM busy UNION ALL SELECT * FROM busy WHERE status = 'failed')
 SELECT count(*) AS n_rows, count(*) FILTER (event_id IS NULL) AS null_event_id,
@@ -593,7 +670,9 @@ SELECT count(*) AS n_rows, count(*) FILTER (event_id IS NULL) AS null_event_id,
     count(*) FILTER (status IS NULL OR status NOT IN ('captured', 'failed', 'refunded')) AS unknown_status
 FROM twice""",
     "job_ingest": _ROWS,
-    "stream_ingest": _ROWS,
+    "stream_ingest": f"""WITH {_P}, t AS (SELECT * REPLACE (
+    CASE WHEN payment_method <> 'wallet' OR status <> 'captured' THEN event_ts END AS event_ts) FROM p),
+{_LATEST.format(source="t")}""",
     "job_train": _NEAR_TERMS,
     "job_score": _SCORED,
     "job_all": _SCORED,

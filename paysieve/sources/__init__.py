@@ -3,6 +3,6 @@
 from paysieve.sources.jdbc import read_jdbc, write_jdbc
 from paysieve.sources.landing import read_landing
 from paysieve.sources.layers import read_layer, write_layer
-from paysieve.sources.scratch import scratch_path
+from paysieve.sources.scratch import remove_scratch, scratch_path
 
-__all__ = ["read_jdbc", "read_landing", "read_layer", "scratch_path", "write_jdbc", "write_layer"]
+__all__ = ["read_jdbc", "read_landing", "read_layer", "remove_scratch", "scratch_path", "write_jdbc", "write_layer"]

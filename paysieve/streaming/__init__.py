@@ -1,5 +1,5 @@
 """Streaming ingestion (our extension)."""
 
-from paysieve.streaming.ingest import stream_to_bronze, stream_to_silver
+from paysieve.streaming.ingest import merge_silver, parse_values, stream_to_bronze, stream_to_updates
 
-__all__ = ["stream_to_bronze", "stream_to_silver"]
+__all__ = ["merge_silver", "parse_values", "stream_to_bronze", "stream_to_updates"]

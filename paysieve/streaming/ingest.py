@@ -1,31 +1,26 @@
-"""Landing -> bronze -> silver as two streams.
-
-Bronze receives every row as it is, so a row that arrives too late for silver
-is not lost: the batch job can rebuild silver from bronze.  Window counts are
-left to the batch job, Spark has no trailing range frame on streams.
+"""Landing -> bronze -> silver as streams.
+
+Bronze receives every row as it is.  For silver each micro-batch is typed and cut down to one
+row per event, the latest, and stored as an update of its own; a batch that is
+run again replaces its update.  ``merge_silver`` makes the silver layer of all updates.  Since the
+latest of the latest is the latest, that is what the batch job makes of the
+same rows, in whatever order and however late they came, rows without a
+readable time included.  Window counts are left to the batch job: Spark has no
+trailing range frame on streams.
 """
 
 from __future__ import annotations
 
-import pyarrow as pa
-import pyarrow.compute as pc
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from paysieve.functions.times import parse_event_ts
+from paysieve.functions.times import batch_literal, new_batch_ts, parse_event_ts
+from paysieve.operators.cleaning import dedup
 from paysieve.schemas import LANDING
-
-
-def _append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    return (
-        df.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+from paysieve.sources import write_layer
 
 
 def _source(spark: SparkSession, max_files: int | None):
@@ -33,69 +28,58 @@ def _source(spark: SparkSession, max_files: int | None):
     return reader.option("maxFilesPerTrigger", max_files) if max_files else reader
 
 
-def stream_to_bronze(
-    spark: SparkSession, landing: str, bronze: str, checkpoint: str, *, max_files_per_trigger: int | None = None
-) -> StreamingQuery:
-    """Copy new landing files to bronze, each exactly once."""
-    return _append(_source(spark, max_files_per_trigger).json(landing), bronze, checkpoint)
-
-
-def combine_repeats(events: DataFrame) -> DataFrame:
-    """Drop repeats of an id within each Arrow batch, keeping the latest.
-
-    Streams cannot combine before the shuffle as batch jobs do; without this an
-    id that makes up much of the input would go through one task row by row.
-    The latest copy is in time whenever any of them is.
-    """
-
-    # Defined here so that it travels by value: executors need not have the package.
-    def latest(batches):
-        for batch in batches:
-            rows = batch.num_rows
-            if rows < 2 or pc.count_distinct(batch.column("event_id")).as_py() == rows:
-                yield batch
-                continue
-            order = pc.sort_indices(batch, sort_keys=[("event_id", "ascending"), ("event_ts", "ascending")])
-            ids = batch.column("event_id").take(order)
-            ends = pc.not_equal(ids.slice(0, rows - 1), ids.slice(1))
-            yield batch.take(order.filter(pa.concat_arrays([ends, pa.array([True])])))
-
-    return events.mapInArrow(latest, events.schema)
-
-
-def unique_events(bronze: DataFrame, *, delay: str = "30 minutes") -> DataFrame:
-    """Typed rows, one per event id among those at most ``delay`` apart."""
-    typed = bronze.withColumn("event_ts", parse_event_ts("event_ts")).withColumn("ingest_ts", F.current_timestamp())
-    usable = typed.where(F.col("event_id").isNotNull() & F.col("event_ts").isNotNull())
-    return combine_repeats(usable).withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+def parse_values(stream: DataFrame) -> DataFrame:
+    """Landing events from a column ``value`` of JSON text or bytes, as message
+    queues deliver them.  What is malformed becomes an all-NULL row, as in files."""
+    return stream.select(F.from_json(F.col("value").cast("string"), LANDING).alias("event")).select("event.*")
 
 
-def unusable_events(bronze: DataFrame) -> DataFrame:
-    """Rows without an id or a readable time: they cannot be told apart or
-    aged, and would all meet under one key."""
-    return bronze.where(F.col("event_id").isNull() | parse_event_ts("event_ts").isNull())
-
-
-def stream_to_silver(
+def stream_to_bronze(
     spark: SparkSession,
+    landing: str | DataFrame,
     bronze: str,
-    silver: str,
-    rejects: str,
     checkpoint: str,
     *,
-    delay: str = "30 minutes",
     max_files_per_trigger: int | None = None,
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start (silver, rejects).
+) -> StreamingQuery:
+    """Copy new landing files, or the messages of a stream, to bronze, each exactly once."""
+    if isinstance(landing, str):
+        rows = _source(spark, max_files_per_trigger).json(landing)
+    else:
+        rows = parse_values(landing)
+    return (
+        rows.writeStream.format("parquet")
+        .option("path", bronze)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
 
-    ``delay`` must exceed the usual lateness of events (about ten minutes
-    here).  Rows later than that are left out of silver and counted as
-    ``numRowsDroppedByWatermark`` in the query's progress.
-    ``max_files_per_trigger`` bounds what one step shuffles.
+
+def stream_to_updates(
+    spark: SparkSession, bronze: str, updates: str, checkpoint: str, *, max_files_per_trigger: int | None = None
+) -> StreamingQuery:
+    """Start the stream that stores one update per micro-batch of new bronze rows.
+
+    Repeats are combined in each task before the shuffle, so an id that makes up
+    much of a batch is no burden.  ``max_files_per_trigger`` bounds a batch.
     """
+
+    def store(batch: DataFrame, number: int) -> None:
+        typed = batch.withColumn("event_ts", parse_event_ts("event_ts"))
+        write_layer(dedup(typed), f"{updates.rstrip('/')}/batch={number}")
+
     rows = _source(spark, max_files_per_trigger).parquet(bronze)
-    root = checkpoint.rstrip("/")
     return (
-        _append(unique_events(rows, delay=delay), silver, f"{root}/silver"),
-        _append(unusable_events(rows), rejects, f"{root}/rejects"),
+        rows.writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
+
+
+def merge_silver(spark: SparkSession, updates: str, silver: str, *, batch_ts: datetime | None = None) -> None:
+    """Replace silver by the latest row of each event among all updates."""
+    rows = dedup(spark.read.parquet(updates).drop("batch"))
+    write_layer(rows.withColumn("ingest_ts", batch_literal(batch_ts or new_batch_ts())), silver)

@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from paysieve.config import spark_conf  # noqa: E402
+from paysieve.sources import remove_scratch  # noqa: E402
 
 EVENTS_DIR = "/root/testdata/sf0.001"
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -28,6 +29,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_scratch(session)
     session.stop()
 
 

@@ -8,7 +8,7 @@ from paysieve.config import JdbcTarget
 from paysieve.fixtures import embedded_target
 from paysieve.operators.gold import serving_view, to_gold
 from paysieve.sources import read_jdbc, write_jdbc
-from paysieve.sources.jdbc import key_ranges, missing_rows, table_exists, with_ranges
+from paysieve.sources.jdbc import hash_predicates, key_ranges, missing_rows, table_exists, with_ranges
 
 TYPES = "event_id VARCHAR(64), user_id VARCHAR(64), fraud_reason VARCHAR(32)"
 
@@ -34,7 +34,7 @@ def test_append_creates_the_table_and_keeps_types(spark, serving, target):
     assert read_jdbc(spark, target).count() == 2 * serving.count()
 
 
-@pytest.mark.parametrize("mode", ["skip_existing", "staged"])
+@pytest.mark.parametrize("mode", ["skip_existing", "staged", "upsert"])
 def test_a_second_run_adds_only_what_is_missing(spark, serving, target, mode):
     again = replace(target, mode=mode)
     first = serving.where(F.col("event_id").cast("int") < 400)
@@ -65,6 +65,7 @@ def test_key_ranges_cover_the_table(spark, serving, target):
     numbers = spark.range(100)
     clauses = key_ranges(numbers, "id", 3, "id")
     assert len(clauses) == 3 and "'" not in "".join(clauses)
+    assert key_ranges(numbers.limit(0), "id", 3, "id") == () == key_ranges(numbers, "id", 1, "id")
     assert sum(numbers.where(c).count() for c in clauses) == 100
 
 
@@ -95,6 +96,47 @@ def test_connections_are_capped(spark, serving, target):
     assert read_jdbc(spark, target).count() == serving.count()
 
 
+def test_one_row_per_key_and_corrections(spark, target):
+    def rows(*found):
+        return spark.createDataFrame(found, "event_id long, user_id string, amount double")
+
+    def stored():
+        return sorted((tuple(r) for r in read_jdbc(spark, target).collect()), key=repr)
+
+    first = rows((1, "u", 1.0), (1, "v", 2.0), (2, "u", 3.0), (None, "n", 4.0), (None, "m", 5.0))
+    staged = replace(target, mode="staged", key="event_id", column_types="user_id VARCHAR(64)", index_key=True)
+    write_jdbc(first, staged)
+    assert stored() == [(1, "v", 2.0), (2, "u", 3.0), (None, "n", 4.0)]
+    corrected = rows((2, "u", 9.0), (None, "k", 0.0), (3, "u", 7.0), (3, "u", 7.0))
+    write_jdbc(corrected, staged)
+    assert stored() == [(1, "v", 2.0), (2, "u", 3.0), (3, "u", 7.0), (None, "n", 4.0)]
+    for _ in range(2):
+        write_jdbc(corrected, replace(staged, mode="upsert"))
+        assert stored() == [(1, "v", 2.0), (2, "u", 9.0), (3, "u", 7.0), (None, "k", 0.0)]
+
+
+def test_a_failed_probe_is_not_an_absent_table(spark, serving, target):
+    write_jdbc(serving.limit(1), target)
+    assert table_exists(spark, target) and not table_exists(spark, replace(target, table="no_such_table"))
+    with pytest.raises(Exception, match="(?i)syntax|encountered"):
+        table_exists(spark, replace(target, table="payments_gold WHERE ("))
+    with pytest.raises(Exception, match="(?i)syntax|encountered"):
+        write_jdbc(serving, replace(target, table="payments_gold WHERE (", mode="skip_existing"))
+
+
+def test_hash_predicates_cover_the_table(spark):
+    rows = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "k int")
+    clauses = hash_predicates("k", 4)
+    assert sum(rows.where(c).count() for c in clauses) == 51 and "COALESCE" not in clauses[0]
+
+
+def test_the_database_s_own_hash_is_used(spark, serving, target):
+    write_jdbc(serving, target)
+    hashed = with_ranges(serving, replace(target, key_hash="LENGTH({key})", num_partitions=3))
+    assert len(hashed.key_predicates) == 3 and same_rows(read_jdbc(spark, hashed), serving)
+    assert with_ranges(serving, replace(target, num_partitions=None)).key_predicates == ()
+
+
 def test_bad_mode(serving, target):
     with pytest.raises(ValueError):
         write_jdbc(serving, replace(target, mode="overwrite"))

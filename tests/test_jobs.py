@@ -10,12 +10,20 @@ from conftest import same_rows
 from pyspark.sql import functions as F
 
 from paysieve import schemas
-from paysieve.config import PipelineConfig, StoreSettings, mariadb_target, sizing_conf, spark_conf
-from paysieve.fixtures import as_landing, embedded_target
+from paysieve.config import (
+    PipelineConfig,
+    StoreSettings,
+    mariadb_target,
+    size_session,
+    sizing_conf,
+    spark_conf,
+    stored_bytes,
+)
+from paysieve.fixtures import as_landing, blacklist_seed, embedded_target
 from paysieve.operators.model import coefficients
 from paysieve.operators.registry import load_model
 from paysieve.plans import cli, run_all, run_score, run_train
-from paysieve.sources import read_jdbc, read_layer, scratch_path
+from paysieve.sources import read_jdbc, read_layer, scratch_path, write_layer
 
 BATCH = datetime(2024, 6, 1, tzinfo=timezone.utc)
 
@@ -99,6 +107,59 @@ def test_training_through_a_feature_layer_and_with_labels(spark, finished, tmp_p
     assert terms(cfg.model + "/v1") != pytest.approx(terms(finished.model), rel=0.1)
 
 
+def test_the_whole_command_fills_both_serving_tables(spark, payments, tmp_path):
+    landing = f"{tmp_path}/landing"
+    as_landing(payments).write.json(landing)
+    names = ("bronze", "silver", "gold", "model", "predictions", "quality")
+    target = embedded_target(spark, "unused")
+    args = cli.parse(
+        ["all", f"--landing={landing}", *[f"--{n}={tmp_path / n}" for n in names], f"--jdbc-url={target.url}",
+         f"--jdbc-driver={target.driver}", "--jdbc-gold-table=g", "--jdbc-predictions-table=p", "--jdbc-mode=upsert",
+         "--jdbc-connections=2", "--serve-probability", "--jdbc-index-key",
+         "--jdbc-column-types=event_id VARCHAR(64), user_id VARCHAR(64), fraud_reason VARCHAR(32), amount DOUBLE"]
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        cli.run(spark, args)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    gold, scored = (read_jdbc(spark, replace(target, table=t)) for t in ("g", "p"))
+    assert gold.count() == read_layer(spark, str(tmp_path / "gold")).count() == scored.count() > 0
+    assert "fraud_probability" in scored.columns
+    assert read_layer(spark, str(tmp_path / "quality")).first()["n_rows"] == gold.count()
+
+
+def test_partitions_follow_what_lies_there(spark, landing, tmp_path):
+    assert stored_bytes(spark, landing) > 0 and stored_bytes(spark, str(tmp_path / "none")) == 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        size_session(spark, landing, expansion=10**9)
+        wanted = -(-stored_bytes(spark, landing) * 10**9 // 2**29)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(min(wanted, 200_000)) != "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_gold_is_marked_by_a_blacklist(spark, landing, tmp_path):
+    cfg = config(tmp_path, landing, blacklist=str(tmp_path / "listed"))
+    write_layer(blacklist_seed(spark), cfg.blacklist)
+    assert run_all(spark, cfg)
+    gold = read_layer(spark, cfg.gold)
+    assert gold.where("is_blacklisted").select("user_id").distinct().count() == 2
+
+
+def test_scratch_is_removed():
+    code = (
+        "from pyspark.sql import SparkSession; import os, sys; from paysieve.sources import remove_scratch, scratch_path;"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate();"
+        "p = scratch_path(s, 'x'); s.range(3).write.parquet(p); assert os.path.exists(p);"
+        "remove_scratch(s); assert not os.path.exists(p); s.stop()"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], check=True, timeout=200)
+
+
 def test_command_line_runs_the_jobs(landing, tmp_path):
     names = ("bronze", "silver", "gold", "model", "predictions")
     options = [f"--{n}={tmp_path / n}" for n in names]
@@ -155,7 +216,7 @@ def test_session_settings():
 def test_partitions_follow_the_input():
     small, large = sizing_conf(10**9), sizing_conf(100 * 10**12)
     key = "spark.sql.shuffle.partitions"
-    assert (small[key], large[key]) == ("200", "50000")
+    assert (small[key], large[key]) == ("200", str(-(-(10**14) // 2**29)))
     assert int(large["spark.sql.files.maxPartitionBytes"]) == 10**9
     assert spark_conf(input_bytes=10**13)[key] == str(-(-(10**13) // 2**29))
     assert key not in spark_conf()
@@ -174,6 +235,8 @@ class Cluster:
         self.sparkContext = self
         self.master = "yarn"
 
+        self.applicationId = "app-1"
+
     def getCheckpointDir(self):
         return None
 
@@ -181,14 +244,13 @@ class Cluster:
 def test_a_cluster_needs_shared_folders_and_databases():
     with pytest.raises(RuntimeError):
         scratch_path(Cluster(), "x")
-    assert scratch_path(Cluster("hdfs:///shared/"), "x").startswith("hdfs:///shared/paysieve/x-")
+    assert scratch_path(Cluster("hdfs:///shared/"), "x").startswith("hdfs:///shared/paysieve-app-1/x-")
     with pytest.raises(RuntimeError):
         embedded_target(Cluster(), "payments_gold")
 
 
 def parse(*argv):
-    args, _ = cli.build_parser().parse_known_args(argv)
-    return cli._with_secrets(args)
+    return cli.parse(argv)
 
 
 def test_command_lines(monkeypatch):
@@ -227,3 +289,7 @@ def test_command_lines_need_secrets_and_addresses(monkeypatch):
     assert cli._store(args) == StoreSettings("http://s", "a", "b")
     with pytest.raises(SystemExit):
         cli.config_from(parse("gold", "--silver", "s", "--gold", "g", "--jdbc-table", "t"))
+    with pytest.raises(SystemExit):
+        cli.config_from(parse("gold", "--silver", "s", "--gold", "g", "--jdbc-host", "h", "--jdbc-db", "d"))
+    with pytest.raises(SystemExit):
+        parse("train", "--gold", "g", "--model-out", "m", "--jdbc-table", "t")

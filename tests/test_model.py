@@ -74,8 +74,9 @@ def test_versions(spark, model, labelled, tmp_path):
     path = str(tmp_path / "models")
     other = m.train(labelled, max_iter=2)
     assert save_model(model, path, version=1).endswith("/v1")
-    save_model(model, path, version=2)
     save_model(other, path, version=2)
+    with pytest.raises(Exception, match="already exists"):
+        save_model(model, path, version=2)
     assert np.array_equal(terms(load_model(spark, path, version="latest")), terms(other))
     assert np.array_equal(terms(load_model(spark, path, version=1)), terms(model))
     lines = {r["version"]: r for r in registry(spark, path).collect()}

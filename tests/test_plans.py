@@ -48,7 +48,7 @@ def test_no_nested_loops_in_velocity(silver, method, seconds):
 
 def test_no_nested_loops_in_blacklist(spark, silver):
     seed = blacklist_seed(spark)
-    for limits in ({}, {"max_broadcast_users": 1}):
+    for limits in ({}, {"max_broadcast_bytes": 1}):
         text = plan(with_blacklist(silver, seed, **limits))
         assert "Cartesian" not in text and "NestedLoop" not in text
 

@@ -71,7 +71,7 @@ BLACKLIST = [
 ]
 
 
-@pytest.mark.parametrize("options", [{}, {"max_broadcast_users": 1, "hot_rows": 2, "max_hot_keys": 1000}])
+@pytest.mark.parametrize("options", [{}, {"max_broadcast_bytes": 1, "hot_rows": 2, "max_hot_keys": 1000}])
 def test_blacklist(spark, options):
     users = ["u1"] * 5 + ["u2"] * 5 + ["u3"] + [None] * 4
     df = spark.createDataFrame([(str(i), u) for i, u in enumerate(users)], "event_id string, user_id string")

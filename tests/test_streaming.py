@@ -1,14 +1,14 @@
 import json
 
 import pytest
-from conftest import at, same_rows
+from conftest import same_rows
+from pyspark.sql import functions as F
 
 from paysieve.fixtures import as_landing
 from paysieve.operators.cleaning import to_silver
 from paysieve.schemas import LANDING
 from paysieve.sources import read_layer
-from paysieve.streaming import stream_to_bronze, stream_to_silver
-from paysieve.streaming.ingest import combine_repeats
+from paysieve.streaming import merge_silver, parse_values, stream_to_bronze, stream_to_updates
 
 
 def lines(folder, name, events):
@@ -16,10 +16,9 @@ def lines(folder, name, events):
     (folder / f"{name}.json").write_text("".join(json.dumps(e) + "\n" for e in events))
 
 
-def finish(*queries):
-    for q in queries:
-        assert q.awaitTermination(120)
-        assert q.exception() is None
+def finish(query):
+    assert query.awaitTermination(120)
+    assert query.exception() is None
 
 
 class Stream:
@@ -31,11 +30,8 @@ class Stream:
 
     def run(self, **options):
         finish(stream_to_bronze(self.spark, self.path("landing"), self.path("bronze"), self.path("ck-bronze")))
-        queries = stream_to_silver(
-            self.spark, self.path("bronze"), self.path("silver"), self.path("rejects"), self.path("ck"), **options
-        )
-        finish(*queries)
-        return queries
+        finish(stream_to_updates(self.spark, self.path("bronze"), self.path("updates"), self.path("ck"), **options))
+        merge_silver(self.spark, self.path("updates"), self.path("silver"))
 
     def rows(self, name):
         return read_layer(self.spark, self.path(name))
@@ -46,61 +42,64 @@ def stream(spark, tmp_path):
     return Stream(spark, tmp_path)
 
 
-def event(i, ts):
-    return {"event_id": i, "event_ts": ts, "user_id": "u", "amount": 1.0}
+def event(i, ts, status="captured"):
+    return {"event_id": i, "event_ts": ts, "user_id": "u", "amount": 1.0, "status": status}
 
 
-def test_repeats_within_and_across_runs(stream):
+def test_the_latest_wins_in_whatever_order_it_comes(stream):
     landing = stream.root / "landing"
-    lines(landing, "one", [event("a", "2024-01-01T00:20:00"), event("a", "2024-01-01T00:20:00"),
-                           event("b", "2024-01-01T00:10:00")])
+    lines(landing, "one", [event("a", "2024-01-01T00:00:00", "failed"), event("b", "2024-01-01T00:10:00"),
+                           event("c", "2024-01-01T05:00:00", "refunded")])
     stream.run()
-    lines(landing, "two", [event("a", "2024-01-01T00:20:00"), event("c", "2024-01-01T00:11:00")])
+    lines(landing, "two", [event("a", "2024-01-01T00:00:05"), event("a", "2024-01-01T00:00:05"),
+                           event("c", "2024-01-01T00:00:00")])
     stream.run()
     stream.run()
-    assert stream.rows("bronze").count() == 5
-    assert sorted(r["event_id"] for r in stream.rows("silver").collect()) == ["a", "b", "c"]
+    assert stream.rows("bronze").count() == 6
+    found = {r["event_id"]: r["status"] for r in stream.rows("silver").collect()}
+    assert found == {"a": "captured", "b": "captured", "c": "refunded"}
 
 
-def test_rows_without_id_or_time_go_to_rejects(stream):
+def test_rows_without_id_or_time_are_treated_as_in_batch(stream):
     lines(stream.root / "landing", "one",
-          [event("a", "2024-01-01T00:00:00"), event(None, "2024-01-01T00:00:00"), event("x", "garbage"),
-           event("y", None)])
+          [event("a", "2024-01-01T00:00:00"), event(None, "2024-01-01T00:00:00"), event(None, None),
+           event("x", "garbage"), event("y", None), event("a", None)])
     stream.run()
-    assert [r["event_id"] for r in stream.rows("silver").collect()] == ["a"]
-    assert sorted(str(r["event_id"]) for r in stream.rows("rejects").collect()) == ["None", "x", "y"]
-    assert stream.rows("rejects").schema == LANDING
+    assert sorted(str(r["event_id"]) for r in stream.rows("silver").collect()) == ["None", "a", "x", "y"]
+    batch = to_silver(stream.rows("bronze"))
+    assert same_rows(stream.rows("silver").drop("ingest_ts"), batch.drop("ingest_ts"))
 
 
-def test_late_rows_are_counted_and_stay_in_bronze(stream):
-    landing = stream.root / "landing"
-    lines(landing, "one", [event("a", "2024-01-01T02:00:00")])
+def test_a_repeated_batch_replaces_its_update(spark, stream):
+    lines(stream.root / "landing", "one", [event("a", "2024-01-01T00:00:00")])
     stream.run()
-    lines(landing, "two", [event("late", "2024-01-01T00:00:00"), event("back", "2024-01-01T01:50:00")])
-    silver, _ = stream.run()
-    assert sorted(r["event_id"] for r in stream.rows("silver").collect()) == ["a", "back"]
-    assert {r["event_id"] for r in stream.rows("bronze").collect()} == {"a", "back", "late"}
-    dropped = [s.numRowsDroppedByWatermark for p in silver.recentProgress for s in p.stateOperators]
-    assert sum(dropped) == 1
-
-
-def test_repeats_are_combined_before_the_shuffle(spark):
-    rows = [("a", at(1), "old"), ("b", at(5), "only"), ("a", at(9), "new"), ("a", at(4), "mid")] + [
-        ("hot", at(i % 50), str(i % 50)) for i in range(5000)
-    ]
-    events = spark.createDataFrame(rows, "event_id string, event_ts timestamp, v string").coalesce(1)
-    kept = combine_repeats(events)
-    assert kept.schema == events.schema
-    batches = -(-len(rows) // int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
-    got = sorted((r["event_id"], r["v"]) for r in kept.collect())
-    assert batches == 1 and got == [("a", "new"), ("b", "only"), ("hot", "49")]
-    distinct = events.where("event_id <> 'hot' AND v <> 'old' AND v <> 'mid'")
-    assert combine_repeats(distinct).count() == 2 and combine_repeats(events.limit(0)).count() == 0
+    finish(stream_to_updates(spark, stream.path("bronze"), stream.path("updates"), stream.path("another")))
+    assert stream.rows("updates").count() == 1
+
+
+def test_messages_of_a_stream(spark, stream):
+    folder = stream.root / "messages"
+    folder.mkdir()
+    good = json.dumps(event("a", "2024-01-01T00:00:00"))
+    (folder / "one.txt").write_text(good + "\nnot json\n")
+    messages = spark.readStream.text(str(folder)).select(F.encode("value", "utf-8").alias("value"))
+    finish(stream_to_bronze(spark, messages, stream.path("bronze"), stream.path("ck")))
+    assert stream.rows("bronze").schema == LANDING
+    assert sorted(str(r["event_id"]) for r in stream.rows("bronze").collect()) == ["None", "a"]
+    assert parse_values(spark.createDataFrame([(good,)], "value string")).first()["status"] == "captured"
 
 
 def test_agrees_with_the_batch_job(spark, stream, payments):
     rows = as_landing(payments)
-    rows.unionByName(rows.where("status = 'failed'")).repartition(4).write.json(stream.path("landing"))
-    stream.run(delay="1 day", max_files_per_trigger=2)
+    retried = rows.where("status = 'failed'").withColumn("event_ts", F.lit("2030-01-01T00:00:00"))
+    rows.unionByName(retried).repartition(4).write.json(stream.path("landing"))
+    stream.run(max_files_per_trigger=2)
     batch = to_silver(stream.rows("bronze"))
     assert same_rows(stream.rows("silver").drop("ingest_ts"), batch.drop("ingest_ts"))
+
+
+def test_no_python_in_the_updates(spark, stream):
+    lines(stream.root / "landing", "one", [event("a", "2024-01-01T00:00:00")])
+    stream.run()
+    batch = to_silver(stream.rows("bronze"))
+    assert "Python" not in batch._jdf.queryExecution().executedPlan().toString()
