@@ -90,6 +90,55 @@ def bags(texts: list[str | None]) -> Bags:
     return Bags(np.concatenate(buckets), np.concatenate(stretches), document)
 
 
+def _chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``CHUNK_BYTES``, one text at least."""
+    at = 0
+    while at < len(texts):
+        size, stop = 0, at
+        while stop < len(texts) and (stop == at or size + len(texts[stop] or "") <= CHUNK_BYTES):
+            size += len(texts[stop] or "")
+            stop += 1
+        yield at, stop
+        at = stop
+
+
+@dataclass
+class Sample:
+    """N-grams of the training texts by stretch: those of stretch i begin at ``starts[i]``."""
+
+    bucket: np.ndarray
+    starts: np.ndarray
+    document: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Sample:
+        buckets, counts, documents = [], [], []
+        for at, stop in _chunks(texts):
+            found = bags(texts[at:stop])
+            buckets.append(found.bucket[np.argsort(found.stretch, kind="stable")])
+            counts.append(np.bincount(found.stretch, minlength=len(found.document)))
+            documents.append(found.document + at)
+        sizes = np.concatenate([np.zeros(1, int), *counts])
+        return cls(np.concatenate(buckets), np.cumsum(sizes), np.concatenate(documents))
+
+    def means(self, weight: np.ndarray, some: int = 1 << 14) -> np.ndarray:
+        """Average weight of each stretch, some stretches at a time."""
+        total = np.empty(len(self.document))
+        for at in range(0, len(total), some):
+            own = self.starts[at : at + some + 1]
+            total[at : at + some] = np.add.reduceat(weight[self.bucket[own[0] : own[-1]]], own[:-1] - own[0])
+        return total / np.diff(self.starts)
+
+    def documents_of(self, bucket_bits: int, chosen: np.ndarray) -> np.ndarray:
+        """How many of the chosen documents each bucket occurs in."""
+        counts = np.zeros(1 << bucket_bits, np.int64)
+        firsts = np.searchsorted(self.document, np.flatnonzero(chosen))
+        lasts = np.searchsorted(self.document, np.flatnonzero(chosen), side="right")
+        for first, last in zip(self.starts[firsts], self.starts[lasts]):
+            counts[np.unique(self.bucket[first:last])] += 1
+        return counts
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -113,18 +162,11 @@ class Model:
     def highest(self, texts: list[str | None]) -> np.ndarray:
         """The highest stretch's logit; a text without words has the bias."""
         best = np.full(len(texts), self.bias)
-        at = 0
-        while at < len(texts):
-            size, stop = 0, at
-            while stop < len(texts) and (stop == at or size + len(texts[stop] or "") <= CHUNK_BYTES):
-                size += len(texts[stop] or "")
-                stop += 1
+        for at, stop in _chunks(texts):
             found = bags(texts[at:stop])
-            if len(found.document):
-                part = np.full(stop - at, -np.inf)
-                np.maximum.at(part, found.document, self.stretches(found))
-                best[at:stop] = np.where(np.isinf(part), self.bias, part)
-            at = stop
+            part = np.full(stop - at, -np.inf)
+            np.maximum.at(part, found.document, self.stretches(found))
+            best[at:stop] = np.where(np.isinf(part), self.bias, part)
         return best
 
     def probabilities(self, texts: list[str | None]) -> np.ndarray:
@@ -150,10 +192,8 @@ def train(
         share = float(toxic.mean()) if len(toxic) else 0.0
         level = 40.0 if share else -40.0
         return Model(np.zeros(1 << BUCKET_BITS, np.float32), 0.0, 1.0, level)
-    found = bags(texts)
-    order = np.argsort(found.stretch, kind="stable")
-    bucket = found.bucket[order].astype(np.int64)
-    starts = np.searchsorted(found.stretch[order], np.arange(len(found.document) + 1))
+    found = Sample.of(texts)
+    bucket, starts, counts = found.bucket, found.starts, np.diff(found.starts)
     label = toxic[found.document]
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (1 << BUCKET_BITS, size))
@@ -161,13 +201,10 @@ def train(
     gathered = np.full(1 << BUCKET_BITS, 1e-3)  # squared gradients by bucket
 
     # To begin with: by how much more often a bucket occurs in toxic documents.
-    key = np.unique(found.document[found.stretch].astype(np.int64) << BUCKET_BITS | found.bucket)
-    hit = np.bincount(key & ((1 << BUCKET_BITS) - 1), toxic[key >> BUCKET_BITS], 1 << BUCKET_BITS)
-    miss = np.bincount(key & ((1 << BUCKET_BITS) - 1), ~toxic[key >> BUCKET_BITS], 1 << BUCKET_BITS)
+    hit, miss = found.documents_of(BUCKET_BITS, toxic), found.documents_of(BUCKET_BITS, ~toxic)
     odds = np.log((hit + 0.5) / toxic.sum()) - np.log((miss + 0.5) / (~toxic).sum())
     odds[hit < 3] = 0
-    counts = np.maximum(np.diff(starts), 1)
-    value = np.bincount(found.stretch, odds[found.bucket], len(found.document)) / counts
+    value = found.means(odds)
 
     clean = np.flatnonzero(~label)
     for turn in range(rounds):
@@ -202,7 +239,7 @@ def train(
                 softmax -= rate * 0.1 * (mean.T @ p) / len(own)
                 bias -= rate * 0.1 * p.mean(0)
         weight = vectors @ (softmax[:, 1] - softmax[:, 0])
-        value = np.bincount(found.stretch, weight[found.bucket], len(found.document)) / counts
+        value = found.means(weight)
     model = Model(weight.astype(np.float32), float(bias[1] - bias[0]), 1.0, 0.0)
     slope, level = _curve(model.highest(texts), toxic)
     return Model(model.weight, model.bias, slope, level)
@@ -229,8 +266,8 @@ def learn(
     *,
     where: Column | None = None,
     toxic_rows: int = 1500,
-    clean_rows: int = 3000,
-    chars_per_row: int = 20_000,
+    clean_rows: int = 2500,
+    chars_per_row: int = 8_000,
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
