@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
+LANES = 4096  # texts that are parsed together
 SPACE, OTHER = 0, 1  # codes of any run of non-letters, and of letters no reference holds
 
 
@@ -84,7 +85,7 @@ class Parser:
             tables.append(self._table(automaton, base))
             self.roots.append(base)
             base += len(automaton.next) * self.width
-        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int64)
+        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
         self.weight = [math.log2(len(kept[lang]) + 2) for lang in self.languages]
 
     @staticmethod
@@ -97,7 +98,7 @@ class Parser:
     def _table(self, automaton: SuffixAutomaton, base: int) -> np.ndarray:
         """Entry of (state, code): four times the row of the next state, plus how many
         phrases end: the one so far, if it cannot go on, and a letter that the reference lacks."""
-        fresh = np.full(self.width, 4 * base + 1, np.int64)
+        fresh = np.full(self.width, 4 * base + 1, np.int32)
         for code, state in automaton.next[0].items():
             fresh[code] = 4 * (base + state * self.width)
         table = np.tile(fresh, (len(automaton.next), 1))
@@ -117,9 +118,9 @@ class Parser:
         """(languages, texts): number of phrases."""
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
         sizes = np.array([len(texts[i]) for i in order])
-        flat = np.concatenate([texts[i] for i in order]).astype(np.int64) if order else np.zeros(0, np.int64)
+        flat = np.concatenate([texts[i] for i in order]) if order else np.zeros(0, np.int16)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if order else sizes
-        roots = np.array(self.roots, np.int64)[:, None]
+        roots = np.array(self.roots, np.int32)[:, None]
         state = np.repeat(roots, len(order), axis=1)
         count = np.zeros(state.shape, np.int64)
         alive = len(order)
@@ -140,6 +141,13 @@ class Parser:
         return found
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        langs, scores = [], []
+        for at in range(0, len(texts), LANES):
+            for found, part in zip((langs, scores), self._predict(texts[at : at + LANES])):
+                found += part
+        return langs, scores
+
+    def _predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         codes = [self.codes(t) if t else np.zeros(0, np.int16) for t in texts]
         cost = self.phrases(codes) * np.array(self.weight)[:, None]
         langs, scores = [], []
