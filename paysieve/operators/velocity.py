@@ -27,12 +27,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paysieve.functions.times import epoch_seconds
-from paysieve.operators.lookup import HOT_ROWS, hot_only
+from paysieve.operators.lookup import HOT_ROWS
 
 COUNT_COLUMN = "tx_count_window"
 MIN_BUCKET_SECONDS = 3600
 LINEAR_FROM_SECONDS = 600
-CELLS = 1 << 16
+CELLS = 1 << 14
 METHODS = ("auto", "bucketed", "linear")
 
 
@@ -51,7 +51,9 @@ def full_cells(buckets: DataFrame, *, hot_rows: int = HOT_ROWS, cells: int = CEL
     them holds no more than the greater of the two.
     """
     sizes = buckets.groupBy("__cell").agg(F.count(F.lit(1)).alias("n"))
-    full = hot_only(sizes, "n", hot_rows=hot_rows, max_hot_keys=max(cells // 4, 1))
+    # one row per cell comes together for the total, ``cells`` at most
+    total = F.sum("n").over(Window.partitionBy())
+    full = sizes.withColumn("total", total).where((F.col("n") > hot_rows) & (F.col("n") * max(cells // 4, 1) > F.col("total")))
     salts = F.ceil(F.col("n") / max(hot_rows, 1)).cast("int")
     return F.broadcast(full.select(F.col("__cell").alias("__full"), salts.alias("__salts")))
 
@@ -105,28 +107,27 @@ def with_velocity(
         F.lit(True).alias("__kept"),
     )
 
-    # Seconds of salted buckets, and those near the end of any, as numbers.
+    # Seconds of salted buckets, and rows near the end of the others, as numbers.
     end = F.col("__bucket") + F.lit(width)
     near_end = F.coalesce(F.col("__second") >= end - F.lit(seconds), F.lit(False))
-    marked = salted(narrow)
-    shown = (
-        marked.where(is_hot | near_end)
-        .groupBy(user, "__second", "__bucket", is_hot.alias("__hot"))
+    tails = salted(narrow.where(near_end)).where(~is_hot).select(user, "__second", end.alias("__bucket"), F.lit(1).alias("__n"))
+    crowded = (
+        narrow.join(full, F.col("__cell") == F.col("__full"), "left_semi")
+        .groupBy(user, "__second", "__bucket")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
     own, following = F.struct(F.col("__bucket").alias("to")), F.struct(end.alias("to"))
-    places = F.concat(
-        F.when(F.col("__hot"), F.array(own)).otherwise(F.array().cast("array<struct<to:bigint>>")),
-        F.when(near_end, F.array(following)).otherwise(F.array().cast("array<struct<to:bigint>>")),
-    )
-    sent = shown.select(user, "__second", "__n", F.explode(places).alias("__at")).select(
-        user, "__second", "__n", F.col("__at.to").alias("__bucket")
+    places = F.when(near_end, F.array(own, following)).otherwise(F.array(own))
+    moved = crowded.select(user, "__second", F.explode(places).alias("__at"), "__n").select(
+        user, "__second", F.col("__at.to").alias("__bucket"), "__n"
     )
     salts = F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)
-    numbers = salted(sent.withColumn("__cell", cell())).select(
+    numbers = salted(tails.unionByName(moved).withColumn("__cell", cell())).select(
         user, "__second", "__bucket", F.explode(salts).alias("__salt"), "__n"
     )
-    own_rows = marked.where(~is_hot).select(user, "__second", "__bucket", F.lit(0).alias("__salt"), F.lit(1).alias("__n"))
+    own_rows = salted(narrow).where(~is_hot).select(
+        user, "__second", "__bucket", F.lit(0).alias("__salt"), F.lit(1).alias("__n")
+    )
 
     both = rows.unionByName(numbers, allowMissingColumns=True)
     order = Window.partitionBy(*key).orderBy("__second")
