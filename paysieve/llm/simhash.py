@@ -38,6 +38,9 @@ BLOCK = 16
 BLOCKS = 64 // BLOCK
 LOW = np.uint64((1 << BLOCK) - 1)
 CHUNK = 1 << 15
+# Nothing, or one of the 48 bits of a key; and its number beside an erased block.
+FLIPS = np.concatenate([[0], 1 << np.arange(64 - BLOCK)]).astype(np.uint64)
+CHANGED = (np.arange(64 - BLOCK + 1) << BLOCK).astype(np.int32)
 
 
 # --- fingerprints ----------------------------------------------------------
@@ -95,18 +98,26 @@ def _erased(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    flips = np.concatenate([[0], 1 << np.arange(64 - BLOCK)]).astype(np.uint64)
+    """(key, rest): the rest is what the fingerprint is besides its key, the
+    erased block and the number of the changed bit, which shuffles in half the bytes."""
     for batch in batches:
         values = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
         for at in range(0, len(values), 4096):
             own = values[at : at + 4096]
             for block in range(BLOCKS):
-                key, _ = _erased(own, block)
-                keys = (key[:, None] ^ flips[None, :]).ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(np.repeat(own, len(flips)).view(np.int64))],
-                    names=["key", "fingerprint"],
-                )
+                key, inside = _erased(own, block)
+                keys = (key[:, None] ^ FLIPS[None, :]).ravel()
+                rest = (inside.astype(np.int32)[:, None] | CHANGED[None, :]).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(rest)], names=["key", "rest"])
+
+
+def _restored(keys: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """The fingerprints of emitted rows."""
+    low = (keys >> np.uint64(64 - BLOCK)) * np.uint64(BLOCK)
+    kept = (keys & np.uint64((1 << (64 - BLOCK)) - 1)) ^ FLIPS[rest >> BLOCK]
+    inside = (rest & ((1 << BLOCK) - 1)).astype(np.uint64)
+    below = kept & ((np.uint64(1) << low) - np.uint64(1))
+    return below | inside << low | kept >> low << low << np.uint64(BLOCK)
 
 
 # --- buckets ---------------------------------------------------------------
@@ -156,8 +167,9 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key in; links out.  One bucket at a time is held."""
     held_keys, held = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     for batch in batches:
-        keys = np.concatenate([held_keys, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)])
-        members = np.concatenate([held, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
+        own = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+        keys = np.concatenate([held_keys, own])
+        members = np.concatenate([held, _restored(own, batch.column(1).to_numpy(zero_copy_only=False))])
         if not len(keys):
             continue
         last = int(np.flatnonzero(keys != keys[-1])[-1]) + 1 if keys[0] != keys[-1] else 0
@@ -191,7 +203,7 @@ def _found(keys: np.ndarray, members: np.ndarray) -> pa.RecordBatch:
 def close_links(fingerprints: DataFrame) -> DataFrame:
     """(a, b), both signed longs: links that connect all fingerprints at distance
     three or less.  ``fingerprints`` has one distinct, non-NULL long column."""
-    variants = fingerprints.mapInArrow(_emit, "key long, fingerprint long")
+    variants = fingerprints.mapInArrow(_emit, "key long, rest int")
     placed = variants.repartition("key").sortWithinPartitions("key")
     return (
         placed.mapInArrow(_meet, "a long, b long")
