@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from paysieve.llm import imatch, langid, lm, mixing, packing, repeats, secrets, simhash, topk, toxicity
 from paysieve.llm.common import id_remainder

@@ -41,8 +41,6 @@ def test_targets_sizes_and_limits(spark):
 
 
 def test_highest_quotients_by_listing_them(spark):
-    from pyspark.sql import functions as F
-
     cells = [(0, 0, 500, 130.0), (0, 1, 90, 270.0), (0, 2, 300, 31.0), (0, 3, 0, 0.0), (1, 0, 50, 17.0), (1, 2, 64, 64.0)]
     df = spark.createDataFrame(cells, "__shard long, __turn int, __words long, __share double")
     found = {(r[0], r[1]): r[3] for r in mixing._quotas(df, 10, 3).collect()}
@@ -52,7 +50,6 @@ def test_highest_quotients_by_listing_them(spark):
         best = sorted(((-c[3] / (2 * k - 1), c[1]) for c in own if c[3] for k in range(1, 200)))[:seats]
         for c in own:
             assert found[shard, c[1]] == min(sum(t == c[1] for _, t in best), 3 * -(-c[2] // 10))
-    assert F is not None
 
 
 def test_reruns_and_other_partitions_agree(spark):
