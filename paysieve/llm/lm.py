@@ -1,30 +1,30 @@
 """Language-model scores from a weighted backoff automaton learned from the corpus.
 
-Every token of the training rows is counted; a unigram's probability is
-(c + 0.1) / (N + 0.1 (V + 1)).  On top, n-grams of common words: states are
-contexts, arcs carry log10 of the discounted, interpolated probability of the
-next word, and a failure arc leads to the shorter context with the weight of
-what the discount has left.  One traversal from left to right carries the
-state and adds up; every word's probabilities add up to one in every state.
-
-Which words and n-grams the automaton holds is a matter of their share in the
-corpus, so its size is bounded however much is counted: fewer than 2^20 tokens
-can each be over a 2^20th of all, and fewer than 2^11 words over a 2^11th.  The automaton
-and the common tokens' counts are broadcast.  All other tokens, each rarer than that by definition, find their
-counts in a shuffle by token, where no key can be large; documents then add up their parts.
+Every n-gram of the training rows up to three words is counted, whatever its
+words and however rare; nothing is cut.  A unigram's probability is
+(c + 0.1) / (N + 0.1 (V + 1)).  On top: states are contexts, arcs carry log10
+of the discounted, interpolated probability of the next word, and a failure arc
+leads to the shorter context with the weight of what the discount has left.
+Every word's probabilities add up to one in every state.
+
+``Automaton`` is this in memory, for corpora that fit there.  ``score`` holds
+the arcs as a table, as they are as many as the corpus has trigrams: each
+position of a document is one trigram (before the first word stand BOS and, before that, PAD), the
+trigram's row says what the automaton would have added there, and documents add
+up their positions.  Bigrams and tokens are summed out of the trigrams.  All of
+this is shuffles by key; no table reaches the driver or is broadcast for its own sake.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paysieve.llm.common import stored, words_of
@@ -32,10 +32,8 @@ from paysieve.llm.common import stored, words_of
 END = b""  # no word is empty
 BOS = 0
 SMOOTHING = 0.1
-COMMON = 1 << 20
-LEXICON = (1 << 11, 1 << 8)  # words that bigrams and trigrams are made of: shares over one of so many
 DISCOUNT = 0.5
-FLUSH = 400_000
+FLUSH = 1 << 20  # positions that are added up before they leave Python; hashes that are kept
 
 
 def token_key(token: bytes) -> int:
@@ -48,29 +46,8 @@ def tokens_of(text: str | None) -> list[bytes]:
     return [*words_of(text), END]
 
 
-# --- counting --------------------------------------------------------------
-
-
-def token_counts(docs: DataFrame, text_column: str) -> DataFrame:
-    """(token, n) over all rows; each task adds up before the shuffle."""
-
-    def flushed(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(map(token_key, counts), pa.int64()), pa.array(counts.values(), pa.int64())], names=["token", "n"]
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                counts.update(tokens_of(text.as_py()))
-                if len(counts) >= FLUSH:
-                    yield flushed(counts)
-                    counts.clear()
-        yield flushed(counts)
-
-    partial = docs.select(F.col(text_column).cast("string")).mapInArrow(run, "token long, n long")
-    return partial.groupBy("token").agg(F.sum("n").alias("n"))
+# what stands before a text's first word; no word has a space in it
+BOS_KEY, PAD_KEY = token_key(b" "), token_key(b"  ")
 
 
 @dataclass(frozen=True)
@@ -86,53 +63,10 @@ class Lexicon:
     def denominator(self) -> float:
         return self.total + SMOOTHING * (self.distinct + 1)
 
-    def sizes(self) -> tuple[int, ...]:
-        """How many of the numbers, 0 included, bigrams and trigrams are made of."""
-        return tuple(int((self.counts * share > self.total).sum()) + 1 for share in LEXICON)
-
     def log_probabilities(self) -> np.ndarray:
         return np.log10((self.counts + SMOOTHING) / self.denominator)
 
 
-class Numbering:
-    """token -> its number in the lexicon, or None; new tokens are hashed once."""
-
-    def __init__(self, lexicon: Lexicon):
-        self.number = dict(zip(lexicon.tokens.tolist(), range(1, len(lexicon.tokens) + 1)))
-        self.known: dict[bytes, int | None] = {}
-
-    def of(self, tokens: list[bytes]) -> list[int | None]:
-        known = self.known
-        if len(known) > FLUSH:
-            known.clear()
-        for token in set(tokens).difference(known):
-            known[token] = self.number.get(token_key(token))
-        return [known[t] for t in tokens]
-
-
-def ngram_counts(docs: DataFrame, text_column: str, lexicon) -> DataFrame:
-    """(ngram, n): n-grams of the lexicon's commonest words, their order and numbers in one long."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbering = Numbering(lexicon.value)
-        sizes = lexicon.value.sizes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                numbers: list[int | None] = []
-                for text in batch.column(0).slice(at, 4096):
-                    numbers += [None, BOS, *numbering.of(tokens_of(text.as_py()))]
-                own = np.array([-1 if n is None else n for n in numbers], np.int64)
-                for order, size in enumerate(sizes, 2):
-                    inside = (own >= 0) & (own < size)
-                    parts = [own[i : len(own) - order + 1 + i] for i in range(order)]
-                    whole = np.all([inside[i : len(own) - order + 1 + i] for i in range(order)], axis=0)
-                    keys, n = np.unique(pack([p[whole] for p in parts]), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], names=["ngram", "n"])
-
-    partial = docs.select(F.col(text_column).cast("string")).mapInArrow(run, "ngram long, n long")
-    return partial.groupBy("ngram").agg(F.sum("n").alias("n"))
-
-
 def pack(numbers: list):
     """Order and numbers (of 12 bits each) in one long."""
     key = len(numbers)
@@ -156,7 +90,7 @@ class Automaton:
     """States are contexts; ``arcs[state, word]`` is (log10 P, next state)."""
 
     def __init__(self, lexicon: Lexicon, ngrams: dict[tuple[int, ...], int]):
-        self.words = lexicon.sizes()[0]  # larger numbers are in no n-gram
+        self.words = len(lexicon.tokens) + 1
         self.unigram = [0.0, *lexicon.log_probabilities().tolist()]
         texts = int(lexicon.counts[np.flatnonzero(lexicon.tokens == token_key(END))].sum())
         seen = dict(enumerate([texts, *lexicon.counts.tolist()]))
@@ -190,7 +124,7 @@ class Automaton:
         return self.state.get(context, 0)
 
     def step(self, state: int, word: int) -> tuple[float, int]:
-        """(log10 P(word), next state); ``word`` is one that n-grams are made of."""
+        """(log10 P(word), next state)."""
         weight = 0.0
         while state:
             arc = self.arcs.get(state * self.words + word)
@@ -204,14 +138,11 @@ class Automaton:
         """log10 of a text's probability, without the unigram part of tokens that have no number."""
         state = self.longest((BOS,))
         total = 0.0
-        arcs, words, unigram, fall = self.arcs, self.words, self.unigram, self.fall
+        arcs, words, fall = self.arcs, self.words, self.fall
         for word in numbers:
             if word is None:
                 total += fall[state]
                 state = 0
-            elif word >= words:
-                total += fall[state] + unigram[word]
-                state = 0
             else:
                 arc = arcs.get(state * words + word)
                 if arc:
@@ -223,7 +154,82 @@ class Automaton:
         return total
 
 
-# --- Spark -----------------------------------------------------------------
+# --- counting and scoring in Spark -------------------------------------------
+
+
+def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """From (label, text): arrays of label, u, v, w, one entry per position, ``FLUSH`` or somewhat more at a time."""
+    known: dict[bytes, int] = {}
+    labels: list[int] = []
+    sizes: list[int] = []
+    keys: list[int] = []
+
+    def flushed() -> tuple[np.ndarray, ...]:
+        own, ends = np.array(keys, np.int64), np.cumsum(sizes)
+        at = np.ones(len(own), bool)
+        at[np.concatenate([[0], ends[:-1]])] = at[np.concatenate([[0], ends[:-1]]) + 1] = False
+        w = np.flatnonzero(at)
+        return np.repeat(np.array(labels, np.int64), np.array(sizes) - 2), own[w - 2], own[w - 1], own[w]
+
+    for batch in batches:
+        for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            tokens = tokens_of(text.as_py())
+            if len(known) > FLUSH:
+                known.clear()
+            for token in set(tokens).difference(known):
+                known[token] = token_key(token)
+            keys += [PAD_KEY, BOS_KEY]
+            keys += [known[t] for t in tokens]
+            labels.append(int(label))
+            sizes.append(len(tokens) + 2)
+            if len(keys) >= FLUSH:
+                yield flushed()
+                labels, sizes, keys = [], [], []
+    if keys:
+        yield flushed()
+
+
+def mixed(*parts: np.ndarray) -> np.ndarray:
+    """64 bits that stand for several numbers; for adding up within a task, not beyond it."""
+    found = np.zeros(len(parts[0]), np.uint64)
+    for part in parts:
+        found = (found ^ part.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        found ^= found >> np.uint64(29)
+    return found
+
+
+def summed(values: np.ndarray, *parts: np.ndarray) -> list[np.ndarray]:
+    """The distinct combinations of parts, and the sum of their values."""
+    key = mixed(*parts)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return [*(p[order[first]] for p in parts), np.add.reduceat(values[order], first)]
+
+
+def trigram_counts(rows: DataFrame) -> DataFrame:
+    """(u, v, w, n, total, followers) of every trigram in (trained, text): how often the
+    training rows have it, and how often and with how many words they go on after (u, v)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for trained, *words in positions(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in summed(trained, *words)], names=["u", "v", "w", "n"])
+
+    counts = (
+        rows.select("trained", "text")
+        .mapInArrow(run, "u long, v long, w long, n long")
+        .repartition("u", "v")
+        .groupBy("u", "v", "w")
+        .agg(F.sum("n").alias("n"))
+    )
+    context = Window.partitionBy("u", "v")
+    return counts.withColumn("total", F.sum("n").over(context)).withColumn("followers", F.count_if(F.col("n") > 0).over(context))
+
+
+def interpolated(n: Column, total: Column, followers: Column, shorter: Column) -> Column:
+    """A word's probability after a context that the training rows go on from ``total`` times, with so many words."""
+    own = F.greatest(n - F.lit(DISCOUNT), F.lit(0.0)) / total
+    return F.when(total > 0, own + F.lit(DISCOUNT) * followers / total * shorter).otherwise(shorter)
 
 
 def score(
@@ -235,11 +241,10 @@ def score(
     Learned from the rows where ``training`` holds (default: all); the others
     are held out, as are those where it is NULL.  A NULL or empty text is its end alone, which is a
     token.  With nothing to learn from, N, V and all counts are 0.  Repeated rows and NULL ids are rows like any other;
-    other columns are not read.  ``docs`` is read four times and must give the
+    other columns are not read.  ``docs`` is read three times and must give the
     same rows in the same order each time, as a stored table does: rows are
     told apart by their place, not by their id.
     """
-    spark = docs.sparkSession
     trained = F.lit(True) if training is None else F.coalesce(training, F.lit(False))
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -247,72 +252,61 @@ def score(
         trained.alias("trained"),
         F.col(text_column).cast("string").alias("text"),
     )
-    learned = docs.where(trained)
-
-    counts = stored(token_counts(learned, text_column), "token-counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    common = counts.where(F.col("n") * F.lit(COMMON) > F.lit(total)).toPandas()  # fewer than COMMON rows
-    common = common.sort_values(["n", "token"], ascending=[False, True])
-    lexicon = Lexicon(common["token"].to_numpy(np.int64), common["n"].to_numpy(np.int64), int(total), int(distinct))
-    shared = spark.sparkContext.broadcast(lexicon)
-
-    kept = ngram_counts(learned, text_column, shared).where(F.col("n") * F.lit(COMMON) > F.lit(total))
-    kept = kept.toPandas()  # fewer than COMMON of each order
-    ngrams = {unpack(k): n for k, n in zip(kept["ngram"].tolist(), kept["n"].tolist())}
-    ngrams = {g: n for g, n in ngrams.items() if len(g) == 2 or g[:-1] in ngrams}
-    learned_ngrams = spark.sparkContext.broadcast(ngrams)
-
-    def traversed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, numbering = Automaton(shared.value, learned_ngrams.value), Numbering(shared.value)
-        unigram = automaton.unigram
-        for batch in batches:
-            found: list[tuple] = []
-            for text in batch.column(3):
-                numbers = numbering.of(tokens_of(text.as_py()))
-                common_ones = [n for n in numbers if n is not None]
-                base = math.fsum([unigram[n] for n in common_ones])
-                found.append((len(numbers), len(common_ones), base, automaton.traverse(numbers)))
-            columns = list(zip(*found)) or [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64())))],
-                names=["row", "id", "trained", "n_tokens", "n_known", "base", "score"],
-            )
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbering = Numbering(shared.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                found: list[tuple[int, int, int]] = []
-                part = batch.slice(at, 500)
-                for row, text in zip(part.column(0).to_pylist(), part.column(1)):
-                    tokens = tokens_of(text.as_py())
-                    left = Counter(t for t, n in zip(tokens, numbering.of(tokens)) if n is None)
-                    found += [(row, token_key(t), n) for t, n in left.items()]
-                if found:
-                    columns = zip(zip(*found), (pa.int64(), pa.int64(), pa.int32()))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=["row", "token", "times"])
-
-    id_type = docs.schema[id_column].dataType.simpleString()
-    walked = rows.mapInArrow(
-        traversed, f"row long, id {id_type}, trained boolean, n_tokens long, n_known long, base double, score double"
+    trigrams = stored(trigram_counts(rows), "trigrams")
+    bigrams = stored(trigrams.groupBy("v", "w").agg(F.sum("n").alias("n")), "bigrams")
+    tokens = stored(bigrams.groupBy("w").agg(F.sum("n").alias("n")), "tokens")
+    total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    denominator = total + SMOOTHING * (distinct + 1)
+
+    unigram = (F.col("n") + F.lit(SMOOTHING)) / F.lit(denominator)
+    single = tokens.select(F.col("w").alias("__w"), unigram.alias("p1"), (F.col("n") > 0).alias("known"))
+    after = bigrams.groupBy(F.col("v").alias("__v")).agg(F.sum("n").alias("total"), F.count_if(F.col("n") > 0).alias("followers"))
+    pairs = (
+        bigrams.join(single, F.col("w") == F.col("__w"))
+        .join(after, F.col("v") == F.col("__v"))
+        .select(
+            F.col("v").alias("__v"),
+            F.col("w").alias("__w"),
+            interpolated(F.col("n"), F.col("total"), F.col("followers"), F.col("p1")).alias("p2"),
+            "p1",
+            "known",
+        )
+    )
+    # a text's first word has BOS alone before it
+    longest = F.when(F.col("v") == F.lit(BOS_KEY), F.col("p2")).otherwise(
+        interpolated(F.col("n"), F.col("total"), F.col("followers"), F.col("p2"))
+    )
+    arcs = trigrams.join(pairs, (F.col("v") == F.col("__v")) & (F.col("w") == F.col("__w"))).select(
+        F.xxhash64("u", "v", "w").alias("__trigram"), F.log10(longest).alias("own"), F.log10("p1").alias("base"), "known"
+    )
+
+    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, *words in positions(batches):
+            times = summed(np.ones(len(row), np.int64), row, *words)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in times], names=["row", "u", "v", "w", "times"])
+
+    steps = (
+        rows.select("row", "text")
+        .mapInArrow(walked, "row long, u long, v long, w long, times long")
+        .select("row", F.xxhash64("u", "v", "w").alias("trigram"), F.col("times").cast("int"))
     )
-    scarce = rows.select("row", "text").mapInArrow(rare, "row long, token long, times int")
-    counted = F.coalesce(F.col("n"), F.lit(0))
     parts = (
-        scarce.join(counts.hint("shuffle_hash"), "token", "left")
+        steps.join(arcs, F.col("trigram") == F.col("__trigram"))
         .groupBy(F.col("row").alias("__row"))
         .agg(
-            F.sum(F.col("times") * F.log10((counted + F.lit(SMOOTHING)) / F.lit(lexicon.denominator))).alias("rest"),
-            F.sum(F.when(counted > 0, F.col("times")).otherwise(0)).alias("more"),
+            F.sum("times").alias("n_tokens"),
+            F.sum(F.when(F.col("known"), F.col("times")).otherwise(0)).alias("n_known"),
+            F.sum(F.col("times") * F.col("base")).alias("base_score"),
+            F.sum(F.col("times") * F.col("own")).alias("score"),
         )
     )
-    rest, more = F.coalesce("rest", F.lit(0.0)), F.coalesce("more", F.lit(0))
-    return walked.join(parts, F.col("row") == F.col("__row"), "left").select(
+    # every row has a token, its end
+    return rows.select("row", "id", "trained").join(parts, F.col("row") == F.col("__row")).select(
         F.col("id").alias(id_column),
         (~F.col("trained")).alias("held_out"),
         "n_tokens",
-        (F.col("n_known") + more).cast("long").alias("n_known"),
-        F.lit(lexicon.total).cast("long").alias("train_tokens"),
-        (F.col("base") + rest).alias("base_score"),
-        (F.col("score") + rest).alias("score"),
+        "n_known",
+        F.lit(total).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
     )

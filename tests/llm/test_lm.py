@@ -97,3 +97,17 @@ def test_context_helps_on_held_out_text(spark):
     docs = table(spark, [(i, "the cat sat on the mat and the dog ran " * (i % 5 + 1), None, None, None) for i in range(80)])
     held = lm.score(docs, training=F.col("doc_id") % 4 != 0).where("held_out").collect()
     assert all(r.score > 0.5 * r.base_score for r in held)
+
+
+def test_scores_are_those_of_the_automaton_over_all_words(spark):
+    rows = awkward_rows()
+    rows += [(900 + i, "seldom seen words " * 2 + "very often here " * 300, None, None, None) for i in range(5)]
+    found = lm.score(table(spark, rows), training=F.col("doc_id") % 10 != 0).collect()
+    lexicon, number, ngrams = small_model([r[1] for r in rows if r[0] is not None and r[0] % 10])
+    automaton = lm.Automaton(lexicon, ngrams)
+    unknown = math.log10(lm.SMOOTHING / lexicon.denominator)
+    want = []
+    for doc, text, *_ in rows:
+        own = [number.get(t) for t in lm.tokens_of(text)]
+        want.append((doc, round(automaton.traverse(own) + own.count(None) * unknown, 5)))
+    assert sorted([(r.doc_id, round(r.score, 5)) for r in found], key=repr) == sorted(want, key=repr)
