@@ -15,10 +15,16 @@ from paysieve.llm import langid, mixing, packing, secrets, simhash
 from paysieve.llm.common import stored
 
 
+LETTER = r"\p{L}"
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language; those without one (NULL, no letter) go."""
+    """Documents in some language; those without one (NULL, no letter) go.
+
+    A text with letters stays where no language is found as well: no row may have a label, or one that says so.
+    """
     found = langid.identify(docs, langid.learn(docs), lang_column="__lang", score_column="__score")
-    return found.where(F.col("__lang") != langid.UNDETERMINED).select(docs.columns)
+    return found.where((F.col("__lang") != langid.UNDETERMINED) | F.col("text").rlike(LETTER)).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

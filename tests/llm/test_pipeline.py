@@ -40,6 +40,14 @@ def test_language_keeps_what_has_letters(stages):
     assert texts(after) == texts(r for r in before if any(c.isalpha() for c in r.text or ""))
 
 
+def test_language_keeps_what_has_letters_without_labels(spark):
+    unlabelled = [(d, t, None, s, n) for d, t, _, s, n in awkward_rows()]
+    marked = [(d, t, "und", s, n) for d, t, _, s, n in awkward_rows()]
+    for rows in (unlabelled, marked):
+        kept = corpus_pipeline.language(spark, table(spark, rows), "").collect()
+        assert texts(kept) == sorted((r[0] is None, r[0] or 0, r[1]) for r in rows if any(c.isalpha() for c in r[1] or ""))
+
+
 def test_one_document_of_each_group_stays(stages):
     before, after = stages["near_duplicates"]
     prints = [simhash.fingerprint(r.text) for r in before]
