@@ -41,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark; ``n_chars`` follows the text."""
-    clean = secrets.redacted(secrets.with_spans(docs, output="__spans"), spans_column="__spans")
+    clean = secrets.redacted(secrets.with_spans(docs, output="__spans", pieces=True), spans_column="__spans")
     return clean.withColumn(
         "n_chars", F.when(F.size("__spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     ).select(docs.columns)

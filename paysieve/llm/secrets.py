@@ -9,6 +9,10 @@ characters in it change by the one that enters and the one that leaves, and so
 does the sum of c log2 c, which is Shannon's entropy but for constants.  Sums are whole numbers (of 2^-20), so adding and
 taking away leaves no error.  Each character class has a threshold of its own.
 An allow list suppresses candidates.
+
+A key may be glued to its name or to a word of the allow list.  With ``pieces``, runs of fewer kinds of characters inside
+candidates, hexadecimal digits among them, are judged on their own as well, and
+removed whole.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ BASE_KINDS = 3
 
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# What a key is made of, without what sets it apart from a name: hexadecimal, letters and digits, base64, its form for URLs.
+PIECES = (r"[0-9a-fA-F]{20,}", r"[A-Za-z0-9]{20,}", r"[A-Za-z0-9+/]{20,}", r"[A-Za-z0-9_-]{20,}")
 # Bits per character, of at most log2(20) = 4.32.
 THRESHOLDS = {"entropy_hex": 3.0, "entropy_mixed": 3.8}
 # Words, numbers, separators, placeholders and paths are no keys.
@@ -124,7 +130,7 @@ def _slide(codes: Column, limit: Column) -> Column:
 
 
 def with_spans(
-    docs: DataFrame, *, text_column: str = "text", output: str = "spans", allow: tuple[str, ...] = ALLOW
+    docs: DataFrame, *, text_column: str = "text", output: str = "spans", allow: tuple[str, ...] = ALLOW, pieces: bool = False
 ) -> DataFrame:
     """``docs`` with array<struct<start, kind, end>>, by start and kind.
 
@@ -132,6 +138,8 @@ def with_spans(
     Matches of each pattern are leftmost and do not overlap.  A candidate of
     high entropy adds one span, from its first such window to its last, unless
     it lies inside a span of a pattern or an allow list entry is found in it.
+    With ``pieces``, so does each piece in which a window is high, but from the piece's start to
+    its end; the allow list is searched in the piece alone.
     NULL and empty texts have no spans.  All other columns are passed on.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
@@ -174,9 +182,20 @@ def with_spans(
 
     scanned = base.withColumn("__windows", F.transform(F.filter(candidates, open_), windows))
     high = F.transform(F.filter("__windows", lambda w: w["ends"]["first"] > 0), located)
+    if pieces:
+        # all of them lie in candidates; the same piece may be of several kinds
+        parts = F.array_distinct(F.concat(*[_located(text, pattern, 4) for pattern in PIECES]))
+        parts = F.when(text.rlike(CANDIDATE), F.filter(parts, open_)).otherwise(none)
+
+        def whole(span: Column) -> Column:
+            return F.struct(span["start"].alias("start"), kind(span).alias("kind"), span["end"].alias("end"))
+
+        keys = F.filter(parts, lambda s: windows(s)["ends"]["first"] > 0)
+        scanned = scanned.withColumn("__keys", F.transform(keys, whole))
+        high = F.array_distinct(F.concat(high, F.col("__keys")))
     return scanned.withColumn(
         output, F.array_sort(F.concat(F.transform("__base", plain), F.filter(high, uncovered)))
-    ).drop("__base", "__windows")
+    ).drop("__base", "__windows", "__keys")
 
 
 def listed(spans: Column) -> Column:

@@ -1,7 +1,9 @@
 import collections
 import hashlib
 import math
+import random
 import re
+import string
 
 from tests.llm.helpers import awkward_rows, table
 
@@ -77,6 +79,25 @@ def test_redaction(spark):
         assert r.text == (want + text[at:] if text else text)
 
 
+def test_keys_glued_to_names_are_found_whole(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(200):
+        upper = "".join(rng.choice("0123456789ABCDEF") for _ in range(32))
+        short = "".join(rng.choice("0123456789abcdef") for _ in range(21))
+        mixed = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40))
+        name, key = (("SESSION_ID=", upper), ("key_", short), ("example/", mixed), ("sample_id=", mixed))[i % 4]
+        if expected(key)[1]:  # found where it stands alone
+            rows.append((i, f"before it {name}{key} after it", None, None, None))
+    assert len(rows) > 190
+    spans = secrets.with_spans(table(spark, rows), pieces=True)
+    left = {r.doc_id: r.text for r in secrets.redacted(spans, mark="#").collect()}
+    for doc, text, *_ in rows:
+        key = re.search(r"[A-Za-z0-9]{20,}", text)[0]
+        assert not any(key[at : at + 4] in left[doc] for at in range(len(key) - 3)), (text, left[doc])
+        assert left[doc].startswith("before it ") and left[doc].endswith(" after it")
+
+
 def test_repeated_rows_stay_and_nothing_gives_nothing(spark):
     rows = [(None, "x", None, None, None)] * 3
     assert [r.spans for r in secrets.scan(table(spark, rows)).collect()] == [""] * 3
