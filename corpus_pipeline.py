@@ -50,7 +50,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it, zero to three times."""
     whole = docs.select(F.struct(*docs.columns).alias("__document"), "doc_id", "text", "source")
-    return mixing.repeated(mixing.mix(whole)).select("__document.*")
+    return mixing.repeated(mixing.mix(whole, least_blocks=64)).select("__document.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

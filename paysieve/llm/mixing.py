@@ -8,6 +8,10 @@ words; the shard's blocks are given to the sources by highest quotients
 A quota above the number of blocks takes all of them that many times over; the
 rest of it is a seeded systematic selection: every n-th block from a seeded start.
 
+A source with few words in a shard has no block to give that is full, and shares below half a block.  Cells of fewer than
+``least_blocks`` blocks therefore give their share in words, rounded by a seeded draw, and take
+no part in the shard's blocks.
+
 Quotients are not listed block by block.  For S sources and N blocks the
 divisor at which the seats add up to N lies between those that give each source its
 exact share of N - S/2 and of N + S/2, so all but about 2 S quotients are known to win or lose.
@@ -103,6 +107,18 @@ def _quotas(cells: DataFrame, block_words: int, max_repeats: int) -> DataFrame:
     )
 
 
+def _word_quotas(cells: DataFrame, max_repeats: int, seed: int) -> DataFrame:
+    """As ``_quotas``, in blocks of one word (``__unit``): each cell's share, rounded up with the odds of its fraction."""
+    draw = hash32(F.lit(seed), F.lit("round"), F.col("__shard"), F.col("__turn")) / (1 << 32)
+    return cells.select(
+        "__shard",
+        "__turn",
+        F.greatest("__words", F.lit(1)).cast("long").alias("__blocks"),
+        F.least(F.floor(F.col("__share") + draw).cast("long"), max_repeats * F.col("__words")).alias("__quota"),
+        F.lit(1).alias("__unit"),
+    )
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -110,6 +126,7 @@ def mix(
     max_repeats: int = 3,
     block_words: int = 64,
     shard_words: int = 1 << 18,
+    least_blocks: int = 0,
     seed: int = 7,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -145,7 +162,15 @@ def mix(
     cells = dealt.groupBy("__shard", "__turn").agg(
         F.sum("__size").alias("__words"), F.first(F.col("__target") / F.greatest("__source_size", F.lit(1))).alias("__rate")
     )
-    quotas = _quotas(cells.withColumn("__share", F.col("__rate") * F.col("__words")), block_words, max_repeats)
+    cells = cells.withColumn("__share", F.col("__rate") * F.col("__words"))
+    unit = F.lit(block_words)
+    if least_blocks:
+        few = F.col("__words") < least_blocks * block_words
+        quotas = _quotas(cells.where(~few), block_words, max_repeats).withColumn("__unit", F.lit(block_words))
+        quotas = quotas.unionByName(_word_quotas(cells.where(few), max_repeats, seed))
+        unit = F.col("__unit")
+    else:
+        quotas = _quotas(cells, block_words, max_repeats)
 
     # hash first; the id again, as two ids may share a hash
     order = Window.partitionBy("__shard", "__turn").orderBy("__hash", id_column, "__size")
@@ -160,8 +185,8 @@ def mix(
         return F.floor((blocks * F.col("__extra") + F.col("__start")).cast("decimal(38,0)") / n).cast("long")
 
     def words(upto: Column) -> Column:
-        whole = F.floor(upto / block_words).cast("long")
-        return selected(whole) * block_words + (upto - whole * block_words) * (selected(whole + 1) - selected(whole))
+        whole = F.floor(upto / unit).cast("long")
+        return selected(whole) * unit + (upto - whole * unit) * (selected(whole + 1) - selected(whole))
 
     size = F.col("__size")
     rest = words(F.col("__end")) - words(F.col("__end") - size)

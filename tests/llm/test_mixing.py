@@ -58,6 +58,25 @@ def test_reruns_and_other_partitions_agree(spark):
     assert first == collected(mixing.mix(docs.repartition(5), block_words=8).drop("text"))
 
 
+def test_short_documents_in_many_shards_come_near_their_target(spark):
+    rows = [(i, "w " * 500, None, "a", None) for i in range(400)]
+    rows += [(10_000 + i, "w " * 10, None, "c", None) for i in range(300)]
+    rows += [(20_000 + i, "w", None, "d", None) for i in range(900)]
+    found = mixing.mix(table(spark, rows), shard_words=1 << 10, least_blocks=64).collect()
+    target, taken = {r.source: r.target for r in found}, {}
+    for r in found:
+        assert 0 <= r.taken <= 3 * r["size"]
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    assert all(abs(taken[s] / t - 1) < 0.05 for s, t in target.items()), (target, taken)
+
+
+def test_few_words_take_no_part_in_the_blocks(spark):
+    big, small = [(i, "w " * 500, None, "a", None) for i in range(60)], [(900, "w " * 10, None, "c", None)]
+    found = mixing.mix(table(spark, big + small), least_blocks=64).collect()
+    taken, target = sum(r.taken for r in found if r.source == "a"), next(r.target for r in found if r.source == "a")
+    assert [r.taken for r in found if r.source == "c"] == [30] and abs(taken - target) < 64
+
+
 def test_empty_and_wordless_tables(spark):
     assert mixing.mix(table(spark, [])).count() == 0
     found = mixing.mix(table(spark, [(1, None, None, None, None), (2, " ", None, "a", None)])).collect()
