@@ -260,6 +260,9 @@ def _curve(x: np.ndarray, toxic: np.ndarray, steps: int = 50, ridge: float = 1e-
 # --- Spark -----------------------------------------------------------------
 
 
+LONGEST = 16
+
+
 def learn(
     docs: DataFrame,
     labels: DataFrame,
@@ -274,8 +277,10 @@ def learn(
 ) -> Model:
     """A model from a bounded sample of labelled rows, by smallest hash of the id.
 
-    At most ``toxic_rows`` and ``clean_rows`` rows of the two labels, and
-    ``chars_per_row`` of each, reach the driver.  ``where`` is a condition on
+    At most ``toxic_rows`` and ``clean_rows`` rows of the two labels reach the
+    driver, and ``chars_per_row`` times as many characters.  Texts are whole, as a label is of all
+    of a text: rows beyond that many characters, and those that alone hold over
+    a ``LONGEST``th of them, are left out.  ``where`` is a condition on
     ``labels``.  NULL ids and labels teach nothing.
     """
     known = labels.select(F.col(id_column).alias("__id"), (F.col(label_column) == 1).alias("__toxic"))
@@ -290,9 +295,13 @@ def learn(
         return ranked.where(F.col("__place") <= limit).drop("__place")
 
     chosen = sample(known.where("__id IS NOT NULL AND __toxic IS NOT NULL").distinct(), place)
-    texts = docs.select(F.col(id_column).alias("__id"), F.substring(text_column, 1, chars_per_row).alias("__text"))
-    rows = texts.join(F.broadcast(chosen), "__id").where(F.col("__text").isNotNull())  # a few thousand ids
-    rows = sample(rows, Window.partitionBy("__toxic").orderBy(F.xxhash64("__id"), "__id", "__text"))
+    texts = docs.select(F.col(id_column).alias("__id"), F.col(text_column).cast("string").alias("__text"))
+    chars = limit * F.lit(chars_per_row)
+    rows = texts.join(F.broadcast(chosen), "__id").where(F.length("__text") * F.lit(LONGEST) <= chars)  # a few thousand ids
+    order = Window.partitionBy("__toxic").orderBy(F.xxhash64("__id"), "__id", "__text")
+    rows = sample(rows, order)
+    upto = F.sum(F.length("__text")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("__upto", upto).where(F.col("__upto") <= chars).drop("__upto")
     found = rows.orderBy("__id", "__toxic", "__text").collect()
     return train([r["__text"] for r in found], np.array([r["__toxic"] for r in found], bool))
 

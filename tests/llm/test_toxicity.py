@@ -83,6 +83,34 @@ def test_held_out_labels_are_not_seen(spark):
     assert (one.weight == other.weight).all() and one.level == other.level
 
 
+def test_a_word_late_in_long_texts_is_learned(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(270):
+        own = words(rng, 2000).split()
+        if i % 3 == 0:
+            own.insert(rng.randrange(1900, 2000), "grundle")
+        rows.append((i, " ".join(own), None, None, None))
+    assert all(r[1].find("grundle") > 8000 for r in rows if r[0] % 3 == 0)
+    labels = spark.createDataFrame([(r[0], int(r[0] % 3 == 0)) for r in rows], "doc_id long, toxic int")
+    model = toxicity.learn(table(spark, rows), labels, where=F.col("doc_id") < 240)
+    found = model.probabilities([r[1] for r in rows[240:]]) >= 0.5
+    assert found.tolist() == [r[0] % 3 == 0 for r in rows[240:]]
+
+
+def test_the_sample_is_of_whole_texts_and_bounded(spark, monkeypatch):
+    rows = [(i, f"w{i} " + "x" * (20 + i % 7), None, None, None) for i in range(200)] + [(500, "y" * 1000, None, None, None)]
+    labels = spark.createDataFrame([(r[0], r[0] % 2) for r in rows], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic: seen.append((texts, toxic)))
+    toxicity.learn(table(spark, rows), labels, toxic_rows=60, clean_rows=50, chars_per_row=20)
+    ((texts, toxic),) = seen
+    assert set(texts) < {r[1] for r in rows} and "y" * 1000 not in texts
+    for label, most in ((True, 60), (False, 50)):
+        own = [t for t, x in zip(texts, toxic) if x == label]
+        assert most / 2 < len(own) <= most and sum(map(len, own)) <= most * 20
+
+
 def test_held_out_accuracy_of_the_query(spark):
     from paysieve.llm.queries import op9_toxicity
 
