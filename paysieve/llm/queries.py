@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paysieve.llm import imatch, langid, lm, mixing, packing, repeats, secrets, simhash, topk, toxicity
+from paysieve.llm import (
+    codes,
+    imatch,
+    langid,
+    lm,
+    mixing,
+    packing,
+    repeats,
+    runs,
+    secrets,
+    simhash,
+    tokencount,
+    topk,
+    toxicity,
+)
 from paysieve.llm.common import id_remainder
 
 
@@ -61,6 +75,19 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir), training=id_remainder("doc_id", 10) != 0)
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(documents(spark, sf_dir), edit=True)
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return codes.encode(vectors, codes.learn(vectors))
+
+
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": op1_repeats,
     "op2_packing": op2_packing,
@@ -72,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_toxicity": op9_toxicity,
     "op10_lm": op10_lm,
+    "op11_runs": op11_runs,
+    "op12_codes": op12_codes,
+    "op13_tokens": op13_tokens,
 }
 
 ORACLES: dict[str, str] = {
@@ -80,4 +110,5 @@ ORACLES: dict[str, str] = {
     "op6_imatch": imatch.IMATCH_SQL,
     "op7_topk": topk.TOP_K_SQL,
     "op8_secrets": secrets.SECRETS_SQL,
+    "op12_codes": codes.CODES_SQL,
 }

@@ -14,9 +14,9 @@ from tests.llm.test_simhash import components
 SF = "/root/testdata/sf0.001"
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     found = __spark_entry__.queries()
-    assert [f"op{n}" for n in range(1, 11)] == [q.split("_")[0] for q in sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0]))]
+    assert [f"op{n}" for n in range(1, 14)] == [q.split("_")[0] for q in sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0]))]
     assert "pipeline" in found and set(queries.ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
