@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from paysieve.fixtures import with_busy_user
-from paysieve.operators.velocity import per_second, with_velocity
+from paysieve.operators.velocity import Placement, crowded_cells, per_second, with_velocity
 
 SCHEMA = "id string, user_id string, event_ts timestamp"
 METHODS = ("auto", "bucketed", "linear")
@@ -128,6 +128,34 @@ def test_hot_rows_are_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def placed(rows, seconds, hot_rows):
+    narrow = rows.select("user_id", F.col("event_ts").cast("long").alias("__second"))
+    limit, crowded = crowded_cells(narrow, "user_id", hot_rows=hot_rows)
+    return Placement(narrow, "user_id", seconds, limit, 1 << 16, crowded), rows.withColumn("__second", F.col("event_ts").cast("long"))
+
+
+def test_no_group_is_above_its_bound(spark):
+    """A third of the rows in one second, the busy user's rows in one input partition, in order of time."""
+    rows = spark.range(0, 30_000, 1, 1).select(
+        F.col("id").cast("string").alias("id"),
+        F.when(F.col("id") < 20_000, F.lit("busy")).otherwise(F.concat(F.lit("u"), F.col("id") % 100)).alias("user_id"),
+        F.timestamp_seconds(F.when(F.col("id") < 10_000, 5000).otherwise(F.col("id") % 7000)).alias("event_ts"),
+    )
+    place, rows = placed(rows, 60, hot_rows=1000)
+    assert len(place.crowded) == 1 and place.limit == 1000
+    key = ["user_id", "__bucket", "__piece", "__salt"]
+    own = place.own(rows, rows.columns).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    assert own.agg(F.sum("n")).first()[0] == 30_000
+    assert own.agg(F.max("n")).first()[0] <= 2000
+    # a piece's own seconds and the 60 before it
+    assert place.numbers().groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] <= 3600 + 60
+
+
+def test_without_a_busy_user_it_is_the_plain_window(spark, payments):
+    plan = with_velocity(payments)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "Join" not in plan
+
+
 def test_columns_and_rows_are_kept(spark, payments):
     result = with_velocity(payments)
     assert result.columns == [*payments.columns, "tx_count_window"]
