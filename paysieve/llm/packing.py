@@ -30,6 +30,7 @@ PIECE_SCHEMA = (
     "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
 SEQUENCES_PER_PARTITION = 1 << 32
+LONG_BLANK = 10_000  # characters of white space in a row
 
 
 # --- ids -------------------------------------------------------------------
@@ -49,9 +50,13 @@ def load_encoder(path: str):
 
     The file's vocabulary is read as byte ranks, which encodes several times
     faster and gives the ids that ``Tokenizer.encode(text, add_special_tokens=False)`` gives.
+    That encoder's pattern runs out of stack on very long white space, so texts
+    with some go through the library itself.
     """
     import public_tokenizers
+    import regex
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
@@ -62,7 +67,12 @@ def load_encoder(path: str):
         "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
     )
 
+    library = Tokenizer.from_file(path)
+    blank = regex.compile(rf"\s{{{LONG_BLANK},}}")
+
     def encode(text: str) -> list[int]:
+        if len(text) >= LONG_BLANK and blank.search(text):
+            return library.encode(text, add_special_tokens=False).ids
         if any(t in text for t in special):
             return encoding.encode(text, allowed_special="all")
         return encoding.encode_ordinary(text)

@@ -20,6 +20,20 @@ def test_ids_are_the_library_s(encode, text):
     assert packing.load_encoder(packing.default_tokenizer())(text) == encode(text)
 
 
+@pytest.mark.parametrize("unit", [" ", "\n", "\t", "\r\n", "\u3000", "a", "\u4e2d", "7", "!"])
+def test_very_long_runs_have_the_library_s_ids(encode, unit):
+    text = "x " + unit * (5_000_000 if unit in " \n\t" else 1_000_000) + "y"
+    assert packing.load_encoder(packing.default_tokenizer())(text) == encode(text)
+
+
+def test_long_blanks_are_packed(spark, encode):
+    texts = [" " * 400_000, "a" + "\n\t" * 300_000 + "b", "c"]
+    found = packing.pack(table(spark, [(i, t, None, None, None) for i, t in enumerate(texts)]), with_ids=True).collect()
+    for i, text in enumerate(texts):
+        pieces = sorted((r for r in found if r.doc_id == i), key=lambda r: r.start)
+        assert [x for r in pieces for x in r.ids] == [*encode(text), 1]
+
+
 def test_least_squares_meets_its_conditions():
     rng = np.random.default_rng(3)
     for _ in range(20):
