@@ -1,6 +1,6 @@
 """Exact top-k by inner product on a bit-sliced index.
 
-Rows are dealt to blocks by a hash of their id.  In a block an attribute is a
+Rows are dealt to blocks by a hash, equal ones each for itself.  In a block an attribute is a
 few bitmaps, one per binary digit of its value above the block's minimum: bit r
 of a bitmap belongs to the block's r-th row by id.  A query's scores of all the
 block's rows are sums of slices: each set digit of a query component adds the
@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
+from paysieve.llm.common import stored
+
+MOST_TASKS = 20_000
 
 
 # --- index of one block ----------------------------------------------------
@@ -167,12 +169,15 @@ def top_k(
     ``query`` says which rows are queries (default: ids divisible by 50).
     Vectors that are NULL, hold NULL or a non-finite component, or have a NULL
     id take no part; an empty vector scores 0, and so does a missing component.
-    Rows that repeat an id are rows of their own as candidates and as queries, though not for a
-    query of that id; scores must fit a long.  Ties go to the smaller id, fewer than k rows give fewer
+    Rows that repeat an id are rows of their own as candidates, though not for a
+    query of that id.  Equal rows are one query; rows of one id with different vectors are
+    queries of their own, whose results are all returned under that id.  Scores
+    must fit a long.  Ties go to the smaller id, fewer than k rows give fewer
     results, and an empty table none.  Other columns are not read.
 
     Queries meet all rows in blocks: a block of the index is one row of a
     table, so is a block of queries, and a task works on a few pairs of them.
+    Of equal rows k are enough for any query, so that no block overflows with copies.
     """
     asked = query if query is not None else F.col(id_column) % 50 == 0
     rows = vectors.select(
@@ -180,18 +185,29 @@ def top_k(
         quantised(F.col(vector_column)).alias("values"),
         F.coalesce(asked, F.lit(False)).alias("asked"),
     ).where("id IS NOT NULL AND values IS NOT NULL")
-    total, questions, attributes = rows.agg(F.count("*"), F.count_if("asked"), F.max(F.size("values"))).first()
-    blocks = max(1, math.ceil(total / block_rows))
+    copies = F.least(F.count(F.lit(1)), F.lit(k)).cast("int")
+    distinct = stored(rows.groupBy("id", "values").agg(copies.alias("copies"), F.bool_or("asked").alias("asked")), "vectors")
+    total, questions, attributes = distinct.agg(F.sum("copies"), F.count_if("asked"), F.max(F.size("values"))).first()
+    blocks = max(1, math.ceil((total or 0) / block_rows))
     asking = max(1, math.ceil(questions / block_queries))
-    place = F.xxhash64("id", "values")
-    index = rows.groupBy(F.pmod(place, F.lit(blocks)).alias("block")).agg(
-        F.collect_list(F.struct("id", "values")).alias("rows")
+    # a number of partitions of one's own is not merged by size: a task's work is far more than its bytes
+    tasks = min(4 * blocks, MOST_TASKS)
+    each = distinct.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    index = (
+        each.withColumn("block", F.pmod(F.xxhash64("id", "values", "copy"), F.lit(blocks)))
+        .repartition(tasks, "block")
+        .groupBy("block")
+        .agg(F.collect_list(F.struct("id", "values")).alias("rows"))
     )
-    lots = rows.where("asked").groupBy(F.pmod(place, F.lit(asking)).alias("lot")).agg(
-        F.collect_list(F.struct("id", "values")).alias("queries")
+    lots = (
+        distinct.where("asked")
+        .groupBy(F.pmod(F.xxhash64("id", "values"), F.lit(asking)).alias("lot"))
+        .agg(F.sort_array(F.collect_list(F.struct("id", "values"))).alias("queries"))
     )
-    pairs = lots.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(
-        index, F.col("at") == F.col("block")
+    pairs = (
+        lots.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+        .repartition(tasks, "at")
+        .join(index, F.col("at") == F.col("block"))
     )
     width = int(attributes or 0)
 
@@ -206,21 +222,27 @@ def top_k(
                         inside.field("id").to_numpy(), _matrix(inside.field("values"), width)
                     )
                 ask = batch.column(2)[i].values
+                lot = batch.column(3)[i].as_py()
                 found = [
                     (q, *held.top(int(q), values, k))
                     for q, values in zip(ask.field("id").to_numpy(), _matrix(ask.field("values"), width))
                 ]
+                sizes = [len(ids) for _, ids, _ in found]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.repeat([q for q, _, _ in found], [len(ids) for _, ids, _ in found]), pa.int64()),
+                        pa.array(np.full(sum(sizes), lot), pa.int64()),
+                        pa.array(np.repeat(np.arange(len(found)), sizes), pa.int64()),
+                        pa.array(np.repeat([q for q, _, _ in found], sizes), pa.int64()),
                         pa.array(np.concatenate([ids for _, ids, _ in found]), pa.int64()),
                         pa.array(np.concatenate([scores for _, _, scores in found]), pa.int64()),
                     ],
-                    names=["query_id", "vec_id", "score"],
+                    names=["lot", "place", "query_id", "vec_id", "score"],
                 )
 
-    best = pairs.select("block", "rows", "queries").mapInArrow(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    schema = "lot long, place long, query_id long, vec_id long, score long"
+    best = pairs.select("block", "rows", "queries", "lot").mapInArrow(run, schema)
+    # a query is known by its place in its lot
+    order = Window.partitionBy("lot", "place").orderBy(F.col("score").desc(), "vec_id")
     return (
         best.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
@@ -233,10 +255,11 @@ WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+asked AS (SELECT vec_id, q, row_number() OVER () AS place FROM (SELECT DISTINCT vec_id, q FROM v WHERE vec_id % 50 = 0)),
 scored AS (
-  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
-  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+  SELECT a.place, a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM asked a JOIN v b ON a.vec_id <> b.vec_id),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+  SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """

@@ -62,3 +62,36 @@ def test_repeated_ids_are_rows_of_their_own(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     found = [r.vec_id for r in topk.top_k(df, k=2).where("query_id = 0").collect()]
     assert found == [1, 1]
+
+
+def test_a_repeated_query_row_is_one_query(spark):
+    rows = [(0, [1.0]), (0, [1.0]), (1, [3.0]), (2, [2.0]), (3, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = sorted((r.rank, r.vec_id) for r in topk.top_k(df, k=2).where("query_id = 0").collect())
+    assert found == [(1, 1), (2, 2)]
+
+
+def test_rows_of_one_id_are_queries_of_their_own(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [3.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 3.0]), (4, [0.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = sorted((r.rank, r.vec_id) for r in topk.top_k(df, k=2).where("query_id = 0").collect())
+    assert found == [(1, 1), (1, 3), (2, 2), (2, 4)]
+
+
+def test_copies_fill_no_block(spark):
+    """A third of the rows equal: each query has its five, of the copies five at most."""
+    rng = random.Random(9)
+    rows = [(i, [float(rng.randint(-4, 4)) for _ in range(3)]) for i in range(2000)] + [(5000, [4.0, 4.0, 4.0])] * 1000
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = topk.top_k(df, block_rows=100, k=5).collect()
+    best = max(range(2000), key=lambda i: (sum(rows[i][1]), -i))
+    for r in found:
+        own = rows[r.query_id][1] if r.query_id < 2000 else rows[-1][1]
+        other = rows[r.vec_id][1] if r.vec_id < 2000 else rows[-1][1]
+        assert r.score == 65536 * sum(a * b for a, b in zip(own, other))
+    copies = [r for r in found if r.query_id == best // 50 * 50 and r.vec_id == 5000]
+    assert len(copies) in (0, 5)
+    per_query = {}
+    for r in found:
+        per_query[r.query_id] = per_query.get(r.query_id, 0) + 1
+    assert set(per_query.values()) == {5}
