@@ -131,10 +131,11 @@ def mix(
     id_column: str = "doc_id",
     text_column: str = "text",
     source_column: str = "source",
+    size_column: str | None = None,
 ) -> DataFrame:
     """``docs`` with size, source_size, target and taken.
 
-    ``size`` is the number of words, ``taken`` how many of them the mix takes,
+    ``size`` is the number of words, or what ``size_column`` says (sizes are read three times), ``taken`` how many of them the mix takes,
     repeats counted, at most ``max_repeats`` times the size.  NULL texts have
     size 0 and are taken 0 times; a NULL source is a source like any other, and so is
     an empty one.  Rows that agree in id and size are interchangeable.  Columns named as the
@@ -142,7 +143,8 @@ def mix(
     """
     results = ("size", "source_size", "target", "taken")
     own = [c for c in docs.columns if c not in results]
-    sized = docs.select(*own, word_count(text_column).alias("__size"), F.col(source_column).alias("__source"))
+    size = word_count(text_column) if size_column is None else F.col(size_column)
+    sized = docs.select(*own, size.alias("__size"), F.col(source_column).alias("__source"))
     sizes = sized.select(F.col("__source").alias("source"), F.col("__size").alias("size"))
     targets = stored(source_targets(sizes, weights=weights, max_repeats=max_repeats), "targets")
     goals = targets.select(
@@ -239,26 +241,30 @@ cells AS (
   SELECT shard, turn, sum(size)::BIGINT AS words,
          any_value(target / greatest(source_size, 1)) * sum(size)::DOUBLE AS share
   FROM placed GROUP BY shard, turn),
-totals AS (SELECT shard, round(sum(share) / 64)::BIGINT AS blocks FROM cells GROUP BY shard),
+totals AS (SELECT shard, round(sum(share) / 64)::BIGINT AS blocks FROM cells WHERE words >= 4096 GROUP BY shard),
 seats AS (
   SELECT c.shard, c.turn, row_number() OVER (PARTITION BY c.shard ORDER BY c.share / (2 * k - 1) DESC, c.turn, k) AS place, t.blocks
   FROM cells c JOIN totals t USING (shard), range(1, 100000) r(k)
-  WHERE c.share > 0 AND k <= c.share / 64 * 1.5 + 3),
+  WHERE c.words >= 4096 AND c.share > 0 AND k <= c.share / 64 * 1.5 + 3),
 won AS (SELECT shard, turn, count(*) AS seats FROM seats WHERE place <= blocks GROUP BY shard, turn),
 quotas AS (
-  SELECT c.shard, c.turn, greatest(ceil(c.words / 64.0)::BIGINT, 1) AS n,
+  SELECT c.shard, c.turn, ceil(c.words / 64.0)::BIGINT AS n, 64 AS unit,
          least(coalesce(w.seats, 0), 3 * ceil(c.words / 64.0)::BIGINT) AS quota
-  FROM cells c LEFT JOIN won w USING (shard, turn)),
+  FROM cells c LEFT JOIN won w USING (shard, turn) WHERE c.words >= 4096
+  UNION ALL
+  SELECT shard, turn, greatest(words, 1), 1,
+         least(floor(share + ('0x' || md5('7|round|' || shard || '|' || turn)[1:8])::BIGINT::DOUBLE / 4294967296::DOUBLE)::BIGINT,
+               3 * words) FROM cells WHERE words < 4096),
 chosen AS (
-  SELECT p.*, q.n, q.quota // q.n AS full_times, q.quota % q.n AS extra,
+  SELECT p.*, q.n, q.unit, q.quota // q.n AS full_times, q.quota % q.n AS extra,
          ('0x' || md5('7|start|' || p.shard || '|' || p.turn)[1:8])::BIGINT % q.n AS start,
          sum(p.size) OVER (PARTITION BY p.shard, p.turn ORDER BY p.h, p.doc_id, p.size
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS stop
   FROM placed p JOIN quotas q USING (shard, turn)),
 ends AS (SELECT *, unnest([stop - size, stop]) AS x, unnest([-1, 1]) AS sign FROM chosen),
 upto AS (
-  SELECT *, ((x // 64) * extra + start) // n * 64
-          + (x % 64) * (((x // 64 + 1) * extra + start) // n - ((x // 64) * extra + start) // n) AS w FROM ends)
+  SELECT *, ((x // unit) * extra + start) // n * unit
+          + (x % unit) * (((x // unit + 1) * extra + start) // n - ((x // unit) * extra + start) // n) AS w FROM ends)
 SELECT doc_id, size, source_size, target, (full_times * size + sum(sign * w))::BIGINT AS taken
 FROM upto GROUP BY doc_id, size, source_size, target, full_times, stop, shard, turn
 """

@@ -21,7 +21,7 @@ from paysieve.llm import (
     topk,
     toxicity,
 )
-from paysieve.llm.common import id_remainder
+from paysieve.llm.common import id_remainder, stored
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,8 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    docs = documents(spark, sf_dir).select("doc_id", "source", mixing.word_count("text").alias("words"))
+    mixed = mixing.mix(stored(docs, "sizes"), size_column="words", least_blocks=64)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
