@@ -62,7 +62,7 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(documents(spark, sf_dir))
+    return secrets.scan(documents(spark, sf_dir), pieces=True)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import math
 import random
 import re
 import string
+import time
 
 from tests.llm.helpers import awkward_rows, table
 
@@ -107,3 +108,31 @@ def test_repeated_rows_stay_and_nothing_gives_nothing(spark):
 def test_no_python_in_the_plan(spark):
     plan = secrets.scan(table(spark, awkward_rows()))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Exchange" not in plan
+
+
+def test_many_matches_in_one_text(spark):
+    """Lots of matches are placed as one by one; none is lost at their seams."""
+    rng = random.Random(6)
+    lines = ["".join(rng.choice("0123456789abcdefABCDEF+/") for _ in range(rng.choice((19, 22, 30, 64)))) for _ in range(1500)]
+    lines += [hashlib.sha256(b"%d" % i).hexdigest() for i in range(700)] + ["token=" + "q1" * 9] * 300
+    rng.shuffle(lines)
+    text = "\n".join(lines)
+    found = secrets.scan(table(spark, [(1, text, None, None, None)])).first()
+    base, spans = expected(text)
+    assert found.spans == written(spans) and found.n_hex == sum(k == 1 + 1 for _, k, _ in base) >= 700
+
+
+def test_glued_keys_reach_their_end(spark):
+    rng = random.Random(7)
+    keys = ["".join(rng.choice("0123456789ABCDEF") for _ in range(32)) for _ in range(200)]
+    rows = [(i, f"SESSION_ID={key}", None, None, None) for i, key in enumerate(keys) if expected(key)[1]]
+    found = secrets.scan(table(spark, rows), pieces=True).collect()
+    assert len(rows) > 195 and all(any(s.endswith(":43") for s in r.spans.split(",")) for r in found)
+
+
+def test_dense_text_takes_seconds(spark):
+    text = "\n".join(hashlib.sha256(b"%d" % i).hexdigest().upper() for i in range(8000))
+    docs = table(spark, [(1, text, None, None, None)])
+    start = time.perf_counter()
+    found = secrets.scan(docs, pieces=True).first()
+    assert len(found.spans.split(",")) >= 8000 and time.perf_counter() - start < 60
