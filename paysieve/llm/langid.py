@@ -3,12 +3,15 @@
 A text is parsed from left to right into phrases, each the longest piece that
 occurs somewhere in a language's reference text.  The fewer phrases a language
 needs, times the logarithm of its reference's length, the closer the text.  A
-suffix automaton finds the longest match in one step per letter; here it is a
-dense table, and many texts advance through all languages' tables together.
+suffix automaton finds the longest match in one step per letter, and many texts
+advance through all languages' automata together.  Arcs of the commonest letters
+are a dense table, of as many letters as ``TABLE`` entries have room for; those of
+rarer ones are sorted keys that are searched.  So memory grows with the
+references' length alone, however large the alphabets and however many the languages.
 
 Texts are reduced to lower-case letters with single spaces between words.
 The references come from a bounded sample of labelled rows: ``rows_per_language``
-rows by smallest hash of the id, ``chars_per_row`` letters of each.
+rows by smallest hash of the id, ``chars_per_row`` characters of each.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
 LANES = 4096  # texts that are parsed together
+FEW = 8  # texts so few that they are parsed one by one
+TABLE = 1 << 25  # entries of the dense table, at most, but for three per state
 SPACE, OTHER = 0, 1  # codes of any run of non-letters, and of letters no reference holds
 
 
@@ -73,19 +78,38 @@ class Parser:
     def __init__(self, references: dict[str, str]):
         self.languages = sorted(references)
         kept = {lang: self._reduced(_points(references[lang])) for lang in self.languages}
-        alphabet = sorted({int(p) for points in kept.values() for p in points if p})
-        self.width = len(alphabet) + 2
-        self.code = np.full(0x110000, OTHER, np.int16)
+        automata = {}
+        counts: dict[int, int] = {}
+        for lang in self.languages:
+            found, times = np.unique(kept[lang][kept[lang] != 0], return_counts=True)
+            for point, n in zip(found.tolist(), times.tolist()):
+                counts[point] = counts.get(point, 0) + n
+        common = sorted(counts, key=lambda point: (-counts[point], point))
+        self.code = np.full(0x110000, OTHER, np.int32)
         self.code[~_letters()] = SPACE
-        self.code[alphabet] = np.arange(2, self.width)
-        tables, self.roots, base = [], [], 0
+        self.code[common] = np.arange(2, len(common) + 2)
+        for lang in self.languages:
+            automata[lang] = SuffixAutomaton([int(self.code[p]) if p else SPACE for p in kept[lang]])
+        states = sum(len(a.next) for a in automata.values())
+        self.width = max(3, min(len(common) + 2, TABLE // max(states, 1)))
+        self.rare = len(common) + 2  # a rare arc's key is its state times this, plus its code
+        tables, self.roots, base, arcs = [], [], 0, []
         for lang in self.languages:
-            codes = [int(self.code[p]) if p else SPACE for p in kept[lang]]
-            automaton = SuffixAutomaton(codes)
+            automaton = automata.pop(lang)
             tables.append(self._table(automaton, base))
+            arcs += [
+                ((base + state * self.width) * self.rare + code, base + target * self.width)
+                for state, own in enumerate(automaton.next)
+                for code, target in own.items()
+                if code >= self.width
+            ]
             self.roots.append(base)
             base += len(automaton.next) * self.width
         self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
+        arcs.sort()
+        self.keys = np.array([k for k, _ in arcs], np.int64)
+        self.targets = np.array([t for _, t in arcs], np.int64)
+        self.arcs = dict(arcs)
         self.weight = [math.log2(len(kept[lang]) + 2) for lang in self.languages]
 
     @staticmethod
@@ -98,15 +122,57 @@ class Parser:
     def _table(self, automaton: SuffixAutomaton, base: int) -> np.ndarray:
         """Entry of (state, code): four times the row of the next state, plus how many
         phrases end: the one so far, if it cannot go on, and a letter that the reference lacks."""
-        fresh = np.full(self.width, 4 * base + 1, np.int32)
+        fresh = np.full(self.width, 4 * base + 1, np.int64)
         for code, state in automaton.next[0].items():
-            fresh[code] = 4 * (base + state * self.width)
+            if code < self.width:
+                fresh[code] = 4 * (base + state * self.width)
         table = np.tile(fresh, (len(automaton.next), 1))
         table[1:] += 1
         for state, arcs in enumerate(automaton.next):
             for code, target in arcs.items():
-                table[state, code] = 4 * (base + target * self.width)
-        return table.ravel()
+                if code < self.width:
+                    table[state, code] = 4 * (base + target * self.width)
+        return table.ravel().astype(np.int32 if 4 * (base + table.size) < 1 << 31 else np.int64)
+
+    def _searched(self, keys: np.ndarray) -> np.ndarray:
+        """Where rare arcs lead; -1 where there is none."""
+        if not len(self.keys):
+            return np.full(keys.shape, -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.targets[at], -1)
+
+    def _entries(self, state: np.ndarray, codes: np.ndarray, roots: np.ndarray) -> np.ndarray:
+        """Entries of (languages, texts) states and the texts' codes."""
+        rare = codes >= self.width
+        if not rare.any():
+            return self.table[state + codes]
+        entry = self.table[state + np.where(rare, OTHER, codes)].astype(np.int64)
+        own, wanted = state[:, rare].astype(np.int64), codes[rare]
+        on = self._searched(own * self.rare + wanted)
+        anew = self._searched(roots.astype(np.int64) * self.rare + wanted)
+        # a phrase that goes on; else one ends and another begins, unless the reference lacks the letter
+        begun = np.where(anew >= 0, 4 * anew, 4 * roots + 1) + (own != roots)
+        entry[:, rare] = np.where(on >= 0, 4 * on, begun)
+        return entry
+
+    def _alone(self, language: int, state: int, codes: list[int]) -> tuple[int, int]:
+        """(phrases that end, state) of one text from a state on."""
+        root, ended = self.roots[language], 0
+        item, width, rare, arcs = self.table.item, self.width, self.rare, self.arcs
+        for code in codes:
+            if code < width:
+                entry = item(state + code)
+                ended += entry & 3
+                state = entry >> 2
+            else:
+                following = arcs.get(state * rare + code)
+                if following is None:
+                    ended += state != root
+                    following = arcs.get(root * rare + code)
+                    if following is None:
+                        ended, following = ended + 1, root
+                state = following
+        return ended, state
 
     def codes(self, text: str) -> np.ndarray:
         codes = self.code[_points(text)]
@@ -118,9 +184,9 @@ class Parser:
         """(languages, texts): number of phrases."""
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
         sizes = np.array([len(texts[i]) for i in order])
-        flat = np.concatenate([texts[i] for i in order]) if order else np.zeros(0, np.int16)
+        flat = np.concatenate([texts[i] for i in order]) if order else np.zeros(0, np.int32)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if order else sizes
-        roots = np.array(self.roots, np.int32)[:, None]
+        roots = np.array(self.roots, np.int64)[:, None]
         state = np.repeat(roots, len(order), axis=1)
         count = np.zeros(state.shape, np.int64)
         alive = len(order)
@@ -132,7 +198,14 @@ class Parser:
                 alive = int(alive_at[t])
                 state, held = np.ascontiguousarray(state[:, :alive]), state[:, alive:]
                 count[:, alive : alive + held.shape[1]] += held != roots
-            entry = self.table[state + flat[starts[:alive] + t]]
+            if alive <= FEW:
+                for text in range(alive):
+                    codes = flat[starts[text] + t : starts[text] + sizes[text]].tolist()
+                    for language in range(len(roots)):
+                        ended, state[language, text] = self._alone(language, int(state[language, text]), codes)
+                        count[language, text] += ended
+                break
+            entry = self._entries(state, flat[starts[:alive] + t], roots)
             count[:, :alive] += entry & 3
             state = entry >> 2
         count[:, :alive] += state != roots
@@ -148,7 +221,7 @@ class Parser:
         return langs, scores
 
     def _predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        codes = [self.codes(t) if t else np.zeros(0, np.int16) for t in texts]
+        codes = [self.codes(t) if t else np.zeros(0, np.int32) for t in texts]
         cost = self.phrases(codes) * np.array(self.weight)[:, None]
         langs, scores = [], []
         for i, own in enumerate(codes):
@@ -231,7 +304,8 @@ def identify(
     languages tie (the first by name is taken), 1 with a single language.  A
     NULL text or one without a letter is "und" with score 0, and so is every
     text if there is no reference.  Columns of these names are replaced; all
-    others, and repeated rows, are passed on.  Whole texts are parsed.
+    others, and repeated rows, are passed on.  Whole texts are parsed; a very long
+    one takes some tenths of a microsecond per character and language.  An empty table gives no rows.
     """
     kept = [c for c in docs.columns if c not in (lang_column, score_column)]
     frozen = tuple(sorted(references.items()))
