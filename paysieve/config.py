@@ -97,6 +97,8 @@ class PipelineConfig:
     ``features``, if given, is where training stores the rows it learns from,
     ``quality`` where ingestion stores its counts on silver, and ``blacklist``
     a layer of listed users that gold rows are marked by.
+    ``atomic``: layers are replaced by publishing a snapshot (see ``sources.layers``);
+    without it they are plain folders, as tools that know nothing of snapshots need them.
     ``serve_probability`` adds ``fraud_probability`` to the predictions' serving table.
     """
 
@@ -111,6 +113,7 @@ class PipelineConfig:
     quality: str = ""
     blacklist: str = ""
     serve_probability: bool = False
+    atomic: bool = False
     bad_records: str = "keep"
     dedup: str = "latest"
     rules: RuleSettings = RuleSettings()

@@ -86,6 +86,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     for job in jobs.choices.values():
         _store_options(job)
+        job.add_argument("--atomic", action="store_true", help="publish layers as snapshots instead of replacing their files")
         job.add_argument("--input-gb", type=float, help="size of the input, if not to be looked up")
     return parser
 
@@ -139,7 +140,7 @@ def _targets(args: argparse.Namespace) -> dict[str, JdbcTarget]:
 def config_from(args: argparse.Namespace) -> PipelineConfig:
     names = (
         "landing", "bronze", "silver", "gold", "model", "predictions", "quarantine", "features", "quality", "blacklist",
-        "serve_probability", "dedup",
+        "serve_probability", "dedup", "atomic",
     )
     given = {n: getattr(args, n) for n in names if getattr(args, n, None)}
     if "quarantine" in given:

@@ -32,15 +32,15 @@ def run_ingest(spark: SparkSession, cfg: PipelineConfig, *, batch_ts: datetime |
     if landing.isEmpty():
         log.warning("no rows in %s, nothing written", cfg.landing)
         return False
-    write_layer(landing, cfg.bronze)
+    write_layer(landing, cfg.bronze, atomic=cfg.atomic)
 
     bronze = read_layer(spark, cfg.bronze)
     if quarantine:
-        write_layer(rejected(bronze), cfg.quarantine)
+        write_layer(rejected(bronze), cfg.quarantine, atomic=cfg.atomic)
         bronze = accepted(bronze)
-    write_layer(to_silver(bronze, batch_ts=batch_ts or new_batch_ts(), keep=cfg.dedup), cfg.silver)
+    write_layer(to_silver(bronze, batch_ts=batch_ts or new_batch_ts(), keep=cfg.dedup), cfg.silver, atomic=cfg.atomic)
     if cfg.quality:
-        write_layer(silver_report(read_layer(spark, cfg.silver)), cfg.quality)
+        write_layer(silver_report(read_layer(spark, cfg.silver)), cfg.quality, atomic=cfg.atomic)
     return True
 
 
@@ -54,7 +54,7 @@ def run_gold(spark: SparkSession, cfg: PipelineConfig, *, batch_ts: datetime | N
     gold = gold_ops.to_gold(silver, cfg.rules, batch_ts=batch_ts or new_batch_ts())
     if cfg.blacklist:
         gold = with_blacklist(gold, read_layer(spark, cfg.blacklist))
-    write_layer(gold, cfg.gold)
+    write_layer(gold, cfg.gold, atomic=cfg.atomic)
     if cfg.gold_jdbc:
         write_jdbc(gold_ops.serving_view(read_layer(spark, cfg.gold)), cfg.gold_jdbc)
 
@@ -65,7 +65,7 @@ def run_train(
     """Fit on all of gold and save; returns the model's path."""
     labelled = model_ops.with_label(read_layer(spark, cfg.gold), labels)
     if cfg.features:
-        write_layer(model_ops.feature_table(labelled), cfg.features)
+        write_layer(model_ops.feature_table(labelled), cfg.features, atomic=cfg.atomic)
         labelled = read_layer(spark, cfg.features)
     model = model_ops.train(labelled, max_iter=cfg.max_iter, tol=cfg.tol)
     return save_model(model, cfg.model, version=version)
@@ -76,7 +76,7 @@ def run_score(spark: SparkSession, cfg: PipelineConfig, *, version: int | str |
     model = load_model(spark, cfg.model, version=version)
     source = read_layer(spark, cfg.gold or cfg.silver)
     scored = model_ops.score(model, source, velocity_seconds=cfg.rules.velocity_seconds)
-    write_layer(scored, cfg.predictions)
+    write_layer(scored, cfg.predictions, atomic=cfg.atomic)
     if cfg.predictions_jdbc:
         view = model_ops.serving_view(read_layer(spark, cfg.predictions), probability=cfg.serve_probability)
         write_jdbc(view, cfg.predictions_jdbc)

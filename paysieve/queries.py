@@ -24,9 +24,9 @@ from paysieve.operators.quality import silver_report
 from paysieve.operators.registry import load_model, registry, save_model
 from paysieve.operators.velocity import with_velocity
 from paysieve.plans import run_all, run_gold, run_ingest, run_score, run_train
-from paysieve.sources import read_jdbc, read_landing, read_layer, scratch_path, write_jdbc, write_layer
+from paysieve.sources import layer_exists, read_jdbc, read_landing, read_layer, scratch_path, write_jdbc, write_layer
 from paysieve.sources.jdbc import with_ranges
-from paysieve.streaming import merge_silver, stream_to_bronze, stream_to_updates
+from paysieve.streaming import corrected, merge_silver, stream_counts, stream_to_bronze, stream_to_updates
 
 JDBC_CONF = "spark.paysieve.jdbc."
 
@@ -453,6 +453,47 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_micros(read_layer(spark, silver)).fillna(-1, ["event_us"])
 
 
+def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_ingest``, in two runs of which the second brings retries and exact
+    repeats, without repeats by state and with silver merged after each run."""
+    rows = payments(spark, sf_dir)
+    untimed = F.col("payment_method") == "wallet"
+    rows = rows.withColumn("event_ts", F.when(~untimed | (F.col("status") != "captured"), F.col("event_ts")))
+    landing, bronze, updates, silver, state = (
+        scratch_path(spark, n) for n in ("landing", "bronze", "updates", "silver", "state")
+    )
+    later = F.col("event_id").cast("long") % 3 == 0
+    for run, part in enumerate((rows.where(~later), _retried(rows).unionByName(rows.where(~later)))):
+        as_landing(part).write.json(f"{landing}/run-{run}")
+        stream_to_bronze(spark, f"{landing}/run-*", bronze, f"{state}/bronze").awaitTermination()
+        stream_to_updates(spark, bronze, updates, f"{state}/updates", repeat_horizon="1 hour").awaitTermination()
+        merge_silver(spark, updates, silver)
+    return _with_micros(read_layer(spark, silver)).fillna(-1, ["event_us"])
+
+
+def stream_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by state over micro-batches in order of time, refunds coming late and being corrected for."""
+    rows = payments(spark, sf_dir).select("event_id", "user_id", "event_ts", "status")
+    arrivals, counts, state = (scratch_path(spark, n) for n in ("arrivals", "counts", "state"))
+    in_time = rows.where("status <> 'refunded'")
+    low, high = in_time.agg(F.min("event_ts"), F.max("event_ts")).first()
+    middle = low + (high - low) / 2
+    for part in (in_time.where(F.col("event_ts") < middle), in_time.where(F.col("event_ts") >= middle), rows.where("status = 'refunded'")):
+        part.drop("status").write.mode("append").parquet(arrivals)
+    stream = spark.readStream.schema("event_id string, user_id string, event_ts timestamp").option("maxFilesPerTrigger", 1)
+    stream_counts(stream.parquet(arrivals), counts, state, delay=120).awaitTermination()
+    return corrected(spark, counts, rows).select("event_id", "tx_count_window")
+
+
+def layer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An atomic layer, read, changed and replaced in place."""
+    path = scratch_path(spark, "snapshots")
+    for part in (F.col("status") != "failed", F.col("status") == "failed"):
+        rows = payments(spark, sf_dir).where(part)
+        write_layer(read_layer(spark, path).unionByName(rows) if layer_exists(spark, path) else rows, path, atomic=True)
+    return _with_micros(read_layer(spark, path))
+
+
 QUERIES = {
     "landing_json_scan": landing_json_scan,
     "landing_row_count": landing_row_count,
@@ -496,6 +537,9 @@ QUERIES = {
     "job_score": job_score,
     "job_all": job_all,
     "stream_ingest": stream_ingest,
+    "stream_merge": stream_merge,
+    "stream_velocity": stream_velocity,
+    "layer_snapshots": layer_snapshots,
 }
 
 
@@ -679,3 +723,8 @@ FROM twice""",
     "job_gold": _from_rules(f"""SELECT {_COLUMNS}, epoch_us(event_ts) AS event_us, tx_count_window,
     fraud_reason, is_fraud FROM f"""),
 }
+ORACLES |= {
+    "stream_merge": ORACLES["stream_ingest"],
+    "stream_velocity": ORACLES["velocity_count"],
+    "layer_snapshots": _ROWS,
+}

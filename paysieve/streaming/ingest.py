@@ -2,11 +2,15 @@
 
 Bronze receives every row as it is.  For silver each micro-batch is typed and cut down to one
 row per event, the latest, and stored as an update of its own; a batch that is
-run again replaces its update.  ``merge_silver`` makes the silver layer of all updates.  Since the
+run again replaces its update.  ``merge_silver`` brings new updates into the silver layer.  Since the
 latest of the latest is the latest, that is what the batch job makes of the
 same rows, in whatever order and however late they came, rows without a
-readable time included.  Window counts are left to the batch job: Spark has no
-trailing range frame on streams.
+readable time included.
+
+Deliveries that are repeated word for word can be dropped before, by a state
+that forgets a row some time after it came.  The clock of that state is the time of
+arrival, which never runs backwards: no row is ever too late for it, and one
+that is repeated after its state is gone is brought into silver once more, where it changes nothing.
 """
 
 from __future__ import annotations
@@ -20,7 +24,8 @@ from pyspark.sql.streaming import StreamingQuery
 from paysieve.functions.times import batch_literal, new_batch_ts, parse_event_ts
 from paysieve.operators.cleaning import dedup
 from paysieve.schemas import LANDING
-from paysieve.sources import write_layer
+from paysieve.sources import layer_exists, layer_notes, read_layer, write_layer
+from paysieve.sources.layers import layer_names, remove_layer
 
 
 def _source(spark: SparkSession, max_files: int | None):
@@ -57,13 +62,31 @@ def stream_to_bronze(
     )
 
 
+def without_repeats(rows: DataFrame, horizon: str) -> DataFrame:
+    """A stream without rows that repeat another one that came up to ``horizon`` before.
+
+    What has been seen is kept in the state store until the watermark on the
+    time of arrival has passed it by that much.
+    """
+    own = rows.columns
+    arrived = rows.withColumn("__arrived", F.current_timestamp()).withWatermark("__arrived", horizon)
+    return arrived.dropDuplicatesWithinWatermark(own).select(own)
+
+
 def stream_to_updates(
-    spark: SparkSession, bronze: str, updates: str, checkpoint: str, *, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    bronze: str,
+    updates: str,
+    checkpoint: str,
+    *,
+    max_files_per_trigger: int | None = None,
+    repeat_horizon: str | None = None,
 ) -> StreamingQuery:
     """Start the stream that stores one update per micro-batch of new bronze rows.
 
     Repeats are combined in each task before the shuffle, so an id that makes up
     much of a batch is no burden.  ``max_files_per_trigger`` bounds a batch.
+    ``repeat_horizon`` ("6 hours") drops exact repeats across batches; a row's copies of one batch then meet in one task.
     """
 
     def store(batch: DataFrame, number: int) -> None:
@@ -71,6 +94,8 @@ def stream_to_updates(
         write_layer(dedup(typed), f"{updates.rstrip('/')}/batch={number}")
 
     rows = _source(spark, max_files_per_trigger).parquet(bronze)
+    if repeat_horizon:
+        rows = without_repeats(rows, repeat_horizon)
     return (
         rows.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
@@ -79,7 +104,40 @@ def stream_to_updates(
     )
 
 
-def merge_silver(spark: SparkSession, updates: str, silver: str, *, batch_ts: datetime | None = None) -> None:
-    """Replace silver by the latest row of each event among all updates."""
-    rows = dedup(spark.read.parquet(updates).drop("batch"))
-    write_layer(rows.withColumn("ingest_ts", batch_literal(batch_ts or new_batch_ts())), silver)
+def merge_silver(spark: SparkSession, updates: str, silver: str, *, batch_ts: datetime | None = None) -> bool:
+    """Bring the updates that silver does not have yet into it; False if there are none.
+
+    Silver is an atomic layer, published together with the number of the last
+    update it holds, so a merge that dies changes nothing and the next one
+    takes up the same updates.  Only new updates are read.  Silver rows of other
+    events are copied as they are; they are neither sorted nor, if the new ids
+    are few, shuffled.  Rows that win keep or get the time of the merge that brought them.
+    """
+    merged = layer_notes(spark, silver).get("merged", -1)
+    new = spark.read.parquet(updates).where(F.col("batch") > merged)
+    last = new.agg(F.max("batch")).first()[0]
+    if last is None:
+        return False
+    stamped = dedup(new.drop("batch")).withColumn("ingest_ts", batch_literal(batch_ts or new_batch_ts()))
+    if layer_exists(spark, silver):
+        old = read_layer(spark, silver)
+        ids = new.select(F.col("event_id").alias("__new")).distinct()
+        touched = F.col("event_id").eqNullSafe(F.col("__new"))
+        both = old.join(ids, touched, "left_semi").unionByName(stamped)
+        # of equal rows the older one, which has the earlier time of its load
+        stamped = old.join(ids, touched, "left_anti").unionByName(dedup(both))
+    write_layer(stamped, silver, atomic=True, notes={"merged": last})
+    return True
+
+
+def remove_merged(spark: SparkSession, updates: str, silver: str) -> int:
+    """Delete the updates that silver holds; returns how many.  Silver can then be made anew from bronze alone."""
+    merged = layer_notes(spark, silver).get("merged", -1)
+    numbers = [n for n in update_numbers(spark, updates) if n <= merged]
+    for number in numbers:
+        remove_layer(spark, f"{updates.rstrip('/')}/batch={number}")
+    return len(numbers)
+
+
+def update_numbers(spark: SparkSession, updates: str) -> list[int]:
+    return sorted(int(name.split("=")[1]) for name in layer_names(spark, updates) if name.startswith("batch="))

@@ -1,0 +1,110 @@
+import os
+import signal
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from paysieve.sources import layer_exists, layer_notes, layers, read_layer, remove_unpublished, write_layer
+
+ROOT = Path(__file__).resolve().parents[1]
+
+
+def numbers(spark, path):
+    return sorted(r["id"] for r in read_layer(spark, path).collect())
+
+
+def test_a_snapshot_replaces_the_one_it_is_made_of(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    assert not layer_exists(spark, path)
+    write_layer(spark.range(3), path, atomic=True, notes={"merged": 1})
+    write_layer(read_layer(spark, path).withColumn("id", F.col("id") + 10), path, atomic=True, notes={"merged": 2})
+    assert numbers(spark, path) == [10, 11, 12] and layer_notes(spark, path) == {"merged": 2}
+
+
+def test_a_job_that_fails_before_the_manifest_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "layer")
+    write_layer(spark.range(3), path, atomic=True)
+    before = read_layer(spark, path)
+
+    def dies(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(layers, "_publish", dies)
+        with pytest.raises(RuntimeError):
+            write_layer(spark.range(100), path, atomic=True)
+    assert numbers(spark, path) == [0, 1, 2]
+    assert len(remove_unpublished(spark, path)) == 1 and remove_unpublished(spark, path) == []
+    write_layer(spark.range(5), path, atomic=True)
+    assert numbers(spark, path) == [0, 1, 2, 3, 4] and before.count() == 3
+
+
+KILLED = """
+import os, sys
+from pyspark.sql import SparkSession
+from paysieve.sources import layers
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+layers.write_layer(spark.range(3), sys.argv[1], atomic=True)
+layers._publish = lambda *_: os.kill(os.getpid(), 9)
+layers.write_layer(spark.range(100), sys.argv[1], atomic=True)
+"""
+
+
+def test_a_process_killed_between_files_and_manifest(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    environment = {**os.environ, "PYTHONPATH": str(ROOT)}
+    done = subprocess.run([sys.executable, "-c", KILLED, path], env=environment, capture_output=True, timeout=180)
+    assert done.returncode == -signal.SIGKILL
+    assert len(os.listdir(f"{path}/_snapshots")) == 2  # the files of both are there
+    assert numbers(spark, path) == [0, 1, 2]
+
+
+def test_an_unfinished_manifest_is_not_followed(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    write_layer(spark.range(3), path, atomic=True)
+    (tmp_path / "layer" / "_manifests" / "000000000002.json").write_text('{"number": 2, "snap')
+    assert numbers(spark, path) == [0, 1, 2]
+    write_layer(spark.range(4), path, atomic=True)
+    assert numbers(spark, path) == [0, 1, 2, 3]
+
+
+def test_of_two_writers_with_one_number_the_second_fails(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    write_layer(spark.range(3), path, atomic=True)
+    folder = layers._Folder(spark, path)
+    with pytest.raises(Exception, match="exists"):
+        folder.create("_manifests/000000000001.json", "{}")
+
+
+def test_old_snapshots_go(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    for n in range(1, 5):
+        write_layer(spark.range(n), path, atomic=True, keep=2)
+    assert len(os.listdir(f"{path}/_snapshots")) == len(layers.manifests(spark, path)) == 2
+    assert numbers(spark, path) == [0, 1, 2, 3]
+
+
+def test_plain_layers_are_read_as_before(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    write_layer(spark.range(4).withColumn("half", F.col("id") % 2), path, partition_by=["half"])
+    assert numbers(spark, path) == [0, 1, 2, 3] and layer_exists(spark, path) and layer_notes(spark, path) == {}
+    write_layer(spark.range(2), path, atomic=True)
+    assert numbers(spark, path) == [0, 1]
+    write_layer(spark.range(3), path)
+    assert numbers(spark, path) == [0, 1, 2]
+
+
+def test_jobs_on_atomic_layers(spark, tmp_path, payments):
+    from paysieve.config import PipelineConfig
+    from paysieve.fixtures import as_landing
+    from paysieve.plans import run_all
+
+    as_landing(payments).write.json(str(tmp_path / "landing"))
+    names = ("landing", "bronze", "silver", "gold", "model", "predictions")
+    cfg = PipelineConfig(**{n: str(tmp_path / n) for n in names}, atomic=True)
+    assert run_all(spark, cfg) and run_all(spark, cfg)
+    assert len(layers.manifests(spark, cfg.gold)) == 2
+    assert read_layer(spark, cfg.predictions).count() == read_layer(spark, cfg.gold).count() == payments.count()
