@@ -1,18 +1,31 @@
 """Language-model scores from a weighted backoff automaton learned from the corpus.
 
 Every n-gram of the training rows up to three words is counted, whatever its
-words and however rare; nothing is cut.  A unigram's probability is
-(c + 0.1) / (N + 0.1 (V + 1)).  On top: states are contexts, arcs carry log10
-of the discounted, interpolated probability of the next word, and a failure arc
-leads to the shorter context with the weight of what the discount has left.
-Every word's probabilities add up to one in every state.
-
-``Automaton`` is this in memory, for corpora that fit there.  ``score`` holds
-the arcs as a table, as they are as many as the corpus has trigrams: each
-position of a document is one trigram (before the first word stand BOS and, before that, PAD), the
-trigram's row says what the automaton would have added there, and documents add
-up their positions.  Bigrams and tokens are summed out of the trigrams.  All of
-this is shuffles by key; no table reaches the driver or is broadcast for its own sake.
+words and however rare; nothing is cut.  Probabilities are smoothed with the
+shorter context's as a prior:
+
+    P(w)      = (c(w) + 0.1) / (N + 0.1 (V + 1))
+    P(w | v)  = (c(v w) + a P(w)) / (c(v) + a)
+    P(w | u v) = (c(u v w) + b P(w | v)) / (c(u v) + b)
+
+States are contexts: the root, words, and pairs of words.  A state's arcs are
+the words seen after it, weighted with log10 of their probability there.  A
+word without an arc follows the failure arc to the shorter context, whose weight is
+log10 of a / (c(v) + a), or of b / (c(u v) + b).  Every word's probabilities
+add up to one in every state.  A text is traversed from left to right: a step
+takes the state's arc of the next token, or failure arcs until there is one, adds up the
+weights and carries on in the state that it leads to.
+
+The automaton is as large as the corpus and nobody holds it whole.  Documents
+are taken in lots of about ``lot_bytes`` of text.  A lot sends the hashes of its
+distinct n-grams, sorted, with how often its training rows have them; hashes are dealt
+to buckets by range, where equal ones are added up; and the
+sums go back, in the order of the question.  Then each lot builds the part of
+the automaton that its own texts can reach and traverses them.  So a word
+pair that is in every document is one number per lot in its bucket, and a lot, a bucket
+and its answers have a bounded size however large the corpus is.
+
+N-grams are known by 63 bits of hash: two that share theirs share their counts.
 """
 
 from __future__ import annotations
@@ -23,217 +36,378 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from paysieve.llm.common import stored, words_of
+from paysieve.llm.common import stored
+from paysieve.llm.runs import joined, mixed
 
-END = b""  # no word is empty
-BOS = 0
 SMOOTHING = 0.1
-DISCOUNT = 0.5
-FLUSH = 1 << 20  # positions that are added up before they leave Python; hashes that are kept
-
-
-def token_key(token: bytes) -> int:
-    """64 bits that stand for a token in shuffles, as a signed number."""
-    value = xxhash.xxh64_intdigest(token)
-    return value - (1 << 64) if value >> 63 else value
-
-
-def tokens_of(text: str | None) -> list[bytes]:
-    return [*words_of(text), END]
-
-
-# what stands before a text's first word; no word has a space in it
-BOS_KEY, PAD_KEY = token_key(b" "), token_key(b"  ")
-
-
-@dataclass(frozen=True)
-class Lexicon:
-    """Common tokens by falling count; numbers start at 1, as 0 begins a text."""
+PRIORS = (500.0, 5.0)  # a and b above
+ORDERS = (1, 2, 3)
+LOT_BYTES = 1 << 24
+PART_BYTES = 1 << 21  # of a lot, hashed at a time
+BATCH_BYTES = 1 << 22
+ENTRIES = 1 << 15  # hashes in a row that is shuffled
+FEW = 8  # texts so few that they are traversed one by one
+LOTS_PER_PARTITION = 1 << 32
+
+# what begins and ends a text; no word hashes like a number that small but by chance
+BEGIN, END = np.uint64(2), np.uint64(4)
+
+
+# --- tokens -------------------------------------------------------------------
+
+_BYTES = np.arange(256, dtype=np.uint8)
+LOWER = np.where((_BYTES >= ord("A")) & (_BYTES <= ord("Z")), _BYTES + 32, _BYTES).astype(np.uint8)
+BLANK = np.isin(_BYTES, [0x20, *range(0x09, 0x0E)])
+VALUE = mixed(np.arange(256, dtype=np.uint64) + np.uint64(0x5DEECE66D))
+MULTIPLIER = np.uint64(0x2545F4914F6CDD1D)
+
+
+def _powers(n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(n - 1, 0), MULTIPLIER)]))
+
+
+def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, words per text) of texts laid end to end; ``ends`` are where they end."""
+    blank = BLANK[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[ends] = edge[0] = True
+    before, after = np.ones(len(data), bool), np.ones(len(data), bool)
+    before[1:], after[:-1] = blank[:-1], blank[1:]
+    first = np.flatnonzero(~blank & (before | edge[:-1]))
+    last = np.flatnonzero(~blank & (after | edge[1:]))
+    sizes = last - first + 1
+    if not len(first):
+        return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64)
+    letters = VALUE[LOWER[data[~blank]]]
+    start = np.cumsum(sizes) - sizes
+    place = np.arange(len(letters)) - np.repeat(start, sizes)
+    sums = np.add.reduceat(letters * _powers(int(sizes.max()))[place], start)
+    # the low bit marks training rows in what is sorted; 0 to 15 are not words
+    hashes = (mixed(sums + mixed(sizes.astype(np.uint64))) | np.uint64(16)) & ~np.uint64(1)
+    return hashes, np.diff(np.searchsorted(first, ends), prepend=0)
+
+
+def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of [BEGIN, words.., END] of every text, how many of them), NULL being empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    whole = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    parts, counts = [], []
+    at = 0
+    while at < len(texts):
+        # a few texts at a time: a word takes some twenty bytes per letter while it is hashed
+        stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PART_BYTES, "right")) - 1)
+        own, n = word_hashes(whole[offsets[at] : offsets[stop]], offsets[at + 1 : stop + 1] - offsets[at])
+        parts.append(own)
+        counts.append(n)
+        at = stop
+    words, sizes = np.concatenate(parts), np.concatenate(counts) + 2
+    found = np.empty(sizes.sum(), np.uint64)
+    ends = np.cumsum(sizes)
+    inner = np.ones(len(found), bool)
+    inner[ends - 1] = inner[ends - sizes] = False
+    found[ends - sizes], found[ends - 1], found[inner] = BEGIN, END, words
+    return found, sizes
+
+
+def ngram_hashes(tokens: np.ndarray, sizes: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each order, the hashes of the n-grams that end at a place, and those places."""
+    ends = np.cumsum(sizes)
+    place = np.arange(len(tokens)) - np.repeat(ends - sizes, sizes)
+    even = ~np.uint64(1)
+    places = [np.flatnonzero(place >= max(n - 1, 1)) for n in ORDERS]
+    pairs = joined(tokens[:-1], tokens[1:]) & even
+    hashes = [tokens[places[0]], pairs[places[1] - 1], joined(pairs[places[2] - 2], tokens[places[2]]) & even]
+    return hashes, places
+
+
+# --- counting -----------------------------------------------------------------
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers by their first bytes, then their second ones, and so on: what is small is mostly zeros in a row."""
+    return np.ascontiguousarray(numbers.astype("<u8")).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def _bucket_edges(buckets: int) -> np.ndarray:
+    """The first hash of each bucket but the first."""
+    return np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
+
+
+def _gathered(rows: Iterator[tuple], names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Batches of some megabytes."""
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += 64 + sum(len(v) for v in row if isinstance(v, bytes))
+        if size >= BATCH_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
+
+
+def distinct(hashes: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes, and how many of each are of training rows."""
+    marked = np.sort(hashes | trained.astype(np.uint64))
+    own = marked & ~np.uint64(1)
+    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])[: len(own)])
+    counts = np.add.reduceat(marked & np.uint64(1), first) if len(first) else np.zeros(0, np.uint64)
+    return own[first], counts
+
+
+def lots(batches: Iterator[pa.RecordBatch], lot_bytes: int = LOT_BYTES) -> Iterator[tuple[int, pa.RecordBatch, bool]]:
+    """(lot, rows, whether the lot ends with them): rows (partition, text, ...) in order, cut wherever ``lot_bytes`` of text are full."""
+    number, held, waiting = None, 0, None
+    for batch in batches:
+        if number is None and batch.num_rows:
+            number = batch.column(0)[0].as_py() * LOTS_PER_PARTITION
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0), np.int64)
+        start, reach = 0, held + np.cumsum(sizes)
+        while start < batch.num_rows:
+            stop = int(np.searchsorted(reach, lot_bytes)) + 1
+            full, stop = stop <= batch.num_rows, min(stop, batch.num_rows)
+            if waiting:
+                yield *waiting, False
+            waiting = number, batch.slice(start, stop - start)
+            held = int(reach[stop - 1])
+            if full:
+                yield *waiting, True
+                number, waiting, held, reach = number + 1, None, 0, reach - reach[stop - 1]
+            start = stop
+    if waiting:
+        yield *waiting, True
+
+
+@dataclass
+class Lot:
+    """The tokens of a lot's texts."""
 
     tokens: np.ndarray
-    counts: np.ndarray
-    total: int
-    distinct: int
-
-    @property
-    def denominator(self) -> float:
-        return self.total + SMOOTHING * (self.distinct + 1)
-
-    def log_probabilities(self) -> np.ndarray:
-        return np.log10((self.counts + SMOOTHING) / self.denominator)
-
-
-def pack(numbers: list):
-    """Order and numbers (of 12 bits each) in one long."""
-    key = len(numbers)
-    for n in numbers:
-        key = (key << 12) | n
-    return key
+    sizes: np.ndarray
+    trained: np.ndarray  # of each text
+
+    @staticmethod
+    def of(batches: list[pa.RecordBatch], text: int, trained: int) -> Lot:
+        texts = pa.concat_arrays([b.column(text) for b in batches])
+        flags = pa.concat_arrays([b.column(trained) for b in batches])
+        return Lot(*token_hashes(texts), flags.to_numpy(zero_copy_only=False).astype(bool))
+
+    def ngrams(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each order: hashes and places of all, sorted distinct hashes and their counts."""
+        flags = np.repeat(self.trained, self.sizes)
+        for hashes, places in zip(*ngram_hashes(self.tokens, self.sizes)):
+            yield hashes, places, *distinct(hashes, flags[places])
+
+
+def questions(rows: DataFrame, buckets: int, lot_bytes: int = LOT_BYTES) -> DataFrame:
+    """(bucket, order, lot, part, hashes, counts): the n-grams of each lot of (partition, text, trained)."""
+    edges = _bucket_edges(buckets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        held: list[pa.RecordBatch] = []
+        for lot, batch, ends in lots(batches, lot_bytes):
+            held.append(batch)
+            if not ends:
+                continue
+            for order, (_, _, own, counts) in zip(ORDERS, Lot.of(held, 1, 2).ngrams()):
+                cuts = np.concatenate([[0], np.searchsorted(own, edges), [len(own)]])
+                for bucket in np.flatnonzero(np.diff(cuts)):
+                    for part, at in enumerate(range(cuts[bucket], cuts[bucket + 1], ENTRIES)):
+                        stop = min(at + ENTRIES, cuts[bucket + 1])
+                        asked = _packed(np.diff(own[at:stop], prepend=np.uint64(0)))
+                        yield int(bucket), order, lot, part, asked, _packed(counts[at:stop])
+            held = []
+
+    names = ["bucket", "order", "lot", "part", "hashes", "counts"]
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    return rows.select("partition", "text", "trained").mapInArrow(
+        lambda batches: _gathered(run(batches), names, types), "bucket int, order int, lot long, part int, hashes binary, counts binary"
+    )
 
 
-def unpack(key: int) -> tuple[int, ...]:
-    found = []
-    while key > 0xFFF:
-        found.append(key & 0xFFF)
-        key >>= 12
-    return tuple(reversed(found))
+def answers(asked: DataFrame, buckets: int) -> DataFrame:
+    """(lot, order, bucket, part, counts): for every question how often all training rows have its n-grams.
+    Rows with lot -1 say how many tokens of the training rows fall into a bucket, different ones and in all."""
+
+    def answer(order: int, bucket: int, rows: list[tuple]) -> Iterator[tuple]:
+        hashes = [np.cumsum(_unpacked(r[2]), dtype=np.uint64) for r in rows]
+        sizes = np.array([len(h) for h in hashes])
+        whole, counts = np.concatenate(hashes), np.concatenate([_unpacked(r[3]) for r in rows])
+        sorting = np.argsort(whole, kind="stable")
+        own = whole[sorting]
+        new = np.concatenate([[True], own[1:] != own[:-1]])
+        totals = np.add.reduceat(counts[sorting], np.flatnonzero(new))
+        found = np.empty(len(whole), np.uint64)
+        found[sorting] = totals[np.cumsum(new) - 1]
+        for (lot, part, _, _), some in zip(rows, np.split(found, np.cumsum(sizes)[:-1])):
+            yield lot, order, bucket, part, _packed(some), 0, 0
+        if order == 1:
+            yield -1, order, bucket, 0, None, int((totals > 0).sum()), int(totals.sum())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        now, held = None, []
+        for batch in batches:
+            for bucket, order, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (bucket, order) != now:
+                    if held:
+                        yield from answer(now[1], now[0], held)
+                    now, held = (bucket, order), []
+                held.append(row)
+        if held:
+            yield from answer(now[1], now[0], held)
+
+    names = ["lot", "order", "bucket", "part", "counts", "seen", "total"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+    dealt = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "order", "lot", "part")
+    return dealt.mapInArrow(lambda batches: _gathered(run(batches), names, types), "lot long, order int, bucket int, part int, counts binary, seen long, total long")
+
+
+# --- the automaton of a lot -----------------------------------------------------
 
 
-# --- the automaton ---------------------------------------------------------
+class Automaton:
+    """States and arcs that a lot's texts can reach.
 
+    States are the root (0), the words seen in training, and the pairs of words seen there.  ``arcs[n]`` has for
+    every place the arc of its token out of a state of n words: its weight, or NaN.
+    """
 
-class Automaton:
-    """States are contexts; ``arcs[state, word]`` is (log10 P, next state)."""
-
-    def __init__(self, lexicon: Lexicon, ngrams: dict[tuple[int, ...], int]):
-        self.words = len(lexicon.tokens) + 1
-        self.unigram = [0.0, *lexicon.log_probabilities().tolist()]
-        texts = int(lexicon.counts[np.flatnonzero(lexicon.tokens == token_key(END))].sum())
-        seen = dict(enumerate([texts, *lexicon.counts.tolist()]))
-
-        grouped: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-        for ngram, n in ngrams.items():
-            grouped.setdefault(ngram[:-1], []).append((ngram[-1], n))
-        contexts = sorted(grouped, key=lambda c: (len(c), c))
-        self.state = {context: i for i, context in enumerate(contexts, 1)}
-        self.failure, self.backoff = [0] * (len(contexts) + 1), [0.0] * (len(contexts) + 1)
-        self.arcs: dict[int, tuple[float, int]] = {}
-        for context in contexts:
-            state, followers = self.state[context], grouped[context]
-            total = seen[context[0]] if len(context) == 1 else ngrams[context]
-            left = 1 - sum(n - DISCOUNT for _, n in followers) / total
-            self.failure[state] = self.longest(context[1:])
-            self.backoff[state] = math.log10(left)
-            for word, n in followers:
-                shorter = 10 ** self.step(self.failure[state], word)[0]
-                probability = (n - DISCOUNT) / total + left * shorter
-                self.arcs[state * self.words + word] = math.log10(probability), self.longest((*context, word))
-        # what it costs to fall from a state to the root
-        self.fall = [0.0] * len(self.failure)
-        for state in range(1, len(self.failure)):  # shorter contexts come first
-            self.fall[state] = self.backoff[state] + self.fall[self.failure[state]]
-
-    def longest(self, context: tuple[int, ...]) -> int:
-        """The state of the longest end of a context."""
-        while context and context not in self.state:
-            context = context[1:]
-        return self.state.get(context, 0)
-
-    def step(self, state: int, word: int) -> tuple[float, int]:
-        """(log10 P(word), next state)."""
-        weight = 0.0
-        while state:
-            arc = self.arcs.get(state * self.words + word)
-            if arc:
-                return weight + arc[0], arc[1]
-            weight += self.backoff[state]
-            state = self.failure[state]
-        return weight + self.unigram[word], self.state.get((word,), 0)
-
-    def traverse(self, numbers: list[int | None]) -> float:
-        """log10 of a text's probability, without the unigram part of tokens that have no number."""
-        state = self.longest((BOS,))
+    def __init__(self, lot: Lot, counts: list[np.ndarray], total: int, seen: int, priors: tuple[float, float] = PRIORS):
+        a, b = priors
+        known, index, places = [], [], []
+        for (hashes, own_places, own, _), n in zip(lot.ngrams(), counts):
+            if len(own) != len(n):
+                raise RuntimeError("the input has changed since it was counted; score a stored table")
+            known.append(own)
+            places.append(own_places)
+            index.append(np.searchsorted(own, hashes))
+        size = len(lot.tokens)
+        # per place, the number of its word, pair and triple
+        word, pair, triple = (np.full(size, -1) for _ in ORDERS)
+        for numbers, own_places, found in zip((word, pair, triple), places, index):
+            numbers[own_places] = found
+        c1, c2, c3 = (n.astype(float) for n in counts)
+        texts = c1[np.searchsorted(known[0], END)] if len(known[0]) else 0.0  # how often BEGIN is a context
+        p1 = (c1 + SMOOTHING) / (total + SMOOTHING * (seen + 1))
+
+        second, third = places[1], places[2]
+        # a pair's first word, its last word, and how often the first one goes on
+        before = np.where(word[second - 1] >= 0, c1[np.maximum(word[second - 1], 0)], texts)
+        first_total, last_word = np.zeros(len(c2)), np.zeros(len(c2), np.int64)
+        first_total[pair[second]], last_word[pair[second]] = before, word[second]
+        p2 = (c2 + a * p1[last_word]) / (first_total + a)
+        first_pair, last_pair = np.zeros(len(c3), np.int64), np.zeros(len(c3), np.int64)
+        first_pair[triple[third]], last_pair[triple[third]] = pair[third - 1], pair[third]
+        p3 = (c3 + b * p2[last_pair]) / (c2[first_pair] + b)
+
+        def log(p: np.ndarray, n: np.ndarray) -> np.ndarray:
+            return np.where(n > 0, np.log10(p), np.nan)
+
+        self.n_words = len(c1)
+        self.begin = 1 + self.n_words  # the state of BEGIN
+        first_of_pairs = self.begin + 1
+        self.arcs = (
+            self._at(np.log10(p1), word),
+            self._at(log(p2, c2), pair),
+            self._at(log(p3, c3), triple),
+        )
+        self.base, self.known = self.arcs[0], word >= 0
+        self.known[self.known] = c1[word[self.known]] > 0
+        # where arcs lead, longest context first: a pair that was seen, a word that was, the root
+        alone = np.where(self.known, word + 1, 0)
+        self.leads = alone, np.where((pair >= 0) & (c2[pair] > 0 if len(c2) else False), first_of_pairs + pair, alone)
+        self.depth = np.zeros(first_of_pairs + len(c2), np.int8)
+        self.depth[1:first_of_pairs], self.depth[first_of_pairs:] = 1, 2
+        self.failure = np.zeros(len(self.depth), np.int64)
+        self.backoff = np.zeros(len(self.depth))
+        self.backoff[1 : self.begin] = np.log10(a / (c1 + a))
+        self.backoff[self.begin] = math.log10(a / (texts + a))
+        self.failure[first_of_pairs:] = 1 + last_word
+        self.backoff[first_of_pairs:] = np.log10(b / (c2 + b))
+
+    @staticmethod
+    def _at(weights: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        padded = np.append(weights, np.nan)  # number -1: no such n-gram at the place
+        return padded[numbers]
+
+    def traverse(self, sizes: np.ndarray) -> np.ndarray:
+        """log10 of each text's probability; the texts advance together, each carrying its state."""
+        order = np.argsort(-sizes, kind="stable")
+        starts = (np.cumsum(sizes) - sizes)[order]
+        steps = sizes[order] - 1
+        state = np.full(len(order), self.begin)
+        score = np.zeros(len(order))
+        longest = int(steps[0]) if len(steps) else 0
+        alive_at = len(order) - np.searchsorted(steps[::-1], np.arange(longest), side="right")
+        root, one, two = self.arcs
+        alone, longest_state = self.leads
+        for t in range(longest):
+            alive = int(alive_at[t])
+            if alive <= FEW:
+                for text in range(alive):
+                    score[text] += self._alone(int(state[text]), int(starts[text]) + 1 + t, int(starts[text] + steps[text]) + 1)
+                break
+            now, place = state[:alive], starts[:alive] + 1 + t
+            depth = self.depth[now]
+            weight = np.where(depth == 2, two[place], np.nan)
+            missing = np.isnan(weight)
+            # failure arcs, from pairs to words and from words to the root
+            spent = np.where(missing & (depth == 2), self.backoff[now], 0.0)
+            now = np.where(missing & (depth == 2), self.failure[now], now)
+            depth = np.where(missing, np.minimum(depth, 1), depth)
+            weight = np.where(missing & (depth == 1), one[place], weight)
+            missing = np.isnan(weight)
+            spent += np.where(missing & (depth == 1), self.backoff[now], 0.0)
+            weight = np.where(missing, root[place], weight)
+            score[:alive] += spent + weight
+            state[:alive] = np.where(missing, alone[place], longest_state[place])
+        found = np.empty(len(order))
+        found[order] = score
+        return found
+
+    def _alone(self, state: int, place: int, end: int) -> float:
+        """What one text adds from a place on."""
         total = 0.0
-        arcs, words, fall = self.arcs, self.words, self.fall
-        for word in numbers:
-            if word is None:
-                total += fall[state]
-                state = 0
+        depth, backoff, failure = self.depth.item, self.backoff.item, self.failure.item
+        slices = [arc[place:end].tolist() for arc in self.arcs]
+        alone, longest = (lead[place:end].tolist() for lead in self.leads)
+        for at in range(end - place):
+            deep = depth(state)
+            while deep:
+                weight = slices[deep][at]
+                if weight == weight:
+                    break
+                total += backoff(state)
+                state, deep = failure(state), deep - 1
             else:
-                arc = arcs.get(state * words + word)
-                if arc:
-                    total += arc[0]
-                    state = arc[1]
-                else:
-                    weight, state = self.step(state, word)
-                    total += weight
+                weight = slices[0][at]
+            total += weight
+            state = longest[at] if deep else alone[at]
         return total
 
 
-# --- counting and scoring in Spark -------------------------------------------
-
-
-def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """From (label, text): arrays of label, u, v, w, one entry per position, ``FLUSH`` or somewhat more at a time."""
-    known: dict[bytes, int] = {}
-    labels: list[int] = []
-    sizes: list[int] = []
-    keys: list[int] = []
-
-    def flushed() -> tuple[np.ndarray, ...]:
-        own, ends = np.array(keys, np.int64), np.cumsum(sizes)
-        at = np.ones(len(own), bool)
-        at[np.concatenate([[0], ends[:-1]])] = at[np.concatenate([[0], ends[:-1]]) + 1] = False
-        w = np.flatnonzero(at)
-        return np.repeat(np.array(labels, np.int64), np.array(sizes) - 2), own[w - 2], own[w - 1], own[w]
-
-    for batch in batches:
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            tokens = tokens_of(text.as_py())
-            if len(known) > FLUSH:
-                known.clear()
-            for token in set(tokens).difference(known):
-                known[token] = token_key(token)
-            keys += [PAD_KEY, BOS_KEY]
-            keys += [known[t] for t in tokens]
-            labels.append(int(label))
-            sizes.append(len(tokens) + 2)
-            if len(keys) >= FLUSH:
-                yield flushed()
-                labels, sizes, keys = [], [], []
-    if keys:
-        yield flushed()
-
-
-def mixed(*parts: np.ndarray) -> np.ndarray:
-    """64 bits that stand for several numbers; for adding up within a task, not beyond it."""
-    found = np.zeros(len(parts[0]), np.uint64)
-    for part in parts:
-        found = (found ^ part.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        found ^= found >> np.uint64(29)
-    return found
-
-
-def summed(values: np.ndarray, *parts: np.ndarray) -> list[np.ndarray]:
-    """The distinct combinations of parts, and the sum of their values."""
-    key = mixed(*parts)
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return [*(p[order[first]] for p in parts), np.add.reduceat(values[order], first)]
-
-
-def trigram_counts(rows: DataFrame) -> DataFrame:
-    """(u, v, w, n, total, followers) of every trigram in (trained, text): how often the
-    training rows have it, and how often and with how many words they go on after (u, v)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for trained, *words in positions(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in summed(trained, *words)], names=["u", "v", "w", "n"])
-
-    counts = (
-        rows.select("trained", "text")
-        .mapInArrow(run, "u long, v long, w long, n long")
-        .repartition("u", "v")
-        .groupBy("u", "v", "w")
-        .agg(F.sum("n").alias("n"))
-    )
-    context = Window.partitionBy("u", "v")
-    return counts.withColumn("total", F.sum("n").over(context)).withColumn("followers", F.count_if(F.col("n") > 0).over(context))
-
-
-def interpolated(n: Column, total: Column, followers: Column, shorter: Column) -> Column:
-    """A word's probability after a context that the training rows go on from ``total`` times, with so many words."""
-    own = F.greatest(n - F.lit(DISCOUNT), F.lit(0.0)) / total
-    return F.when(total > 0, own + F.lit(DISCOUNT) * followers / total * shorter).otherwise(shorter)
+# --- Spark -----------------------------------------------------------------------
 
 
 def score(
-    docs: DataFrame, *, training: Column | None = None, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    *,
+    training: Column | None = None,
+    priors: tuple[float, float] = PRIORS,
+    lot_bytes: int = LOT_BYTES,
+    id_column: str = "doc_id",
+    text_column: str = "text",
 ) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens,
     base_score and score, both log10.
@@ -241,72 +415,98 @@ def score(
     Learned from the rows where ``training`` holds (default: all); the others
     are held out, as are those where it is NULL.  A NULL or empty text is its end alone, which is a
     token.  With nothing to learn from, N, V and all counts are 0.  Repeated rows and NULL ids are rows like any other;
-    other columns are not read.  ``docs`` is read three times and must give the
-    same rows in the same order each time, as a stored table does: rows are
-    told apart by their place, not by their id.
+    other columns are not read, and an empty table gives no rows.  A very long text is a
+    lot of its own, at some hundred bytes of memory per word.
+
+    ``docs`` is read twice and must give the same rows in the same order each
+    time, as a stored table does: lots are cut by place.  One that doesn't is noticed and refused.
     """
     trained = F.lit(True) if training is None else F.coalesce(training, F.lit(False))
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_column).alias("id"),
-        trained.alias("trained"),
+        F.spark_partition_id().alias("partition"),
         F.col(text_column).cast("string").alias("text"),
+        trained.alias("trained"),
+        F.col(id_column).alias("id"),
     )
-    trigrams = stored(trigram_counts(rows), "trigrams")
-    bigrams = stored(trigrams.groupBy("v", "w").agg(F.sum("n").alias("n")), "bigrams")
-    tokens = stored(bigrams.groupBy("w").agg(F.sum("n").alias("n")), "tokens")
-    total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
-    denominator = total + SMOOTHING * (distinct + 1)
-
-    unigram = (F.col("n") + F.lit(SMOOTHING)) / F.lit(denominator)
-    single = tokens.select(F.col("w").alias("__w"), unigram.alias("p1"), (F.col("n") > 0).alias("known"))
-    after = bigrams.groupBy(F.col("v").alias("__v")).agg(F.sum("n").alias("total"), F.count_if(F.col("n") > 0).alias("followers"))
-    pairs = (
-        bigrams.join(single, F.col("w") == F.col("__w"))
-        .join(after, F.col("v") == F.col("__v"))
-        .select(
-            F.col("v").alias("__v"),
-            F.col("w").alias("__w"),
-            interpolated(F.col("n"), F.col("total"), F.col("followers"), F.col("p1")).alias("p2"),
-            "p1",
-            "known",
-        )
-    )
-    # a text's first word has BOS alone before it
-    longest = F.when(F.col("v") == F.lit(BOS_KEY), F.col("p2")).otherwise(
-        interpolated(F.col("n"), F.col("total"), F.col("followers"), F.col("p2"))
-    )
-    arcs = trigrams.join(pairs, (F.col("v") == F.col("__v")) & (F.col("w") == F.col("__w"))).select(
-        F.xxhash64("u", "v", "w").alias("__trigram"), F.log10(longest).alias("own"), F.log10("p1").alias("base"), "known"
-    )
+    bytes_ = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, math.ceil(bytes_ / lot_bytes))
+    told = stored(answers(questions(rows, buckets, lot_bytes), buckets), "answers")
+    seen, total = told.where("lot = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("seen", "total")]).first()
 
-    def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, *words in positions(batches):
-            times = summed(np.ones(len(row), np.int64), row, *words)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in times], names=["row", "u", "v", "w", "times"])
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lot, batch, _ in lots(batches, lot_bytes):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, lot)), *batch.columns], names=["lot", *batch.schema.names])
 
-    steps = (
-        rows.select("row", "text")
-        .mapInArrow(walked, "row long, u long, v long, w long, times long")
-        .select("row", F.xxhash64("u", "v", "w").alias("trigram"), F.col("times").cast("int"))
-    )
-    parts = (
-        steps.join(arcs, F.col("trigram") == F.col("__trigram"))
-        .groupBy(F.col("row").alias("__row"))
-        .agg(
-            F.sum("times").alias("n_tokens"),
-            F.sum(F.when(F.col("known"), F.col("times")).otherwise(0)).alias("n_known"),
-            F.sum(F.col("times") * F.col("base")).alias("base_score"),
-            F.sum(F.col("times") * F.col("own")).alias("score"),
-        )
-    )
-    # every row has a token, its end
-    return rows.select("row", "id", "trained").join(parts, F.col("row") == F.col("__row")).select(
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, counts, texts = None, {n: [] for n in ORDERS}, []
+
+        def settled() -> Iterator[pa.RecordBatch]:
+            if not texts:
+                return
+            own = Lot.of(texts, 1, 2)
+            whole = [np.concatenate(counts[n]) if counts[n] else np.zeros(0, np.uint64) for n in ORDERS]
+            yield _scored(own, pa.concat_arrays([t.column(0) for t in texts]), Automaton(own, whole, total, seen, priors))
+
+        for batch in batches:
+            lot_of, order_of = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for at in _same(lot_of, order_of):
+                if lot_of[at.start] != now:
+                    yield from settled()
+                    now, counts, texts = lot_of[at.start], {n: [] for n in ORDERS}, []
+                part = batch.slice(at.start, at.stop - at.start)
+                if order_of[at.start] == 0:
+                    texts.append(pa.RecordBatch.from_arrays([part.column(i) for i in (7, 5, 6)], names=["id", "text", "trained"]))
+                else:
+                    counts[int(order_of[at.start])] += [_unpacked(data) for data in part.column(4).to_pylist()]
+        yield from settled()
+
+    schema = rows.select("id").schema
+    for name, kind in (("held_out", "boolean"), ("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double")):
+        schema = schema.add(name, kind)
+    with_lot = StructType([StructField("lot", LongType()), *rows.schema.fields])
+    texts = rows.mapInArrow(numbered, with_lot).drop("partition").withColumn("order", F.lit(0))
+    both = told.where("lot >= 0").drop("seen", "total").unionByName(texts, allowMissingColumns=True)
+    # a lot's answers come in the order of the hashes, its texts before or after them
+    dealt = both.repartition(buckets, "lot").sortWithinPartitions("lot", "order", "bucket", "part")
+    found = dealt.select("lot", "order", "bucket", "part", "counts", "text", "trained", "id").mapInArrow(run, schema)
+    return found.select(
         F.col("id").alias(id_column),
-        (~F.col("trained")).alias("held_out"),
+        "held_out",
         "n_tokens",
         "n_known",
         F.lit(total).cast("long").alias("train_tokens"),
         "base_score",
         "score",
     )
+
+
+def _same(*keys: np.ndarray) -> Iterator[slice]:
+    """The stretches in which all keys stay the same."""
+    n = len(keys[0])
+    new = np.ones(n, bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    cuts = np.append(np.flatnonzero(new), n)
+    return (slice(a, b) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+
+
+def _scored(lot: Lot, ids: pa.Array, automaton: Automaton) -> pa.RecordBatch:
+    ends = np.cumsum(lot.sizes)
+    begins = ends - lot.sizes
+
+    def per_text(values: np.ndarray) -> np.ndarray:
+        """Sums over a text's tokens, without BEGIN."""
+        values = values.copy()
+        values[begins] = 0
+        return np.add.reduceat(values, begins)
+
+    return pa.RecordBatch.from_arrays(
+        [
+            ids,
+            pa.array(~lot.trained),
+            pa.array(lot.sizes - 1, pa.int64()),
+            pa.array(per_text(automaton.known.astype(np.int64))),
+            pa.array(per_text(automaton.base)),
+            pa.array(automaton.traverse(lot.sizes)),
+        ],
+        names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"],
+    )

@@ -1,89 +1,155 @@
 import math
+import random
+import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from paysieve.llm import lm
+from paysieve.llm import lm, queries
 from tests.llm.helpers import awkward_rows, table
 
+SF = "/root/testdata/sf0.001"
+TEXTS = ["a b a b c", "a b c a", "c c a b", "b", "a b a b c"]
+BEGIN, END = "<begin>", "<end>"
 
-def counted(texts):
-    return Counter(t for text in texts for t in lm.tokens_of(text))
 
+def tokens_of(text):
+    lower = re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", lower), END]
 
-def small_model(texts):
-    counts = counted(texts)
-    order = sorted(counts, key=lambda t: (-counts[t], lm.token_key(t)))
-    lexicon = lm.Lexicon(
-        np.array([lm.token_key(t) for t in order]), np.array([counts[t] for t in order]), sum(counts.values()), len(counts)
-    )
-    number = {t: i for i, t in enumerate(order, 1)}
-    ngrams = Counter()
-    for text in texts:
-        own = [lm.BOS, *(number[t] for t in lm.tokens_of(text))]
-        for n in (2, 3):
-            ngrams.update(tuple(own[i : i + n]) for i in range(len(own) - n + 1))
-    return lexicon, number, dict(ngrams)
 
+class Model:
+    """The probabilities by their definition, with counts in dictionaries."""
 
-TEXTS = ["a b a b c", "a b c a", "c c a b", "b"]
+    def __init__(self, texts, priors=lm.PRIORS):
+        self.a, self.b = priors
+        self.counts = Counter()
+        for text in texts:
+            own = [BEGIN, *tokens_of(text)]
+            self.counts[BEGIN,] += 1
+            for n in (1, 2, 3):
+                self.counts.update(tuple(own[i - n + 1 : i + 1]) for i in range(max(n - 1, 1), len(own)))
+        words = {g[0]: c for g, c in self.counts.items() if len(g) == 1 and g[0] != BEGIN}
+        self.total, self.seen, self.words = sum(words.values()), len(words), words
 
+    def single(self, word):
+        return (self.words.get(word, 0) + 0.1) / (self.total + 0.1 * (self.seen + 1))
 
-def test_every_state_is_a_distribution():
-    lexicon, number, ngrams = small_model(TEXTS)
-    automaton = lm.Automaton(lexicon, ngrams)
-    unknown = lm.SMOOTHING / lexicon.denominator
-    for state in range(len(automaton.failure)):
-        total = sum(10 ** automaton.step(state, w)[0] for w in number.values())
-        assert total + 10 ** automaton.fall[state] * unknown == pytest.approx(1)
-
-
-def test_traversal_matches_the_recursion():
-    lexicon, number, ngrams = small_model(TEXTS)
-    automaton = lm.Automaton(lexicon, ngrams)
-    seen = Counter(dict(enumerate([len(TEXTS), *lexicon.counts.tolist()])))
-    follows = {}
-    for g, n in ngrams.items():
-        follows.setdefault(g[:-1], {})[g[-1]] = n
-
-    def probability(context, word):
+    def probability(self, context, word):
         if not context:
-            return (seen[word] + lm.SMOOTHING) / lexicon.denominator
-        if context not in follows:
-            return probability(context[1:], word)
-        total = seen[context[0]] if len(context) == 1 else ngrams[context]
-        left = 1 - sum(n - lm.DISCOUNT for n in follows[context].values()) / total
-        own = max(follows[context].get(word, 0) - lm.DISCOUNT, 0) / total
-        return own + left * probability(context[1:], word)
+            return self.single(word)
+        prior = (self.a, self.b)[len(context) - 1]
+        shorter = self.probability(context[1:], word)
+        return (self.counts[*context, word] + prior * shorter) / (self.counts[context] + prior)
+
+    def score(self, text):
+        own = [BEGIN, *tokens_of(text)]
+        return sum(math.log10(self.probability(tuple(own[max(0, i - 2) : i]), own[i])) for i in range(1, len(own)))
+
+    def row(self, text):
+        own = tokens_of(text)
+        base = sum(math.log10(self.single(t)) for t in own)
+        return len(own), sum(t in self.words for t in own), self.total, round(base, 6), round(self.score(text), 6)
+
+
+def lot_of(texts, trained):
+    tokens, sizes = lm.token_hashes(pa.array(texts, pa.string()))
+    return lm.Lot(tokens, sizes, np.array(trained))
+
+
+def automaton_of(texts, trained, priors=lm.PRIORS):
+    lot = lot_of(texts, trained)
+    counts = [n for *_, n in lot.ngrams()]
+    return lot, lm.Automaton(lot, counts, int(counts[0].sum()), int((counts[0] > 0).sum()), priors)
+
+
+def test_words_are_hashed_as_words():
+    texts = ["A b\tC\x0bcc", None, "", "  x ", "été É a", "a" * 5000, "b c", "cc a b 　"] + ["w%d" % i for i in range(2000)]
+    tokens, sizes = lm.token_hashes(pa.array(texts))
+    want = [t for text in texts for t in [BEGIN, *tokens_of(text)]]
+    assert sizes.tolist() == [len(tokens_of(t)) + 1 for t in texts]
+    of = {}
+    for word, key in zip(want, tokens.tolist()):
+        assert of.setdefault(word, key) == key
+    assert len(set(of.values())) == len(of) and all(k % 2 == 0 for k in of.values())
+    sliced = lm.token_hashes(pa.array(texts).slice(3, 4))
+    assert sliced[0].tolist() == tokens[sizes[:3].sum() : sizes[:7].sum()].tolist()
+
+
+def test_parts_of_a_lot_are_hashed_alike(monkeypatch):
+    texts = ["some words here", "x" * 50, None, "more of them"] * 30
+    whole = lm.token_hashes(pa.array(texts))[0].tolist()
+    monkeypatch.setattr(lm, "PART_BYTES", 1)
+    assert lm.token_hashes(pa.array(texts))[0].tolist() == whole
+
+
+def test_numbers_are_packed_and_unpacked():
+    numbers = np.array([0, 1, 255, 256, 2**63 + 5, 2**64 - 1], np.uint64)
+    assert lm._unpacked(lm._packed(numbers)).tolist() == numbers.tolist()
+
+
+def test_every_state_is_a_distribution():
+    model = Model(TEXTS)
+    words = [*model.words, "never seen"]
+    for context in [(), ("a",), ("c",), (BEGIN,), (BEGIN, "a"), ("a", "b"), ("b", "b")]:
+        assert sum(model.probability(context, w) for w in words) == pytest.approx(1)
+
 
-    for text in [*TEXTS, "b a", "c b a c b a b", ""]:
-        own = [lm.BOS, *(number[t] for t in lm.tokens_of(text))]
-        want = sum(math.log10(probability(tuple(own[max(0, i - 2) : i]), own[i])) for i in range(1, len(own)))
-        assert automaton.traverse(own[1:]) == pytest.approx(want)
+@pytest.mark.parametrize("few", (0, 1000))
+@pytest.mark.parametrize("priors", (lm.PRIORS, (0.5, 3.0)))
+def test_traversal_matches_the_definition(monkeypatch, few, priors):
+    monkeypatch.setattr(lm, "FEW", few)
+    rng = random.Random(2)
+    held = ["b a", "c b a c b a b", "", "never b seen", "a b a b c a b a b c", *(" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 30))) for _ in range(40))]
+    texts = TEXTS + held
+    lot, automaton = automaton_of(texts, [True] * len(TEXTS) + [False] * len(held), priors)
+    model = Model(TEXTS, priors)
+    assert automaton.traverse(lot.sizes) == pytest.approx([model.score(t) for t in texts])
 
 
-def test_ngrams_pack_and_unpack():
-    for numbers in [(1, 2), (0, 2047), (2047, 0, 255)]:
-        assert lm.unpack(int(lm.pack([np.int64(n) for n in numbers]))) == numbers
+def test_failure_arcs_lead_to_the_shorter_context():
+    lot, automaton = automaton_of(["a b c", "b c"], [True, False])
+    assert set(automaton.depth.tolist()) == {0, 1, 2}
+    for state in np.flatnonzero(automaton.depth == 2):
+        assert automaton.depth[automaton.failure[state]] == 1 and automaton.backoff[state] <= 0
+    assert (automaton.failure[automaton.depth == 1] == 0).all() and automaton.backoff[0] == 0
 
 
-def test_scores_against_counting(spark):
-    rows = awkward_rows()
+def check(spark, rows, **options):
     docs = table(spark, rows, extra=True)
-    found = lm.score(docs, training=F.col("doc_id") % 10 != 0).collect()
-    training = [r[1] for r in rows if r[0] is not None and r[0] % 10]
-    counts = counted(training)
-    total, distinct = sum(counts.values()), len(counts)
-    want = []
-    for doc, text, *_ in rows:
-        tokens = lm.tokens_of(text)
-        base = sum(math.log10((counts[t] + 0.1) / (total + 0.1 * (distinct + 1))) for t in tokens)
-        held = doc is None or doc % 10 == 0
-        want.append((doc, held, len(tokens), sum(counts[t] > 0 for t in tokens), total, round(base, 6)))
-    assert sorted([(*tuple(r)[:5], round(r.base_score, 6)) for r in found], key=repr) == sorted(want, key=repr)
-    assert all(r.score < 0 and math.isfinite(r.score) for r in found)
+    found = lm.score(docs, training=F.col("doc_id") % 10 != 0, **options).collect()
+    model = Model([r[1] for r in rows if r[0] is not None and r[0] % 10])
+    want = [(r[0], r[0] is None or r[0] % 10 == 0, *model.row(r[1])) for r in rows]
+    assert sorted([(*tuple(r)[:5], round(r.base_score, 6), round(r.score, 6)) for r in found], key=repr) == sorted(want, key=repr)
+
+
+def test_scores_by_the_definition(spark):
+    check(spark, awkward_rows())
+
+
+@pytest.mark.parametrize("size", (300, 3000))
+def test_many_lots_and_buckets_give_the_same(spark, size):
+    rows = [r for r in awkward_rows() if len(r[1] or "") < 5000]
+    rows += [(900 + i, "seldom seen words " * 2 + "very often here " * 300, None, None, None) for i in range(5)]
+    check(spark, rows if size > 300 else rows[:12], lot_bytes=size)
+
+
+def test_lots_are_cut_by_text_alone():
+    texts = ["abc", "defgh", None, "i" * 30, "jj", "", "k" * 9, "l", "m"]
+    cut = []
+    for step in (1, 2, 3, 20):
+        batches = [pa.RecordBatch.from_pydict({"p": [2] * len(texts[i : i + step]), "t": pa.array(texts[i : i + step], pa.string())}) for i in range(0, 9, step)]
+        found = {}
+        ends = []
+        for lot, batch, last in lm.lots(iter(batches), 10):
+            found.setdefault(lot, []).extend(batch.column(1).to_pylist())
+            ends += [lot] * last
+        assert ends == sorted(found) and min(found) == 2 * lm.LOTS_PER_PARTITION
+        cut.append(list(found.values()))
+    assert all(c == cut[0] for c in cut) and cut[0] == [["abc", "defgh", None, "i" * 30], ["jj", "", "k" * 9], ["l", "m"]]
 
 
 def test_nothing_to_learn_from(spark):
@@ -93,21 +159,23 @@ def test_nothing_to_learn_from(spark):
     assert row.score == pytest.approx(0) and row.base_score == pytest.approx(0)
 
 
-def test_context_helps_on_held_out_text(spark):
-    docs = table(spark, [(i, "the cat sat on the mat and the dog ran " * (i % 5 + 1), None, None, None) for i in range(80)])
-    held = lm.score(docs, training=F.col("doc_id") % 4 != 0).where("held_out").collect()
-    assert all(r.score > 0.5 * r.base_score for r in held)
+def test_a_lot_that_has_changed_is_refused():
+    lot = lot_of(["a b c"], [True])
+    with pytest.raises(RuntimeError):
+        lm.Automaton(lot, [np.ones(2, np.uint64)] * 3, 3, 3)
 
 
-def test_scores_are_those_of_the_automaton_over_all_words(spark):
-    rows = awkward_rows()
-    rows += [(900 + i, "seldom seen words " * 2 + "very often here " * 300, None, None, None) for i in range(5)]
-    found = lm.score(table(spark, rows), training=F.col("doc_id") % 10 != 0).collect()
-    lexicon, number, ngrams = small_model([r[1] for r in rows if r[0] is not None and r[0] % 10])
-    automaton = lm.Automaton(lexicon, ngrams)
-    unknown = math.log10(lm.SMOOTHING / lexicon.denominator)
-    want = []
-    for doc, text, *_ in rows:
-        own = [number.get(t) for t in lm.tokens_of(text)]
-        want.append((doc, round(automaton.traverse(own) + own.count(None) * unknown, 5)))
-    assert sorted([(r.doc_id, round(r.score, 5)) for r in found], key=repr) == sorted(want, key=repr)
+def test_whole_table_by_the_definition(spark):
+    import zlib
+
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    held = {d for d, _ in rows if zlib.crc32(str(d).encode()) % 10 == 0}
+    model = Model([t for d, t in rows if d not in held])
+    want = {d: (d in held, *model.row(t)) for d, t in rows}
+    found = queries.op10_lm(spark, SF).collect()
+    assert {r.doc_id: (r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in found} == want
+
+
+def test_context_helps_on_held_out_text(spark):
+    found = queries.op10_lm(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert found[0] > found[1]
