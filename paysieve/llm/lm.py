@@ -47,8 +47,9 @@ from paysieve.llm.runs import joined, mixed
 SMOOTHING = 0.1
 PRIORS = (500.0, 5.0)  # a and b above
 ORDERS = (1, 2, 3)
-LOT_BYTES = 1 << 24
-PART_BYTES = 1 << 21  # of a lot, hashed at a time
+LOT_BYTES = 1 << 22
+LOTS_PER_BUCKET = 2  # a bucket takes less memory than a lot
+PART_BYTES = 1 << 20  # of a lot, hashed at a time
 BATCH_BYTES = 1 << 22
 ENTRIES = 1 << 15  # hashes in a row that is shuffled
 FEW = 8  # texts so few that they are traversed one by one
@@ -429,7 +430,8 @@ def score(
         F.col(id_column).alias("id"),
     )
     bytes_ = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, math.ceil(bytes_ / lot_bytes))
+    parts = max(1, math.ceil(bytes_ / lot_bytes))
+    buckets = -(-parts // LOTS_PER_BUCKET)
     told = stored(answers(questions(rows, buckets, lot_bytes), buckets), "answers")
     seen, total = told.where("lot = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("seen", "total")]).first()
 
@@ -467,7 +469,7 @@ def score(
     texts = rows.mapInArrow(numbered, with_lot).drop("partition").withColumn("order", F.lit(0))
     both = told.where("lot >= 0").drop("seen", "total").unionByName(texts, allowMissingColumns=True)
     # a lot's answers come in the order of the hashes, its texts before or after them
-    dealt = both.repartition(buckets, "lot").sortWithinPartitions("lot", "order", "bucket", "part")
+    dealt = both.repartition(parts, "lot").sortWithinPartitions("lot", "order", "bucket", "part")
     found = dealt.select("lot", "order", "bucket", "part", "counts", "text", "trained", "id").mapInArrow(run, schema)
     return found.select(
         F.col("id").alias(id_column),
