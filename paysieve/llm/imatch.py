@@ -6,7 +6,8 @@ distinct lexicon terms are sorted, and for each of several random subsets of the
 lexicon those in it are hashed.  A subset's hash survives an edit that
 touches none of its terms, so the share of equal hashes tells how alike two
 texts are.  Subsets come in three sizes, for texts of few and of many terms;
-those that hold no term of either text do not count.
+those that hold no term of either text do not count.  A text without any term in
+the band stands for itself: all its terms are hashed, as if they were in the lexicon.
 
 Terms are words in lower case.  Everything is expressions: the lexicon is a
 constant in them, bounded by the average number of terms over the band's
@@ -20,13 +21,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paysieve.llm.common import WORD
+from paysieve.llm.common import WORD, stored
 
 # Least and greatest share of the documents that hold a term: idf of ln 5 to ln 100.
 BAND = (0.01, 0.20)
 # A term's place among 16, 64 and 256 parts of the lexicon; the parts that are hashed.
 SUBSETS = ((16, 16), (64, 24), (256, 24))
 DIGITS = 4
+PARTS = 1 << 20  # of a bucket that one id fills, at most
 EMPTY = "-" * DIGITS
 
 
@@ -37,26 +39,30 @@ def terms(text: Column) -> Column:
 def lexicon(docs: DataFrame, *, band: tuple[float, float] = BAND, text_column: str = "text") -> list[str]:
     """The terms in the band, in order.
 
-    All documents count, those without text as well.  One row per task and term is shuffled.  At
+    Copies of a text count once, so that no group of copies moves the band; the
+    empty text counts as well.  Texts are shuffled once by their hash, after each task has
+    dropped its copies, and one row per task and term.  At
     most (average distinct terms) / band[0] terms reach the driver.
     """
     low, high = band
-    total = docs.count()
+    texts = docs.select(F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+    different = texts.groupBy(F.md5("text").alias("hash")).agg(F.any_value("text").alias("text"))
     frequency = (
-        docs.select(F.explode(terms(F.col(text_column).cast("string"))).alias("term"))
+        # the number of texts is the count of a term that is no word
+        different.select(F.explode(F.concat(terms(F.col("text")), F.array(F.lit(" ")))).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    kept = frequency.where((F.col("n") >= math.ceil(low * total)) & (F.col("n") <= math.floor(high * total)))
+    counted = stored(frequency, "terms")
+    total = counted.where("term = ' '").select("n").first()
+    total = total[0] if total else 0
+    kept = counted.where((F.col("n") >= math.ceil(low * total)) & (F.col("n") <= math.floor(high * total)) & (F.col("term") != " "))
     return [r["term"] for r in kept.select("term").orderBy("term").collect()]
 
 
 def with_fingerprint(docs: DataFrame, words: list[str], text_column: str, output: str) -> DataFrame:
     """``docs`` with the hashes of all subsets in one string, ``DIGITS`` hexadecimal digits each."""
     subsets = [(i, part) for i, (_, used) in enumerate(SUBSETS) for part in range(used)]
-    if not words:
-        return docs.withColumn(output, F.lit(EMPTY * len(subsets)))
-
     def parts(term: Column) -> Column:
         digest = F.md5(term)
         places = [
@@ -72,8 +78,12 @@ def with_fingerprint(docs: DataFrame, words: list[str], text_column: str, output
 
     # an IN list of literals is looked up in a hash set
     quoted = ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
-    chosen = docs.withColumn("__terms", terms(F.col(text_column))).withColumn(
-        "__terms", F.expr(f"array_sort(filter(__terms, t -> t IN ({quoted})))")
+    in_band = F.expr(f"filter(__terms, t -> t IN ({quoted}))") if words else F.array().cast("array<string>")
+    chosen = (
+        docs.withColumn("__terms", terms(F.col(text_column)))
+        .withColumn("__band", in_band)
+        .withColumn("__terms", F.array_sort(F.when(F.size("__band") > 0, F.col("__band")).otherwise(F.col("__terms"))))
+        .drop("__band")
     )
 
     def subset(i: int, part: int) -> Column:
@@ -100,36 +110,78 @@ def likeness(one: Column, other: Column) -> Column:
     return F.when(one == other, F.lit(1.0)).otherwise(share.cast("double"))
 
 
+def id_edges(docs: DataFrame, id_column: str, wanted: int) -> list[int]:
+    """Ids that cut the rows into about equal buckets; an id with more rows than a bucket gets one of its own."""
+    if wanted < 2:
+        return []
+    shares = [i / wanted for i in range(1, wanted)]
+    found = docs.agg(F.percentile_approx(F.col(id_column).cast("long"), shares, 4 * wanted)).first()[0] or []
+    return sorted({*found, *(a + 1 for a, b in zip(found, found[1:]) if a == b)})
+
+
+def _bucket(id_: Column, edges: list[int]) -> Column:
+    """How many edges are not above the id, found in two steps; NULL ids are before all others."""
+    if not edges:
+        return F.when(id_.isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long")
+    step = math.isqrt(len(edges)) + 1
+
+    def listed(numbers: list[int]) -> Column:
+        return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+
+    def passed(numbers: Column) -> Column:
+        return F.size(F.filter(numbers, lambda edge: edge <= id_))
+
+    whole = F.greatest(passed(listed(edges[::step])) - 1, F.lit(0)) * step
+    return F.when(id_.isNull(), F.lit(-1)).otherwise(whole + passed(F.slice(listed(edges), whole + 1, F.lit(step)))).cast("long")
+
+
 def with_next(
-    docs: DataFrame, columns: list[str], *, id_column: str, text_column: str, bucket_rows: int = 256, buckets: int = 100_000
+    docs: DataFrame, columns: list[str], *, id_column: str, text_column: str, bucket_rows: int = 256, buckets: int = 1 << 16
 ) -> DataFrame:
     """``docs`` with, as ``__next_<column>``, values of the next row by descending id
-    (NULL last, equal ids by text); after the last comes the first.
+    (NULL last, equal ids by the MD5 of the text); after the last comes the first.
 
-    Rows go to buckets of ids, at most ``buckets`` of them, and are ordered
-    there.  A bucket's first row also goes, as a guest, to the bucket whose last row it follows;
-    which rows these are is a table of one id per bucket, and broadcast.
+    Rows go to buckets between quantiles of the ids, at most ``buckets`` of them, and are ordered
+    there, so a few ids far from the others make no difference.  A bucket of one
+    id alone, or of NULL, is cut by the hash into as many as its rows call for.  A
+    bucket's first row also goes, as a guest, to the bucket whose last row it follows;
+    which rows these are is a table of one row per bucket, and broadcast.
     """
-    total, low, high = docs.agg(F.count("*"), F.min(id_column), F.max(id_column)).first()
-    low, high = low or 0, high or 0
-    wanted = max(1, min(buckets, math.ceil(total / bucket_rows)))
-    width = max(1, math.ceil((high - low + 1) / wanted))
-    number = F.floor((F.col(id_column).cast("decimal(20,0)") - F.lit(low)) / F.lit(width)).cast("long")
-    placed = docs.withColumn("__bucket", F.coalesce(number, F.lit(-1).cast("long")))
-    order = Window.orderBy("__bucket")
+    total = docs.count()
+    edges = id_edges(docs, id_column, max(1, min(buckets, math.ceil(total / bucket_rows))))
+    id_ = F.col(id_column)
+    hashed = docs.withColumn("__hash", F.md5(text_column)).withColumn("__bucket", _bucket(id_, edges))
+    # one row per bucket: those of a single id that are too large, with the number of their parts
+    large = (
+        hashed.groupBy("__bucket")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(id_column).alias("low"), F.max(id_column).alias("high"))
+        .where((F.col("n") > 4 * max(bucket_rows, math.ceil(total / buckets))) & F.col("low").eqNullSafe(F.col("high")))
+        .select(F.col("__bucket").alias("__large"), F.least(F.ceil(F.col("n") / bucket_rows), F.lit(PARTS)).alias("__parts"))
+    )
+    share = F.conv(F.substring("__hash", 1, 8), 16, 10).cast("long") / (1 << 32)
+    part = F.coalesce(F.floor(share * F.col("__parts")), F.lit(0))
+    # ascending in the order of the rows
+    slot = (-F.col("__bucket") * PARTS + part).cast("long")
+    placed = hashed.join(F.broadcast(large), F.col("__bucket") == F.col("__large"), "left").withColumn("__at", slot)
+    order = Window.orderBy("__at")
     tops = (
-        placed.groupBy("__bucket")
-        .agg(F.max(id_column).alias("__top"))
+        placed.groupBy("__at")
+        .agg(F.min(F.struct(F.bitwise_not(id_.cast("long")).alias("turned"), "__hash")).alias("top"))
         .select(
-            F.col("__bucket").alias("__of"),
-            "__top",
-            F.coalesce(F.lead("__bucket").over(order), F.min("__bucket").over(Window.partitionBy())).alias("__guest_of"),
+            F.col("__at").alias("__of"),
+            F.bitwise_not("top.turned").alias("__top_id"),
+            F.col("top.__hash").alias("__top_hash"),
+            F.coalesce(F.lag("__at").over(order), F.max("__at").over(Window.partitionBy())).alias("__guest_of"),
         )
     )
-    first = (F.col("__bucket") == F.col("__of")) & F.col(id_column).eqNullSafe(F.col("__top"))
-    slots = F.when(F.col("__of").isNull(), F.array("__bucket")).otherwise(F.array("__bucket", "__guest_of"))
-    sent = placed.join(F.broadcast(tops), first, "left").select(*docs.columns, F.posexplode(slots).alias("__guest", "__slot"))
-    ordered = Window.partitionBy("__slot").orderBy("__guest", F.col(id_column).desc_nulls_last(), text_column)
+    first = (
+        (F.col("__at") == F.col("__of")) & id_.cast("long").eqNullSafe(F.col("__top_id")) & (F.col("__hash") == F.col("__top_hash"))
+    )
+    slots = F.when(F.col("__of").isNull(), F.array("__at")).otherwise(F.array("__at", "__guest_of"))
+    sent = placed.join(F.broadcast(tops), first, "left").select(
+        *docs.columns, "__hash", F.posexplode(slots).alias("__guest", "__slot")
+    )
+    ordered = Window.partitionBy("__slot").orderBy("__guest", id_.desc_nulls_last(), "__hash")
     ahead = [F.lead(c).over(ordered).alias(f"__next_{c}") for c in columns]
     return sent.select(*docs.columns, "__guest", *ahead).where(F.col("__guest") == 0).drop("__guest")
 
@@ -142,9 +194,9 @@ def fingerprints(
 
     The edited text is the text with its last n_chars // 2 code points replaced
     by as many of the next document's first, by descending id, or by all of
-    them.  NULL texts are empty.  A text without lexicon terms has the empty
-    fingerprint, which is like itself alone.  NULL ids come last; rows of one id are ordered by text; other
-    columns are not read; an empty table gives no rows.
+    them.  NULL texts are empty.  A text without words has the empty
+    fingerprint, which is like itself alone.  NULL ids come last; rows of one id are ordered by their text's MD5; other
+    columns are not read; an empty table gives no rows.  A very long text costs in proportion to its length.
     """
     rows = docs.select(F.col(id_column).alias("__id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("__text"))
     words = lexicon(rows, band=band, text_column="__text")
@@ -170,24 +222,32 @@ def fingerprints(
 IMATCH_SQL = r"""
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars,
-         coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC, text),
-                  first_value(coalesce(text, '')) OVER (ORDER BY doc_id DESC, text)) AS following,
+         coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC, md5(coalesce(text, ''))),
+                  first_value(coalesce(text, '')) OVER (ORDER BY doc_id DESC, md5(coalesce(text, '')))) AS following,
          row_number() OVER () AS id,
-         row_number() OVER (ORDER BY doc_id DESC, text) AS place FROM documents),
+         row_number() OVER (ORDER BY doc_id DESC, md5(coalesce(text, ''))) AS place FROM documents),
 texts AS (
   SELECT id, 0 AS edited, text FROM docs
   UNION ALL SELECT id, 1, text[1:n_chars - n_chars // 2] || following[1:n_chars // 2] FROM docs),
 words AS (
   SELECT id, edited, unnest(list_distinct(regexp_extract_all(lower(text), '[^ 	-
 ]+'))) AS term FROM texts),
+different AS (SELECT DISTINCT text FROM docs),
+band AS (
+  SELECT term FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+'))) AS term FROM different)
+  GROUP BY term
+  HAVING count(*) >= ceil(0.01 * (SELECT count(*) FROM different)) AND count(*) <= floor(0.20 * (SELECT count(*) FROM different))),
+flagged AS (
+  SELECT w.*, b.term IS NOT NULL AS in_band, bool_or(b.term IS NOT NULL) OVER (PARTITION BY w.id, w.edited) AS some
+  FROM words w LEFT JOIN band b USING (term)),
+chosen AS (SELECT id, edited, term FROM flagged WHERE in_band OR NOT some),
 lexicon AS (
-  SELECT term, unnest([0, 1, 2]) AS size, md5(term) AS digest FROM words WHERE edited = 0 GROUP BY term
-  HAVING count(*) >= ceil(0.01 * (SELECT count(*) FROM docs)) AND count(*) <= floor(0.20 * (SELECT count(*) FROM docs))),
+  SELECT term, unnest([0, 1, 2]) AS size, md5(term) AS digest FROM (SELECT DISTINCT term FROM chosen)),
 parts AS (
   SELECT term, size, ('0x' || digest[1 + 4 * size:4 + 4 * size])::INTEGER % [16, 64, 256][size + 1] AS part FROM lexicon),
 hashes AS (
   SELECT id, edited, [0, 16, 40][size + 1] + part AS subset, md5(string_agg(term, ' ' ORDER BY term))[1:4] AS hash
-  FROM words JOIN parts USING (term) WHERE part < [16, 24, 24][size + 1] GROUP BY id, edited, size, part),
+  FROM chosen JOIN parts USING (term) WHERE part < [16, 24, 24][size + 1] GROUP BY id, edited, size, part),
 grid AS (
   SELECT t.id, t.edited, string_agg(coalesce(h.hash, '----'), '' ORDER BY s.subset) AS fingerprint
   FROM texts t, range(64) s(subset) LEFT JOIN hashes h ON h.id = t.id AND h.edited = t.edited AND h.subset = s.subset
