@@ -238,9 +238,9 @@ band AS (
   GROUP BY term
   HAVING count(*) >= ceil(0.01 * (SELECT count(*) FROM different)) AND count(*) <= floor(0.20 * (SELECT count(*) FROM different))),
 flagged AS (
-  SELECT w.*, b.term IS NOT NULL AS in_band, bool_or(b.term IS NOT NULL) OVER (PARTITION BY w.id, w.edited) AS some
+  SELECT w.*, b.term IS NOT NULL AS in_band, bool_or(b.term IS NOT NULL) OVER (PARTITION BY w.id, w.edited) AS has_band
   FROM words w LEFT JOIN band b USING (term)),
-chosen AS (SELECT id, edited, term FROM flagged WHERE in_band OR NOT some),
+chosen AS (SELECT id, edited, term FROM flagged WHERE in_band OR NOT has_band),
 lexicon AS (
   SELECT term, unnest([0, 1, 2]) AS size, md5(term) AS digest FROM (SELECT DISTINCT term FROM chosen)),
 parts AS (
