@@ -25,7 +25,8 @@ the automaton that its own texts can reach and traverses them.  So a word
 pair that is in every document is one number per lot in its bucket, and a lot, a bucket
 and its answers have a bounded size however large the corpus is.
 
-N-grams are known by 63 bits of hash: two that share theirs share their counts.
+N-grams are known by 55 bits of hash: two that share theirs share their counts,
+which of n different ones befalls a share of n / 2^55.
 """
 
 from __future__ import annotations
@@ -51,6 +52,7 @@ LOT_BYTES = 1 << 22
 LOTS_PER_BUCKET = 2  # a bucket takes less memory than a lot
 PART_BYTES = 1 << 20  # of a lot, hashed at a time
 BATCH_BYTES = 1 << 22
+HASH_BITS = 55
 ENTRIES = 1 << 15  # hashes in a row that is shuffled
 FEW = 8  # texts so few that they are traversed one by one
 LOTS_PER_PARTITION = 1 << 32
@@ -68,6 +70,11 @@ VALUE = mixed(np.arange(256, dtype=np.uint64) + np.uint64(0x5DEECE66D))
 MULTIPLIER = np.uint64(0x2545F4914F6CDD1D)
 
 
+def _known(hashes: np.ndarray) -> np.ndarray:
+    """The bits that n-grams are known by, above a bit that marks training rows in what is sorted."""
+    return (hashes >> np.uint64(63 - HASH_BITS)) & ~np.uint64(1)
+
+
 def _powers(n: int) -> np.ndarray:
     return np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(n - 1, 0), MULTIPLIER)]))
 
@@ -88,8 +95,8 @@ def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     start = np.cumsum(sizes) - sizes
     place = np.arange(len(letters)) - np.repeat(start, sizes)
     sums = np.add.reduceat(letters * _powers(int(sizes.max()))[place], start)
-    # the low bit marks training rows in what is sorted; 0 to 15 are not words
-    hashes = (mixed(sums + mixed(sizes.astype(np.uint64))) | np.uint64(16)) & ~np.uint64(1)
+    # 0 to 15 are not words
+    hashes = _known(mixed(sums + mixed(sizes.astype(np.uint64)))) | np.uint64(16)
     return hashes, np.diff(np.searchsorted(first, ends), prepend=0)
 
 
@@ -116,15 +123,18 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return found, sizes
 
 
-def ngram_hashes(tokens: np.ndarray, sizes: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each order, the hashes of the n-grams that end at a place, and those places."""
-    ends = np.cumsum(sizes)
-    place = np.arange(len(tokens)) - np.repeat(ends - sizes, sizes)
-    even = ~np.uint64(1)
-    places = [np.flatnonzero(place >= max(n - 1, 1)) for n in ORDERS]
-    pairs = joined(tokens[:-1], tokens[1:]) & even
-    hashes = [tokens[places[0]], pairs[places[1] - 1], joined(pairs[places[2] - 2], tokens[places[2]]) & even]
-    return hashes, places
+def ngram_hashes(tokens: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order, the hashes of the n-grams that end at a place, and which places these are."""
+    begins = np.cumsum(sizes) - sizes
+    there = np.ones(len(tokens), bool)
+    there[begins] = False
+    yield tokens[there], there
+    pairs = _known(joined(tokens[:-1], tokens[1:]))  # a pair by its first place
+    yield pairs[there[1:]], there
+    there = there.copy()
+    there[begins + 1] = False
+    ends = np.flatnonzero(there)
+    yield _known(joined(pairs[ends - 2], tokens[ends])), there
 
 
 # --- counting -----------------------------------------------------------------
@@ -141,7 +151,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 def _bucket_edges(buckets: int) -> np.ndarray:
     """The first hash of each bucket but the first."""
-    return np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
+    return np.array([(i << HASH_BITS + 1) // buckets for i in range(1, buckets)], np.uint64)
 
 
 def _gathered(rows: Iterator[tuple], names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +217,7 @@ class Lot:
     def ngrams(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """For each order: hashes and places of all, sorted distinct hashes and their counts."""
         flags = np.repeat(self.trained, self.sizes)
-        for hashes, places in zip(*ngram_hashes(self.tokens, self.sizes)):
+        for hashes, places in ngram_hashes(self.tokens, self.sizes):
             yield hashes, places, *distinct(hashes, flags[places])
 
 
@@ -286,31 +296,30 @@ class Automaton:
 
     def __init__(self, lot: Lot, counts: list[np.ndarray], total: int, seen: int, priors: tuple[float, float] = PRIORS):
         a, b = priors
-        known, index, places = [], [], []
-        for (hashes, own_places, own, _), n in zip(lot.ngrams(), counts):
+        # per place, the number of its word, pair and triple
+        word, pair, triple = (np.full(len(lot.tokens), -1, np.int32) for _ in ORDERS)
+        texts = 0.0  # how often BEGIN is a context: as often as texts end
+        for numbers, (hashes, places, own, _), n in zip((word, pair, triple), lot.ngrams(), counts):
             if len(own) != len(n):
                 raise RuntimeError("the input has changed since it was counted; score a stored table")
-            known.append(own)
-            places.append(own_places)
-            index.append(np.searchsorted(own, hashes))
-        size = len(lot.tokens)
-        # per place, the number of its word, pair and triple
-        word, pair, triple = (np.full(size, -1) for _ in ORDERS)
-        for numbers, own_places, found in zip((word, pair, triple), places, index):
-            numbers[own_places] = found
+            numbers[places] = np.searchsorted(own, hashes)
+            if numbers is word and len(own):
+                texts = float(n[np.searchsorted(own, END)])
         c1, c2, c3 = (n.astype(float) for n in counts)
-        texts = c1[np.searchsorted(known[0], END)] if len(known[0]) else 0.0  # how often BEGIN is a context
         p1 = (c1 + SMOOTHING) / (total + SMOOTHING * (seen + 1))
 
-        second, third = places[1], places[2]
-        # a pair's first word, its last word, and how often the first one goes on
-        before = np.where(word[second - 1] >= 0, c1[np.maximum(word[second - 1], 0)], texts)
-        first_total, last_word = np.zeros(len(c2)), np.zeros(len(c2), np.int64)
-        first_total[pair[second]], last_word[pair[second]] = before, word[second]
+        # a pair's last word, and how often its first one goes on
+        there = np.flatnonzero(pair >= 0)
+        first_total, last_word = np.zeros(len(c2)), np.zeros(len(c2), np.int32)
+        last_word[pair[there]] = word[there]
+        before = word[there - 1]
+        first_total[pair[there]] = np.where(before >= 0, c1[np.maximum(before, 0)], texts)
         p2 = (c2 + a * p1[last_word]) / (first_total + a)
-        first_pair, last_pair = np.zeros(len(c3), np.int64), np.zeros(len(c3), np.int64)
-        first_pair[triple[third]], last_pair[triple[third]] = pair[third - 1], pair[third]
+        there = np.flatnonzero(triple >= 0)
+        first_pair, last_pair = np.zeros(len(c3), np.int32), np.zeros(len(c3), np.int32)
+        first_pair[triple[there]], last_pair[triple[there]] = pair[there - 1], pair[there]
         p3 = (c3 + b * p2[last_pair]) / (c2[first_pair] + b)
+        del there, before, first_pair, last_pair
 
         def log(p: np.ndarray, n: np.ndarray) -> np.ndarray:
             return np.where(n > 0, np.log10(p), np.nan)
@@ -327,10 +336,11 @@ class Automaton:
         self.known[self.known] = c1[word[self.known]] > 0
         # where arcs lead, longest context first: a pair that was seen, a word that was, the root
         alone = np.where(self.known, word + 1, 0)
-        self.leads = alone, np.where((pair >= 0) & (c2[pair] > 0 if len(c2) else False), first_of_pairs + pair, alone)
+        paired = np.append(c2 > 0, False)[pair]
+        self.leads = alone, np.where(paired, first_of_pairs + pair, alone)
         self.depth = np.zeros(first_of_pairs + len(c2), np.int8)
         self.depth[1:first_of_pairs], self.depth[first_of_pairs:] = 1, 2
-        self.failure = np.zeros(len(self.depth), np.int64)
+        self.failure = np.zeros(len(self.depth), np.int32)
         self.backoff = np.zeros(len(self.depth))
         self.backoff[1 : self.begin] = np.log10(a / (c1 + a))
         self.backoff[self.begin] = math.log10(a / (texts + a))
