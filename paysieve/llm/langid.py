@@ -213,28 +213,32 @@ class Parser:
         found[:, order] = count
         return found
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        langs, scores = [], []
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Language, score, and how many letters its phrases have on average (0 without letters)."""
+        langs, scores, fits = [], [], []
         for at in range(0, len(texts), LANES):
-            for found, part in zip((langs, scores), self._predict(texts[at : at + LANES])):
+            for found, part in zip((langs, scores, fits), self._predict(texts[at : at + LANES])):
                 found += part
-        return langs, scores
+        return langs, scores, fits
 
-    def _predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def _predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
         codes = [self.codes(t) if t else np.zeros(0, np.int32) for t in texts]
-        cost = self.phrases(codes) * np.array(self.weight)[:, None]
-        langs, scores = [], []
+        phrases = self.phrases(codes)
+        cost = phrases * np.array(self.weight)[:, None]
+        langs, scores, fits = [], [], []
         for i, own in enumerate(codes):
             if not self.languages or not (own != SPACE).any():
                 langs.append(UNDETERMINED)
                 scores.append(0.0)
+                fits.append(0.0)
                 continue
             ranked = np.argsort(cost[:, i], kind="stable")
             best = cost[ranked[0], i]
             second = cost[ranked[1], i] if len(ranked) > 1 else math.inf
             langs.append(self.languages[ranked[0]])
             scores.append(1.0 if math.isinf(second) else float(second / (best + second)))
-        return langs, scores
+            fits.append(float((own != SPACE).sum() / phrases[ranked[0], i]))
+        return langs, scores, fits
 
 
 @lru_cache(maxsize=2)
@@ -297,9 +301,13 @@ def identify(
     text_column: str = "text",
     lang_column: str = "lang_pred",
     score_column: str = "score",
+    fit_column: str | None = None,
 ) -> DataFrame:
     """``docs`` with the predicted language and a score.
 
+    ``fit_column``, if given, is how many letters a phrase of that language has on
+    average: about six for text like its reference, one for a script that no reference has.
+
     The score is the runner-up's cost over the sum of both: 0.5 when two
     languages tie (the first by name is taken), 1 with a single language.  A
     NULL text or one without a letter is "und" with score 0, and so is every
@@ -307,18 +315,20 @@ def identify(
     others, and repeated rows, are passed on.  Whole texts are parsed; a very long
     one takes some tenths of a microsecond per character and language.  An empty table gives no rows.
     """
-    kept = [c for c in docs.columns if c not in (lang_column, score_column)]
+    results = [(lang_column, "string"), (score_column, "double")] + [(fit_column, "double")] * (fit_column is not None)
+    kept = [c for c in docs.columns if c not in dict(results)]
     frozen = tuple(sorted(references.items()))
     at = kept.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = _parser(frozen)
         for batch in batches:
-            langs, scores = parser.predict(batch.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, lang_column, score_column],
-            )
-
-    schema = docs.select(kept).schema.add(lang_column, "string").add(score_column, "double")
+            found = parser.predict(batch.column(at).to_pylist())
+            arrays = [pa.array(values, kind) for values, kind in zip(found, (pa.string(), pa.float64(), pa.float64()))]
+            names = [name for name, _ in results]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays[: len(names)]], names=[*batch.schema.names, *names])
+
+    schema = docs.select(kept).schema
+    for name, kind in results:
+        schema = schema.add(name, kind)
     return docs.select(kept).mapInArrow(run, schema)

@@ -125,3 +125,9 @@ def test_held_out_accuracy(spark):
     found = op3_language(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
     right = np.mean([r.lang == r.lang_pred for r in found.collect()])
     assert right > 0.95
+
+
+def test_fit_is_letters_per_phrase(spark):
+    docs = table(spark, [(1, "the cat sat", None, None, None), (2, "東京都庁", None, None, None), (3, "12", None, None, None)], extra=True)
+    found = {r.doc_id: r.score_fit for r in langid.identify(docs, REFERENCES, fit_column="score_fit").collect()}
+    assert found == {1: 9.0, 2: 1.0, 3: 0.0}
