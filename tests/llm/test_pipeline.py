@@ -37,7 +37,23 @@ def texts(rows):
 
 def test_language_keeps_what_has_letters(stages):
     before, after = stages["language"]
-    assert texts(after) == texts(r for r in before if any(c.isalpha() for c in r.text or ""))
+    key = 707  # nothing but hexadecimal digits
+    assert texts(after) == texts(r for r in before if r.doc_id != key and any(c.isalpha() for c in r.text or ""))
+
+
+def test_language_names_what_has_no_name(stages):
+    before, after = stages["language"]
+    assert all(r.lang for r in after)
+    named = {(r.doc_id, r.text): r.lang for r in before if r.lang}
+    assert all(r.lang == named[r.doc_id, r.text] for r in after if (r.doc_id, r.text) in named)
+
+
+def test_language_rejects_scripts_it_does_not_know(spark):
+    prose = "the cat sat on the mat and the dog ran after it "
+    rows = [(i, prose * 3, "xx", None, None) for i in range(5)] + [(9, prose, None, None, None)]
+    rows += [(10, "東京都庁舎前駅構内図書館員研修会場案内板設置工事", None, None, None), (11, "東京 tower", None, None, None)]
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.language(spark, table(spark, rows), "").collect()}
+    assert set(kept) == {0, 1, 2, 3, 4, 9, 11} and set(kept.values()) == {"xx"}
 
 
 def test_language_keeps_what_has_letters_without_labels(spark):
