@@ -15,16 +15,26 @@ from paysieve.llm import langid, mixing, packing, secrets, simhash
 from paysieve.llm.common import stored
 
 
-LETTER = r"\p{L}"
+# A text of this many letters whose phrases have fewer letters on average is in none of the languages.
+LEAST_LETTERS, LEAST_FIT = 20, 1.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language; those without one (NULL, no letter) go.
+    """Documents in one of the languages that the labelled rows teach; a missing ``lang`` is filled in.
 
-    A text with letters stays where no language is found as well: no row may have a label, or one that says so.
+    What goes: texts that are NULL or have no letter, and texts of which no language knows
+    more than single letters, as of an unknown script or a mere key.  Where no row teaches anything, all with a letter stay.
     """
-    found = langid.identify(docs, langid.learn(docs), lang_column="__lang", score_column="__score")
-    return found.where((F.col("__lang") != langid.UNDETERMINED) | F.col("text").rlike(LETTER)).select(docs.columns)
+    references = langid.learn(docs)
+    found = langid.identify(docs, references, lang_column="__lang", score_column="__score", fit_column="__fit")
+    letters = F.length(F.regexp_replace("text", r"\P{L}+", ""))
+    if references:
+        fits = (F.col("__lang") != langid.UNDETERMINED) & ((F.col("__fit") >= LEAST_FIT) | (letters < LEAST_LETTERS))
+        named = F.coalesce("lang", F.when(F.col("__lang") != langid.UNDETERMINED, F.col("__lang")))
+        # letters of a newer Unicode than the parser's are letters still
+        kept = found.where(fits | ((F.col("__lang") == langid.UNDETERMINED) & (letters > 0)))
+        return kept.withColumn("lang", named).select(docs.columns)
+    return found.where(letters > 0).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,6 +81,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of the last stage.  When they are read, ``paysieve.sources.remove_scratch`` deletes what the stages have stored."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
