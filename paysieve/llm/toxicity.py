@@ -260,9 +260,6 @@ def _curve(x: np.ndarray, toxic: np.ndarray, steps: int = 50, ridge: float = 1e-
 # --- Spark -----------------------------------------------------------------
 
 
-LONGEST = 16
-
-
 def learn(
     docs: DataFrame,
     labels: DataFrame,
@@ -271,6 +268,7 @@ def learn(
     toxic_rows: int = 1500,
     clean_rows: int = 2500,
     chars_per_row: int = 8_000,
+    longest_share: int = 16,
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
@@ -280,7 +278,7 @@ def learn(
     At most ``toxic_rows`` and ``clean_rows`` rows of the two labels reach the
     driver, and ``chars_per_row`` times as many characters.  Texts are whole, as a label is of all
     of a text: rows beyond that many characters, and those that alone hold over
-    a ``LONGEST``th of them, are left out.  ``where`` is a condition on
+    a ``longest_share``th of them, are left out.  ``where`` is a condition on
     ``labels``.  NULL ids and labels teach nothing.
     """
     known = labels.select(F.col(id_column).alias("__id"), (F.col(label_column) == 1).alias("__toxic"))
@@ -297,7 +295,7 @@ def learn(
     chosen = sample(known.where("__id IS NOT NULL AND __toxic IS NOT NULL").distinct(), place)
     texts = docs.select(F.col(id_column).alias("__id"), F.col(text_column).cast("string").alias("__text"))
     chars = limit * F.lit(chars_per_row)
-    rows = texts.join(F.broadcast(chosen), "__id").where(F.length("__text") * F.lit(LONGEST) <= chars)  # a few thousand ids
+    rows = texts.join(F.broadcast(chosen), "__id").where(F.length("__text") * F.lit(longest_share) <= chars)  # a few thousand ids
     order = Window.partitionBy("__toxic").orderBy(F.xxhash64("__id"), "__id", "__text")
     rows = sample(rows, order)
     upto = F.sum(F.length("__text")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -313,7 +311,8 @@ def score(
 
     Whole texts are scored, all stretches of them.  NULL and empty texts have
     the score of a text without words.  Columns of the results' names are
-    replaced, others and repeated rows are passed on.
+    replaced, others and repeated rows are passed on, and an empty table gives no rows.  A very
+    long text is scored in one piece, at some hundred bytes of memory per character.
     """
     kept = [c for c in docs.columns if c not in (text_column, score_column, predicted_column)]
     shared = docs.sparkSession.sparkContext.broadcast(model)

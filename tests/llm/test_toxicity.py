@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -42,6 +43,51 @@ def test_bags_hold_every_ngram_once():
         assert (found.stretch == n).sum() == grams
 
 
+def by_hand(model, text):
+    """The score from the vectors of the n-grams, one after another."""
+    own = bytes(toxicity._KEPT[b] for b in (text or "").lower().encode()).split()
+    best = None
+    for at in range(0, len(own), toxicity.WORDS):
+        weights = []
+        for word in own[at : at + toxicity.WORDS]:
+            edged = b" " + word + b" "
+            for order in toxicity.ORDERS:
+                for i in range(len(edged) - order + 1):
+                    value = order
+                    for byte in edged[i : i + order]:
+                        value = (value * 257 + byte) % (1 << 64)
+                    weights.append(float(model.weight[(value * int(toxicity._FACTOR) % (1 << 64)) >> (64 - toxicity.BUCKET_BITS)]))
+        logit = (sum(weights) / len(weights) if weights else 0.0) + model.bias
+        best = logit if best is None else max(best, logit)
+    best = model.bias if best is None else best
+    return 1 / (1 + math.exp(-min(max(model.slope * best + model.level, -40), 40)))
+
+
+def test_scores_by_hand(spark, model):
+    rows = [r for r in awkward_rows() if len(r[1] or "") < 20_001]
+    rows += [(800 + i, t, None, None, None) for i, t in enumerate(corpus(40, seed=11)[0])]
+    found = toxicity.score(table(spark, rows).select("text", "doc_id"), model).collect()
+    want = sorted((r[0] is None, r[0] or 0, round(by_hand(model, r[1]), 6)) for r in rows)
+    assert sorted((r.doc_id is None, r.doc_id or 0, round(r.score, 6)) for r in found) == want
+
+
+def test_the_query_by_hand(spark):
+    """Every score of the registered query from the model's vectors, whole texts, n-gram by n-gram."""
+    from paysieve.llm import queries
+    from paysieve.llm.common import id_remainder
+
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    own = toxicity.learn(docs, labels, where=id_remainder("doc_id", 5) != 0)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = queries.op9_toxicity(spark, sf).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        score = by_hand(own, texts[r.doc_id])
+        assert r.score == pytest.approx(score, abs=1e-6) and r.predicted == int(r.score >= 0.5)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
 def test_held_out_texts_and_misspellings(model):
     texts, toxic = corpus(300, seed=8)
     assert np.mean((model.probabilities(texts) >= 0.5) == toxic) > 0.97
