@@ -18,27 +18,29 @@ def with_blacklist(
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    as_of: str | None = "event_ts",
 ) -> DataFrame:
     """Add ``blacklist_reason``, ``blacklist_severity`` and ``is_blacklisted``.
 
+    A payment is marked by the latest entry of its user that had been added by
+    its ``as_of`` time.  An entry without a time has always been there, and a payment
+    without one sees only such entries.  With ``as_of=None``, or where payments
+    have no such column, all entries count for all payments.
+
     The list is broadcast when it measures no more than ``max_broadcast_bytes``,
     which costs one short job; a longer one is joined by shuffle, with busy
     users spread out.  The result is the same.
-    A user listed twice counts by the latest entry.
+    A user's entries are one row, in order of time, so no payment is doubled
+    however often its user is listed.
     """
-    latest = F.max_by(F.struct("reason", "severity"), F.struct("added_at", "reason", "severity"))
+    entry = F.struct("added_at", "reason", "severity")
     listed = (
         blacklist.where(F.col("user_id").isNotNull())
         .groupBy(F.col("user_id").alias("__user"))
-        .agg(latest.alias("entry"))
-        .select(
-            "__user",
-            F.col("entry.reason").alias("blacklist_reason"),
-            F.col("entry.severity").alias("blacklist_severity"),
-            F.lit(True).alias("is_blacklisted"),
-        )
+        # no time sorts before all others
+        .agg(F.sort_array(F.collect_set(entry)).alias("__entries"))
     )
-    payload = ["blacklist_reason", "blacklist_severity", "is_blacklisted"]
+    payload = ["__entries"]
     text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in ("user_id", "reason", "severity")), F.lit(ROW_BYTES))
     if (blacklist.agg(F.sum(text)).first()[0] or 0) <= max_broadcast_bytes:
         joined = payments.join(F.broadcast(listed), F.col("user_id") == F.col("__user"), "left").drop("__user")
@@ -49,4 +51,14 @@ def with_blacklist(
             F.col("user_id").alias("__user"), *payload
         )
         joined = lookup_join(payments, listed, busy, {"user_id": "__user"}, payload)
-    return joined.withColumn("is_blacklisted", F.coalesce("is_blacklisted", F.lit(False)))
+    known = F.col("__entries")
+    if as_of in payments.columns:
+        time = F.col(as_of)
+        known = F.filter(known, lambda e: e["added_at"].isNull() | F.coalesce(e["added_at"] <= time, F.lit(False)))
+    marked = joined.withColumn("__entry", F.try_element_at(known, F.lit(-1)))
+    return marked.select(
+        *payments.columns,
+        F.col("__entry.reason").alias("blacklist_reason"),
+        F.col("__entry.severity").alias("blacklist_severity"),
+        F.col("__entry").isNotNull().alias("is_blacklisted"),
+    )

@@ -35,6 +35,20 @@ def to_silver(bronze: DataFrame, *, batch_ts: datetime | None = None, keep: str
     return dedup(typed, keep=keep).withColumn("ingest_ts", batch_literal(batch_ts))
 
 
+def upserted(silver: DataFrame | None, new: DataFrame) -> DataFrame:
+    """Silver after new rows (typed, stamped, one per event): of each event the latest.
+
+    Silver rows of other events are copied as they are; they are neither sorted
+    nor, if the new ids are few, shuffled.  Of equal rows the older one stays, with the earlier time of its load.
+    """
+    if silver is None:
+        return new
+    ids = new.select(F.col("event_id").alias("__new")).distinct()
+    touched = F.col("event_id").eqNullSafe(F.col("__new"))
+    both = silver.join(ids, touched, "left_semi").unionByName(new)
+    return silver.join(ids, touched, "left_anti").unionByName(dedup(both))
+
+
 REJECT_REASON = "reject_reason"
 
 

@@ -254,3 +254,29 @@ def with_velocity(
         .where("__kept")
         .select(*payments.columns, COUNT_COLUMN)
     )
+
+
+def recount(
+    rows: DataFrame, touched: DataFrame, seconds: int = 60, *, user: str = "user_id", ts: str = "event_ts"
+) -> DataFrame:
+    """The rows whose count may have changed, with their count.
+
+    ``rows`` are all rows as they are now; ``touched`` has the user and time of
+    every row that came or went.  Time is cut into stretches of the window's
+    width: a touched row changes counts in its own stretch and the next one, for which
+    the one before must be seen.  Only these stretches of these users are shuffled and counted.
+    """
+    width = max(seconds, 1)
+
+    stretch = F.floor(epoch_seconds(ts) / F.lit(width)).cast("long")
+    at = touched.select(F.col(user).alias("__user"), stretch.alias("__of")).distinct()
+    moves = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    near = (
+        at.withColumn("__move", F.explode(moves))
+        .groupBy("__user", (F.col("__of") + F.col("__move")).alias("__stretch"))
+        # rows without a time have one stretch, which is changed
+        .agg(F.max((F.col("__move") >= 0) | F.col("__of").isNull()).alias("__changed"))
+    )
+    same = F.col(user).eqNullSafe(F.col("__user")) & F.col("__at").eqNullSafe(F.col("__stretch"))
+    seen = rows.withColumn("__at", stretch).join(near, same).drop("__at", "__stretch", "__user")
+    return with_velocity(seen, seconds, user=user, ts=ts).where("__changed").drop("__changed")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from paysieve.config import GIB, JdbcTarget, PipelineConfig, StoreSettings, mariadb_target, size_session, spark_conf
+from paysieve.plans.incremental import run_gold_new, run_ingest_new
 from paysieve.plans.jobs import run_all, run_gold, run_ingest, run_score, run_train
 
 SECRET_VARIABLES = {
@@ -59,6 +60,8 @@ def build_parser() -> argparse.ArgumentParser:
         gold.add_argument(f"--{name}", required=True)
     gold.add_argument("--blacklist", help="layer of listed users")
     _jdbc_options(gold, "table")
+    for job in (ingest, gold):
+        job.add_argument("--new-only", action="store_true", help="take what is new since the last such run; layers are atomic")
 
     train = jobs.add_parser("train")
     train.add_argument("--gold", required=True)
@@ -162,9 +165,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.input_gb is None:
         size_session(spark, {"ingest": cfg.landing, "all": cfg.landing, "gold": cfg.silver}.get(args.job, cfg.gold))
     if args.job == "ingest":
-        run_ingest(spark, cfg)
+        (run_ingest_new if args.new_only else run_ingest)(spark, cfg)
     elif args.job == "gold":
-        run_gold(spark, cfg)
+        if args.new_only and cfg.gold_jdbc:
+            raise SystemExit("a serving table is filled from all of gold: run without --new-only")
+        (run_gold_new if args.new_only else run_gold)(spark, cfg)
     elif args.job == "train":
         run_train(spark, cfg, version=args.version)
     elif args.job == "score":

@@ -23,7 +23,7 @@ from paysieve.operators.gold import to_gold
 from paysieve.operators.quality import silver_report
 from paysieve.operators.registry import load_model, registry, save_model
 from paysieve.operators.velocity import with_velocity
-from paysieve.plans import run_all, run_gold, run_ingest, run_score, run_train
+from paysieve.plans import run_all, run_gold, run_gold_new, run_ingest, run_ingest_new, run_score, run_train
 from paysieve.sources import layer_exists, read_jdbc, read_landing, read_layer, scratch_path, write_jdbc, write_layer
 from paysieve.sources.jdbc import with_ranges
 from paysieve.streaming import corrected, merge_silver, stream_counts, stream_to_bronze, stream_to_updates
@@ -485,6 +485,44 @@ def stream_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corrected(spark, counts, rows).select("event_id", "tx_count_window")
 
 
+def _in_two_runs(spark: SparkSession, sf_dir: str, after) -> PipelineConfig:
+    """Landing in two parts, the second with retries of events of the first; ``after`` runs after each ingestion."""
+    cfg = PipelineConfig(**{n: scratch_path(spark, n) for n in ("landing", "bronze", "silver", "gold")})
+    rows = payments(spark, sf_dir)
+    early = F.col("event_id").cast("long") % 4 != 0
+    for run, part in enumerate((rows.where(early), _retried(rows).join(rows.where(early), rows.columns, "left_anti"))):
+        as_landing(part).write.json(f"{cfg.landing}/run-{run}")
+        run_ingest_new(spark, cfg)
+        after(cfg)
+    return cfg
+
+
+def ingest_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver by two runs, each of which parses its own files alone."""
+    cfg = _in_two_runs(spark, sf_dir, lambda cfg: None)
+    return _with_micros(read_layer(spark, cfg.silver)).fillna(-1, ["event_us"])
+
+
+def gold_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold brought up to silver after each of two runs."""
+    cfg = _in_two_runs(spark, sf_dir, lambda cfg: run_gold_new(spark, cfg))
+    return read_layer(spark, cfg.gold).select("event_id", "tx_count_window", "fraud_reason", "is_fraud")
+
+
+def blacklist_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users listed, and listed anew, at the times of their own payments."""
+    rows = payments(spark, sf_dir)
+    per_user = rows.groupBy("user_id").agg(F.min("event_ts").alias("low"), F.max("event_ts").alias("high"))
+    middle = F.timestamp_micros(F.expr("(unix_micros(low) + unix_micros(high)) DIV 2"))
+    entries = F.array(
+        F.struct(middle.alias("added_at"), F.lit("first").alias("reason"), F.lit("LOW").alias("severity")),
+        F.struct(F.col("high").alias("added_at"), F.lit("second").alias("reason"), F.lit("HIGH").alias("severity")),
+    )
+    listed = per_user.where("cast(substr(user_id, 6) AS INT) % 3 = 0").select("user_id", F.explode(entries).alias("e")).select("user_id", "e.*")
+    marked = with_blacklist(rows, listed)
+    return marked.select("event_id", "blacklist_reason", "blacklist_severity", "is_blacklisted")
+
+
 def layer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An atomic layer, read, changed and replaced in place."""
     path = scratch_path(spark, "snapshots")
@@ -540,6 +578,9 @@ QUERIES = {
     "stream_merge": stream_merge,
     "stream_velocity": stream_velocity,
     "layer_snapshots": layer_snapshots,
+    "ingest_new": ingest_new,
+    "gold_new": gold_new,
+    "blacklist_as_of": blacklist_as_of,
 }
 
 
@@ -727,4 +768,21 @@ ORACLES |= {
     "stream_merge": ORACLES["stream_ingest"],
     "stream_velocity": ORACLES["velocity_count"],
     "layer_snapshots": _ROWS,
+    "ingest_new": ORACLES["silver_dedup_latest"],
+    "gold_new": f"""WITH {_P}, latest AS (
+    {_LATEST.format(source="p").replace("arrivals AS", "WITH arrivals AS", 1)}),
+g AS (SELECT *, count(*) OVER (PARTITION BY user_id ORDER BY event_us // 1000000
+    RANGE BETWEEN 60 PRECEDING AND CURRENT ROW) AS tx_count_window FROM latest),
+{_RULED} SELECT event_id, tx_count_window, fraud_reason, is_fraud FROM f""",
+    "blacklist_as_of": f"""WITH {_P}, u AS (
+    SELECT user_id, min(event_ts) AS low, max(event_ts) AS high FROM p GROUP BY user_id),
+listed AS (
+    SELECT user_id, make_timestamp((epoch_us(low) + epoch_us(high)) // 2) AS added_at, 'first' AS reason, 'LOW' AS severity FROM u
+    UNION ALL SELECT user_id, high, 'second', 'HIGH' FROM u),
+chosen AS (SELECT * FROM listed WHERE CAST(substr(user_id, 6) AS INTEGER) % 3 = 0),
+ranked AS (
+    SELECT p.event_id, c.reason, c.severity, row_number() OVER (PARTITION BY p.event_id ORDER BY c.added_at DESC NULLS LAST) AS place
+    FROM p LEFT JOIN chosen c ON p.user_id = c.user_id AND c.added_at <= p.event_ts)
+SELECT event_id, reason AS blacklist_reason, severity AS blacklist_severity, reason IS NOT NULL AS is_blacklisted
+FROM ranked WHERE place = 1""",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from paysieve.schemas import CORRUPT_COLUMN, LANDING, LANDING_WITH_CORRUPT
 
 
-def read_landing(spark: SparkSession, path: str, *, keep_corrupt: bool = False) -> DataFrame:
+def read_landing(spark: SparkSession, path: str | list[str], *, keep_corrupt: bool = False) -> DataFrame:
     """Scan with the fixed schema, never inferring.
 
     A malformed line becomes an all-NULL row, a wrongly typed field NULL, a

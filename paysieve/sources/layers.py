@@ -75,6 +75,24 @@ def layer_names(spark: SparkSession, path: str) -> list[str]:
     return _Folder(spark, path).names("")
 
 
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, milliseconds of the last change) of the files under a path or pattern, hidden ones left out."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for start in files.globStatus(place) or []:
+        iterator = files.listFiles(start.getPath(), True)
+        root = len(start.getPath().toString())
+        while iterator.hasNext():
+            file = iterator.next()
+            name = file.getPath().toString()
+            hidden = any(part.startswith(("_", ".")) for part in name[root:].split("/") if part)
+            if not hidden:
+                found.append((name, file.getLen(), file.getModificationTime()))
+    return found
+
+
 def remove_layer(spark: SparkSession, path: str) -> None:
     _Folder(spark, path).remove("")
 

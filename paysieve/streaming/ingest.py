@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from paysieve.functions.times import batch_literal, new_batch_ts, parse_event_ts
-from paysieve.operators.cleaning import dedup
+from paysieve.operators.cleaning import dedup, upserted
 from paysieve.schemas import LANDING
 from paysieve.sources import layer_exists, layer_notes, read_layer, write_layer
 from paysieve.sources.layers import layer_names, remove_layer
@@ -109,9 +109,8 @@ def merge_silver(spark: SparkSession, updates: str, silver: str, *, batch_ts: da
 
     Silver is an atomic layer, published together with the number of the last
     update it holds, so a merge that dies changes nothing and the next one
-    takes up the same updates.  Only new updates are read.  Silver rows of other
-    events are copied as they are; they are neither sorted nor, if the new ids
-    are few, shuffled.  Rows that win keep or get the time of the merge that brought them.
+    takes up the same updates.  Only new updates are read.  Rows that win keep or
+    get the time of the merge that brought them.
     """
     merged = layer_notes(spark, silver).get("merged", -1)
     new = spark.read.parquet(updates).where(F.col("batch") > merged)
@@ -119,14 +118,8 @@ def merge_silver(spark: SparkSession, updates: str, silver: str, *, batch_ts: da
     if last is None:
         return False
     stamped = dedup(new.drop("batch")).withColumn("ingest_ts", batch_literal(batch_ts or new_batch_ts()))
-    if layer_exists(spark, silver):
-        old = read_layer(spark, silver)
-        ids = new.select(F.col("event_id").alias("__new")).distinct()
-        touched = F.col("event_id").eqNullSafe(F.col("__new"))
-        both = old.join(ids, touched, "left_semi").unionByName(stamped)
-        # of equal rows the older one, which has the earlier time of its load
-        stamped = old.join(ids, touched, "left_anti").unionByName(dedup(both))
-    write_layer(stamped, silver, atomic=True, notes={"merged": last})
+    old = read_layer(spark, silver) if layer_exists(spark, silver) else None
+    write_layer(upserted(old, stamped), silver, atomic=True, notes={"merged": last})
     return True
 
 
