@@ -36,6 +36,7 @@ class JdbcTarget:
     the database's hash of the key if ``key_hash`` gives one (``{key}`` stands
     for the column), else from ranges of the batch's keys.  ``fetch_size``: rows
     that a read holds at a time; some drivers hold the whole result without.
+    ``batch_id`` names what is written, so that "staged" and "upsert" move it over once.
     """
 
     url: str
@@ -52,6 +53,7 @@ class JdbcTarget:
     key_hash: str = ""
     index_key: bool = False
     fetch_size: int = 10_000
+    batch_id: str = ""
 
     def options(self) -> dict[str, str]:
         opts = {"url": self.url, "dbtable": self.table, "driver": self.driver}

@@ -41,6 +41,7 @@ def _jdbc_options(parser: argparse.ArgumentParser, *tables: str) -> None:
     parser.add_argument("--jdbc-key", default="event_id")
     parser.add_argument("--jdbc-column-types", help="as in CREATE TABLE, where the default for text will not do")
     parser.add_argument("--jdbc-index-key", action="store_true", help="index tables that are created by their key")
+    parser.add_argument("--jdbc-batch", default="", help="name of what is written: staged and upsert write it once")
     parser.add_argument("--jdbc-connections", type=int, default=32, help="parallel connections of a write")
 
 
@@ -116,6 +117,7 @@ def _target(args: argparse.Namespace, table: str) -> JdbcTarget:
         "key": args.jdbc_key,
         "column_types": args.jdbc_column_types,
         "index_key": args.jdbc_index_key,
+        "batch_id": args.jdbc_batch,
     }
     password = args.jdbc_pass or ""
     if args.jdbc_url:

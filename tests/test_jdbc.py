@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import pytest
@@ -7,8 +8,8 @@ from pyspark.sql import functions as F
 from paysieve.config import JdbcTarget
 from paysieve.fixtures import embedded_target
 from paysieve.operators.gold import serving_view, to_gold
-from paysieve.sources import read_jdbc, write_jdbc
-from paysieve.sources.jdbc import hash_predicates, key_ranges, missing_rows, table_exists, with_ranges
+from paysieve.sources import jdbc, read_jdbc, write_jdbc
+from paysieve.sources.jdbc import batch_is_stored, hash_predicates, key_ranges, missing_rows, table_exists, with_ranges
 
 TYPES = "event_id VARCHAR(64), user_id VARCHAR(64), fraud_reason VARCHAR(32)"
 
@@ -115,6 +116,50 @@ def test_one_row_per_key_and_corrections(spark, target):
         assert stored() == [(1, "v", 2.0), (2, "u", 9.0), (3, "u", 7.0), (None, "k", 0.0)]
 
 
+@pytest.mark.parametrize("mode", ["staged", "upsert"])
+def test_two_runs_of_a_batch_at_once_and_a_repeat_leave_one_copy(spark, serving, target, mode):
+    batch = replace(target, mode=mode, batch_id="2024-01-01:gold")
+    with ThreadPoolExecutor(2) as pool:
+        for done in [pool.submit(write_jdbc, serving, batch) for _ in range(2)]:
+            done.result(timeout=120)
+    assert same_rows(read_jdbc(spark, target), serving)
+    write_jdbc(serving.withColumn("amount", F.lit(-1.0)), batch)  # the batch is there: nothing changes
+    assert same_rows(read_jdbc(spark, target), serving) and batch_is_stored(spark, batch)
+    again = replace(batch, batch_id="2024-01-02:gold")
+    assert not batch_is_stored(spark, again)
+    write_jdbc(serving.withColumn("amount", F.lit(-1.0)), again)
+    changed = read_jdbc(spark, target).where("amount = -1").count()
+    assert changed == (serving.count() if mode == "upsert" else 0)
+    with pytest.raises(ValueError):
+        write_jdbc(serving, replace(target, mode=mode, batch_id="it's"))
+
+
+def test_a_batch_that_fails_is_not_stored(spark, serving, target, monkeypatch):
+    batch = replace(target, mode="staged", batch_id="one")
+    plain = jdbc._Connection.execute_together
+    with monkeypatch.context() as patch:
+        patch.setattr(jdbc._Connection, "execute_together", lambda self, *s: plain(self, *s[:-1], "INSERT INTO no_such_table VALUES (1)"))
+        with pytest.raises(Exception, match="(?i)no_such_table"):
+            write_jdbc(serving, batch)
+    assert read_jdbc(spark, target).count() == 0 and not batch_is_stored(spark, batch)
+    write_jdbc(serving, batch)
+    assert same_rows(read_jdbc(spark, target), serving)
+
+
+def test_stages_are_dropped_and_names_need_no_quotes(spark, serving, target):
+    seen = []
+    plain = jdbc._append
+    jdbc._append = lambda df, t, table=None, mode="append": seen.append(table) or plain(df, t, table=table, mode=mode)
+    try:
+        for _ in range(2):
+            write_jdbc(serving.limit(5), replace(target, mode="staged", index_key=True))
+    finally:
+        jdbc._append = plain
+    stages = [t for t in seen if t]
+    assert len(set(stages)) == 2 and not any(table_exists(spark, replace(target, table=t)) for t in stages)
+    assert jdbc.index_name('"my db"."t 1"') == "my_db_t_1_key"
+
+
 def test_a_failed_probe_is_not_an_absent_table(spark, serving, target):
     write_jdbc(serving.limit(1), target)
     assert table_exists(spark, target) and not table_exists(spark, replace(target, table="no_such_table"))
