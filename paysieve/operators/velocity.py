@@ -39,9 +39,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paysieve.functions.times import epoch_seconds
-from paysieve.operators.lookup import HOT_ROWS
 
 COUNT_COLUMN = "tx_count_window"
+HOT_ROWS = 1_000_000  # that one group of a window may hold
 MIN_BUCKET_SECONDS = 3600
 LINEAR_FROM_SECONDS = 600
 CELLS = 1 << 16
@@ -163,7 +163,8 @@ class Placement:
         marked = marked.join(self.busy, _same([self.user, "__bucket"], ["__busy_user", "__busy_bucket"]), "left")
         marked = marked.withColumn("__cut", F.when(F.col("__cuts").isNotNull(), self._cut()))
         # the partition's number and the row itself: the same when a task is run again
-        spreading = F.pmod(F.xxhash64(*spread) + F.spark_partition_id(), F.col("__cut.salts")) if spread else F.lit(0)
+        salts = F.col("__cut.salts")
+        spreading = F.pmod(F.pmod(F.xxhash64(*spread), salts) + F.spark_partition_id(), salts) if spread else F.lit(0)
         return marked.withColumns(
             {
                 "__piece": F.coalesce("__cut.piece", F.lit(0)),

@@ -156,7 +156,7 @@ def test_listings_count_from_when_they_were_added(spark):
     payments = spark.createDataFrame(rows, "event_id string, user_id string, event_ts timestamp")
     entries = spark.createDataFrame(listed, BLACKLIST)
     want = {"a": None, "b": "first", "c": "first", "d": "second", "e": None, "f": "always", "g": "later", "h": "always", "i": None}
-    for options in ({}, {"max_broadcast_bytes": 1, "hot_rows": 2, "max_hot_keys": 1000}):
+    for options in ({}, {"max_broadcast_bytes": 1}):
         found = with_blacklist(payments, entries, **options).collect()
         assert {r["event_id"]: r["blacklist_reason"] for r in found} == want and len(found) == len(rows)
         assert all(r["is_blacklisted"] == (r["blacklist_reason"] is not None) for r in found)

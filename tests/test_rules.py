@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from paysieve import schemas
 from paysieve.config import RuleSettings
 from paysieve.functions.rules import Rule, fraud_reason, high_amount, is_fraud, velocity
-from paysieve.operators.blacklist import with_blacklist
+from paysieve.operators.blacklist import bloom_words, split_by_list, with_blacklist
 from paysieve.operators.gold import serving_view, to_gold
 from paysieve.operators.quality import silver_report
 
@@ -71,7 +71,7 @@ BLACKLIST = [
 ]
 
 
-@pytest.mark.parametrize("options", [{}, {"max_broadcast_bytes": 1, "hot_rows": 2, "max_hot_keys": 1000}])
+@pytest.mark.parametrize("options", [{}, {"max_broadcast_bytes": 1}])
 def test_blacklist(spark, options):
     users = ["u1"] * 5 + ["u2"] * 5 + ["u3"] + [None] * 4
     df = spark.createDataFrame([(str(i), u) for i, u in enumerate(users)], "event_id string, user_id string")
@@ -89,6 +89,23 @@ def test_blacklist(spark, options):
     }
 
 
+def test_a_long_list_lets_few_rows_through(spark):
+    """What is shuffled: the rows of listed users, and few of the others'."""
+    payments = spark.range(20_000).select(F.col("id").alias("event_id"), F.when(F.col("id") % 50 != 7, F.concat(F.lit("u"), F.col("id") % 10_000)).alias("user_id"))
+    listed = spark.range(0, 10_000, 20).select(F.concat(F.lit("u"), F.col("id")).alias("__user"))
+    maybe, ruled_out = split_by_list(payments, listed, 500)
+    wanted = payments.join(listed, F.col("user_id") == F.col("__user"), "left_semi")
+    assert maybe.count() + ruled_out.count() == 20_000 and wanted.join(ruled_out, "event_id").isEmpty()
+    assert wanted.count() == 1000 <= maybe.count() < 1000 + 200
+    assert ruled_out.where("user_id IS NULL").count() == 400
+    # a filter that is far too small lets all rows through, and loses none
+    assert wanted.join(split_by_list(payments, listed, 1)[1], "event_id").isEmpty()
+
+
+def test_filters_are_bounded():
+    assert [bloom_words(n) for n in (0, 1, 4, 5, 1000, 10**9)] == [1, 1, 1, 2, 256, 1 << 20]
+
+
 def test_quality_report(spark):
     rows = [
         ("1", "u", at(1), 5.0, "captured"),
