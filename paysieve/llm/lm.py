@@ -54,7 +54,7 @@ PART_BYTES = 1 << 20  # of a lot, hashed at a time
 BATCH_BYTES = 1 << 22
 HASH_BITS = 55
 ENTRIES = 1 << 15  # hashes in a row that is shuffled
-FEW = 8  # texts so few that they are traversed one by one
+FEW = 64  # texts so few that they are traversed one by one
 LOTS_PER_PARTITION = 1 << 32
 
 # what begins and ends a text; no word hashes like a number that small but by chance
@@ -200,6 +200,17 @@ def lots(batches: Iterator[pa.RecordBatch], lot_bytes: int = LOT_BYTES) -> Itera
         yield *waiting, True
 
 
+def numbered(hashes: np.ndarray) -> tuple[np.ndarray, int]:
+    """(place of each hash among the sorted distinct ones, how many these are)."""
+    order = np.argsort(hashes)
+    own = hashes[order]
+    found = np.empty(len(hashes), np.int32)
+    new = np.ones(len(own), bool)
+    new[1:] = own[1:] != own[:-1]
+    found[order] = np.cumsum(new, dtype=np.int32) - 1
+    return found, int(new.sum())
+
+
 @dataclass
 class Lot:
     """The tokens of a lot's texts."""
@@ -299,12 +310,12 @@ class Automaton:
         # per place, the number of its word, pair and triple
         word, pair, triple = (np.full(len(lot.tokens), -1, np.int32) for _ in ORDERS)
         texts = 0.0  # how often BEGIN is a context: as often as texts end
-        for numbers, (hashes, places, own, _), n in zip((word, pair, triple), lot.ngrams(), counts):
-            if len(own) != len(n):
+        for numbers, (hashes, places), n in zip((word, pair, triple), ngram_hashes(lot.tokens, lot.sizes), counts):
+            numbers[places], different = numbered(hashes)
+            if different != len(n):
                 raise RuntimeError("the input has changed since it was counted; score a stored table")
-            numbers[places] = np.searchsorted(own, hashes)
-            if numbers is word and len(own):
-                texts = float(n[np.searchsorted(own, END)])
+        if len(lot.sizes):
+            texts = float(counts[0][word[lot.sizes[0] - 1]])
         c1, c2, c3 = (n.astype(float) for n in counts)
         p1 = (c1 + SMOOTHING) / (total + SMOOTHING * (seen + 1))
 
@@ -445,7 +456,7 @@ def score(
     told = stored(answers(questions(rows, buckets, lot_bytes), buckets), "answers")
     seen, total = told.where("lot = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("seen", "total")]).first()
 
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def with_lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lot, batch, _ in lots(batches, lot_bytes):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, lot)), *batch.columns], names=["lot", *batch.schema.names])
 
@@ -476,7 +487,7 @@ def score(
     for name, kind in (("held_out", "boolean"), ("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double")):
         schema = schema.add(name, kind)
     with_lot = StructType([StructField("lot", LongType()), *rows.schema.fields])
-    texts = rows.mapInArrow(numbered, with_lot).drop("partition").withColumn("order", F.lit(0))
+    texts = rows.mapInArrow(with_lots, with_lot).drop("partition").withColumn("order", F.lit(0))
     both = told.where("lot >= 0").drop("seen", "total").unionByName(texts, allowMissingColumns=True)
     # a lot's answers come in the order of the hashes, its texts before or after them
     dealt = both.repartition(parts, "lot").sortWithinPartitions("lot", "order", "bucket", "part")
