@@ -5,6 +5,7 @@ import pytest
 from conftest import at, same_rows
 from pyspark.sql import functions as F
 
+from paysieve import queries
 from paysieve.operators.velocity import with_velocity
 from paysieve.streaming import corrected, current, stream_counts
 from paysieve.streaming.counts import NO_TIME, count_events
@@ -87,3 +88,24 @@ def test_the_state_shrinks(spark, arrivals):
     late = {r["event_id"] for r in spark.read.parquet(arrivals.path("counts")).where("late").collect()}
     assert late <= {"z", "y"} and "z" in late
     arrivals.check()
+
+
+def test_the_query_takes_a_batch_per_part_however_many_files(spark, tmp_path, monkeypatch):
+    kinds = ["view", "signup", "error"]
+    rows = [(i, at(i * 500), i % 3 if i % 10 else None, kinds[i % 7 % 3], 1.0) for i in range(600)]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double")
+    events.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    sizes, start = [], queries.stream_counts
+
+    def started(*args, **options):
+        query = start(*args, **options)
+        assert query.awaitTermination(120)
+        sizes.extend(p["numInputRows"] for p in query.recentProgress if p["numInputRows"])
+        return query
+
+    monkeypatch.setattr(queries, "stream_counts", started)
+    found = queries.stream_velocity(spark, str(tmp_path))
+    payments = queries.payments(spark, str(tmp_path))
+    assert same_rows(found, with_velocity(payments).select("event_id", "tx_count_window"))
+    assert len(sizes) == 3 and sum(sizes) == len(rows)
+    assert sizes[2] == payments.where("status = 'refunded'").count()
