@@ -141,12 +141,25 @@ def ngram_hashes(tokens: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.nda
 
 
 def _packed(numbers: np.ndarray) -> bytes:
-    """Numbers by their first bytes, then their second ones, and so on: what is small is mostly zeros in a row."""
-    return np.ascontiguousarray(numbers.astype("<u8")).view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Numbers by their first bytes, then their second ones, and so on, as many as the largest has, which comes first."""
+    planes = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
+    return bytes([planes]) + numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T[:planes].tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    found = np.zeros((planes.shape[1], 8), np.uint8)
+    found[:, : len(planes)] = planes.T
+    return found.view("<u8").ravel()
+
+
+def _packed_ascending(numbers: np.ndarray) -> bytes:
+    """At least one number: the first whole, of the others how much more they are than the one before."""
+    return numbers[:1].astype("<u8").tobytes() + _packed(np.diff(numbers))
+
+
+def _unpacked_ascending(data: bytes) -> np.ndarray:
+    return np.cumsum(np.concatenate([np.frombuffer(data, "<u8", 1), _unpacked(data[8:])]), dtype=np.uint64)
 
 
 def _bucket_edges(buckets: int) -> np.ndarray:
@@ -247,8 +260,7 @@ def questions(rows: DataFrame, buckets: int, lot_bytes: int = LOT_BYTES) -> Data
                 for bucket in np.flatnonzero(np.diff(cuts)):
                     for part, at in enumerate(range(cuts[bucket], cuts[bucket + 1], ENTRIES)):
                         stop = min(at + ENTRIES, cuts[bucket + 1])
-                        asked = _packed(np.diff(own[at:stop], prepend=np.uint64(0)))
-                        yield int(bucket), order, lot, part, asked, _packed(counts[at:stop])
+                        yield int(bucket), order, lot, part, _packed_ascending(own[at:stop]), _packed(counts[at:stop])
             held = []
 
     names = ["bucket", "order", "lot", "part", "hashes", "counts"]
@@ -263,16 +275,21 @@ def answers(asked: DataFrame, buckets: int) -> DataFrame:
     Rows with lot -1 say how many tokens of the training rows fall into a bucket, different ones and in all."""
 
     def answer(order: int, bucket: int, rows: list[tuple]) -> Iterator[tuple]:
-        hashes = [np.cumsum(_unpacked(r[2]), dtype=np.uint64) for r in rows]
-        sizes = np.array([len(h) for h in hashes])
-        whole, counts = np.concatenate(hashes), np.concatenate([_unpacked(r[3]) for r in rows])
+        hashes = [_unpacked_ascending(r[2]) for r in rows]
+        ends = np.cumsum([len(h) for h in hashes])
+        whole = np.concatenate(hashes)
+        del hashes
         sorting = np.argsort(whole, kind="stable")
         own = whole[sorting]
         new = np.concatenate([[True], own[1:] != own[:-1]])
-        totals = np.add.reduceat(counts[sorting], np.flatnonzero(new))
-        found = np.empty(len(whole), np.uint64)
-        found[sorting] = totals[np.cumsum(new) - 1]
-        for (lot, part, _, _), some in zip(rows, np.split(found, np.cumsum(sizes)[:-1])):
+        del whole, own
+        counts = np.concatenate([_unpacked(r[3]) for r in rows])[sorting]
+        totals = np.add.reduceat(counts, np.flatnonzero(new))
+        del counts
+        found = np.empty(len(sorting), np.uint64)
+        found[sorting] = totals[np.cumsum(new, dtype=np.int32) - 1]
+        del sorting, new
+        for (lot, part, _, _), some in zip(rows, np.split(found, ends[:-1])):
             yield lot, order, bucket, part, _packed(some), 0, 0
         if order == 1:
             yield -1, order, bucket, 0, None, int((totals > 0).sum()), int(totals.sum())
@@ -280,18 +297,20 @@ def answers(asked: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         now, held = None, []
         for batch in batches:
-            for bucket, order, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            for row in zip(*batch.columns):  # one at a time: a batch of them is large
+                bucket, order, *rest = (v.as_py() for v in row)
                 if (bucket, order) != now:
                     if held:
                         yield from answer(now[1], now[0], held)
                     now, held = (bucket, order), []
-                held.append(row)
+                held.append(rest)
         if held:
             yield from answer(now[1], now[0], held)
 
     names = ["lot", "order", "bucket", "part", "counts", "seen", "total"]
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
-    dealt = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket", "order", "lot", "part")
+    # a partition per bucket: by hash, several would meet in one task
+    dealt = asked.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "order", "lot", "part")
     return dealt.mapInArrow(lambda batches: _gathered(run(batches), names, types), "lot long, order int, bucket int, part int, counts binary, seen long, total long")
 
 

@@ -91,6 +91,23 @@ def test_numbers_are_packed_and_unpacked():
     assert lm._unpacked(lm._packed(numbers)).tolist() == numbers.tolist()
 
 
+def test_small_numbers_are_packed_into_few_bytes():
+    assert len(lm._packed(np.arange(200, dtype=np.uint64))) <= 201
+    assert len(lm._packed(np.zeros(0, np.uint64))) <= 1 and lm._unpacked(lm._packed(np.zeros(0, np.uint64))).tolist() == []
+    for numbers in ([7], [0, 1, 2**56 - 1], [2**55 + 2 * i for i in range(300)]):
+        packed = lm._packed_ascending(np.array(numbers, np.uint64))
+        assert lm._unpacked_ascending(packed).tolist() == numbers
+    assert len(packed) < 8 + 2 + 300
+
+
+def test_every_bucket_has_a_partition_of_its_own(spark):
+    texts = [(0, " ".join(f"w{(i * j) % 977}" for j in range(300)), True) for i in range(40)]
+    rows = spark.createDataFrame(texts, "partition int, text string, trained boolean").coalesce(1)
+    found = lm.answers(lm.questions(rows, 16, 1 << 12), 16).withColumn("task", F.spark_partition_id())
+    tasks = found.groupBy("task").agg(F.countDistinct("bucket").alias("n"))
+    assert {r["n"] for r in tasks.collect()} == {1} and tasks.count() == 16
+
+
 def test_every_state_is_a_distribution():
     model = Model(TEXTS)
     words = [*model.words, "never seen"]
